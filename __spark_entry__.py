@@ -10,6 +10,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable
 from datetime import datetime, timezone
+from functools import reduce
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -26,7 +27,6 @@ from tillstream.operators import kpis as K  # noqa: E402
 from tillstream.operators import request_log as R  # noqa: E402
 from tillstream.operators.cleaning import CLEANERS  # noqa: E402
 from tillstream.operators.validation import split_valid  # noqa: E402
-from tillstream.plans.gold import build_kpis  # noqa: E402
 from tillstream.schemas import EVENT_TYPES, ORDERS  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -62,14 +62,27 @@ def _silver(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return CLEANERS[name](_bronze(spark, sf_dir, name))[0]
 
 
-def _kpis(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The KPI tables as stored; each is only computed when a query reads it."""
-    silver = [_silver(spark, sf_dir, n) for n in ("orders", "clicks", "inventory")]
-    built = build_kpis(*silver, as_of=AS_OF)
-    stored = {n: documents.with_doc_id(kpi, n) for n, kpi in built.items()}
-    day_before = K.summary(*silver[:2], as_of=DAY_BEFORE, computed_at=DAY_BEFORE)
-    stored["summary"] = documents.upsert_kpis(day_before, stored["summary"])
-    return stored
+def _summary(spark: SparkSession, sf_dir: str, day: datetime) -> DataFrame:
+    orders, clicks = (_silver(spark, sf_dir, n) for n in ("orders", "clicks"))
+    return K.summary(orders, clicks, as_of=day, computed_at=day)
+
+
+def _stored(spark: SparkSession, sf_dir: str, kpi_type: str) -> dict[str, DataFrame]:
+    """One KPI as it is stored; the summary holds two days."""
+
+    def silver(name: str) -> DataFrame:
+        return _silver(spark, sf_dir, name)
+
+    if kpi_type == "summary":
+        days = [_summary(spark, sf_dir, day) for day in (DAY_BEFORE, AS_OF)]
+        return {"summary": documents.upsert_kpis(*days)}
+    kpi = {
+        "hourly_revenue": lambda: K.hourly_revenue(silver("orders"), AS_OF),
+        "top_products": lambda: K.top_products(silver("orders"), computed_at=AS_OF),
+        "conversion": lambda: K.conversion_funnel(silver("orders"), silver("clicks"), AS_OF),
+        "inventory": lambda: K.inventory_status(silver("inventory"), AS_OF),
+    }[kpi_type]()
+    return {kpi_type: documents.with_doc_id(kpi, kpi_type)}
 
 
 # ── Layers ───────────────────────────────────────────────────────────────────
@@ -99,28 +112,21 @@ def quarantine_orders_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per layer and event type; bronze = valid + quarantine."""
-    parts = []
+    steps: list[DataFrame] = []
     for name, spec in EVENT_TYPES.items():
         bronze = _bronze(spark, sf_dir, name)
         valid, rejected = split_valid(bronze, spec)
-        steps = {
-            "bronze_rows": bronze,
-            "valid_rows": valid,
-            "quarantine_rows": rejected,
-            "silver_rows": CLEANERS[name](bronze)[0],
-        }
-        for step, rows in steps.items():
-            parts.append(
-                rows.agg(F.count("*").alias("n")).select(
-                    F.lit(name).alias("event_type"),
-                    *[F.when(F.lit(s == step), F.col("n")).alias(s) for s in steps],
-                )
-            )
-    counts = parts[0]
-    for part in parts[1:]:
-        counts = counts.unionByName(part)
-    measured = [c for c in counts.columns if c != "event_type"]
-    return counts.groupBy("event_type").agg(*[F.max(c).alias(c) for c in measured])
+        silver = CLEANERS[name](bronze)[0]
+        layers = {"bronze": bronze, "valid": valid, "quarantine": rejected, "silver": silver}
+        steps += [
+            rows.select(F.lit(name).alias("event_type"), F.lit(step).alias("step"))
+            for step, rows in layers.items()
+        ]
+    counts = [
+        F.count_if(F.col("step") == step).alias(f"{step}_rows")
+        for step in ("bronze", "valid", "quarantine", "silver")
+    ]
+    return reduce(DataFrame.unionByName, steps).groupBy("event_type").agg(*counts)
 
 
 def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,24 +146,21 @@ def _kpi(build: Callable[..., DataFrame], *inputs: str, **options) -> Query:
     return query
 
 
-def _read(read: Callable[..., DataFrame], *args, **options) -> Query:
+def _read(kpi_type: str, read: Callable[..., DataFrame], *args, **options) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return read(_kpis(spark, sf_dir), *args, **options)
+        return read(_stored(spark, sf_dir, kpi_type), *args, **options)
 
     return query
 
 
 def _read_products(**options) -> Query:
     """Product reads; their ids are not compared."""
-
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return serving.get_products(_kpis(spark, sf_dir), **options).drop("id")
-
-    return query
+    read = _read("top_products", serving.get_products, **options)
+    return lambda spark, sf_dir: read(spark, sf_dir).drop("id")
 
 
 def revenue_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    page = serving.get_revenue(_kpis(spark, sf_dir), region="ASIA", limit=24)
+    page = serving.get_revenue(_stored(spark, sf_dir, "hourly_revenue"), region="ASIA", limit=24)
     whole = serving.envelope(page, region_filter="ASIA")
     orders = F.aggregate("data", F.lit(0).cast("bigint"), lambda n, row: n + row["order_count"])
     return whole.select(
@@ -218,6 +221,12 @@ def error_band(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.classify(rate, "error_pct", R.ERROR_RATE_STEPS)
 
 
+def latency_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = R.latency_histogram(E.request_log(spark, sf_dir), E.BUCKETS)
+    le = F.when(F.col("le") == float("inf"), "+Inf").otherwise(F.col("le").cast("string"))
+    return found.withColumn("le", le)
+
+
 def latency_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = R.latency_quantiles(E.request_log(spark, sf_dir), buckets=E.BUCKETS)
     return found.withColumns({p: F.round(p, 6) for p in ("p50", "p95", "p99")})
@@ -236,17 +245,17 @@ _QUERIES: dict[str, Query] = {
     "summary": _kpi(K.summary, "orders", "clicks", as_of=AS_OF),
     "inventory_status": _kpi(K.inventory_status, "inventory"),
     "inventory_latest": _kpi(K.inventory_latest, "inventory"),
-    "kpi_summary": _read(serving.get_summary),
-    "kpi_conversion": _read(serving.get_conversion),
-    "revenue_latest_hours": _read(serving.get_revenue),
-    "revenue_by_region": _read(serving.get_revenue, region="EUROPE", limit=24),
+    "kpi_summary": _read("summary", serving.get_summary),
+    "kpi_conversion": _read("conversion", serving.get_conversion),
+    "revenue_latest_hours": _read("hourly_revenue", serving.get_revenue),
+    "revenue_by_region": _read("hourly_revenue", serving.get_revenue, region="EUROPE", limit=24),
     "products_by_revenue": _read_products(limit=5),
     "products_by_category": _read_products(category="PROMO"),
-    "inventory_alerts": _read(serving.get_inventory),
-    "inventory_lowest": _read(serving.get_inventory, alerts_only=False, limit=200),
-    "regions": _read(serving.get_regions),
-    "kpi_query": _read(serving.query_kpis, "inventory", {"warehouse_id": "WH-3"}),
-    "kpi_item": _read(serving.get_item, "conversion", "conversion"),
+    "inventory_alerts": _read("inventory", serving.get_inventory),
+    "inventory_lowest": _read("inventory", serving.get_inventory, alerts_only=False, limit=200),
+    "regions": _read("hourly_revenue", serving.get_regions),
+    "kpi_query": _read("inventory", serving.query_kpis, "inventory", {"warehouse_id": "WH-3"}),
+    "kpi_item": _read("conversion", serving.get_item, "conversion", "conversion"),
     "revenue_envelope": revenue_envelope,
     "kpi_upsert": kpi_upsert,
     "kpi_documents": kpi_documents,
@@ -259,7 +268,7 @@ _QUERIES: dict[str, Query] = {
     "error_band": error_band,
     "store_errors_5m": _log(R.store_errors),
     "request_rate_1m": _log(R.request_rate),
-    "latency_histogram": _log(R.latency_histogram, E.BUCKETS),
+    "latency_histogram": latency_histogram,
     "latency_quantiles": latency_quantiles,
     "status_breakdown": _log(R.status_breakdown),
 }

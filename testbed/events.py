@@ -12,13 +12,38 @@ from pyspark.sql import functions as F
 from tillstream.operators.ingest import to_records
 from tillstream.schemas import EventSpec
 
-MONEY = "decimal(18,2)"
 # Bounds that suit the range of `events.value`, which stands in for a duration.
 BUCKETS = (1, 5, 10, 25, 50, 100, 250)
 
 
+# The columns read from the given tables; stating them saves a look at the files.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_regionkey int",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "part": "p_partkey bigint, p_name string, p_type string, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_returnflag string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give every task slot a share of a table kept in fewer files than there are slots.
+
+    A given table is one file with one row group, which one task reads. A table of
+    many files is left as it is.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots, key) if len(df.inputFiles()) < slots else df
 
 
 def _iso(moment: Column) -> Column:
@@ -67,23 +92,25 @@ def bronze_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("c_custkey", "r_name")
     )
     orders = table(spark, sf_dir, "orders").join(buyers, F.col("o_custkey") == F.col("c_custkey"))
+    # Both sides of this join grow together, so neither is ever broadcast.
     lines = (
         table(spark, sf_dir, "lineitem")
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
     )
-    cents = F.rint(F.col("l_extendedprice") * 100).cast("bigint") % 60000
-    lines = lines.withColumn("_base", (cents.cast("double") / 100).cast(MONEY))
-    rate = F.col("l_discount").cast("decimal(4,2)")
-    lines = lines.withColumn("_disc", F.round(F.col("_base") * rate, 2))
+    # Amounts in whole cents; the discount is rounded half up.
+    base = F.rint(F.col("l_extendedprice") * 100).cast("bigint") % 60000
+    lines = lines.withColumn("_base", base)
+    rate = F.rint(F.col("l_discount") * 100).cast("bigint")
+    lines = lines.withColumn("_disc", F.floor((F.col("_base") * rate + 50) / 100))
     hour = (F.col("l_orderkey") % 24).cast("int")
     lines = lines.withColumn(
         "_ts", F.col("o_orderdate") + F.make_dt_interval(F.lit(0), hour, F.lit(0), F.lit(0))
     )
     total = (
         F.when(F.col("l_partkey") % 89 == 0, F.lit(None))
-        .when(F.col("l_partkey") % 83 == 0, F.lit(0).cast(MONEY))
-        .otherwise((F.col("_base") - F.col("_disc")).cast(MONEY))
+        .when(F.col("l_partkey") % 83 == 0, F.lit(0))
+        .otherwise(F.col("_base") - F.col("_disc"))
     )
     event_id = F.concat(
         F.lit("EVT-"), F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")
@@ -110,10 +137,10 @@ def bronze_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
             "region": _text(" ", "r_name"),
             "product": product,
             "quantity": F.col("l_quantity").cast("int"),
-            "subtotal": F.col("_base").cast("double"),
+            "subtotal": F.col("_base") / 100,
             "discount_pct": F.col("l_discount"),
-            "discount_amount": F.col("_disc").cast("double"),
-            "total_amount": total.cast("double"),
+            "discount_amount": F.col("_disc") / 100,
+            "total_amount": total / 100,
             "currency": F.lit(" usd"),
             "payment_method": _text(" ", "o_orderpriority"),
             "status": status,
@@ -154,7 +181,7 @@ def bronze_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bronze_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One stock update per lineitem row."""
-    lines = table(spark, sf_dir, "lineitem").join(
+    lines = spread(table(spark, sf_dir, "lineitem"), "l_orderkey").join(
         table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")
     )
     stock = F.col("l_quantity").cast("int") * 10 - 10
@@ -207,7 +234,7 @@ def topic_records(bronze: DataFrame, spec: EventSpec) -> DataFrame:
 
 def priced_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Price, quantity and discount rate of every lineitem row."""
-    lines = table(spark, sf_dir, "lineitem").join(
+    lines = spread(table(spark, sf_dir, "lineitem"), "l_orderkey").join(
         table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")
     )
     return lines.select(

@@ -215,10 +215,11 @@ def _quantiles(buckets: tuple) -> str:
 
 
 def _histogram(buckets: tuple) -> str:
-    bounds = ", ".join([*(f"{le}.0" for le in buckets), "'inf'"])
+    bounds = ", ".join(f"('{le}.0', {le}.0)" for le in buckets)
+    counted = "count(duration_sec) filter (where duration_sec <= bound or le = '+Inf')"
     return (
-        f"select {_windowed(1)}, le, count(duration_sec) filter (where duration_sec <= le) requests "
-        f"from log, (select unnest([{bounds}]::double[]) le) group by 1, 2, 3"
+        f"select {_windowed(1)}, le, {counted} requests "
+        f"from log, (values {bounds}, ('+Inf', null)) b(le, bound) group by 1, 2, 3"
     )
 
 

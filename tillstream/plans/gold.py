@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterable
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstream.operators import kpis as K
 from tillstream.operators.documents import upsert_kpis, with_doc_id
-from tillstream.schemas import KPI_KEYS
+from tillstream.schemas import KPI_SCHEMAS
 from tillstream.sources.tables import DEFAULT_FORMAT, layer_path, read_layer, read_table
 
-KPI_TYPES = tuple(KPI_KEYS)
+KPI_TYPES = tuple(KPI_SCHEMAS)
 
 
 def build_kpis(
@@ -53,19 +55,20 @@ def write_json(df: DataFrame, path: str) -> None:
 
 
 def _versions_path(base: str, kpi_type: str) -> str:
-    return layer_path(base, "kpis", f"{kpi_type}/_versions")
+    return layer_path(base, "kpis", f"{kpi_type}/versions")
 
 
 def _current_path(spark: SparkSession, base: str, kpi_type: str) -> str | None:
-    path = _versions_path(base, kpi_type)
     try:
-        versions = spark.read.schema("version long, folder string").json(path)
-    except Exception as error:  # noqa: BLE001 - only the missing path is handled
-        if "PATH_NOT_FOUND" not in str(error):
+        versions = spark.read.schema("version long, folder string").json(
+            _versions_path(base, kpi_type)
+        )
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
     newest = versions.orderBy(F.desc("version"), F.desc("folder")).first()
-    return newest and newest.folder
+    return newest and layer_path(base, "kpis", f"{kpi_type}/{newest.folder}")
 
 
 def load_kpis(
@@ -74,23 +77,29 @@ def load_kpis(
     fmt: str = DEFAULT_FORMAT,
     kpi_types: Iterable[str] = KPI_TYPES,
 ) -> dict[str, DataFrame]:
-    """The stored KPI tables that exist, by KPI type."""
-    current = {name: _current_path(spark, base, name) for name in kpi_types}
-    return {n: read_table(spark, path, fmt) for n, path in current.items() if path}
+    """The stored KPI tables by KPI type; one without rows for a KPI never stored."""
+    kpis = {}
+    for name in kpi_types:
+        path = _current_path(spark, base, name)
+        if path is None:
+            kpis[name] = spark.createDataFrame([], KPI_SCHEMAS[name])
+        else:
+            kpis[name] = read_table(spark, path, fmt)
+    return kpis
 
 
 def save_kpi(
     spark: SparkSession, base: str, kpi_type: str, updates: DataFrame, fmt: str = DEFAULT_FORMAT
 ) -> None:
-    """Upsert one KPI's rows into its stored table."""
-    updates = with_doc_id(updates, kpi_type)
-    existing = load_kpis(spark, base, fmt, [kpi_type]).get(kpi_type)
-    merged = updates if existing is None else upsert_kpis(existing, updates)
-    version = int(datetime.now().timestamp() * 1_000_000)
-    folder = layer_path(base, "kpis", f"{kpi_type}/v{version}")
-    merged.write.format(fmt).mode("errorifexists").save(folder)
+    """Upsert one KPI's rows into its stored table. One writer at a time per KPI."""
+    existing = load_kpis(spark, base, fmt, [kpi_type])[kpi_type]
+    merged = upsert_kpis(existing, with_doc_id(updates, kpi_type))
+    version = time.time_ns() // 1000
+    folder = f"v{version}"
+    path = layer_path(base, "kpis", f"{kpi_type}/{folder}")
+    merged.write.format(fmt).mode("errorifexists").save(path)
     line = spark.range(1).select(F.lit(version).alias("version"), F.lit(folder).alias("folder"))
-    line.write.mode("append").json(_versions_path(base, kpi_type))
+    line.coalesce(1).write.mode("append").json(_versions_path(base, kpi_type))
 
 
 def run_gold(

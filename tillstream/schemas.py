@@ -167,3 +167,63 @@ KPI_KEYS: dict[str, tuple[str, ...]] = {
     "inventory": ("product_id", "product_name", "warehouse_id"),
     "summary": ("computed_date",),
 }
+
+KPI_SCHEMAS: dict[str, T.StructType] = {
+    "hourly_revenue": _schema(
+        hour_bucket="timestamp",
+        region="string",
+        revenue="double",
+        order_count="long",
+        avg_order_value="double",
+        total_discounts="double",
+        unique_customers="long",
+        kpi_type="string",
+        computed_at="timestamp",
+        id="string",
+    ),
+    "top_products": _schema(
+        product_id="string",
+        product_name="string",
+        category="string",
+        revenue="double",
+        units_sold="long",
+        avg_order_value="double",
+        order_count="long",
+        rank="integer",
+        kpi_type="string",
+        computed_at="timestamp",
+        id="string",
+    ),
+    "conversion": _schema(
+        total_clicks="long",
+        added_to_cart="long",
+        completed_orders="long",
+        conversion_rate_pct="double",
+        cart_abandonment_pct="double",
+        add_to_cart_rate_pct="double",
+        kpi_type="string",
+        computed_at="timestamp",
+        id="string",
+    ),
+    "inventory": _schema(
+        product_id="string",
+        product_name="string",
+        warehouse_id="string",
+        current_stock="integer",
+        reorder_threshold="integer",
+        low_stock_alert="boolean",
+        kpi_type="string",
+        computed_at="timestamp",
+        id="string",
+    ),
+    "summary": _schema(
+        id="string",
+        total_revenue="double",
+        total_orders="long",
+        avg_order_value="double",
+        total_clicks="long",
+        computed_date="string",
+        kpi_type="string",
+        computed_at="timestamp",
+    ),
+}
