@@ -1,0 +1,152 @@
+from datetime import datetime, timezone
+
+from factories import bronze
+from pyspark.sql import functions as F
+
+from tillstream.operators import kpis as K
+from tillstream.operators.cleaning import clean_clicks, clean_inventory, clean_orders
+
+DAY = datetime(2026, 1, 2, tzinfo=timezone.utc)
+
+
+def orders(spark, *changes):
+    return clean_orders(bronze(spark, "orders", *changes))[0]
+
+
+def clicks(spark, *changes):
+    return clean_clicks(bronze(spark, "clicks", *changes))[0]
+
+
+def click_rows(spark, total, carts):
+    base = clicks(spark, {})
+    return base.drop("event_id", "added_to_cart").crossJoin(
+        spark.range(total).select(
+            F.col("id").cast("string").alias("event_id"),
+            (F.col("id") < carts).alias("added_to_cart"),
+        )
+    )
+
+
+def order_rows(spark, total):
+    base = orders(spark, {})
+    return base.drop("event_id").crossJoin(
+        spark.range(total).select(F.col("id").cast("string").alias("event_id"))
+    )
+
+
+def test_hourly_revenue(spark):
+    rows = orders(
+        spark,
+        {"total_amount": 100.0, "discount_amount": 5.0},
+        {"total_amount": 50.25, "customer_id": "cust-1", "timestamp": "2026-01-02T03:59:59Z"},
+        {"total_amount": 10.0, "timestamp": "2026-01-02T04:00:00+00:00"},
+        {"total_amount": 10.0, "timestamp": "2026-01-02T04:00:00+02:00", "region": "Asia"},
+        {"total_amount": 999.0, "status": "failed"},
+        {"total_amount": 7.0, "timestamp": "never"},
+    )
+    found = K.hourly_revenue(rows, DAY).withColumn("hour_bucket", F.hour("hour_bucket"))
+    by_hour = {(r.hour_bucket, r.region): r for r in found.collect()}
+    assert set(by_hour) == {(3, "Europe"), (4, "Europe"), (2, "Asia"), (None, "Europe")}
+    first = by_hour[3, "Europe"]
+    assert (first.revenue, first.order_count, first.avg_order_value) == (150.25, 2, 75.13)
+    assert (first.total_discounts, first.unique_customers) == (5.0, 1)
+    assert first.kpi_type == "hourly_revenue"
+
+
+def test_money_is_added_exactly(spark):
+    rows = order_rows(spark, 1000).withColumn("total_amount", F.lit(0.1))
+    assert K.hourly_revenue(rows).first().revenue == 100.0
+    rows = rows.withColumn("total_amount", F.when(F.col("event_id") == "7", F.lit(float("nan"))))
+    assert K.hourly_revenue(rows).first().revenue is None
+
+
+def test_top_products_breaks_ties_by_key(spark):
+    rows = orders(
+        spark,
+        *[{"product": (f"SKU-{n}", f"P{n}", "Home", 1.0), "total_amount": 5.0} for n in range(9)],
+        {"product": ("SKU-A", "A", "Toys", 1.0), "total_amount": 20.0, "quantity": 3},
+        {"product": ("SKU-A", "A", "Toys", 1.0), "total_amount": 10.01, "quantity": 4},
+        {"product": ("SKU-Z", "Z", "Toys", 1.0), "total_amount": 4.0},
+        {"product": ("SKU-F", "F", "Toys", 1.0), "total_amount": 500.0, "status": "failed"},
+    )
+    top = K.top_products(rows, computed_at=DAY).orderBy("rank").collect()
+    assert [r.product_id for r in top] == ["SKU-A", *[f"SKU-{n}" for n in range(9)]]
+    assert [r["rank"] for r in top] == list(range(1, 11))
+    assert (top[0].revenue, top[0].units_sold, top[0].order_count) == (30.01, 7, 2)
+    assert top[0].avg_order_value == 15.01
+    assert K.top_products(rows, n=3).count() == 3
+
+
+def test_conversion_rates(spark):
+    def rates(total, carts, sales):
+        row = K.conversion_funnel(order_rows(spark, sales), click_rows(spark, total, carts)).first()
+        return (row.conversion_rate_pct, row.cart_abandonment_pct, row.add_to_cart_rate_pct)
+
+    assert rates(1000, 300, 75) == (7.5, 75.0, 30.0)
+    assert rates(100, 100, 100) == (100.0, 0.0, 100.0)
+    assert rates(3, 1, 2) == (66.67, -100.0, 33.33)
+
+
+def test_conversion_of_nothing_is_zero(spark):
+    row = K.conversion_funnel(orders(spark, {}).limit(0), clicks(spark, {}).limit(0)).first()
+    counts = (row.total_clicks, row.added_to_cart, row.completed_orders)
+    assert counts == (0, 0, 0)
+    rates = (row.conversion_rate_pct, row.cart_abandonment_pct, row.add_to_cart_rate_pct)
+    assert rates == (0.0, 0.0, 0.0)
+
+
+def test_summary(spark):
+    rows = orders(
+        spark,
+        {"total_amount": 100.0},
+        {"total_amount": 200.0, "status": "failed"},
+        {"total_amount": 50.0},
+    )
+    row = K.summary(rows, clicks(spark, {}, {}), as_of=DAY).first()
+    assert (row.total_revenue, row.total_orders, row.avg_order_value) == (150.0, 2, 75.0)
+    assert (row.total_clicks, row.id, row.computed_date) == (2, "summary_20260102", "2026-01-02")
+
+
+def test_summary_without_completed_orders_is_zero(spark):
+    failed = orders(spark, {"status": "failed"}, {"status": "pending"})
+    for rows in (failed, failed.limit(0)):
+        row = K.summary(rows, clicks(spark, {})).first()
+        assert (row.total_revenue, row.total_orders, row.avg_order_value) == (0.0, 0, 0.0)
+
+
+def test_inventory_status_and_latest(spark):
+    rows = clean_inventory(
+        bronze(
+            spark,
+            "inventory",
+            {"stock_level": 10, "low_stock_alert": True, "timestamp": "2026-01-01T00:00:00Z"},
+            {"stock_level": 400, "timestamp": "2026-01-02T00:00:00Z"},
+            {"stock_level": 90, "timestamp": "2026-01-02T00:00:00Z", "kafka_offset": 7},
+            {"stock_level": 95, "timestamp": "2026-01-01T00:00:00Z", "kafka_offset": 9},
+            {"stock_level": 1, "warehouse_id": "WH-02", "timestamp": "bad"},
+        )
+    )[0]
+    wanted = ("warehouse_id", "current_stock", "reorder_threshold", "low_stock_alert")
+    status = K.inventory_status(rows).orderBy("warehouse_id").select(*wanted)
+    assert [tuple(r) for r in status.collect()] == [("WH-01", 400, 50, True), ("WH-02", 1, 50, False)]
+    latest = K.inventory_latest(rows).orderBy("warehouse_id").select(*wanted)
+    assert [tuple(r) for r in latest.collect()] == [("WH-01", 90, 50, False), ("WH-02", 1, 50, False)]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_plans_have_no_python_and_no_full_sort(spark):
+    rows = orders(spark, {})
+    for kpi in (
+        K.hourly_revenue(rows),
+        K.top_products(rows),
+        K.conversion_funnel(rows, clicks(spark, {})),
+        K.summary(rows, clicks(spark, {})),
+    ):
+        plan = plan_of(kpi)
+        assert "Python" not in plan
+        assert "rangepartitioning" not in plan
+        assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert "TakeOrderedAndProject" in plan_of(K.top_products(rows))

@@ -23,7 +23,7 @@ def dedup_latest(
     one row per task to the task that settles it.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    present = [F.col(c).desc() for c in order if c in df.columns]
-    latest_first = Window.partitionBy(*keys).orderBy(*present)
+    present = [c for c in order if c in df.columns] or keys
+    latest_first = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in present])
     ranked = df.withColumn("_rank", F.row_number().over(latest_first))
     return ranked.filter(F.col("_rank") == 1).drop("_rank")

@@ -63,10 +63,11 @@ def upsert_kpis(
 ) -> DataFrame:
     """Existing rows, replaced by or joined with the updates of the same key.
 
-    When several updates share a key the last in ``order`` wins. Columns either
-    side lacks are NULL in its rows.
+    When several updates share a key the last in ``order`` wins, and the greatest
+    row among equals. Columns either side lacks are NULL in its rows.
     """
-    newest = dedup_latest(updates, keys, order)
+    rest = [c for c in updates.columns if c not in keys and c not in order]
+    newest = dedup_latest(updates, keys, [*order, *rest])
     replaced = newest.select(*[F.col(k).alias(f"_{k}") for k in keys])
     same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
     untouched = existing.join(replaced, same, "left_anti")
