@@ -233,30 +233,34 @@ def topic_records(bronze: DataFrame, spec: EventSpec) -> DataFrame:
 
 
 def priced_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Price, quantity and discount rate of every lineitem row."""
+    """Every lineitem row with price, quantity, discount rate and stored amounts.
+
+    The amounts are made in whole cents, with one error of each kind put in at a
+    rate of its own.
+    """
     lines = spread(table(spark, sf_dir, "lineitem"), "l_orderkey").join(
         table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")
     )
-    return lines.select(
+    price = F.rint(F.col("p_retailprice") * 100).cast("bigint")
+    rate = F.rint(F.col("l_discount") * 100).cast("bigint")
+    lines = lines.select(
         F.concat_ws("-", F.lit("EVT"), "l_orderkey", "l_linenumber").alias("event_id"),
         _line_offset().alias("kafka_offset"),
         F.struct(F.col("p_retailprice").alias("unit_price")).alias("product"),
         F.col("l_quantity").cast("int").alias("quantity"),
         F.col("l_discount").alias("discount_pct"),
+        rate.alias("_rate"),
+        (price * F.col("l_quantity").cast("int")).alias("_sub"),
     )
-
-
-def with_wrong_amounts(orders: DataFrame) -> DataFrame:
-    """Derived amounts with errors put in: one of each kind, at different rates."""
-    offset = F.col("kafka_offset")
-    cent_more = F.round(F.col("subtotal") + 0.01, 2)
-    return orders.withColumns(
-        {
-            "subtotal": F.when(offset % 13 == 0, cent_more).otherwise(F.col("subtotal")),
-            "discount_amount": F.when(offset % 17 != 0, F.col("discount_amount")),
-            "total_amount": F.when(offset % 19 == 0, F.lit(1.0)).otherwise(F.col("total_amount")),
-        }
-    )
+    lines = lines.withColumn("_disc", F.floor((F.col("_sub") * F.col("_rate") + 50) / 100))
+    offset, sub, disc = (F.col(c) for c in ("kafka_offset", "_sub", "_disc"))
+    amounts = {
+        "subtotal": F.when(offset % 13 == 0, sub + 1).otherwise(sub),
+        "discount_amount": F.when(offset % 17 != 0, disc),
+        "total_amount": F.when(offset % 19 == 0, 100).otherwise(sub - disc),
+    }
+    stored = lines.withColumns({name: cents / 100 for name, cents in amounts.items()})
+    return stored.drop("_sub", "_disc", "_rate")
 
 
 def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillstream import session
 from tillstream.operators import kpis as K
 from tillstream.operators.documents import upsert_kpis, with_doc_id
 from tillstream.schemas import KPI_SCHEMAS
@@ -115,6 +116,8 @@ def run_gold(
     Each KPI is computed once: the upsert reads the gold table just written.
     """
     silver = [read_layer(spark, base, "silver", n, fmt) for n in ("orders", "clicks", "inventory")]
+    # Shuffles carry groups, not rows, once tasks have aggregated their share.
+    session.size_shuffles(spark, *silver, per_partition=512 * session.MIB)
     for kpi_type, kpi in build_kpis(*silver, as_of=as_of, latest_stock=latest_stock).items():
         path = layer_path(base, "gold", kpi_type)
         write_gold(kpi, path, fmt)

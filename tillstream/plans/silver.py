@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tillstream import session
 from tillstream.operators.cleaning import CLEANERS
 from tillstream.schemas import EVENT_TYPES
 from tillstream.sources.tables import (
@@ -52,6 +53,7 @@ def process_silver(
 ) -> dict[str, int]:
     """Clean one event type; returns row counts taken while the tables are written."""
     bronze = read_layer(spark, base, "bronze", event_type, fmt)
+    session.size_shuffles(spark, bronze.drop("_raw"))
     silver, rejected = CLEANERS[event_type](bronze, strict=strict, detail=detail)
 
     written, set_aside = Observation("silver"), Observation("quarantine")
