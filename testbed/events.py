@@ -6,7 +6,7 @@ missing amounts, repeated event ids. ``testbed/oracles.py`` says the same in SQL
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstream.operators.ingest import to_records
@@ -46,171 +46,121 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(slots, key) if len(df.inputFiles()) < slots else df
 
 
-def _iso(moment: Column) -> Column:
-    """A timestamp the way producers write it."""
-    return F.concat(F.replace(moment.cast("string"), F.lit(" "), F.lit("T")), F.lit("+00:00"))
-
-
-def _text(prefix: str, column: str | Column, suffix: str = "") -> Column:
-    column = F.col(column) if isinstance(column, str) else column
-    return F.concat(F.lit(prefix), column.cast("string"), F.lit(suffix))
+def _select(df: DataFrame, **columns: str) -> DataFrame:
+    """SQL expressions by column name."""
+    return df.selectExpr(*[f"{expression} as {name}" for name, expression in columns.items()])
 
 
-def _null_if(condition: Column, value: Column) -> Column:
-    return F.when(~condition, value)
+def _iso(moment: str) -> str:
+    """A timestamp the way producers write it."""
+    return f"concat(replace(cast({moment} as string), ' ', 'T'), '+00:00')"
 
 
-def _record(moment: Column, offset: Column, partition: Column) -> dict[str, Column]:
+def _record(moment: str, offset: str, partition: str) -> dict[str, str]:
     return {
         "kafka_offset": offset,
-        "kafka_partition": partition.cast("int"),
-        "kafka_timestamp": moment.cast("timestamp"),
-        "ingested_at": moment.cast("timestamp"),
+        "kafka_partition": f"cast({partition} as int)",
+        "kafka_timestamp": f"cast({moment} as timestamp)",
+        "ingested_at": f"cast({moment} as timestamp)",
     }
 
 
-def _select(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    return df.select(*[column.alias(name) for name, column in columns.items()])
-
-
-def _line_offset() -> Column:
-    place = F.col("l_partkey") * 10000 + F.col("l_suppkey")
-    return place * 100 + F.col("l_quantity").cast("bigint")
+# The offset of a lineitem row: rows that share order and line differ in it.
+_LINE_OFFSET = "(l_partkey * 10000 + l_suppkey) * 100 + cast(l_quantity as bigint)"
 
 
 def bronze_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One order event per lineitem row."""
     # The customer side is joined first: it is the smaller one.
-    places = (
-        table(spark, sf_dir, "nation")
-        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("n_nationkey", "r_name")
-    )
-    buyers = (
-        table(spark, sf_dir, "customer")
-        .join(places, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select("c_custkey", "r_name")
+    places = table(spark, sf_dir, "nation").join(
+        table(spark, sf_dir, "region"), F.expr("n_regionkey = r_regionkey")
     )
-    orders = table(spark, sf_dir, "orders").join(buyers, F.col("o_custkey") == F.col("c_custkey"))
+    buyers = table(spark, sf_dir, "customer").join(places, F.expr("c_nationkey = n_nationkey"))
+    orders = table(spark, sf_dir, "orders").join(buyers, F.expr("o_custkey = c_custkey"))
     # Both sides of this join grow together, so neither is ever broadcast.
     lines = (
         table(spark, sf_dir, "lineitem")
-        .join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+        .join(orders.hint("merge"), F.expr("l_orderkey = o_orderkey"))
+        .join(table(spark, sf_dir, "part"), F.expr("l_partkey = p_partkey"))
     )
     # Amounts in whole cents; the discount is rounded half up.
-    base = F.rint(F.col("l_extendedprice") * 100).cast("bigint") % 60000
-    lines = lines.withColumn("_base", base)
-    rate = F.rint(F.col("l_discount") * 100).cast("bigint")
-    lines = lines.withColumn("_disc", F.floor((F.col("_base") * rate + 50) / 100))
-    hour = (F.col("l_orderkey") % 24).cast("int")
-    lines = lines.withColumn(
-        "_ts", F.col("o_orderdate") + F.make_dt_interval(F.lit(0), hour, F.lit(0), F.lit(0))
-    )
-    total = (
-        F.when(F.col("l_partkey") % 89 == 0, F.lit(None))
-        .when(F.col("l_partkey") % 83 == 0, F.lit(0))
-        .otherwise(F.col("_base") - F.col("_disc"))
-    )
-    event_id = F.concat(
-        F.lit("EVT-"), F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")
-    )
-    status = (
-        F.when(F.col("o_orderstatus") == "F", " Completed")
-        .when(F.col("o_orderstatus") == "O", "PENDING ")
-        .otherwise("failed")
-    )
-    product = F.struct(
-        _text("SKU-", "p_partkey").alias("id"),
-        F.col("p_name").alias("name"),
-        F.col("p_type").alias("category"),
-        F.col("p_retailprice").alias("unit_price"),
+    lines = lines.selectExpr(
+        "*",
+        "o_orderdate + make_dt_interval(0, cast(l_orderkey % 24 as int), 0, 0) as ts",
+        "cast(rint(l_extendedprice * 100) as bigint) % 60000 as base",
+        "floor((base * cast(rint(l_discount * 100) as bigint) + 50) / 100) as disc",
     )
     return _select(
         lines,
-        {
-            "event_type": F.lit("order"),
-            "event_id": _null_if(F.col("l_orderkey") % 97 == 0, event_id),
-            "timestamp": _iso(F.col("_ts")),
-            "order_id": _null_if(F.col("l_orderkey") % 101 == 0, _text("ORD-", "o_orderkey")),
-            "customer_id": _text("  cust-", "o_custkey", " "),
-            "region": _text(" ", "r_name"),
-            "product": product,
-            "quantity": F.col("l_quantity").cast("int"),
-            "subtotal": F.col("_base") / 100,
-            "discount_pct": F.col("l_discount"),
-            "discount_amount": F.col("_disc") / 100,
-            "total_amount": total / 100,
-            "currency": F.lit(" usd"),
-            "payment_method": _text(" ", "o_orderpriority"),
-            "status": status,
-            **_record(F.col("_ts"), _line_offset(), F.col("l_orderkey") % 3),
-            "source_topic": F.lit("orders"),
-        },
+        event_type="'order'",
+        event_id="if(l_orderkey % 97 = 0, null, concat('EVT-', l_orderkey, '-', l_linenumber))",
+        timestamp=_iso("ts"),
+        order_id="if(l_orderkey % 101 = 0, null, concat('ORD-', o_orderkey))",
+        customer_id="concat('  cust-', o_custkey, ' ')",
+        region="concat(' ', r_name)",
+        product="struct(concat('SKU-', p_partkey) as id, p_name as name, p_type as category, "
+        "p_retailprice as unit_price)",
+        quantity="cast(l_quantity as int)",
+        subtotal="base / 100",
+        discount_pct="l_discount",
+        discount_amount="disc / 100",
+        total_amount="case when l_partkey % 89 = 0 then null when l_partkey % 83 = 0 then 0D "
+        "else (base - disc) / 100 end",
+        currency="' usd'",
+        payment_method="concat(' ', o_orderpriority)",
+        status="case o_orderstatus when 'F' then ' Completed' when 'O' then 'PENDING ' "
+        "else 'failed' end",
+        **_record("ts", _LINE_OFFSET, "l_orderkey % 3"),
+        source_topic="'orders'",
     )
 
 
 def bronze_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One click event per events row that is not an error."""
-    events = table(spark, sf_dir, "events").filter(F.col("event_type") != "error")
-    item = F.get_json_object("props", "$.k")
-    eid, uid = F.col("event_id"), F.col("user_id")
-    repeated = F.when((eid % 11 == 0) & (eid > 0), 1).otherwise(0)
-    seconds = F.floor("value").cast("int")
-    session_id = F.concat(_text("SESS-", uid, "-"), F.date_format("ts", "yyyyMMdd"))
+    events = table(spark, sf_dir, "events").filter("event_type <> 'error'")
+    item = "get_json_object(props, '$.k')"
     return _select(
         events,
-        {
-            "event_type": F.lit("click"),
-            "event_id": _text("CLK-", eid - repeated),
-            "timestamp": _iso(F.col("ts")),
-            "session_id": _null_if(eid % 53 == 0, session_id),
-            "customer_id": _text(" cust-", uid),
-            "region": _text(" zone ", uid % 5, " "),
-            "product_id": _null_if(eid % 59 == 0, _text("SKU-", item)),
-            "product_name": _text("Item ", item),
-            "category": _text(" ", F.col("event_type"), " "),
-            "page": F.concat(F.upper("event_type"), F.lit(" ")),
-            "added_to_cart": F.col("event_type").isin("purchase", "signup"),
-            "time_on_page_sec": F.when(eid % 7 == 0, -seconds).otherwise(seconds),
-            **_record(F.col("ts"), eid, F.lit(0)),
-            "source_topic": F.lit("clicks"),
-        },
+        event_type="'click'",
+        event_id="concat('CLK-', event_id - if(event_id % 11 = 0 and event_id > 0, 1, 0))",
+        timestamp=_iso("ts"),
+        session_id="if(event_id % 53 = 0, null, "
+        "concat('SESS-', user_id, '-', date_format(ts, 'yyyyMMdd')))",
+        customer_id="concat(' cust-', user_id)",
+        region="concat(' zone ', user_id % 5, ' ')",
+        product_id=f"if(event_id % 59 = 0, null, concat('SKU-', {item}))",
+        product_name=f"concat('Item ', {item})",
+        category="concat(' ', event_type, ' ')",
+        page="concat(upper(event_type), ' ')",
+        added_to_cart="event_type in ('purchase', 'signup')",
+        time_on_page_sec="cast(floor(value) as int) * if(event_id % 7 = 0, -1, 1)",
+        **_record("ts", "event_id", "0"),
+        source_topic="'clicks'",
     )
 
 
 def bronze_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One stock update per lineitem row."""
     lines = spread(table(spark, sf_dir, "lineitem"), "l_orderkey").join(
-        table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")
-    )
-    stock = F.col("l_quantity").cast("int") * 10 - 10
-    event_id = F.concat(
-        F.lit("INV-"), F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")
-    )
-    action = (
-        F.when(F.col("l_returnflag") == "R", " Return")
-        .when(F.col("l_returnflag") == "A", "Adjustment")
-        .otherwise("SALE_DEDUCTION")
+        table(spark, sf_dir, "part"), F.expr("l_partkey = p_partkey")
     )
+    stock = "cast(l_quantity as int) * 10 - 10"
     return _select(
         lines,
-        {
-            "event_type": F.lit("inventory"),
-            "event_id": event_id,
-            "timestamp": _iso(F.col("l_shipdate")),
-            "product_id": _null_if(F.col("l_orderkey") % 97 == 0, _text(" sku-", "l_partkey")),
-            "product_name": F.col("p_name"),
-            "warehouse_id": _text("wh-", F.col("l_suppkey") % 10 + 1, " "),
-            "stock_level": F.when(F.col("l_partkey") % 89 == 0, -1)
-            .when(F.col("l_partkey") % 83 == 0, None)
-            .otherwise(stock),
-            "reorder_threshold": F.lit(50),
-            "low_stock_alert": stock < 50,
-            "action": action,
-            **_record(F.col("l_shipdate"), _line_offset(), F.col("l_orderkey") % 3),
-            "source_topic": F.lit("inventory"),
-        },
+        event_type="'inventory'",
+        event_id="concat('INV-', l_orderkey, '-', l_linenumber)",
+        timestamp=_iso("l_shipdate"),
+        product_id="if(l_orderkey % 97 = 0, null, concat(' sku-', l_partkey))",
+        product_name="p_name",
+        warehouse_id="concat('wh-', l_suppkey % 10 + 1, ' ')",
+        stock_level=f"case when l_partkey % 89 = 0 then -1 when l_partkey % 83 = 0 then null "
+        f"else {stock} end",
+        reorder_threshold="50",
+        low_stock_alert=f"{stock} < 50",
+        action="case l_returnflag when 'R' then ' Return' when 'A' then 'Adjustment' "
+        "else 'SALE_DEDUCTION' end",
+        **_record("l_shipdate", _LINE_OFFSET, "l_orderkey % 3"),
+        source_topic="'inventory'",
     )
 
 
@@ -239,38 +189,35 @@ def priced_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     rate of its own.
     """
     lines = spread(table(spark, sf_dir, "lineitem"), "l_orderkey").join(
-        table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")
+        table(spark, sf_dir, "part"), F.expr("l_partkey = p_partkey")
     )
-    price = F.rint(F.col("p_retailprice") * 100).cast("bigint")
-    rate = F.rint(F.col("l_discount") * 100).cast("bigint")
-    lines = lines.select(
-        F.concat_ws("-", F.lit("EVT"), "l_orderkey", "l_linenumber").alias("event_id"),
-        _line_offset().alias("kafka_offset"),
-        F.struct(F.col("p_retailprice").alias("unit_price")).alias("product"),
-        F.col("l_quantity").cast("int").alias("quantity"),
-        F.col("l_discount").alias("discount_pct"),
-        rate.alias("_rate"),
-        (price * F.col("l_quantity").cast("int")).alias("_sub"),
+    lines = lines.selectExpr(
+        "*",
+        f"{_LINE_OFFSET} as kafka_offset",
+        "cast(rint(p_retailprice * 100) as bigint) * cast(l_quantity as int) as sub",
+        "floor((sub * cast(rint(l_discount * 100) as bigint) + 50) / 100) as disc",
+    )
+    return _select(
+        lines,
+        event_id="concat('EVT-', l_orderkey, '-', l_linenumber)",
+        kafka_offset="kafka_offset",
+        product="struct(p_retailprice as unit_price)",
+        quantity="cast(l_quantity as int)",
+        discount_pct="l_discount",
+        subtotal="if(kafka_offset % 13 = 0, sub + 1, sub) / 100",
+        discount_amount="if(kafka_offset % 17 = 0, null, disc) / 100",
+        total_amount="if(kafka_offset % 19 = 0, 100, sub - disc) / 100",
     )
-    lines = lines.withColumn("_disc", F.floor((F.col("_sub") * F.col("_rate") + 50) / 100))
-    offset, sub, disc = (F.col(c) for c in ("kafka_offset", "_sub", "_disc"))
-    amounts = {
-        "subtotal": F.when(offset % 13 == 0, sub + 1).otherwise(sub),
-        "discount_amount": F.when(offset % 17 != 0, disc),
-        "total_amount": F.when(offset % 19 == 0, 100).otherwise(sub - disc),
-    }
-    stored = lines.withColumns({name: cents / 100 for name, cents in amounts.items()})
-    return stored.drop("_sub", "_disc", "_rate")
 
 
 def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One request per events row."""
-    failed = F.col("event_type") == "error"
-    return table(spark, sf_dir, "events").select(
-        F.col("ts").cast("timestamp").alias("ts"),
-        F.lit("GET").alias("method"),
-        F.col("event_type").alias("endpoint"),
-        F.when(failed, 500).otherwise(200).alias("status"),
-        F.col("value").alias("duration_sec"),
-        F.when(failed, F.lit("query")).alias("operation"),
+    return _select(
+        table(spark, sf_dir, "events"),
+        ts="cast(ts as timestamp)",
+        method="'GET'",
+        endpoint="event_type",
+        status="if(event_type = 'error', 500, 200)",
+        duration_sec="value",
+        operation="if(event_type = 'error', 'query', null)",
     )

@@ -21,6 +21,9 @@ def pin(spark: SparkSession) -> SparkSession:
 def build(app_name: str, master: str | None = None, **options: str) -> SparkSession:
     """A session with adaptive execution and skew-join splitting.
 
+    Recording a Python call site for every expression costs several calls to the
+    JVM each, which adds up in plans of this size, so that is off.
+
     Writers of a partitioned table keep a file open per partition value, so rows
     need no sort by that value first (beyond eight values Spark sorts after all).
     """
@@ -30,6 +33,7 @@ def build(app_name: str, master: str | None = None, **options: str) -> SparkSess
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.maxConcurrentOutputFileWriters", "8")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
     )
     if master:
