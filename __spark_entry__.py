@@ -285,6 +285,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.oracle_sql(
-        E.BUCKETS, AS_OF.strftime("%Y-%m-%d"), DAY_BEFORE.strftime("%Y-%m-%d")
-    )
+    return oracles.oracle_sql(E.BUCKETS, AS_OF.strftime("%Y-%m-%d"))

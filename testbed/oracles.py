@@ -273,7 +273,7 @@ def _rules_broken() -> str:
     )
 
 
-def statements(buckets: tuple, as_of: str, first_day: str) -> dict[str, str]:
+def statements(buckets: tuple, as_of: str) -> dict[str, str]:
     """SQL by query name, without the common table expressions."""
     totals = "total_revenue, total_orders, avg_order_value, total_clicks, kpi_type"
     day = f"concat('summary_', replace('{as_of}', '-', '')) id, '{as_of}' computed_date"
@@ -289,7 +289,7 @@ def statements(buckets: tuple, as_of: str, first_day: str) -> dict[str, str]:
             for n in ("orders", "clicks", "inventory")
         ),
         "order_records": "select trim(customer_id) record_key, count(*) records, "
-        "sum(quantity) units from raw_orders group by 1",
+        "cast(sum(quantity) as bigint) units from raw_orders group by 1",
         "hourly_revenue": f"select {_HOURLY} from hourly",
         "top_products": f"select {_LEADER} from leaders",
         "conversion_funnel": f"select {_FUNNEL} from funnel",
@@ -315,7 +315,7 @@ def statements(buckets: tuple, as_of: str, first_day: str) -> dict[str, str]:
         "order by id limit 100",
         "kpi_item": f"select {_FUNNEL}, 'conversion' id from funnel",
         "revenue_envelope": "select 'ok' status, count(*) count, 'ASIA' region_filter, "
-        "string_agg(id, ',' order by hour_bucket desc) ids, sum(order_count) orders from "
+        "string_agg(id, ',' order by hour_bucket desc) ids, cast(sum(order_count) as bigint) orders from "
         "(select * from hourly_docs where region = 'ASIA' order by hour_bucket desc limit 24)",
         "kpi_upsert": f"select {_SHELF}, id from shelf_docs where id not in "
         "(select id from last_shelf_docs where low_stock_alert) "
@@ -361,9 +361,9 @@ def _needed(body: str) -> list[str]:
     return [name for name in _CTES if name in names]
 
 
-def oracle_sql(buckets: tuple, as_of: str, first_day: str) -> dict[str, str]:
+def oracle_sql(buckets: tuple, as_of: str) -> dict[str, str]:
     result = {}
-    for name, body in statements(buckets, as_of, first_day).items():
+    for name, body in statements(buckets, as_of).items():
         ctes = ",\n".join(f"{n} as ({_CTES[n]})" for n in _needed(body))
         result[name] = f"with {ctes}\n{body}" if ctes else body
     return result

@@ -55,11 +55,12 @@ def test_invalid_inventory_is_quarantined(spark, change):
     assert values(rejected, "quarantine_reason") == ["invalid_inventory_event"]
 
 
-def test_empty_and_all_valid_input(spark):
+@pytest.mark.parametrize("strict", [False, True])
+def test_empty_and_all_valid_input(spark, strict):
     for name, clean in CLEANERS.items():
-        silver, rejected = clean(bronze(spark, name, {}).limit(0))
+        silver, rejected = clean(bronze(spark, name, {}).limit(0), strict=strict)
         assert (silver.count(), rejected.count()) == (0, 0)
-        silver, rejected = clean(bronze(spark, name, {}, {}))
+        silver, rejected = clean(bronze(spark, name, {}, {}), strict=strict)
         assert (silver.count(), rejected.count()) == (2, 0)
 
 

@@ -2,11 +2,14 @@ import json
 import random
 from datetime import date, datetime
 
+from factories import bronze
 from pyspark.sql import functions as F
 from pyspark.sql.types import Row
 
 from tillstream.operators.documents import to_documents, upsert_kpis, with_doc_id
-from tillstream.operators.ingest import to_records
+from tillstream.operators.ingest import parse_events, to_records
+from tillstream.schemas import ORDERS
+from tillstream.sources.topics import write_topic
 
 SHELVES = "product_id string, product_name string, warehouse_id string, current_stock int"
 
@@ -105,3 +108,19 @@ def test_records_are_keyed_by_the_first_key_present(spark):
     keys, values = zip(*[tuple(r) for r in records.collect()])
     assert keys == ("c1", "p2", "p3", None)
     assert json.loads(values[2]) == {"customer_id": None, "product_id": "p3", "n": 3}
+
+
+def test_published_records_read_back_as_events(spark, tmp_path):
+    events = bronze(spark, "orders", {}, {"total_amount": 1.5}).select(*ORDERS.schema.names)
+    path = str(tmp_path / "orders")
+    for _ in range(2):
+        write_topic(to_records(events, ORDERS.key_columns), "orders", "parquet", path)
+    stored = spark.read.parquet(path)
+    assert stored.select(F.col("key").cast("string"), "topic").distinct().collect() == [
+        Row(key="CUST-1", topic="orders")
+    ]
+    source = {"partition": F.lit(0), "offset": F.lit(1), "timestamp": F.current_timestamp()}
+    decoded = parse_events(stored.withColumns(source), ORDERS).select(*events.columns)
+    assert decoded.count() == 4
+    assert decoded.distinct().exceptAll(events).count() == 0
+    assert events.exceptAll(decoded).count() == 0

@@ -1,8 +1,9 @@
-"""Topic streams."""
+"""Topic streams, in and out."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillstream.schemas import TOPIC_SCHEMA
 
@@ -26,3 +27,19 @@ def read_topic(
         reader = spark.readStream.format("kafka").options(**KAFKA_DEFAULTS)
         return reader.option("subscribe", topic).options(**options).load()
     return spark.readStream.format(fmt).schema(TOPIC_SCHEMA).options(**options).load(path)
+
+
+def write_topic(
+    records: DataFrame, topic: str, fmt: str = "kafka", path: str | None = None, **options: str
+) -> None:
+    """Publish keyed records (see `to_records`) to a topic, or append them to files.
+
+    A task that is run again publishes its records again; the duplicate removal on
+    the way to silver takes care of them.
+    """
+    addressed = records.withColumn("topic", F.lit(topic))
+    writer = addressed.write.format(fmt).options(**options)
+    if fmt == "kafka":
+        writer.save()
+    else:
+        writer.mode("append").save(path)
