@@ -13,6 +13,8 @@ def spark(tmp_path_factory):
     options = {
         "spark.sql.shuffle.partitions": "4",
         "spark.driver.memory": "4g",
+        # Tests run each plan once: compile quickly rather than well.
+        "spark.driver.extraJavaOptions": "-XX:TieredStopAtLevel=1",
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
     }

@@ -21,6 +21,9 @@ def pin(spark: SparkSession) -> SparkSession:
 def build(app_name: str, master: str | None = None, **options: str) -> SparkSession:
     """A session with adaptive execution and skew-join splitting.
 
+    All generated code of the engine's plans fits in the code cache, so a plan that
+    runs again is not compiled again.
+
     Recording a Python call site for every expression costs several calls to the
     JVM each, which adds up in plans of this size, so that is off.
 
@@ -33,6 +36,7 @@ def build(app_name: str, master: str | None = None, **options: str) -> SparkSess
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.maxConcurrentOutputFileWriters", "8")
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
     )
