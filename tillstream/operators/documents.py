@@ -68,7 +68,7 @@ def upsert_kpis(
     """
     rest = [c for c in updates.columns if c not in keys and c not in order]
     newest = dedup_latest(updates, keys, [*order, *rest])
-    replaced = newest.select(*[F.col(k).alias(f"_{k}") for k in keys])
+    replaced = updates.select(*[F.col(k).alias(f"_{k}") for k in keys])
     same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
     untouched = existing.join(replaced, same, "left_anti")
     return untouched.unionByName(newest, allowMissingColumns=True)
