@@ -56,8 +56,11 @@ def test_hourly_revenue(spark):
 def test_money_is_added_exactly(spark):
     rows = order_rows(spark, 1000).withColumn("total_amount", F.lit(0.1))
     assert K.hourly_revenue(rows).first().revenue == 100.0
-    rows = rows.withColumn("total_amount", F.when(F.col("event_id") == "7", F.lit(float("nan"))))
-    assert K.hourly_revenue(rows).first().revenue is None
+    some = F.when(F.col("event_id") == "7", F.lit(float("nan"))).otherwise(F.lit(0.1))
+    row = K.hourly_revenue(rows.withColumn("total_amount", some)).first()
+    assert (row.revenue, row.order_count, row.avg_order_value) == (99.9, 1000, 0.1)
+    row = K.hourly_revenue(rows.withColumn("total_amount", F.lit(float("nan")))).first()
+    assert (row.revenue, row.order_count, row.avg_order_value) == (None, 1000, None)
 
 
 def test_top_products_breaks_ties_by_key(spark):
