@@ -21,7 +21,9 @@ def arguments() -> argparse.ArgumentParser:
     parser.add_argument("--format", default=DEFAULT_FORMAT, help="table format (parquet, delta)")
     parser.add_argument("--broker", help="bronze: Kafka bootstrap servers")
     parser.add_argument("--topic-prefix", default="", help="bronze: prefix of the topic names")
-    parser.add_argument("--checkpoints", help="bronze: folder of the stream checkpoints")
+    parser.add_argument(
+        "--checkpoints", help="bronze: shared folder for checkpoints (else spark.checkpoint.dir)"
+    )
     parser.add_argument("--strict", action="store_true", help="silver: refuse blanks and NaN too")
     parser.add_argument("--latest-stock", action="store_true", help="gold: last stock, not highest")
     parser.add_argument("--export", help="gold: folder for a JSON copy of the KPIs")
@@ -32,15 +34,18 @@ def main() -> None:
     logging.basicConfig(level=logging.INFO)
     parser = arguments()
     args = parser.parse_args()
-    if args.job == "bronze" and not (args.broker and args.checkpoints):
-        parser.error("bronze needs --broker and --checkpoints")
+    if args.job == "bronze" and not args.broker:
+        parser.error("bronze needs --broker")
     spark = session.build(f"tillstream-{args.job}")
     if args.job == "bronze":
+        checkpoints = args.checkpoints or spark.conf.get("spark.checkpoint.dir", None)
+        if not checkpoints:
+            parser.error("bronze needs --checkpoints where spark.checkpoint.dir is not set")
         options = {"kafka.bootstrap.servers": args.broker}
         queries = start_bronze(
             spark,
             args.base,
-            args.checkpoints,
+            checkpoints,
             args.topic_prefix,
             source_options=options,
             fmt=args.format,
