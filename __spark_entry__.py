@@ -7,11 +7,13 @@ columns are left out: they differ from run to run.
 
 from __future__ import annotations
 
+import importlib
 import sys
 from collections.abc import Callable
 from datetime import datetime, timezone
 from functools import reduce
 from pathlib import Path
+from types import ModuleType
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
@@ -29,6 +31,21 @@ from tillstream.operators.cleaning import CLEANERS  # noqa: E402
 from tillstream.operators.validation import split_valid  # noqa: E402
 from tillstream.schemas import EVENT_TYPES, ORDERS  # noqa: E402
 
+
+def _if_present(name: str, owner: str) -> ModuleType | None:
+    """The module, or None where it or its package ``owner`` has been taken out."""
+    try:
+        return importlib.import_module(name)
+    except ModuleNotFoundError as missing:
+        if missing.name not in (name, owner):
+            raise
+        return None
+
+
+# The text operators are optional: the engine works without them.
+TEXT = _if_present("tillstream.llm.queries", "tillstream.llm")
+corpus_pipeline = _if_present("corpus_pipeline", "tillstream.llm")
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 AS_OF = datetime(2024, 1, 31, tzinfo=timezone.utc)
 DAY_BEFORE = datetime(2024, 1, 30, tzinfo=timezone.utc)
@@ -280,9 +297,24 @@ def entry(spark: SparkSession) -> DataFrame:
     return queries()["hourly_revenue"](spark, SMOKE_DIR)
 
 
-def queries() -> dict[str, Query]:
+def core_queries() -> dict[str, Query]:
+    """The engine's own queries; each has SQL."""
     return {name: _registered(query) for name, query in _QUERIES.items()}
 
 
+def queries() -> dict[str, Query]:
+    found = core_queries()
+    if TEXT is not None:
+        found |= TEXT.QUERIES
+    if corpus_pipeline is not None:
+        found["pipeline"] = corpus_pipeline.run
+    return found
+
+
 def oracle_sql() -> dict[str, str]:
-    return oracles.oracle_sql(E.BUCKETS, AS_OF.strftime("%Y-%m-%d"))
+    found = oracles.oracle_sql(E.BUCKETS, AS_OF.strftime("%Y-%m-%d"))
+    if TEXT is not None:
+        found |= TEXT.SQL
+    if corpus_pipeline is not None and corpus_pipeline.ORACLE_SQL:
+        found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
