@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm import lines, mixture
+from tillstream.llm import contamination, lines, mixture, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,21 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of documents that lie in windows of benchmark items."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = contamination.find_contamination(docs, _table(spark, sf_dir, "benchmark"))
+    items = F.sha2(F.concat_ws(",", "items"), 256)
+    return found.select(
+        F.col("_id").alias("doc_id"),
+        "n_words",
+        "n_hit",
+        "n_items",
+        items.alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words a mixture by source weight takes of each document."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -33,12 +48,53 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash of every document and the near-duplicates it belongs with."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.near_duplicates(docs).withColumnRenamed("_id", "doc_id")
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_decontaminate": op2_decontaminate,
     "op3_mix_sources": op3_mix_sources,
+    "op4_simhash": op4_simhash,
 }
 
 SQL: dict[str, str] = {
+    "op2_decontaminate": r"""
+        with d as (
+            select doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+            from documents
+        ), b as (
+            select item_id, regexp_extract_all(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+            from benchmark
+        ), items as (
+            select distinct item_id, n, array_to_string(w[i:i + n - 1], ' ') as win
+            from (select item_id, w, least(13, len(w)) as n,
+                unnest(range(1, len(w) - least(13, len(w)) + 2)) as i from b where len(w) > 0)
+        ), wins as (
+            select doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') as win
+            from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as i
+                from d, (select distinct n from items) where len(w) >= n)
+        ), hits as (
+            select doc_id, i, w.n, item_id from wins w join items using (win)
+        ), words as (
+            select doc_id, count(distinct p) as n_hit
+            from (select doc_id, unnest(range(i, i + n)) as p from hits) group by doc_id
+        ), found as (
+            select doc_id, count(distinct item_id) as n_items,
+                array_to_string(list_sort(list(distinct cast(item_id as varchar))), ',') as ids
+            from hits group by doc_id
+        )
+        select d.doc_id, cast(len(d.w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit,
+            coalesce(n_items, 0) as n_items, sha256(coalesce(ids, '')) as items_sha256,
+            coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(d.w) as contaminated
+        from d left join words on d.doc_id = words.doc_id left join found on d.doc_id = found.doc_id""",
     "op1_line_dedup": r"""
         with lines as (
             select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
