@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm import contamination, lines, mixture, simhash
+from tillstream.llm import contamination, lines, mixture, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,11 +54,19 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(docs).withColumnRenamed("_id", "doc_id")
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages archived and read back."""
+    return warc.archive_pages(_table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_decontaminate": op2_decontaminate,
     "op3_mix_sources": op3_mix_sources,
     "op4_simhash": op4_simhash,
+    "op5_warc": op5_warc,
 }
 
 SQL: dict[str, str] = {
@@ -116,4 +124,17 @@ SQL: dict[str, str] = {
             sha256(coalesce(string_agg(line, chr(10) order by place) filter (not dropped), ''))
                 as kept_sha256
         from marked group by doc_id""",
+    "op5_warc": r"""
+        with p as (
+            select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes,
+                sha256(coalesce(html, '')) as payload_digest
+            from pages
+        ), f as (
+            select payload_digest, min(page_id) as first from p
+            where payload_bytes >= 100 group by payload_digest
+        )
+        select page_id, payload_bytes, p.payload_digest,
+            case when page_id <> first then 'revisit' else 'response' end as record_type,
+            case when page_id <> first then first end as refers_to
+        from p left join f on p.payload_digest = f.payload_digest""",
 }
