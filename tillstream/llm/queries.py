@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm import contamination, lines, mixture, simhash, warc
+from tillstream.llm import contamination, langid, lines, mixture, pii, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,12 +61,48 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    kinds = F.array(*[F.lit(k) for k in pii.KINDS])
+
+    def listed(spans: Column) -> Column:
+        rows = F.transform(
+            spans,
+            lambda s: F.struct(
+                s.start.alias("start"),
+                F.array_position(kinds, s.kind).alias("kind"),
+                F.concat_ws(":", s.kind, s.start, s.end).alias("text"),
+            ),
+        )
+        return F.array_join(F.transform(F.array_sort(rows), lambda r: r.text), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s.kind == kind)).cast("bigint")
+
+    return pii.find_pii(docs).select(
+        F.col("_id").alias("doc_id"),
+        *[count(kind).alias(f"n_{kind}") for kind in pii.KINDS],
+        F.sha2(listed(F.col("base")), 256).alias("base_sha256"),
+        listed(F.concat("base", "added")).alias("spans"),
+    )
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those not held out."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = langid.identify_languages(docs)
+    return found.select(F.col("_id").alias("doc_id"), "held_out", "lang_pred", "score")
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_decontaminate": op2_decontaminate,
     "op3_mix_sources": op3_mix_sources,
     "op4_simhash": op4_simhash,
     "op5_warc": op5_warc,
+    "op6_pii": op6_pii,
+    "op7_language_id": op7_language_id,
 }
 
 SQL: dict[str, str] = {
