@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm import contamination, langid, lines, mixture, pii, simhash, warc
+from tillstream.llm import (
+    contamination,
+    langid,
+    lines,
+    mixture,
+    pii,
+    quality,
+    simhash,
+    urls,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -95,6 +105,28 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("_id").alias("doc_id"), "held_out", "lang_pred", "score")
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality features of every document and whether it stays."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = quality.judge_quality(docs, _table(spark, sf_dir, "labels"))
+    return found.select(
+        F.col("_id").alias("doc_id"),
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+        F.concat_ws(",", "failed_rules").alias("failed_rules"),
+    )
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and verdict for the URL of every page."""
+    return urls.judge_urls(_table(spark, sf_dir, "pages")).withColumnRenamed("_id", "page_id")
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_decontaminate": op2_decontaminate,
@@ -103,6 +135,8 @@ QUERIES: dict[str, Query] = {
     "op5_warc": op5_warc,
     "op6_pii": op6_pii,
     "op7_language_id": op7_language_id,
+    "op8_quality": op8_quality,
+    "op9_url_filter": op9_url_filter,
 }
 
 SQL: dict[str, str] = {
