@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tillstream.llm import (
     contamination,
     langid,
+    licenses,
     lines,
     mixture,
     pii,
@@ -127,6 +128,14 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(_table(spark, sf_dir, "pages")).withColumnRenamed("_id", "page_id")
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in every document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.scan_licenses(docs).select(
+        F.col("_id").alias("doc_id"), "license", "containment", "first_word"
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_decontaminate": op2_decontaminate,
@@ -137,9 +146,48 @@ QUERIES: dict[str, Query] = {
     "op7_language_id": op7_language_id,
     "op8_quality": op8_quality,
     "op9_url_filter": op9_url_filter,
+    "op10_license_scan": op10_license_scan,
 }
 
+def _license_sql() -> str:
+    """Containment of every notice in every window of its scale, without bands."""
+    rows = []
+    for name, text in licenses.NOTICES.items():
+        scale = licenses.scales(licenses.NOTICES)[licenses.scale_words(len(licenses.notice_words(text)))]
+        words = ", ".join(f"'{w}'" for w in licenses.notice_words(text))
+        rows.append(f"('{name}', {scale.stride}, {scale.window}, [{words}])")
+    return r"""
+        with n(license, stride, span, w) as (values %s),
+        ns as (
+            select distinct license, stride, span, array_to_string(w[i:i + 4], ' ') as s
+            from (select *, unnest(range(1, len(w) - 3)) as i from n)
+        ), nt as (select license, stride, span, count(*) as size from ns group by all),
+        d as (
+            select doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+            from documents
+        ), ds as (
+            select doc_id, i - 1 as p, array_to_string(w[i:i + 4], ' ') as s
+            from (select doc_id, w, unnest(range(1, len(w) - 3)) as i from d)
+        ), hits as (
+            select doc_id, license, stride, span, p, s from ds join ns using (s)
+        ), held as (
+            select doc_id, license, stride * k as start, s
+            from (select *, unnest(range(
+                cast(greatest(0, ceil((p - (span - 5)) / stride)) as bigint),
+                cast(floor(p / stride) as bigint) + 1)) as k from hits)
+        ), counted as (
+            select doc_id, license, start, count(distinct s) as found from held group by all
+        )
+        select doc_id, license, max(found / size) as containment,
+            cast(min(start) as bigint) as first_word
+        from counted join nt using (license) where found / size >= 0.8
+        group by doc_id, license""" % ", ".join(rows)
+
+
 SQL: dict[str, str] = {
+    "op10_license_scan": _license_sql(),
     "op2_decontaminate": r"""
         with d as (
             select doc_id, regexp_extract_all(translate(coalesce(text, ''),
