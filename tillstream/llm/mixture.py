@@ -69,40 +69,48 @@ def _chance(seed: int, level: int) -> Column:
 
 
 def _pair_up(items: Column) -> Column:
-    """Fold a block: each member meets the one still open, mass moves until one is whole.
+    """Fold a block: each member meets the one still open, words move until one is whole.
 
-    The one still open keeps what mass remains. Returns its place, its mass and the
-    places of those that became one; all others became zero.
+    Expected words move from one to the other until either's fraction is 0 or 1, in the
+    direction and with the chance that leave both expectations as they are. What one
+    loses in words the other gains, so the block's expected words never change. Returns
+    the place, fraction and size of the one that stays open, and the places of those
+    that became one; all others became zero.
     """
     start = F.struct(
-        F.lit(0.0).alias("mass"),
+        F.lit(0.0).alias("share"),
+        F.lit(1.0).alias("size"),
         F.lit(-1).alias("open"),
         F.array().cast("array<int>").alias("won"),
     )
 
     def meet(held: Column, new: Column) -> Column:
-        both = held.mass + new.share
-        held_wins = F.when(
-            both >= 1, new.chance * (2 - both) < 1 - new.share
-        ).otherwise(new.chance * both < held.mass)
-        return (
-            F.when(
-                both >= 1,
-                F.struct(
-                    (both - 1).alias("mass"),
-                    F.when(held_wins, new.place).otherwise(held.open).alias("open"),
-                    F.concat(
-                        held.won, F.array(F.when(held_wins, held.open).otherwise(new.place))
-                    ).alias("won"),
-                ),
-            )
-            .otherwise(
-                F.struct(
-                    both.alias("mass"),
-                    F.when(held_wins, held.open).otherwise(new.place).alias("open"),
-                    held.won.alias("won"),
-                )
-            )
+        # Words that can move to the held one, and words that can move away from it.
+        to_held = F.least(held["size"] * (1 - held.share), new["size"] * new.share)
+        to_new = F.least(held["size"] * held.share, new["size"] * (1 - new.share))
+        gains = new.chance * (to_held + to_new) < to_new
+        held_share = F.when(gains, held.share + to_held / held["size"]).otherwise(
+            held.share - to_new / held["size"]
+        )
+        new_share = F.when(gains, new.share - to_held / new["size"]).otherwise(
+            new.share + to_new / new["size"]
+        )
+        held_whole = F.when(
+            gains, held["size"] * (1 - held.share) <= new["size"] * new.share
+        ).otherwise(held["size"] * held.share <= new["size"] * (1 - new.share))
+        # A whole one was won if it gained: the held one with ``gains``, else the new one.
+        winner = F.when(held_whole & gains, held.open).when(~held_whole & ~gains, new.place)
+
+        def bounded(share: Column) -> Column:
+            return F.least(F.greatest(share, F.lit(0.0)), F.lit(1.0))
+
+        return F.struct(
+            F.when(held_whole, bounded(new_share)).otherwise(bounded(held_share)).alias("share"),
+            F.when(held_whole, new["size"]).otherwise(held["size"]).alias("size"),
+            F.when(held_whole, new.place).otherwise(held.open).alias("open"),
+            F.when(winner.isNotNull(), F.concat(held.won, F.array(winner)))
+            .otherwise(held.won)
+            .alias("won"),
         )
 
     return F.aggregate(items, start, meet)
@@ -111,8 +119,7 @@ def _pair_up(items: Column) -> Column:
 def _round(open_rows: DataFrame, groups: list[str], seed: int, level: int) -> DataFrame:
     """One level of the tree: per block, all but one document are decided.
 
-    Blocks are in order of size, so mass moves between documents of similar size and
-    the words taken stay near their expectation.
+    Blocks are in order of size, so words move between documents of similar size.
     """
     member = F.struct(
         (-F.col("_size")).alias("order"),
@@ -123,7 +130,13 @@ def _round(open_rows: DataFrame, groups: list[str], seed: int, level: int) -> Da
     )
     blocks = open_rows.groupBy(*groups).agg(F.array_sort(F.collect_list(member)).alias("_items"))
     numbered = F.transform(
-        "_items", lambda x, i: F.struct(i.alias("place"), x.share.alias("share"), x.chance.alias("chance"))
+        "_items",
+        lambda x, i: F.struct(
+            i.alias("place"),
+            x.share.alias("share"),
+            (-x.order).cast("double").alias("size"),
+            x.chance.alias("chance"),
+        ),
     )
     folded = blocks.select("_source", "_items", _pair_up(numbered).alias("_end"))
     return folded.select("_source", "_end", F.posexplode("_items").alias("_place", "_item")).select(
@@ -131,7 +144,7 @@ def _round(open_rows: DataFrame, groups: list[str], seed: int, level: int) -> Da
         F.col("_item.id").alias("_id"),
         F.col("_item.text_hash").alias("_text_hash"),
         (-F.col("_item.order")).alias("_size"),
-        F.when(F.col("_place") == F.col("_end.open"), F.col("_end.mass"))
+        F.when(F.col("_place") == F.col("_end.open"), F.col("_end.share"))
         .otherwise(F.array_contains("_end.won", F.col("_place")).cast("double"))
         .alias("_share"),
         (F.col("_place") == F.col("_end.open")).alias("_open"),
@@ -152,10 +165,11 @@ def mix_sources(
     Sources in code point order, null last, weigh ``weights`` in turn and share the size
     of all documents, in words between blanks; a target stops at ``most`` times its
     source's size. A document's expected copies are its source's target by its source's
-    size. The whole part is taken for certain. Fractions are paired: mass moves at random
-    between two documents until one is whole, in blocks of bounded size, and what stays
-    open goes up a tree of blocks, so each source's copies add up as they should.
-    Chances come from hashes, so a rerun takes the same.
+    size. The whole part is taken for certain. Fractions are paired: expected words move
+    at random between two documents until one is whole, in blocks of bounded size, and
+    what stays open goes up a tree of blocks. The one left at its root is rounded, so the
+    words taken of a source differ from its target by half a document at most. Chances
+    come from hashes, so a rerun takes the same.
 
     Returns a row per row of ``docs``: ``_id``, ``_source``, ``_text_hash`` (64-bit hash
     of the text), ``size``, ``source_size``, ``target``, ``copies`` and ``taken``. Rows
@@ -212,11 +226,11 @@ def mix_sources(
     while most_left:
         done = cut(_round(level_rows, groups, seed, level))
         still = done.filter("_open").select("_source", "_id", "_text_hash", "_size", "_share")
-        decided.append(done.filter("not _open"))
+        decided.append(done.filter("not _open").drop("_open"))
         level += 1
         if most_left == 1:
-            wins = (_chance(seed, level) < F.col("_share")).cast("double")
-            decided.append(still.withColumns({"_share": wins, "_open": F.lit(False)}))
+            wins = (F.col("_share") >= 0.5).cast("double")
+            decided.append(still.withColumn("_share", wins))
             break
         most_left = -(-most_left // BLOCK)
         spread = F.pmod(F.xxhash64(F.lit(seed + level), "_id", "_text_hash"), F.lit(most_left))
@@ -243,3 +257,32 @@ def mix_sources(
         copies.cast("bigint").alias("copies"),
         (copies * F.col("_size")).cast("bigint").alias("taken"),
     )
+
+
+def take_mixture(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    **options: int,
+) -> DataFrame:
+    """The mixture itself: each document as often as it is taken.
+
+    All columns of ``docs`` come back, with ``copy`` (from 1), ``size``, ``source_size``
+    and ``target`` behind them; columns of those names are replaced.
+    """
+    added = ("copy", "size", "source_size", "target")
+    decided = mix_sources(docs, id_col, text_col, source_col, **options).filter("copies > 0")
+    # Equal rows are taken equally often.
+    decided = decided.dropDuplicates(["_id", "_source", "_text_hash"])
+    packed = docs.select(
+        F.col(f"`{id_col}`").alias("_id"),
+        F.col(f"`{source_col}`").alias("_source"),
+        F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("_text_hash"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in added]).alias("_row"),
+    )
+    taken = packed.join(decided, null_safe(packed, decided, "_id", "_source", "_text_hash"))
+    copies = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
+    return taken.select(
+        "_row", copies.alias("copy"), "size", "source_size", "target"
+    ).select("_row.*", *added)
