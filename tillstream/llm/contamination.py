@@ -9,7 +9,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstream.llm.common import WordHasher, gram_hashes, mix, utf8_pieces, word_spans
+from tillstream.llm.common import (
+    WordHasher,
+    gram_hashes,
+    mix,
+    null_safe,
+    utf8_pieces,
+    word_spans,
+)
 
 WINDOW = 13  # words of a window
 GRAM = 5  # words of a hashed gram; a window holds WINDOW - GRAM + 1 of them
@@ -234,7 +241,7 @@ def find_contamination(
             F.col(f"`{text_col}`").alias("_text"),
             # Fixed by the scan's splits, so a recomputed task numbers its rows alike.
             F.monotonically_increasing_id().alias("_row"),
-            F.xxhash64(F.coalesce(f"`{text_col}`", F.lit(""))).alias("_text_hash"),
+            F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("_text_hash"),
             F.col(f"`{id_col}`").alias("_id"),
         )
         .mapInArrow(_document_windows(packed, lengths, window, gram, bits), f"{schema}, _id {ids}")
@@ -284,3 +291,22 @@ def find_contamination(
         F.size("items").cast("bigint").alias("n_items"),
         ((F.col("n_hit") > 0) & (F.col("n_hit") * hits_in >= F.col("n_words"))).alias("contaminated"),
     )
+
+
+def drop_contaminated(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    **options: int | str,
+) -> DataFrame:
+    """The documents that are not contaminated, with all their columns."""
+    found = find_contamination(docs, benchmark, id_col, text_col, **options)
+    goes = found.filter("contaminated").select("_id", "_text_hash").distinct()
+    packed = docs.select(
+        F.col(f"`{id_col}`").alias("_id"),
+        F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("_text_hash"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+    )
+    kept = packed.join(goes, null_safe(packed, goes, "_id", "_text_hash"), "left_anti")
+    return kept.select("_row.*")

@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillstream.llm.common import utf8_pieces
 
@@ -226,15 +227,17 @@ def identify_languages(
     evenly by language, for the ``most_languages`` most frequent languages.
 
     Returns a row per row of ``docs``: ``_id``, ``_text_hash``, ``held_out``,
-    ``lang_pred``, ``score`` (probability, 0 to 1). A null text or one without a letter
+    ``lang_pred`` and ``score`` (probability, 0 to 1). A null text or one without a letter
     is ``und`` with score 0, as is all where there is nothing to learn from. Texts are
-    used whole; language and id are no input of a prediction.
+    used whole; language and id are no input of a prediction. All columns of ``docs``
+    come along as the struct ``_row``.
     """
     rows = docs.select(
         F.col(f"`{id_col}`").alias("_id"),
         F.col(f"`{text_col}`").alias("text"),
         F.col(f"`{lang_col}`").cast("string").alias("lang"),
         is_held_out(F.col(f"`{id_col}`")).alias("held_out"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("_rest"),
     )
     labelled = rows.filter("not held_out and lang is not null and text is not null")
     frequent = (
@@ -275,16 +278,43 @@ def identify_languages(
                 best[at] = share.argmax(axis=1)[has_letter]
                 score[at] = share.max(axis=1)[has_letter]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(best).cast(pa.int64()), pa.array(score), *batch.columns[1:]],
-                names=["_best", "score", *batch.schema.names[1:]],
-            ).set_column(0, "lang_pred", names.take(pa.array(best)))
+                [names.take(pa.array(best)), pa.array(score), *batch.columns],
+                names=["lang_pred", "score", *batch.schema.names],
+            )
 
-    kind = docs.schema[id_col].dataType.simpleString()
+    carried = {f.name: f.dataType for f in rows.schema.fields if f.name not in ("text", "lang")}
+    schema = T.StructType(
+        [
+            T.StructField("lang_pred", T.StringType()),
+            T.StructField("score", T.DoubleType()),
+            T.StructField("text", T.StringType()),
+            *[T.StructField(name, kind) for name, kind in carried.items()],
+        ]
+    )
+    row = F.struct(
+        *[
+            (F.col("text") if c == text_col else F.col(f"_rest.`{c}`")).alias(c)
+            for c in docs.columns
+        ]
+    )
     return (
-        rows.select("text", "_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("_text_hash"), "held_out")
-        .mapInArrow(
-            predicted,
-            f"lang_pred string, score double, _id {kind}, _text_hash bigint, held_out boolean",
+        rows.select("text", *carried)
+        .mapInArrow(predicted, schema)
+        .select(
+            "_id",
+            F.xxhash64(F.coalesce("text", F.lit(""))).alias("_text_hash"),
+            "held_out",
+            "lang_pred",
+            "score",
+            row.alias("_row"),
         )
-        .select("_id", "_text_hash", "held_out", "lang_pred", "score")
     )
+
+
+def keep_identified(
+    docs: DataFrame, min_score: float = 0.3, text_col: str = "text", **columns: str
+) -> DataFrame:
+    """The documents whose language is known: not ``und``, nor scored below ``min_score``."""
+    found = identify_languages(docs, text_col=text_col, **columns)
+    known = (F.col("lang_pred") != NO_LANGUAGE) & (F.col("score") >= min_score)
+    return found.filter(known).select("_row.*")

@@ -51,7 +51,7 @@ def dedup_lines(
     kept_columns = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     original = F.struct(*[F.col(f"`{c}`") for c in kept_columns if c != text_col])
     rows = docs.select(
-        F.col(f"`{id_col}`").alias("_id"), F.coalesce(text_col, F.lit("")).alias("_text")
+        F.col(f"`{id_col}`").alias("_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("_text")
     ).withColumn("_text_hash", F.xxhash64("_text"))
     keys = _line_keys(rows, min_chars)
 
@@ -80,8 +80,8 @@ def dedup_lines(
     # Lines are split below the join, so picking by place does not split again.
     whole = docs.select(
         F.col(f"`{id_col}`").alias("_id"),
-        F.xxhash64(F.coalesce(text_col, F.lit(""))).alias("_text_hash"),
-        F.split(F.coalesce(text_col, F.lit("")), "\n").alias("_lines"),
+        F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("_text_hash"),
+        F.split(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), "\n").alias("_lines"),
         F.col(f"`{text_col}`").isNull().alias("_absent"),
         original.alias("_row"),
     )

@@ -62,7 +62,8 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash of every document and the near-duplicates it belongs with."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return simhash.near_duplicates(docs).withColumnRenamed("_id", "doc_id")
+    found = simhash.near_duplicates(docs)
+    return found.select(F.col("_id").alias("doc_id"), "fingerprint", "component_id")
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillstream.llm.common import cut
+from tillstream.llm.common import cut, null_safe
 
 SHINGLE = 3  # words
 RADIUS = 2  # bits
@@ -57,22 +57,26 @@ def fingerprints(
     shingle: int = SHINGLE,
     seed: int = SEED,
 ) -> DataFrame:
-    """``_id`` and ``fingerprint`` (bigint) of each row. Null text has no words."""
+    """``_id``, ``_text_hash`` and ``fingerprint`` (bigint) of each row."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def hashed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).cast(pa.large_binary())
+            texts = batch.column(2).cast(pa.large_binary())
             prints = np.fromiter(
                 (simhash(x.as_py() or b"", shingle, seed) for x in texts), np.uint64, len(texts)
             )
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(prints.view(np.int64))], names=["_id", "fingerprint"]
+                [batch.column(0), batch.column(1), pa.array(prints.view(np.int64))],
+                names=["_id", "_text_hash", "fingerprint"],
             )
 
+    text = F.col(f"`{text_col}`")
     return docs.select(
-        F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text")
-    ).mapInArrow(hashed, f"_id {kind}, fingerprint bigint")
+        F.col(f"`{id_col}`").alias("_id"),
+        F.xxhash64(F.coalesce(text, F.lit(""))).alias("_text_hash"),
+        text.alias("_text"),
+    ).mapInArrow(hashed, f"_id {kind}, _text_hash bigint, fingerprint bigint")
 
 
 def _cell(fingerprint: Column, moves: tuple[int, ...] = (0,) * QUARTERS) -> Column:
@@ -239,23 +243,55 @@ def near_duplicates(
     """Each document's SimHash and the component it is in.
 
     Documents link where their fingerprints differ in ``radius`` bits or fewer. Returns
-    a row per row of ``docs``: ``_id``, ``fingerprint`` (16 hex digits) and
-    ``component_id``, the smallest id reachable over links, its own included. Documents
-    with the same fingerprint link, so only distinct fingerprints are compared. Null or
-    empty texts have fingerprint zero and link like any other. A null id is never the
-    smallest unless a component has no other. An empty table gives an empty table.
+    a row per row of ``docs``: ``_id``, ``_text_hash``, ``fingerprint`` (16 hex digits),
+    ``component_id``, the smallest id reachable over links, its own included, and
+    ``_first``, whether the row is the one of its component that stays: the smallest id,
+    and of its texts the one with the smallest hash. Documents with the same fingerprint
+    link, so only distinct fingerprints are compared. Null or empty texts have
+    fingerprint zero and link like any other. A null id counts as larger than all others
+    and is a component's id only where there is no other. Equal rows are all ``_first``
+    or none is. An empty table gives an empty table.
     """
     prints = cut(fingerprints(docs, id_col, text_col, shingle, seed))
-    distinct = prints.groupBy("fingerprint").agg(F.min("_id").alias("_least"))
+    row = F.struct(F.col("_id").isNull().alias("none"), "_id", "_text_hash")
+    distinct = prints.groupBy("fingerprint").agg(F.min(row).alias("_least"))
     roots = components(near_links(distinct.select("fingerprint"), radius))
     rooted = cut(
         distinct.withColumnRenamed("fingerprint", "_print")
         .join(roots.withColumnRenamed("node", "_print"), "_print", "left")
         .select("_print", "_least", F.coalesce("root", "_print").alias("_root"))
     )
-    least = cut(rooted.groupBy("_root").agg(F.min("_least").alias("component_id")))
-    labels = cut(rooted.join(least, "_root").select("_print", "component_id"))
+    least = cut(rooted.groupBy("_root").agg(F.min("_least").alias("_least")))
+    # Written out, so the join deals both sides out and adaptive execution can split a
+    # fingerprint that very many documents share.
+    labels = cut(rooted.select("_print", "_root").join(least, "_root").select("_print", "_least"))
     joined = prints.join(labels, prints["fingerprint"] == labels["_print"])
+    first = F.col("_id").eqNullSafe(F.col("_least._id")) & (
+        F.col("_text_hash") == F.col("_least._text_hash")
+    )
     return joined.select(
-        "_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
+        "_id",
+        "_text_hash",
+        F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
+        F.col("_least._id").alias("component_id"),
+        first.alias("_first"),
+    )
+
+
+def drop_near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options: int
+) -> DataFrame:
+    """The documents, one of each component: all columns of one row.
+
+    Of rows equal in id and text one stays. See ``near_duplicates`` for which stays.
+    """
+    text_hash = F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
+    found = near_duplicates(docs, id_col, text_col, **options)
+    stays = found.filter("_first").select("_id", "_text_hash").distinct()
+    packed = docs.select(
+        F.col(f"`{id_col}`").alias("_id"),
+        text_hash.alias("_text_hash"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
     )
+    kept = packed.join(stays, null_safe(packed, stays, "_id", "_text_hash"), "left_semi")
+    return kept.dropDuplicates(["_id", "_text_hash"]).select("_row.*")
