@@ -1,0 +1,97 @@
+import random
+import zlib
+
+import cases
+import pytest
+
+from tillstream.llm.langid import identify_languages, keep_identified
+
+STEMS = {
+    "en": ["the", "and", "tion", "ing", "with", "er", "th", "of"],
+    "de": ["der", "und", "ung", "sch", "mit", "keit", "ü", "ß"],
+    "fr": ["le", "et", "que", "eau", "è", "ç", "ment", "oi"],
+}
+
+
+def texts(count, seed=1):
+    rng = random.Random(seed)
+    rows = []
+    for k in range(count):
+        lang = rng.choice(list(STEMS))
+        made = ["".join(rng.choices(STEMS[lang], k=rng.randint(1, 3))) for _ in range(rng.randint(3, 80))]
+        rows.append((k, " ".join(made), lang, "s"))
+    return rows
+
+
+@pytest.fixture(scope="module")
+def found(spark):
+    rows = texts(400)
+    rows += [
+        (1000, None, "en", None),
+        (1001, "", "en", None),
+        (1002, "123 .,; \n 456 !", "en", "s"),
+        (None, "the and with the thing", "en", "s"),
+        (1003, "the", None, "s"),
+        (1004, "und die schkeit " * 30_000, None, "s"),
+        (1004, "und die schkeit " * 30_000, None, "s"),
+    ]
+    return rows, identify_languages(cases.frame(spark, rows)).collect()
+
+
+def test_held_out_rows_are_predicted_right(found):
+    rows, got = found
+    lang = {r[0]: r[2] for r in rows}
+    held = [r for r in got if r.held_out and lang[r["_id"]] and r.lang_pred != "und"]
+    assert len(held) > 60
+    assert sum(r.lang_pred == lang[r["_id"]] for r in held) / len(held) > 0.95
+
+
+def test_rows_and_columns(found):
+    rows, got = found
+    assert len(got) == len(rows)
+    for r in got:
+        own = "" if r["_id"] is None else str(r["_id"])
+        assert r.held_out == (zlib.crc32(own.encode()) % 4 == 2)
+        assert 0 <= r.score <= 1 and r.lang_pred in {*STEMS, "und"}
+    unknown = {r["_id"] for r in got if r.lang_pred == "und"}
+    assert unknown == {1000, 1001, 1002}
+    assert [r.lang_pred for r in got if r["_id"] == 1004] == ["de", "de"]
+
+
+def test_prediction_ignores_id_and_language(spark):
+    rows = texts(200)
+    swapped = [(d, t, None if zlib.crc32(str(d).encode()) % 4 == 2 else lang, "z") for d, t, lang, _ in rows]
+
+    def predicted(table):
+        return sorted((r["_id"], r.lang_pred, r.score) for r in identify_languages(cases.frame(spark, table)).collect())
+
+    assert predicted(rows) == predicted(swapped)
+
+
+def test_scores_are_calibrated(found):
+    rows, got = found
+    lang = {r[0]: r[2] for r in rows}
+    held = [r for r in got if r.held_out and lang.get(r["_id"]) and r.lang_pred != "und"]
+    right = sum(r.lang_pred == lang[r["_id"]] for r in held) / len(held)
+    assert sum(r.score for r in held) / len(held) == pytest.approx(right, abs=0.08)
+
+
+def test_documents_without_language_go(spark):
+    rows = [*texts(150), (900, "12 34", "en", "s"), (901, None, "en", "s")]
+    docs = cases.frame(spark, rows)
+    kept = keep_identified(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(150))
+
+
+def test_nothing_to_learn_from(spark):
+    rows = [(k, "the and", None, "s") for k in range(5)]
+    got = identify_languages(cases.frame(spark, rows)).collect()
+    assert [(r.lang_pred, r.score) for r in got] == [("und", 0.0)] * 5
+    assert identify_languages(cases.frame(spark, [])).count() == 0
+
+
+def test_one_language(spark):
+    rows = [r for r in texts(100) if r[2] == "fr"]
+    got = identify_languages(cases.frame(spark, rows)).collect()
+    assert {(r.lang_pred, r.score) for r in got} == {("fr", 1.0)}

@@ -1,0 +1,88 @@
+import random
+
+import cases
+import pytest
+
+from tillstream.llm import licenses as L
+
+
+def plain(rows, notices):
+    """Containment of every notice in every window of its scale."""
+    by_scale, found = L.scales(notices), []
+    for doc_id, text, *_ in rows:
+        own = L.notice_words(text or "")
+        for name, notice in notices.items():
+            wanted = L._shingles(L.notice_words(notice))
+            if not wanted:
+                continue
+            scale = by_scale[L.scale_words(len(L.notice_words(notice)))]
+            best = []
+            for start in range(0, max(len(own) - L.SHINGLE, 0) + 1, scale.stride):
+                held = L._shingles(own[start : start + scale.window])
+                share = len(held & wanted) / len(wanted)
+                if share >= 0.8:
+                    best.append((share, start))
+            if best:
+                found.append((doc_id, name, max(best)[0], min(s for _, s in best)))
+    return found
+
+
+@pytest.fixture(scope="module")
+def rows():
+    rng = random.Random(11)
+    made = cases.corpus(seed=3)
+    for k, notice in enumerate(L.NOTICES.values()):
+        before, after = (" ".join(cases.words(rng, rng.randint(0, 90))) for _ in range(2))
+        own = notice.split()
+        changed = list(own)
+        changed[len(own) // 2] = "other"
+        made.append((600 + 10 * k, f"{before} {notice.upper()} {after}", "en", "s"))
+        made.append((601 + 10 * k, f"{before} {' '.join(changed)} {after}", "en", "s"))
+        made.append((602 + 10 * k, f"{before} {' '.join(own[: len(own) // 2])} {after}", "en", "s"))
+        made.append((603 + 10 * k, f"{notice}\n{before}\n{notice} {notice}", "en", "s"))
+    return made
+
+
+def test_equals_plain_version(spark, rows):
+    wanted = plain(rows, L.NOTICES)
+    assert len(wanted) > 2 * len(L.NOTICES)
+    found = L.scan_licenses(cases.frame(spark, rows)).collect()
+    got = [(r["_id"], r.license, r.containment, r.first_word) for r in found]
+    assert cases.order(got) == cases.order(wanted)
+
+
+def test_every_holder_has_an_anchor_word():
+    anchors = set(L.anchor_words(L.NOTICES))
+    for notice in L.NOTICES.values():
+        own = L._shingles(L.notice_words(notice))
+        assert len([s for s in own if not anchors & set(s)]) < 0.8 * len(own)
+
+
+def test_any_run_lies_in_a_window():
+    for scale in L.scales(L.NOTICES).values():
+        assert scale.window - scale.stride >= scale.words
+
+
+def test_bands_bound_the_chance_of_a_miss():
+    for size, scale in L.scales(L.NOTICES).items():
+        for notice in L.NOTICES.values():
+            own = L._shingles(L.notice_words(notice))
+            if L.scale_words(len(L.notice_words(notice))) == size:
+                needed = -(-len(own) * 8 // 10)
+                alike = needed / (scale.window - 4 + len(own) - needed)
+                assert (1 - alike) ** scale.bands <= L.MISS
+
+
+def test_own_notices_short_ones_and_none(spark):
+    rows = [(1, "one two three four five six", "en", "s"), (1, "one two three four five six", "en", "s")]
+    docs = cases.frame(spark, rows)
+    found = L.scan_licenses(docs, notices={"a": "Two, three FOUR five: six", "b": "one two", "c": ""})
+    assert [(r["_id"], r.license, r.containment) for r in found.collect()] == [(1, "a", 1.0)] * 2
+    assert L.scan_licenses(docs, notices={"b": "one two"}).count() == 0
+    assert L.scan_licenses(docs, notices={}).count() == 0
+    with pytest.raises(ValueError, match="can be held"):
+        L.scan_licenses(docs, notices={"a": "w " * (L.MOST_NOTICE_WORDS + 1)})
+
+
+def test_empty_table(spark):
+    assert L.scan_licenses(cases.frame(spark, [])).count() == 0

@@ -1,0 +1,90 @@
+import math
+import random
+
+import cases
+import pytest
+
+from tillstream.llm import quality as Q
+
+
+def plain(text):
+    text = text or ""
+    own, seen, dup = cases.blank_words(text), set(), 0
+    for line in text.split("\n"):
+        if cases.blank_words(line):
+            dup += line in seen
+            seen.add(line)
+    places = {}
+    for k in range(len(own) - 7):
+        places.setdefault(tuple(own[k : k + 8]), []).append(k)
+    hit = {i for found in places.values() if len(found) > 1 for k in found for i in range(k, k + 8)}
+    failed = len(own) < 20 or 100 * len(hit) > 30 * len(own)
+    symbols = sum(text.count(c) for c in "#*$%&|<>")
+    return len(own), sum(map(len, own)), symbols, dup, len(hit), failed
+
+
+@pytest.fixture(scope="module")
+def rows():
+    rng = random.Random(3)
+    made = cases.corpus(seed=6)
+    for k in range(40):
+        part = " ".join(cases.words(rng, rng.randint(1, 12)))
+        joint = rng.choice(["\n", " ", "# * ", " \n ", "\r\n"])
+        made.append((500 + k, joint.join([part] * rng.randint(1, 6)) + "\n" + " ".join(cases.words(rng, 60)), "en", "s"))
+    return made
+
+
+def test_features_equal_plain_version(spark, rows):
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    found = Q.judge_quality(cases.frame(spark, rows), labels).collect()
+    got = [
+        (r["_id"], (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed))
+        for r in found
+    ]
+    assert cases.order(got) == cases.order([(r[0], plain(r[1])) for r in rows])
+    # Without labels no cutoff is proven.
+    assert all(r.kept == (not r.base_failed) for r in found)
+
+
+@pytest.mark.parametrize(("found", "trials", "rate"), [(0, 10, 0.1), (3, 50, 0.2), (7, 1000, 0.01), (0, 1, 0.5)])
+def test_binomial_equals_sum(found, trials, rate):
+    wanted = sum(math.comb(trials, k) * rate**k * (1 - rate) ** (trials - k) for k in range(found + 1))
+    assert Q.binomial_at_most(found, trials, rate) == pytest.approx(wanted)
+
+
+def test_binomial_edges():
+    assert Q.binomial_at_most(5, 5, 0.1) == 1.0
+    assert Q.binomial_at_most(900, 1000, 0.1) == 1.0
+    assert Q.binomial_at_most(0, 10**9, 0.01) == pytest.approx(0.0)
+
+
+def test_cutoffs_hold_their_bound_and_need_labels(spark):
+    """Many good documents prove a strict cutoff; few prove none."""
+    rules = (Q.Rule("symbols", "n_symbols / n_words", (0.1, 0.5)),)
+    rows = [("big", 100, 5 if k % 100 else 20) for k in range(6000)]
+    rows += [("big", 100, 40)] * 20 + [("few", 100, 0)] * 30 + [(None, 100, 0)] * 6000
+    good = spark.createDataFrame(rows, "_stratum string, n_words long, n_symbols long")
+    got = {r["_stratum"]: r.symbols for r in Q.choose_cutoffs(good, rules, risk=0.02).collect()}
+    # 80 of 6020 are above 0.1: fewer than 2 in 100, and provably so.
+    assert got == {"big": 0.1, "few": None, None: 0.1}
+    strict = {r["_stratum"]: r.symbols for r in Q.choose_cutoffs(good, rules, risk=0.01).collect()}
+    assert strict == {"big": 0.5, "few": None, None: 0.1}
+
+
+def test_learned_rules_spare_good_documents(spark):
+    rng = random.Random(8)
+    rows, labels = [], []
+    for k in range(3000):
+        own = cases.words(rng, 30, 10_000)
+        bad = k % 10 == 0
+        rows.append((k, " ".join(w + "###" * bad for w in own), "en", "s"))
+        labels += [(k, 0 if bad else 1, 0)] if k % 2 else []
+    labels += [(1, 1, 0), (None, 1, 0), (5, None, 0), (99_999, 1, 0)]
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    found = Q.judge_quality(cases.frame(spark, rows), table, risk=0.1).collect()
+    assert {r["_id"] for r in found if not r.kept} == set(range(0, 3000, 10))
+
+
+def test_empty_table(spark):
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    assert Q.judge_quality(cases.frame(spark, []), labels).count() == 0

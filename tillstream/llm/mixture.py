@@ -239,13 +239,13 @@ def mix_sources(
 
     keys = ["_source", "_id", "_text_hash"]
     if decided:
-        won = reduce(DataFrame.unionByName, decided).filter(F.col("_share") == 1).select(*keys)
+        union = reduce(DataFrame.unionByName, decided)
+        won = union.filter(F.col("_share") == 1).select(*keys, F.lit(1).alias("_extra"))
+        sized = rows.join(won, null_safe(rows, won, *keys), "left").select(
+            *[rows[k] for k in keys], "_size", F.coalesce("_extra", F.lit(0)).alias("_extra")
+        )
     else:
-        won = rows.select(*keys).limit(0)
-    won = won.withColumn("_extra", F.lit(1))
-    sized = rows.join(won, null_safe(rows, won, *keys), "left").select(
-        *[rows[k] for k in keys], "_size", F.coalesce("_extra", F.lit(0)).alias("_extra")
-    )
+        sized = rows.withColumn("_extra", F.lit(0))
     copies = F.when(F.col("_size") > 0, F.col("_whole") + F.col("_extra")).otherwise(0)
     return sized.join(targets, null_safe(sized, targets, "_source")).select(
         "_id",
