@@ -24,11 +24,10 @@ from pyspark.sql import types as T  # noqa: E402
 from testbed import events as E  # noqa: E402
 from testbed import oracles  # noqa: E402
 from tillstream import session  # noqa: E402
-from tillstream.operators import amounts, documents, ingest, serving  # noqa: E402
+from tillstream.operators import amounts, documents, ingest, serving, validation  # noqa: E402
 from tillstream.operators import kpis as K  # noqa: E402
 from tillstream.operators import request_log as R  # noqa: E402
 from tillstream.operators.cleaning import CLEANERS  # noqa: E402
-from tillstream.operators.validation import split_valid  # noqa: E402
 from tillstream.schemas import EVENT_TYPES, ORDERS  # noqa: E402
 
 
@@ -95,7 +94,7 @@ def _stored(spark: SparkSession, sf_dir: str, kpi_type: str) -> dict[str, DataFr
         return {"summary": documents.upsert_kpis(*days)}
     kpi = {
         "hourly_revenue": lambda: K.hourly_revenue(silver("orders"), AS_OF),
-        "top_products": lambda: K.top_products(silver("orders"), computed_at=AS_OF),
+        "products": lambda: K.product_revenue(silver("orders"), AS_OF),
         "conversion": lambda: K.conversion_funnel(silver("orders"), silver("clicks"), AS_OF),
         "inventory": lambda: K.inventory_status(silver("inventory"), AS_OF),
     }[kpi_type]()
@@ -122,28 +121,29 @@ def _quarantined(name: str) -> Query:
 
 
 def quarantine_orders_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, rejected = split_valid(_bronze(spark, sf_dir, "orders"), ORDERS, detail=True)
+    _, rejected = validation.split_valid(_bronze(spark, sf_dir, "orders"), ORDERS, detail=True)
     rules = F.concat_ws(",", "failed_rules").alias("failed_rules")
     return rejected.select("event_id", "kafka_offset", "kafka_partition", rules)
 
 
 def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per layer and event type; bronze = valid + quarantine."""
-    steps: list[DataFrame] = []
-    for name, spec in EVENT_TYPES.items():
-        bronze = _bronze(spark, sf_dir, name)
-        valid, rejected = split_valid(bronze, spec)
-        silver = CLEANERS[name](bronze)[0]
-        layers = {"bronze": bronze, "valid": valid, "quarantine": rejected, "silver": silver}
-        steps += [
-            rows.select(F.lit(name).alias("event_type"), F.lit(step).alias("step"))
-            for step, rows in layers.items()
-        ]
     counts = [
-        F.count_if(F.col("step") == step).alias(f"{step}_rows")
-        for step in ("bronze", "valid", "quarantine", "silver")
+        validation.layer_counts(_bronze(spark, sf_dir, name), spec).select(
+            F.lit(name).alias("event_type"), "*"
+        )
+        for name, spec in EVENT_TYPES.items()
     ]
-    return reduce(DataFrame.unionByName, steps).groupBy("event_type").agg(*counts)
+    return reduce(DataFrame.unionByName, counts)
+
+
+def _values_checked(name: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        wrong = validation.check_values(_bronze(spark, sf_dir, name), EVENT_TYPES[name])
+        columns = F.concat_ws(",", "wrong_values").alias("wrong_values")
+        return wrong.select("event_id", "kafka_offset", "kafka_partition", columns)
+
+    return query
 
 
 def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,12 +170,6 @@ def _read(kpi_type: str, read: Callable[..., DataFrame], *args, **options) -> Qu
     return query
 
 
-def _read_products(**options) -> Query:
-    """Product reads; their ids are not compared."""
-    read = _read("top_products", serving.get_products, **options)
-    return lambda spark, sf_dir: read(spark, sf_dir).drop("id")
-
-
 def revenue_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     page = serving.get_revenue(_stored(spark, sf_dir, "hourly_revenue"), region="ASIA", limit=24)
     whole = serving.envelope(page, region_filter="ASIA")
@@ -201,7 +195,10 @@ def kpi_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly revenue encoded as JSON documents, with fields read back."""
     kpi = K.hourly_revenue(_silver(spark, sf_dir, "orders"), AS_OF)
     docs = documents.to_documents(kpi, "hourly_revenue")
-    fields = "hour_bucket string, region string, revenue double, order_count long, unique_customers long"
+    fields = (
+        "hour_bucket string, region string, revenue double, order_count long, "
+        "avg_order_value double, total_discounts double, unique_customers long"
+    )
     return docs.select("kpi_type", "id", F.from_json("doc", fields).alias("d")).select(
         "kpi_type", "id", "d.*"
     )
@@ -235,15 +232,23 @@ def error_band(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.classify(rate, "error_pct", R.ERROR_RATE_STEPS)
 
 
+def store_errors_band(spark: SparkSession, sf_dir: str) -> DataFrame:
+    errors = R.store_errors(E.request_log(spark, sf_dir))
+    return R.classify(errors, "requests", R.STORE_ERROR_STEPS)
+
+
 def latency_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = R.latency_histogram(E.request_log(spark, sf_dir), E.BUCKETS)
     le = F.when(F.col("le") == float("inf"), "+Inf").otherwise(F.col("le").cast("string"))
     return found.withColumn("le", le)
 
 
-def latency_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = R.latency_quantiles(E.request_log(spark, sf_dir), buckets=E.BUCKETS)
-    return found.withColumns({p: F.round(p, 6) for p in ("p50", "p95", "p99")})
+def latency_quantiles(**options: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        found = R.latency_quantiles(E.request_log(spark, sf_dir), buckets=E.BUCKETS, **options)
+        return found.withColumns({p: F.round(p, 6) for p in ("p50", "p95", "p99")})
+
+    return query
 
 
 _QUERIES: dict[str, Query] = {
@@ -263,8 +268,10 @@ _QUERIES: dict[str, Query] = {
     "kpi_conversion": _read("conversion", serving.get_conversion),
     "revenue_latest_hours": _read("hourly_revenue", serving.get_revenue),
     "revenue_by_region": _read("hourly_revenue", serving.get_revenue, region="EUROPE", limit=24),
-    "products_by_revenue": _read_products(limit=5),
-    "products_by_category": _read_products(category="PROMO"),
+    "product_revenue": _kpi(K.product_revenue, "orders"),
+    "products_by_revenue": _read("products", serving.get_products, limit=5),
+    "products_by_category": _read("products", serving.get_products, category="PROMO"),
+    "products_top_50": _read("products", serving.get_products, limit=50),
     "inventory_alerts": _read("inventory", serving.get_inventory),
     "inventory_lowest": _read("inventory", serving.get_inventory, alerts_only=False, limit=200),
     "regions": _read("hourly_revenue", serving.get_regions),
@@ -276,14 +283,20 @@ _QUERIES: dict[str, Query] = {
     "order_amounts": order_amounts,
     "order_amount_check": order_amount_check,
     "low_stock_check": low_stock_check,
+    "order_value_check": _values_checked("orders"),
+    "click_value_check": _values_checked("clicks"),
+    "stock_value_check": _values_checked("inventory"),
     "request_counts_5m": _log(R.request_counts),
     "request_counts_sliding": _log(R.request_counts, slide="1 minute"),
     "error_rate_5m": _log(R.error_rate),
+    "error_rate_sliding": _log(R.error_rate, slide="1 minute"),
     "error_band": error_band,
     "store_errors_5m": _log(R.store_errors),
+    "store_errors_band": store_errors_band,
     "request_rate_1m": _log(R.request_rate),
     "latency_histogram": latency_histogram,
-    "latency_quantiles": latency_quantiles,
+    "latency_quantiles": latency_quantiles(),
+    "latency_quantiles_sliding": latency_quantiles(slide="1 minute"),
     "status_breakdown": _log(R.status_breakdown),
 }
 

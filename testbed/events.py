@@ -36,14 +36,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give every task slot a share of a table kept in fewer files than there are slots.
-
-    A given table is one file with one row group, which one task reads. A table of
-    many files is left as it is.
-    """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots, key) if len(df.inputFiles()) < slots else df
+def _lines_with_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lineitem rows with their part. Both sides grow, so neither is ever broadcast."""
+    parts = table(spark, sf_dir, "part").hint("merge")
+    return table(spark, sf_dir, "lineitem").join(parts, F.expr("l_partkey = p_partkey"))
 
 
 def _select(df: DataFrame, **columns: str) -> DataFrame:
@@ -107,7 +103,8 @@ def bronze_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         total_amount="case when l_partkey % 89 = 0 then null when l_partkey % 83 = 0 then 0D "
         "else (base - disc) / 100 end",
         currency="' usd'",
-        payment_method="concat(' ', o_orderpriority)",
+        payment_method="case o_orderpriority when '1-URGENT' then ' Credit_Card' "
+        "when '2-HIGH' then 'PAYPAL ' else concat(' ', o_orderpriority) end",
         status="case o_orderstatus when 'F' then ' Completed' when 'O' then 'PENDING ' "
         "else 'failed' end",
         **_record("ts", _LINE_OFFSET, "l_orderkey % 3"),
@@ -116,8 +113,8 @@ def bronze_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One click event per events row that is not an error."""
-    events = table(spark, sf_dir, "events").filter("event_type <> 'error'")
+    """One click event per events row."""
+    events = table(spark, sf_dir, "events")
     item = "get_json_object(props, '$.k')"
     return _select(
         events,
@@ -131,7 +128,7 @@ def bronze_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
         product_id=f"if(event_id % 59 = 0, null, concat('SKU-', {item}))",
         product_name=f"concat('Item ', {item})",
         category="concat(' ', event_type, ' ')",
-        page="concat(upper(event_type), ' ')",
+        page="if(event_type = 'view', ' Product_Detail', concat(upper(event_type), ' '))",
         added_to_cart="event_type in ('purchase', 'signup')",
         time_on_page_sec="cast(floor(value) as int) * if(event_id % 7 = 0, -1, 1)",
         **_record("ts", "event_id", "0"),
@@ -141,9 +138,7 @@ def bronze_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bronze_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One stock update per lineitem row."""
-    lines = spread(table(spark, sf_dir, "lineitem"), "l_orderkey").join(
-        table(spark, sf_dir, "part"), F.expr("l_partkey = p_partkey")
-    )
+    lines = _lines_with_parts(spark, sf_dir)
     stock = "cast(l_quantity as int) * 10 - 10"
     return _select(
         lines,
@@ -155,10 +150,11 @@ def bronze_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
         warehouse_id="concat('wh-', l_suppkey % 10 + 1, ' ')",
         stock_level=f"case when l_partkey % 89 = 0 then -1 when l_partkey % 83 = 0 then null "
         f"else {stock} end",
-        reorder_threshold="50",
+        reorder_threshold="case when l_partkey % 7 = 0 then null "
+        "else cast(20 + l_suppkey % 5 * 30 as int) end",
         low_stock_alert=f"{stock} < 50",
-        action="case l_returnflag when 'R' then ' Return' when 'A' then 'Adjustment' "
-        "else 'SALE_DEDUCTION' end",
+        action="case when l_partkey % 79 = 0 then 'Lost' when l_returnflag = 'R' then ' Return' "
+        "when l_returnflag = 'A' then 'Adjustment' else 'SALE_DEDUCTION' end",
         **_record("l_shipdate", _LINE_OFFSET, "l_orderkey % 3"),
         source_topic="'inventory'",
     )
@@ -185,23 +181,21 @@ def topic_records(bronze: DataFrame, spec: EventSpec) -> DataFrame:
 def priced_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every lineitem row with price, quantity, discount rate and stored amounts.
 
-    The amounts are made in whole cents, with one error of each kind put in at a
-    rate of its own.
+    Prices are in tenths of a cent, and are rounded with the quantity only. The amounts
+    are made in whole cents, with one error of each kind put in at a rate of its own.
     """
-    lines = spread(table(spark, sf_dir, "lineitem"), "l_orderkey").join(
-        table(spark, sf_dir, "part"), F.expr("l_partkey = p_partkey")
-    )
-    lines = lines.selectExpr(
+    lines = _lines_with_parts(spark, sf_dir).selectExpr(
         "*",
         f"{_LINE_OFFSET} as kafka_offset",
-        "cast(rint(p_retailprice * 100) as bigint) * cast(l_quantity as int) as sub",
+        "cast(rint(p_retailprice * 100) as bigint) * 10 + l_partkey % 10 as mills",
+        "floor((mills * cast(l_quantity as int) + 5) / 10) as sub",
         "floor((sub * cast(rint(l_discount * 100) as bigint) + 50) / 100) as disc",
     )
     return _select(
         lines,
         event_id="concat('EVT-', l_orderkey, '-', l_linenumber)",
         kafka_offset="kafka_offset",
-        product="struct(p_retailprice as unit_price)",
+        product="struct(mills / 1000 as unit_price)",
         quantity="cast(l_quantity as int)",
         discount_pct="l_discount",
         subtotal="if(kafka_offset % 13 = 0, sub + 1, sub) / 100",

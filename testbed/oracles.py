@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tillstream.schemas import ACTIONS, CURRENCIES, PAGES, PAYMENT_METHODS, REGIONS, STATUSES
+
 # ── Bronze events: see testbed/events.py ─────────────────────────────────────
 _CTES = {
     "raw_orders": """
@@ -18,7 +20,8 @@ _CTES = {
       case when l_partkey % 89 = 0 then null
         when l_partkey % 83 = 0 then cast(0 as decimal(18,2))
         else cast(base - disc as decimal(18,2)) end total_amount,
-      ' usd' currency, concat(' ', o_orderpriority) payment_method,
+      ' usd' currency, case o_orderpriority when '1-URGENT' then ' Credit_Card' when '2-HIGH' then 'PAYPAL '
+        else concat(' ', o_orderpriority) end payment_method,
       case o_orderstatus when 'F' then ' Completed' when 'O' then 'PENDING ' else 'failed' end status,
       (l_partkey * 10000 + l_suppkey) * 100 + cast(l_quantity as bigint) kafka_offset,
       cast(l_orderkey % 3 as integer) kafka_partition, ts kafka_timestamp, ts event_ts
@@ -41,11 +44,12 @@ _CTES = {
       concat(' zone ', cast(user_id % 5 as varchar), ' ') region,
       case when event_id % 59 = 0 then null else concat('SKU-', json_extract_string(props, '$.k')) end product_id,
       concat('Item ', json_extract_string(props, '$.k')) product_name,
-      concat(' ', event_type, ' ') category, concat(upper(event_type), ' ') page,
+      concat(' ', event_type, ' ') category,
+      case when event_type = 'view' then ' Product_Detail' else concat(upper(event_type), ' ') end page,
       event_type in ('purchase', 'signup') added_to_cart,
       case when event_id % 7 = 0 then -cast(floor(value) as integer) else cast(floor(value) as integer) end time_on_page_sec,
       event_id kafka_offset, 0 kafka_partition, ts kafka_timestamp, ts event_ts
-    from events where event_type <> 'error'""",
+    from events""",
     "raw_inventory": """
     select 'inventory' event_type,
       concat('INV-', cast(l_orderkey as varchar), '-', cast(l_linenumber as varchar)) event_id,
@@ -55,9 +59,10 @@ _CTES = {
       concat('wh-', cast(l_suppkey % 10 + 1 as varchar), ' ') warehouse_id,
       case when l_partkey % 89 = 0 then -1 when l_partkey % 83 = 0 then null
         else cast(l_quantity as integer) * 10 - 10 end stock_level,
-      50 reorder_threshold,
+      case when l_partkey % 7 = 0 then null else cast(20 + l_suppkey % 5 * 30 as integer) end reorder_threshold,
       (cast(l_quantity as integer) * 10 - 10) < 50 low_stock_alert,
-      case l_returnflag when 'R' then ' Return' when 'A' then 'Adjustment' else 'SALE_DEDUCTION' end action,
+      case when l_partkey % 79 = 0 then 'Lost' when l_returnflag = 'R' then ' Return'
+        when l_returnflag = 'A' then 'Adjustment' else 'SALE_DEDUCTION' end action,
       (l_partkey * 10000 + l_suppkey) * 100 + cast(l_quantity as bigint) kafka_offset,
       cast(l_orderkey % 3 as integer) kafka_partition, l_shipdate kafka_timestamp, l_shipdate event_ts
     from lineitem join part on l_partkey = p_partkey""",
@@ -200,7 +205,7 @@ def _quantile(buckets: tuple, q: float) -> str:
     return f"case {' '.join(cases)} else {buckets[-1]}.0 end"
 
 
-def _quantiles(buckets: tuple) -> str:
+def _quantiles(buckets: tuple, source: str = "") -> str:
     counts = ", ".join(
         f"count(*) filter (where duration_sec <= {le}) le{i}" for i, le in enumerate(buckets)
     )
@@ -209,8 +214,9 @@ def _quantiles(buckets: tuple) -> str:
         for name, q in (("p50", 0.5), ("p95", 0.95), ("p99", 0.99))
     )
     return (
-        f"select window_start, window_end, {columns} from (select {_windowed(5)}, {counts}, "
-        "count(duration_sec) total from log group by 1, 2)"
+        f"select window_start, window_end, {columns} from (select "
+        f"{'window_start, window_end' if source else _windowed(5)}, {counts}, "
+        f"count(duration_sec) total from {source or 'log'} group by 1, 2)"
     )
 
 
@@ -229,12 +235,24 @@ _ERROR_RATE = (
     "from log group by 1, 2"
 )
 
+# Each row in each of the five overlapping windows it is part of.
+_SLID = """(select *, window_start + interval '5 minutes' window_end from (
+      select *, time_bucket(interval '1 minute', ts) - to_minutes(cast(k as integer)) window_start
+      from log, range(5) r(k)))"""
+
+_ERROR_RATE_SLIDING = (
+    "select window_start, window_end, "
+    "cast(count(*) filter (where status between 500 and 599) as double) / count(*) * 100 error_pct "
+    f"from {_SLID} group by 1, 2"
+)
+
 _PRICED = """
     select *, subtotal - discount_amount total_amount from (
-      select *, round(subtotal * cast(l_discount as decimal(9,4)), 2) discount_amount from (
+      select *, cast(round(subtotal * cast(l_discount as decimal(9,4)), 2) as decimal(18,2)) discount_amount from (
         select *, concat('EVT-', cast(l_orderkey as varchar), '-', cast(l_linenumber as varchar)) event_id,
           (l_partkey * 10000 + l_suppkey) * 100 + cast(l_quantity as bigint) kafka_offset,
-          cast(p_retailprice as decimal(18,2)) * cast(l_quantity as integer) subtotal
+          cast(cast(((cast(round(p_retailprice * 100) as bigint) * 10 + l_partkey % 10)
+            * cast(l_quantity as integer) + 5) // 10 as decimal(18,0)) * 0.01 as decimal(18,2)) subtotal
         from lineitem join part on l_partkey = p_partkey))"""
 
 _CHECKED = f"""
@@ -248,6 +266,21 @@ _CHECKED = f"""
         case when kafka_offset % 19 = 0 then 1.00 else total_amount end stored_total
       from ({_PRICED}))"""
 
+_SOLD = """product_id, product_name, category, revenue, units_sold, avg_order_value, order_count,
+  'products' kpi_type"""
+
+
+def _best_products(condition: str, limit: int) -> str:
+    """The leaders among all products that meet the condition."""
+    order = "revenue desc, product_id, product_name, category"
+    # Ids escape % and _; the given names hold neither.
+    return (
+        f"select {_SOLD}, concat('products_', product_id, '_', product_name, '_', category) id, "
+        f'"rank" from (select *, row_number() over (order by {order}) "rank" '
+        f'from products where {condition}) where "rank" <= {limit}'
+    )
+
+
 _HOURLY = """hour_bucket, region, revenue, order_count, avg_order_value, total_discounts,
   unique_customers, kpi_type"""
 _LEADER = """product_id, product_name, category, revenue, units_sold, avg_order_value, order_count,
@@ -273,6 +306,17 @@ def _rules_broken() -> str:
     )
 
 
+def _values_checked(name: str, **columns: tuple[str, tuple[str, ...]]) -> str:
+    parts = ", ".join(
+        f"case when {value} not in {str(allowed).replace(',)', ')')} then '{column}' end"
+        for column, (value, allowed) in columns.items()
+    )
+    return (
+        "select * from (select event_id, kafka_offset, kafka_partition, "
+        f"concat_ws(',', {parts}) wrong_values from raw_{name}) where wrong_values <> ''"
+    )
+
+
 def statements(buckets: tuple, as_of: str) -> dict[str, str]:
     """SQL by query name, without the common table expressions."""
     totals = "total_revenue, total_orders, avg_order_value, total_clicks, kpi_type"
@@ -302,10 +346,10 @@ def statements(buckets: tuple, as_of: str) -> dict[str, str]:
         "order by hour_bucket desc, region limit 48",
         "revenue_by_region": f"select {_HOURLY}, id from hourly_docs where region = 'EUROPE' "
         "order by hour_bucket desc, region limit 24",
-        "products_by_revenue": f"select {_LEADER} from leaders "
-        "order by revenue desc, product_id limit 5",
-        "products_by_category": f"select {_LEADER} from leaders where category = 'PROMO' "
-        "order by revenue desc, product_id limit 10",
+        "product_revenue": f"select {_SOLD} from products",
+        "products_by_revenue": _best_products("true", 5),
+        "products_by_category": _best_products("category = 'PROMO'", 10),
+        "products_top_50": _best_products("true", 50),
         "inventory_alerts": f"select {_SHELF}, id from shelf_docs where low_stock_alert "
         "order by coalesce(current_stock, 999), product_id, warehouse_id, product_name limit 50",
         "inventory_lowest": f"select {_SHELF}, id from shelf_docs "
@@ -322,19 +366,37 @@ def statements(buckets: tuple, as_of: str) -> dict[str, str]:
         f"union all select {_SHELF}, id from last_shelf_docs where low_stock_alert",
         "kpi_documents": "select 'hourly_revenue' kpi_type, id, "
         "strftime(hour_bucket, '%Y-%m-%dT%H:%M:%S') hour_bucket, region, revenue, order_count, "
-        "unique_customers from hourly_docs",
+        "avg_order_value, total_discounts, unique_customers from hourly_docs",
         "order_amounts": "select event_id, kafka_offset, cast(subtotal as double) subtotal, "
         "cast(discount_amount as double) discount_amount, cast(total_amount as double) total_amount "
         f"from ({_PRICED})",
         "order_amount_check": f"select * from ({_CHECKED}) "
         "where not (subtotal_ok and discount_ok and total_ok)",
         "low_stock_check": "select event_id, kafka_offset, stock_level, low_stock_alert "
-        "from raw_inventory where low_stock_alert is distinct from (stock_level < 50)",
+        "from raw_inventory where low_stock_alert is distinct from "
+        "(stock_level < coalesce(reorder_threshold, 50))",
+        "order_value_check": _values_checked(
+            "orders",
+            region=("trim(region)", REGIONS),
+            currency=("upper(trim(currency))", CURRENCIES),
+            payment_method=("lower(trim(payment_method))", PAYMENT_METHODS),
+            status=("lower(trim(status))", STATUSES),
+        ),
+        "click_value_check": _values_checked(
+            "clicks", region=("trim(region)", REGIONS), page=("lower(trim(page))", PAGES)
+        ),
+        "stock_value_check": _values_checked(
+            "inventory", action=("lower(trim(action))", ACTIONS)
+        ),
         "request_counts_5m": f"select {_windowed(5)}, count(*) requests from log group by 1, 2",
         "request_counts_sliding": "select window_start, window_start + interval '5 minutes' "
         "window_end, count(*) requests from (select time_bucket(interval '1 minute', ts) "
         "- to_minutes(cast(k as integer)) window_start from log, range(5) r(k)) group by 1, 2",
         "error_rate_5m": _ERROR_RATE,
+        "error_rate_sliding": _ERROR_RATE_SLIDING,
+        "latency_quantiles_sliding": _quantiles(buckets, _SLID),
+        "store_errors_band": "select *, case when requests >= 1 then 'red' else 'green' end band "
+        f"from (select {_windowed(5)}, count(*) requests from log where status = 500 group by 1, 2)",
         "error_band": "select *, case when error_pct >= 5 then 'red' when error_pct >= 1 then "
         f"'yellow' else 'green' end band from ({_ERROR_RATE})",
         "store_errors_5m": f"select {_windowed(5)}, count(*) requests from log "

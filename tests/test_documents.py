@@ -2,10 +2,12 @@ import json
 import random
 from datetime import date, datetime
 
+import pytest
 from factories import bronze
 from pyspark.sql import functions as F
 from pyspark.sql.types import Row
 
+from tillstream.operators.dedup import dedup_latest
 from tillstream.operators.documents import to_documents, upsert_kpis, with_doc_id
 from tillstream.operators.ingest import parse_events, to_records
 from tillstream.schemas import ORDERS
@@ -92,11 +94,12 @@ def test_upsert_fills_columns_of_either_side(spark):
     ]
 
 
-def test_upsert_joins_on_keys(spark):
+def test_upsert_is_one_exchange_without_join(spark):
     schema = "kpi_type string, id string, computed_at int"
     a, b = (spark.createDataFrame([("k", "1", n)], schema) for n in (1, 2))
     plan = upsert_kpis(a, b)._jdf.queryExecution().executedPlan().toString()
-    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert "Join" not in plan and "Cartesian" not in plan
+    assert plan.count("Exchange hashpartitioning") == 1
 
 
 def test_records_are_keyed_by_the_first_key_present(spark):
@@ -124,3 +127,8 @@ def test_published_records_read_back_as_events(spark, tmp_path):
     assert decoded.count() == 4
     assert decoded.distinct().exceptAll(events).count() == 0
     assert events.exceptAll(decoded).count() == 0
+
+
+def test_latest_needs_an_order(spark):
+    with pytest.raises(ValueError, match="order"):
+        dedup_latest(spark.range(3), "id")

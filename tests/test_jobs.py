@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tillstream.operators import kpis as K
 from tillstream.operators import serving
-from tillstream.plans.gold import load_kpis, run_gold, save_kpi
+from tillstream.plans.gold import expire_kpis, load_kpis, run_gold, save_kpi
 from tillstream.plans.silver import process_silver, run_silver
 from tillstream.schemas import KPI_SCHEMAS
 from tillstream.sources.tables import layer_path, quarantine_path, read_layer, read_table
@@ -84,6 +84,7 @@ def test_gold_tables_and_stored_kpis(spark, base, tmp_path):
         run_gold(spark, base, as_of=day, export=str(tmp_path / "export"))
     for kpi_type, rows in {
         "hourly_revenue": 2,
+        "products": 1,
         "top_products": 1,
         "conversion": 1,
         "inventory": 2,
@@ -129,3 +130,38 @@ def test_json_export_is_one_object_per_row(spark, base, tmp_path):
         for line in file.read_text().splitlines()
     ]
     assert {line["warehouse_id"]: line["current_stock"] for line in lines} == {"WH-01": 100, "WH-02": 3}
+
+
+def test_snapshots_forget_and_categories_see_all_products(spark, base):
+    def sold(day, *sales):
+        rows = [
+            {"product": (f"SKU-{n:02}", f"P{n}", "Toys" if n == 11 else "Home", 1.0), "total_amount": a}
+            for n, a in sales
+        ]
+        store(spark, base, "orders", *rows)
+        run_silver(spark, base)
+        run_gold(spark, base, as_of=day)
+        return load_kpis(spark, base)
+
+    kpis = sold(DAYS[0], *[(n, 100.0 - n) for n in range(12)])
+    toys = serving.get_products(kpis, category="Toys").collect()
+    assert [(r.product_id, r["rank"]) for r in toys] == [("SKU-11", 1)]
+    assert kpis["products"].count() == 12 and kpis["top_products"].count() == 10
+    assert serving.get_products(kpis, limit=50).count() == 12
+
+    kpis = sold(DAYS[1], *[(n, 10.0 + n) for n in range(20, 35)])
+    assert sorted(r["rank"] for r in kpis["top_products"].collect()) == list(range(1, 11))
+    leaders = serving.get_products(kpis, limit=50).collect()
+    assert [r.product_id for r in leaders] == [f"SKU-{n}" for n in range(34, 19, -1)]
+
+
+def test_old_versions_expire(spark, base):
+    run_silver(spark, base)
+    for _ in range(4):
+        run_gold(spark, base, as_of=DAYS[0])
+    before = {name: df.collect() for name, df in load_kpis(spark, base).items()}
+    assert expire_kpis(spark, base, keep=2) == 2 * len(before)
+    assert expire_kpis(spark, base, keep=2) == 0
+    assert {name: df.collect() for name, df in load_kpis(spark, base).items()} == before
+    with pytest.raises(ValueError):
+        expire_kpis(spark, base, keep=0)

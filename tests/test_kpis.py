@@ -63,6 +63,32 @@ def test_money_is_added_exactly(spark):
     assert (row.revenue, row.order_count, row.avg_order_value) == (None, 1000, None)
 
 
+def test_amounts_are_rounded_after_the_sum(spark):
+    small = order_rows(spark, 10).withColumn("total_amount", F.lit(0.004))
+    assert K.hourly_revenue(small).first().revenue == 0.04
+    amounts = [1e17, float("inf"), 10.0]
+    large = orders(spark, *[{"total_amount": a} for a in amounts])
+    row = K.hourly_revenue(large).first()
+    assert (row.revenue, row.order_count) == (1e17 + 10, 3)
+    assert row.avg_order_value == 5e16 + 5
+
+
+def test_one_mean_in_all_kpis(spark):
+    rows = orders(spark, {"total_amount": 10.0}, *[{"total_amount": float("nan")}] * 2)
+    hour = K.hourly_revenue(rows).first()
+    product = K.product_revenue(rows).first()
+    whole = K.summary(rows, clicks(spark, {}), as_of=DAY).first()
+    assert {hour.avg_order_value, product.avg_order_value, whole.avg_order_value} == {10.0}
+    assert (whole.total_revenue, whole.total_orders) == (10.0, 3)
+
+
+def test_customers_are_estimated_only_when_asked(spark):
+    rows = order_rows(spark, 3000).withColumn("customer_id", F.col("event_id"))
+    assert K.hourly_revenue(rows).first().unique_customers == 3000
+    estimate = K.hourly_revenue(rows, estimate_customers=True).first().unique_customers
+    assert abs(estimate - 3000) < 450
+
+
 def test_top_products_breaks_ties_by_key(spark):
     rows = orders(
         spark,
@@ -136,6 +162,31 @@ def test_inventory_status_and_latest(spark):
     assert [tuple(r) for r in latest.collect()] == [("WH-01", 90, 50, False), ("WH-02", 1, 50, False)]
 
 
+def test_latest_stock_orders_moments_exactly(spark):
+    moments = [
+        (None, 10**16 - 1, 10**6 - 1),
+        ("1900-01-01T00:00:00Z", 0, 0),
+        ("2026-01-01T00:00:00.000001Z", 9 * 10**15, 5),
+        ("2026-01-01T00:00:00.000002Z", 3, 999_999),
+        ("2026-01-01T00:00:00.000002Z", 4, 0),
+        ("2026-01-01T00:00:00.000002Z", 4, 1),
+        ("2286-01-01T00:00:00Z", None, None),
+    ]
+    for count in range(1, len(moments) + 1):
+        rows = bronze(
+            spark,
+            "inventory",
+            *[
+                {"stock_level": k, "timestamp": t, "kafka_offset": o, "kafka_partition": p}
+                for k, (t, o, p) in enumerate(moments[:count])
+            ],
+        )
+        latest = K.inventory_latest(clean_inventory(rows.repartition(4))[0])
+        assert latest.first().current_stock == count - 1
+    plan = plan_of(latest)
+    assert "SortAggregate" not in plan and "max_by" in plan
+
+
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 

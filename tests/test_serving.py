@@ -40,7 +40,7 @@ def kpis(spark):
     ]
     tables = {
         "hourly_revenue": frame(spark, "hourly_revenue", hourly).drop("id"),
-        "top_products": frame(spark, "top_products", products).drop("id"),
+        "products": frame(spark, "products", products).drop("id"),
         "inventory": frame(spark, "inventory", stock).drop("id"),
         "conversion": frame(spark, "conversion", [{"total_clicks": 5}]).drop("id"),
         "summary": frame(spark, "summary", summaries),
@@ -78,6 +78,7 @@ def test_products(kpis):
     assert revenues[0] == 29.0
     toys = serving.get_products(kpis, category="Toys", limit=50).collect()
     assert len(toys) == 30 and {r.category for r in toys} == {"Toys"}
+    assert [r["rank"] for r in toys] == list(range(1, 31))
     for limit in (0, 51):
         with pytest.raises(ValueError):
             serving.get_products(kpis, limit=limit)
@@ -102,6 +103,9 @@ def test_query_and_item(kpis):
     rows = serving.query_kpis(kpis, "inventory", {"low_stock_alert": False}).collect()
     assert len(rows) == 40 and [r.id for r in rows] == sorted(r.id for r in rows)
     assert serving.query_kpis(kpis, "hourly_revenue").count() == 100
+    for limit in (0, -1, 1001):
+        with pytest.raises(ValueError):
+            serving.query_kpis(kpis, "inventory", limit=limit)
     hour = serving.get_item(kpis, "hourly_revenue_2026-01-02T03:00:00_Europe", "hourly_revenue")
     assert [r.revenue for r in hour.collect()] == [0.0]
     assert serving.get_item(kpis, "nothing", "summary").count() == 0
@@ -125,3 +129,10 @@ def test_envelope_keeps_the_page_order(kpis):
 def test_reads_keep_only_the_wanted_rows(kpis):
     plan = serving.get_revenue(kpis)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan
+
+
+def test_envelope_refuses_more_than_a_page(spark):
+    page = spark.range(1001)
+    with pytest.raises(Exception, match="1000 rows at most"):
+        serving.envelope(page).collect()
+    assert serving.envelope(page.limit(1000)).first()["count"] == 1000

@@ -1,3 +1,5 @@
+import math
+
 from tillstream import session
 
 
@@ -11,7 +13,8 @@ def test_shuffles_grow_with_the_input(spark, tmp_path):
         wanted = session.size_shuffles(spark, rows, rows, per_partition=10_000)
         assert wanted > int(before)
         assert spark.conf.get("spark.sql.shuffle.partitions") == str(wanted)
-        assert session.size_shuffles(spark, rows, per_partition=1, most=wanted + 5) == wanted + 5
+        many = session.size_shuffles(spark, rows, per_partition=1)
+        assert many == math.ceil(session.planned_bytes(rows)) > 100_000
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
 

@@ -126,7 +126,7 @@ def test_hourly_revenue_on_a_stream(spark, tmp_path):
     records = read_topic(spark, "orders", "parquet", str(tmp_path / "topics/orders"))
     orders = to_bronze(records, ORDERS).withColumn("event_ts", F.to_timestamp("timestamp"))
     query = (
-        K.hourly_revenue(orders)
+        K.hourly_revenue(orders, estimate_customers=True)
         .writeStream.format("memory")
         .queryName("hourly")
         .outputMode("complete")

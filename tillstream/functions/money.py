@@ -1,8 +1,9 @@
 """Money and rates: decimal sums, half-up rounding at two places.
 
 Double sums depend on the order in which partitions are merged, so amounts are
-added up as decimals. A value that has no decimal form (NaN, infinite, more than
-16 integer digits) becomes NULL and stays out of the sum.
+added up as decimals, at eight places, and rounded once, after the sum. A value that
+has no decimal form (NaN, infinite, 1e20 and more) becomes NULL and stays out of sum
+and mean; the silver job counts such amounts.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY_TYPE = "decimal(18,2)"
+MONEY_TYPE = "decimal(28,8)"
 
 
 def money(column: str | Column) -> Column:
@@ -18,11 +19,17 @@ def money(column: str | Column) -> Column:
     return column.try_cast(MONEY_TYPE)
 
 
+def no_decimal_form(column: str) -> Column:
+    """Whether an amount is there but cannot be added up."""
+    return F.col(column).isNotNull() & money(column).isNull()
+
+
 def money_sum(column: str) -> Column:
-    return F.sum(money(column)).cast("double")
+    return F.round(F.sum(money(column)), 2).cast("double")
 
 
 def money_mean(column: str) -> Column:
+    """Over the amounts that have a decimal form, as the sum is."""
     return F.round(F.sum(money(column)) / F.count(money(column)), 2).cast("double")
 
 

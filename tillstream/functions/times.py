@@ -9,8 +9,12 @@ from pyspark.sql import functions as F
 
 
 def event_time(column: str) -> Column:
-    """ISO-8601 text to a timestamp; NULL, not a failed job, when it cannot be read."""
-    return F.try_to_timestamp(F.col(column))
+    """ISO-8601 text to a timestamp; NULL, not a failed job, when it cannot be read.
+
+    Text without a full date is not read: a bare time would mean the day of the run.
+    """
+    dated = F.col(column).rlike(r"^\s*\d{4,}-\d{1,2}-\d{1,2}")
+    return F.when(dated, F.try_to_timestamp(F.col(column)))
 
 
 def processing_time(at: datetime | None = None) -> Column:

@@ -7,15 +7,21 @@ from pyspark.sql import functions as F
 
 from tillstream.functions.money import money
 
+# Fixed value: the threshold of a stock update that names none.
 LOW_STOCK_BELOW = 50
+# Leaves room for the product with a quantity at full precision.
+PRICE_TYPE = "decimal(24,8)"
 
 
 def _subtotal() -> Column:
-    return F.round(money("product.unit_price") * F.col("quantity"), 2)
+    """Price by quantity at full precision, rounded once."""
+    return F.round(F.col("product.unit_price").try_cast(PRICE_TYPE) * F.col("quantity"), 2)
 
 
 def _discount(subtotal: Column) -> Column:
-    return F.round(subtotal * F.col("discount_pct").try_cast("decimal(9,4)"), 2)
+    return F.round(
+        subtotal.cast("decimal(28,2)") * F.col("discount_pct").try_cast("decimal(9,4)"), 2
+    )
 
 
 def derive_order_amounts(orders: DataFrame) -> DataFrame:
@@ -47,12 +53,16 @@ def check_amounts(orders: DataFrame) -> DataFrame:
     return orders.withColumns(flags).filter(wrong)
 
 
+def _low(below: int) -> Column:
+    threshold = F.coalesce(F.col("reorder_threshold"), F.lit(below))
+    return F.col("stock_level") < threshold
+
+
 def derive_low_stock(inventory: DataFrame, below: int = LOW_STOCK_BELOW) -> DataFrame:
-    """Set the alert the stock level implies."""
-    return inventory.withColumn("low_stock_alert", F.col("stock_level") < F.lit(below))
+    """Set the alert: stock under the update's own threshold, or ``below`` without one."""
+    return inventory.withColumn("low_stock_alert", _low(below))
 
 
 def check_low_stock(inventory: DataFrame, below: int = LOW_STOCK_BELOW) -> DataFrame:
-    """Stock updates whose alert is not the one their level implies."""
-    implied = F.col("stock_level") < F.lit(below)
-    return inventory.filter(~F.col("low_stock_alert").eqNullSafe(implied))
+    """Stock updates whose alert is not the one their level and threshold imply."""
+    return inventory.filter(~F.col("low_stock_alert").eqNullSafe(_low(below)))

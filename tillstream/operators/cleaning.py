@@ -6,7 +6,7 @@ carries bronze columns only.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 
 from tillstream.functions.text import standard_text
 from tillstream.functions.times import event_time, processing_time
-from tillstream.operators.dedup import dedup_latest
+from tillstream.operators.dedup import RECORD_ORDER, dedup_latest
 from tillstream.operators.validation import split_valid
 from tillstream.schemas import CLICKS, INVENTORY, ORDERS, EventSpec
 
+# Fixed value: the order total from which an order counts as high.
 HIGH_VALUE_FROM = 200.0
 
 
@@ -46,9 +47,11 @@ def absolute_page_time(df: DataFrame) -> DataFrame:
     return df.withColumn("time_on_page_sec", seconds.try_cast("int"))
 
 
-def _clean(bronze: DataFrame, spec: EventSpec, strict: bool, detail: bool):
+def _clean(
+    bronze: DataFrame, spec: EventSpec, strict: bool, detail: bool, order: Sequence[str]
+) -> tuple[DataFrame, DataFrame]:
     valid, rejected = split_valid(bronze, spec, strict, detail)
-    silver = standardise(dedup_latest(valid.drop("_raw")), spec.text_rules)
+    silver = standardise(dedup_latest(valid.drop("_raw"), order=order), spec.text_rules)
     return silver.withColumn("event_ts", event_time("timestamp")), rejected
 
 
@@ -57,25 +60,32 @@ def clean_orders(
     strict: bool = False,
     detail: bool = False,
     high_value: float = HIGH_VALUE_FROM,
+    order: Sequence[str] = RECORD_ORDER,
 ) -> tuple[DataFrame, DataFrame]:
     """Silver orders and the quarantined rest."""
-    silver, rejected = _clean(bronze, ORDERS, strict, detail)
+    silver, rejected = _clean(bronze, ORDERS, strict, detail, order)
     return stamp(enrich_orders(silver, high_value), "silver_processed_at"), rejected
 
 
 def clean_clicks(
-    bronze: DataFrame, strict: bool = False, detail: bool = False
+    bronze: DataFrame,
+    strict: bool = False,
+    detail: bool = False,
+    order: Sequence[str] = RECORD_ORDER,
 ) -> tuple[DataFrame, DataFrame]:
     """Silver clicks and the quarantined rest."""
-    silver, rejected = _clean(bronze, CLICKS, strict, detail)
+    silver, rejected = _clean(bronze, CLICKS, strict, detail, order)
     return stamp(absolute_page_time(silver), "silver_processed_at"), rejected
 
 
 def clean_inventory(
-    bronze: DataFrame, strict: bool = False, detail: bool = False
+    bronze: DataFrame,
+    strict: bool = False,
+    detail: bool = False,
+    order: Sequence[str] = RECORD_ORDER,
 ) -> tuple[DataFrame, DataFrame]:
     """Silver inventory updates and the quarantined rest."""
-    silver, rejected = _clean(bronze, INVENTORY, strict, detail)
+    silver, rejected = _clean(bronze, INVENTORY, strict, detail, order)
     return stamp(silver, "silver_processed_at"), rejected
 
 

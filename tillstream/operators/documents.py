@@ -64,11 +64,11 @@ def upsert_kpis(
     """Existing rows, replaced by or joined with the updates of the same key.
 
     When several updates share a key the last in ``order`` wins, and the greatest
-    row among equals. Columns either side lacks are NULL in its rows.
+    row among equals. Columns either side lacks are NULL in its rows. Both sides go
+    through one exchange, on the keys; neither is computed twice.
     """
+    both = existing.withColumn("_fresh", F.lit(0)).unionByName(
+        updates.withColumn("_fresh", F.lit(1)), allowMissingColumns=True
+    )
     rest = [c for c in updates.columns if c not in keys and c not in order]
-    newest = dedup_latest(updates, keys, [*order, *rest])
-    replaced = updates.select(*[F.col(k).alias(f"_{k}") for k in keys])
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    untouched = existing.join(replaced, same, "left_anti")
-    return untouched.unionByName(newest, allowMissingColumns=True)
+    return dedup_latest(both, keys, ["_fresh", *order, *rest]).drop("_fresh")

@@ -12,10 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tillstream.functions.money import money, money_mean, money_sum, percent
+from tillstream.functions.money import MONEY_TYPE, money, money_mean, money_sum, percent
 from tillstream.functions.times import processing_time
 from tillstream.operators.cleaning import stamp
 
+# Fixed value: how many products lead.
 TOP_PRODUCTS = 10
 
 
@@ -28,13 +29,15 @@ def _tagged(kpi: DataFrame, kpi_type: str, at: datetime | None) -> DataFrame:
     return stamp(kpi.withColumn("kpi_type", F.lit(kpi_type)), "computed_at", at)
 
 
-def hourly_revenue(orders: DataFrame, computed_at: datetime | None = None) -> DataFrame:
+def hourly_revenue(
+    orders: DataFrame, computed_at: datetime | None = None, estimate_customers: bool = False
+) -> DataFrame:
     """Revenue, orders, mean order, discounts and distinct customers per hour and region.
 
-    A stream cannot count distinct values exactly, so there the customers are
-    estimated; batch counts are exact.
+    Customers are counted exactly, which a stream cannot do: there
+    ``estimate_customers`` must be set, for an approximate count under the same name.
     """
-    distinct = F.approx_count_distinct if orders.isStreaming else F.count_distinct
+    distinct = F.approx_count_distinct if estimate_customers else F.count_distinct
     hour = F.date_trunc("hour", F.col("event_ts")).alias("hour_bucket")
     kpi = (
         completed(orders)
@@ -50,13 +53,8 @@ def hourly_revenue(orders: DataFrame, computed_at: datetime | None = None) -> Da
     return _tagged(kpi, "hourly_revenue", computed_at)
 
 
-def top_products(
-    orders: DataFrame, n: int = TOP_PRODUCTS, computed_at: datetime | None = None
-) -> DataFrame:
-    """The ``n`` products with the highest revenue, ranked; ties go by product keys."""
-    keys = ("product_id", "product_name", "category")
-    leaders_first = [F.col("revenue").desc_nulls_last(), *keys]
-    leaders = (
+def _product_sales(orders: DataFrame) -> DataFrame:
+    return (
         completed(orders)
         .groupBy(
             F.col("product.id").alias("product_id"),
@@ -69,12 +67,27 @@ def top_products(
             money_mean("total_amount").alias("avg_order_value"),
             F.count("order_id").alias("order_count"),
         )
-        .orderBy(*leaders_first)
-        .limit(n)
     )
+
+
+def product_revenue(orders: DataFrame, computed_at: datetime | None = None) -> DataFrame:
+    """Revenue, units and orders of every product."""
+    return _tagged(_product_sales(orders), "products", computed_at)
+
+
+def rank_products(products: DataFrame, n: int) -> DataFrame:
+    """The ``n`` products with the highest revenue, ranked; ties go by product keys."""
+    leaders_first = [F.desc_nulls_last("revenue"), "product_id", "product_name", "category"]
+    leaders = products.orderBy(*leaders_first).limit(n)
     # At most n rows are left here, already in one partition.
-    ranked = leaders.withColumn("rank", F.row_number().over(Window.orderBy(*leaders_first)))
-    return _tagged(ranked, "top_products", computed_at)
+    return leaders.withColumn("rank", F.row_number().over(Window.orderBy(*leaders_first)))
+
+
+def top_products(
+    orders: DataFrame, n: int = TOP_PRODUCTS, computed_at: datetime | None = None
+) -> DataFrame:
+    """The ``n`` leading products."""
+    return _tagged(rank_products(_product_sales(orders), n), "top_products", computed_at)
 
 
 def _counted(rows: DataFrame, **measures: Column) -> DataFrame:
@@ -123,21 +136,31 @@ def inventory_status(inventory: DataFrame, computed_at: datetime | None = None)
 
 
 def inventory_latest(inventory: DataFrame, computed_at: datetime | None = None) -> DataFrame:
-    """The same columns as `inventory_status`, taken from each shelf's last update."""
-    reading = F.struct("stock_level", "reorder_threshold", "low_stock_alert")
-    moment = F.struct("event_ts", "kafka_offset", "kafka_partition")
-    latest = inventory.groupBy("product_id", "product_name", "warehouse_id").agg(
-        F.max_by(reading, moment).alias("last")
+    """The same columns as `inventory_status`, taken from each shelf's last update.
+
+    An offset of 1e16 or a partition number of 1e6 and more fails the job.
+    """
+    # One number per moment: with a sort key of fixed width the rows are aggregated by
+    # hash. It holds 16 digits of microseconds, 16 of the offset, 6 of the partition.
+    digits = "decimal(38,0)"
+    moment = (
+        F.coalesce(F.unix_micros("event_ts"), F.lit(-(10**16) + 1)).cast("decimal(16,0)")
+        * F.lit("1" + "0" * 22).cast("decimal(23,0)")
+    ).cast(digits) + (
+        F.coalesce(F.col("kafka_offset"), F.lit(0)).cast("decimal(16,0)")
+        * F.lit(10**6).cast("decimal(7,0)")
+        + F.coalesce(F.col("kafka_partition"), F.lit(0)).cast("decimal(6,0)")
+    ).cast(digits)
+    keys = ["product_id", "product_name", "warehouse_id"]
+    timed = inventory.select(
+        *keys, "stock_level", "reorder_threshold", "low_stock_alert", moment.alias("_moment")
     )
-    kpi = latest.select(
-        "product_id",
-        "product_name",
-        "warehouse_id",
-        F.col("last.stock_level").alias("current_stock"),
-        "last.reorder_threshold",
-        "last.low_stock_alert",
+    latest = timed.groupBy(*keys).agg(
+        F.max_by("stock_level", "_moment").alias("current_stock"),
+        F.max_by("reorder_threshold", "_moment").alias("reorder_threshold"),
+        F.max_by("low_stock_alert", "_moment").alias("low_stock_alert"),
     )
-    return _tagged(kpi, "inventory", computed_at)
+    return _tagged(latest, "inventory", computed_at)
 
 
 def summary(
@@ -149,20 +172,23 @@ def summary(
     """Revenue, orders, mean order and clicks over everything, in one row per day."""
     one, none = F.lit(1), F.lit(None).cast("int")
     sold = _counted(completed(orders), amount=money("total_amount"), sale=one, click=none)
-    no_amount = F.lit(None).cast("decimal(18,2)")
+    no_amount = F.lit(None).cast(MONEY_TYPE)
     clicked = _counted(clicks, amount=no_amount, sale=none, click=one)
     totals = sold.unionByName(clicked).agg(
-        F.coalesce(F.sum("amount"), F.lit(0).cast("decimal(28,2)")).alias("revenue"),
+        F.sum("amount").alias("revenue"),
+        F.count("amount").alias("amounts"),
         F.count("sale").alias("total_orders"),
         F.count("click").alias("total_clicks"),
     )
     day = processing_time(as_of)
-    mean = F.round(F.col("revenue") / F.col("total_orders"), 2).cast("double")
+    # The mean is over the amounts that were added up, as in the other KPIs.
+    mean = F.round(F.col("revenue") / F.col("amounts"), 2).cast("double")
+    revenue = F.round("revenue", 2).cast("double")
     kpi = totals.select(
         F.concat(F.lit("summary_"), F.date_format(day, "yyyyMMdd")).alias("id"),
-        F.col("revenue").cast("double").alias("total_revenue"),
+        F.coalesce(revenue, F.lit(0.0)).alias("total_revenue"),
         "total_orders",
-        F.when(F.col("total_orders") > 0, mean).otherwise(F.lit(0.0)).alias("avg_order_value"),
+        F.when(F.col("amounts") > 0, mean).otherwise(F.lit(0.0)).alias("avg_order_value"),
         "total_clicks",
         F.date_format(day, "yyyy-MM-dd").alias("computed_date"),
     )

@@ -2,7 +2,8 @@
 
 Each works on a table, and on a stream when ``late`` gives the watermark delay.
 All of them are plain grouped sums, so tasks reduce their rows to one per group
-before anything is shuffled.
+before anything is shuffled. Overlapping windows of a table are counted by slide step
+first; only the counts of the steps are copied into each window they are part of.
 
 Counts are exact counts of log rows. A dashboard that derives them from scraped
 counters extrapolates between scrapes; that is not reproduced.
@@ -23,12 +24,37 @@ ERROR_RATE_STEPS = ((0, "green"), (1, "yellow"), (5, "red"))
 STORE_ERROR_STEPS = ((0, "green"), (1, "red"))
 
 
+_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+
+
+def _seconds(length: str) -> int | None:
+    """``5 minutes`` in seconds; None for anything but a whole number of one unit."""
+    number, _, unit = length.strip().partition(" ")
+    size = _SECONDS.get(unit.strip().lower().removesuffix("s"))
+    return int(number) * size if size and number.isdigit() else None
+
+
 def _per_window(
-    log: DataFrame, window: str, by: Sequence[str], slide: str | None, late: str | None
-):
+    log: DataFrame,
+    window: str,
+    by: Sequence[str],
+    slide: str | None,
+    late: str | None,
+    counts: Mapping[str, Column],
+) -> DataFrame:
+    """``counts`` (each a count of rows) per window and further columns."""
+    measures = [count.alias(name) for name, count in counts.items()]
+    whole, step = _seconds(window), _seconds(slide or window)
+    stepwise = whole and step and whole > step and whole % step == 0
     if late is not None:
         log = log.withWatermark("ts", late)
-    return log.groupBy(F.window("ts", window, slide or window).alias("window"), *by)
+    if log.isStreaming or not stepwise:
+        windows = F.window("ts", window, slide or window).alias("window")
+        return log.groupBy(windows, *by).agg(*measures)
+    steps = log.groupBy(F.window("ts", slide).alias("_step"), *by).agg(*measures)
+    steps = steps.select(F.col("_step.start").alias("_at"), *by, *counts)
+    windows = F.window("_at", window, slide).alias("window")
+    return steps.groupBy(windows, *by).agg(*[F.sum(name).alias(name) for name in counts])
 
 
 def _flat(rollup: DataFrame) -> DataFrame:
@@ -46,17 +72,17 @@ def request_counts(
     late: str | None = None,
 ) -> DataFrame:
     """Requests per window and, if given, per further columns."""
-    grouped = _per_window(log, window, by, slide, late)
-    return _flat(grouped.agg(F.count("*").alias("requests")))
+    return _flat(_per_window(log, window, by, slide, late, {"requests": F.count("*")}))
 
 
 def error_rate(
     log: DataFrame, window: str = "5 minutes", slide: str | None = None, late: str | None = None
 ) -> DataFrame:
     """Share of 5xx responses per window, in percent."""
-    failed = F.count_if(F.col("status").between(500, 599))
-    rate = (failed / F.count("*") * 100).alias("error_pct")
-    return _flat(_per_window(log, window, (), slide, late).agg(rate))
+    counts = {"failed": F.count_if(F.col("status").between(500, 599)), "requests": F.count("*")}
+    counted = _per_window(log, window, (), slide, late, counts)
+    rate = F.col("failed") / F.col("requests") * 100
+    return _flat(counted.select("window", rate.alias("error_pct")))
 
 
 def request_rate(
@@ -99,11 +125,11 @@ def classify(
     return df.withColumn(into, F.when(value.isNotNull(), label))
 
 
-def _cumulative(buckets: Sequence[float]) -> list[Column]:
+def _bucket_counts(buckets: Sequence[float]) -> dict[str, Column]:
     """Rows at or under each bound, then all measured rows (the +Inf bucket)."""
     duration = F.col("duration_sec")
     under = [F.count_if(duration <= F.lit(float(le))) for le in buckets]
-    return [*under, F.count(duration)]
+    return {f"_le{i}": n for i, n in enumerate([*under, F.count(duration)])}
 
 
 def latency_histogram(
@@ -115,14 +141,13 @@ def latency_histogram(
 ) -> DataFrame:
     """Cumulative latency buckets, one row per window and bound ``le``."""
     bounds = [*map(float, buckets), float("inf")]
-    counts = F.array(
-        *[
-            F.struct(F.lit(le).alias("le"), n.alias("requests"))
-            for le, n in zip(bounds, _cumulative(buckets))
-        ]
-    )
-    wide = _per_window(log, window, (), slide, late).agg(counts.alias("bucket"))
-    return _flat(wide.select("window", F.inline("bucket")))
+    counts = _bucket_counts(buckets)
+    wide = _per_window(log, window, (), slide, late, counts)
+    rows = [
+        F.struct(F.lit(le).alias("le"), F.col(name).alias("requests"))
+        for le, name in zip(bounds, counts)
+    ]
+    return _flat(wide.select("window", F.inline(F.array(*rows))))
 
 
 def _quantile_from(counts: Sequence[str], buckets: Sequence[float], q: float) -> Column:
@@ -154,10 +179,9 @@ def latency_quantiles(
 
     A window keeps one count per bucket, however many requests it has.
     """
-    names = [f"_le{i}" for i in range(len(buckets) + 1)]
-    counted = _per_window(log, window, (), slide, late).agg(
-        *[n.alias(name) for n, name in zip(_cumulative(buckets), names)]
-    )
+    counts = _bucket_counts(buckets)
+    names = list(counts)
+    counted = _per_window(log, window, (), slide, late, counts)
     labelled: Mapping[str, Column] = {
         f"p{100 * q:g}".replace(".", "_"): _quantile_from(names, buckets, q) for q in qs
     }

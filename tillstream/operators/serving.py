@@ -14,10 +14,14 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillstream.operators.kpis import rank_products
+
 Kpis = Mapping[str, DataFrame]
 
 # The stock an item without a stock level sorts by.
 MISSING_STOCK = 999
+# The most rows a read by type, or an envelope, returns.
+MOST_ROWS = 1000
 
 
 def _bounded(limit: int, most: int) -> int:
@@ -45,12 +49,13 @@ def get_revenue(kpis: Kpis, region: str | None = None, limit: int = 48) -> DataF
 
 
 def get_products(kpis: Kpis, category: str | None = None, limit: int = 10) -> DataFrame:
-    """The leading products by revenue, optionally of one category."""
+    """The leading products by revenue, optionally of one category.
+
+    Every product is considered; ``rank`` is the place among those asked for.
+    """
     limit = _bounded(limit, 50)
-    rows = _where_equal(kpis["top_products"], {"category": category} if category else {})
-    return rows.orderBy(
-        F.desc_nulls_last("revenue"), "product_id", "product_name", "category"
-    ).limit(limit)
+    rows = _where_equal(kpis["products"], {"category": category} if category else {})
+    return rank_products(rows, limit)
 
 
 def get_conversion(kpis: Kpis) -> DataFrame:
@@ -81,6 +86,7 @@ def query_kpis(
     kpis: Kpis, kpi_type: str, where: Mapping[str, Any] | None = None, limit: int = 100
 ) -> DataFrame:
     """Rows of one KPI type that equal the given values, by id."""
+    limit = _bounded(limit, MOST_ROWS)
     return _where_equal(kpis[kpi_type], where or {}).orderBy("id").limit(limit)
 
 
@@ -92,10 +98,14 @@ def get_item(kpis: Kpis, item_id: str, kpi_type: str) -> DataFrame:
 def envelope(page: DataFrame, **echo: Any) -> DataFrame:
     """A page of rows as one row: status, count, the echoed filters and the data.
 
-    Only for pages: the output of a read above, already sorted and limited.
+    For the output of a read above, sorted and limited. A longer frame than any read
+    returns is an error, found before its rows are gathered.
     """
-    # A sorted and limited page is one partition, so this id is the row's position.
-    placed = page.withColumn("_at", F.monotonically_increasing_id())
+    page = page.limit(MOST_ROWS + 1)
+    # A limited page is one partition, so this id is the row's position.
+    place = F.monotonically_increasing_id()
+    longer = F.raise_error(F.lit(f"an envelope holds {MOST_ROWS} rows at most")).cast("bigint")
+    placed = page.withColumn("_at", F.when(place >= MOST_ROWS, longer).otherwise(place))
     rows = F.array_sort(F.collect_list(F.struct("_at", F.struct(*page.columns).alias("row"))))
     filters: list[Column] = [F.lit(value).alias(name) for name, value in echo.items()]
     return placed.agg(F.count("*").alias("count"), rows.alias("rows")).select(

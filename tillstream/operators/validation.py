@@ -14,7 +14,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillstream.functions.text import is_blank
+from tillstream.functions.text import is_blank, standard_text
 from tillstream.schemas import EventSpec
 
 
@@ -69,3 +69,33 @@ def split_valid(
     events: DataFrame, spec: EventSpec, strict: bool = False, detail: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     return valid_rows(events, spec, strict), quarantined_rows(events, spec, strict, detail)
+
+
+def check_values(events: DataFrame, spec: EventSpec) -> DataFrame:
+    """Events with a value outside the set its column may have.
+
+    ``wrong_values`` names the columns. Values are compared in their standard form; a
+    missing value is a matter of the required columns, not of this check.
+    """
+    wrong = F.array_compact(
+        F.array(
+            *[
+                F.when(~standard_text(name, spec.text_rules[name]).isin(*allowed), F.lit(name))
+                for name, allowed in spec.allowed.items()
+            ]
+        )
+    )
+    return events.withColumn("wrong_values", wrong).filter(F.size("wrong_values") > 0)
+
+
+def layer_counts(bronze: DataFrame, spec: EventSpec, strict: bool = False) -> DataFrame:
+    """Rows of each layer in one pass: bronze = valid + quarantine, silver without copies."""
+    rules = rules_for(spec, strict)
+    valid = reduce(and_, (rule.holds for rule in rules))
+    # One row per event id and task before the shuffle, whatever the number of copies.
+    return bronze.select("event_id", valid.alias("ok")).agg(
+        F.count("*").alias("bronze_rows"),
+        F.count_if("ok").alias("valid_rows"),
+        F.count_if(~F.col("ok")).alias("quarantine_rows"),
+        F.count_distinct(F.when(F.col("ok"), F.col("event_id"))).alias("silver_rows"),
+    )

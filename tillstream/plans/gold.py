@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tillstream import session
 from tillstream.operators import kpis as K
 from tillstream.operators.documents import upsert_kpis, with_doc_id
-from tillstream.schemas import KPI_SCHEMAS
+from tillstream.schemas import KPI_SCHEMAS, SNAPSHOT_KPIS
 from tillstream.sources.tables import DEFAULT_FORMAT, layer_path, read_layer, read_table
 
 KPI_TYPES = tuple(KPI_SCHEMAS)
@@ -30,6 +30,7 @@ def build_kpis(
     stock = K.inventory_latest if latest_stock else K.inventory_status
     return {
         "hourly_revenue": K.hourly_revenue(orders, as_of),
+        "products": K.product_revenue(orders, as_of),
         "top_products": K.top_products(orders, computed_at=as_of),
         "conversion": K.conversion_funnel(orders, clicks, as_of),
         "inventory": stock(inventory, as_of),
@@ -92,9 +93,14 @@ def load_kpis(
 def save_kpi(
     spark: SparkSession, base: str, kpi_type: str, updates: DataFrame, fmt: str = DEFAULT_FORMAT
 ) -> None:
-    """Upsert one KPI's rows into its stored table. One writer at a time per KPI."""
-    existing = load_kpis(spark, base, fmt, [kpi_type])[kpi_type]
-    merged = upsert_kpis(existing, with_doc_id(updates, kpi_type))
+    """Bring one KPI's stored table up to date. One writer at a time per KPI.
+
+    Rows of the dated KPIs are upserted; a KPI that describes the present is replaced,
+    so what has left it is gone.
+    """
+    merged = with_doc_id(updates, kpi_type)
+    if kpi_type not in SNAPSHOT_KPIS:
+        merged = upsert_kpis(load_kpis(spark, base, fmt, [kpi_type])[kpi_type], merged)
     version = time.time_ns() // 1000
     folder = f"v{version}"
     path = layer_path(base, "kpis", f"{kpi_type}/{folder}")
@@ -103,6 +109,28 @@ def save_kpi(
     line.coalesce(1).write.mode("append").json(_versions_path(base, kpi_type))
 
 
+def expire_kpis(
+    spark: SparkSession, base: str, keep: int = 3, kpi_types: Iterable[str] = KPI_TYPES
+) -> int:
+    """Delete all but the ``keep`` newest versions of each stored KPI; returns how many.
+
+    A version that a running read may still use must be among those kept.
+    """
+    if keep < 1:
+        raise ValueError(f"at least the current version stays, got keep={keep}")
+    gone = 0
+    for name in kpi_types:
+        if _current_path(spark, base, name) is None:
+            continue
+        versions = spark.read.schema("version long, folder string").json(_versions_path(base, name))
+        rows = versions.orderBy(F.desc("version"), F.desc("folder")).collect()
+        for row in rows[keep:]:
+            path = spark._jvm.org.apache.hadoop.fs.Path(layer_path(base, "kpis", f"{name}/{row.folder}"))
+            files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+            gone += bool(files.exists(path) and files.delete(path, True))
+    return gone
+
+
 def run_gold(
     spark: SparkSession,
     base: str,
@@ -111,14 +139,19 @@ def run_gold(
     latest_stock: bool = False,
     export: str | None = None,
 ) -> None:
-    """Compute all KPIs, replace the gold tables and upsert the stored KPIs.
+    """Compute all KPIs, replace the gold tables and bring the stored KPIs up to date.
 
-    Each KPI is computed once: the upsert reads the gold table just written.
+    Each KPI is computed once: the stored table is made from the gold table just
+    written, and the leading products from the table of all products.
     """
     silver = [read_layer(spark, base, "silver", n, fmt) for n in ("orders", "clicks", "inventory")]
     # Shuffles carry groups, not rows, once tasks have aggregated their share.
     session.size_shuffles(spark, *silver, per_partition=512 * session.MIB)
     for kpi_type, kpi in build_kpis(*silver, as_of=as_of, latest_stock=latest_stock).items():
+        if kpi_type == "top_products":
+            sold = read_table(spark, layer_path(base, "gold", "products"), fmt)
+            leaders = K.rank_products(sold, K.TOP_PRODUCTS)
+            kpi = leaders.withColumn("kpi_type", F.lit(kpi_type)).select(*kpi.columns)
         path = layer_path(base, "gold", kpi_type)
         write_gold(kpi, path, fmt)
         gold = read_table(spark, path, fmt)

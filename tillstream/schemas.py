@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
 
@@ -22,7 +22,8 @@ class EventSpec:
     """Everything the layers need to know about one event type.
 
     ``text_rules`` maps a column to a case rule of :mod:`tillstream.functions.text`;
-    ``key_columns`` are tried in order for the topic record key.
+    ``key_columns`` are tried in order for the topic record key. ``allowed`` names the
+    values a column may have once its text rule has been applied.
     """
 
     name: str
@@ -32,6 +33,7 @@ class EventSpec:
     quarantine_reason: str
     key_columns: tuple[str, ...]
     bound: LowerBound | None = None
+    allowed: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
     silver_partition: str = "source_topic"
 
     def topic(self, prefix: str = "") -> str:
@@ -116,6 +118,14 @@ TOPIC_SCHEMA = _schema(
     timestamp="timestamp",
 )
 
+# What producers send.
+REGIONS = ("North America", "Europe", "Asia Pacific", "Latin America", "Middle East")
+PAYMENT_METHODS = ("credit_card", "debit_card", "paypal", "apple_pay", "google_pay")
+STATUSES = ("completed", "pending", "failed")
+CURRENCIES = ("USD",)
+PAGES = ("product_detail", "search_results", "homepage", "category")
+ACTIONS = ("restock", "sale_deduction", "adjustment", "return")
+
 ORDERS = EventSpec(
     name="orders",
     schema=ORDER_SCHEMA,
@@ -130,6 +140,12 @@ ORDERS = EventSpec(
     },
     quarantine_reason="missing_required_fields_or_invalid_amount",
     key_columns=("customer_id",),
+    allowed={
+        "region": REGIONS,
+        "currency": CURRENCIES,
+        "payment_method": PAYMENT_METHODS,
+        "status": STATUSES,
+    },
     silver_partition="status",
 )
 
@@ -145,6 +161,7 @@ CLICKS = EventSpec(
     },
     quarantine_reason="missing_required_click_fields",
     key_columns=("customer_id", "product_id"),
+    allowed={"region": REGIONS, "page": PAGES},
 )
 
 INVENTORY = EventSpec(
@@ -155,6 +172,7 @@ INVENTORY = EventSpec(
     text_rules={"product_id": "upper", "warehouse_id": "upper", "action": "lower"},
     quarantine_reason="invalid_inventory_event",
     key_columns=("product_id",),
+    allowed={"action": ACTIONS},
 )
 
 EVENT_TYPES: dict[str, EventSpec] = {spec.name: spec for spec in (ORDERS, CLICKS, INVENTORY)}
@@ -162,12 +180,17 @@ EVENT_TYPES: dict[str, EventSpec] = {spec.name: spec for spec in (ORDERS, CLICKS
 # One typed table per KPI; the columns that make a row of it unique.
 KPI_KEYS: dict[str, tuple[str, ...]] = {
     "hourly_revenue": ("hour_bucket", "region"),
+    "products": ("product_id", "product_name", "category"),
     "top_products": ("product_id", "product_name", "category"),
     "conversion": (),
     "inventory": ("product_id", "product_name", "warehouse_id"),
     "summary": ("computed_date",),
 }
 
+# KPIs of which each run gives the whole current state: a row that is gone is gone. The
+# others hold a row per hour or day, and old ones stay.
+SNAPSHOT_KPIS = ("products", "top_products", "conversion", "inventory")
+
 KPI_SCHEMAS: dict[str, T.StructType] = {
     "hourly_revenue": _schema(
         hour_bucket="timestamp",
@@ -181,6 +204,18 @@ KPI_SCHEMAS: dict[str, T.StructType] = {
         computed_at="timestamp",
         id="string",
     ),
+    "products": _schema(
+        product_id="string",
+        product_name="string",
+        category="string",
+        revenue="double",
+        units_sold="long",
+        avg_order_value="double",
+        order_count="long",
+        kpi_type="string",
+        computed_at="timestamp",
+        id="string",
+    ),
     "top_products": _schema(
         product_id="string",
         product_name="string",

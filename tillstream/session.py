@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import math
+import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 MIB = 1024 * 1024
+_UNITS = {unit: 1024**power for power, unit in enumerate(("B", "KiB", "MiB", "GiB", "TiB", "PiB", "EiB"))}
 
 # Event times are compared and truncated in this zone, whatever the host says.
 TIME_ZONE = "UTC"
@@ -47,19 +50,29 @@ def build(app_name: str, master: str | None = None, **options: str) -> SparkSess
     return builder.getOrCreate()
 
 
+def planned_bytes(df: DataFrame) -> float:
+    """The size the optimizer expects of a frame; for a table read, its listed files."""
+    view = f"_planned_{uuid.uuid4().hex}"
+    df.createTempView(view)
+    try:
+        plan = df.sparkSession.sql(f"explain cost select * from {view}").first()[0]
+    finally:
+        df.sparkSession.catalog.dropTempView(view)
+    size, unit = re.search(r"sizeInBytes=([0-9.E+]+) (\w+)", plan).groups()
+    return float(size) * _UNITS[unit]
+
+
 def size_shuffles(
-    spark: SparkSession, *inputs: DataFrame, per_partition: int = 128 * MIB, most: int = 40_000
+    spark: SparkSession, *inputs: DataFrame, per_partition: int = 128 * MIB
 ) -> int:
     """Raise ``spark.sql.shuffle.partitions`` to suit the size of a job's inputs.
 
     A fixed number fits one input size only, and adaptive execution merges
-    partitions but never makes more. The sizes are those of the listed files.
-    Beyond ``most`` partitions bookkeeping costs more than larger partitions do:
-    sorts and aggregations spill.
+    partitions but never makes more. The sizes are those of the listed files. The
+    number has no upper limit, so partitions are as large at any input size; a silver
+    rebuild of a very large table is better cut into pieces (see ``plans/silver``).
     """
-    plans = [df._jdf.queryExecution().optimizedPlan() for df in inputs]
-    total = sum(int(plan.stats().sizeInBytes()) for plan in plans)
-    wanted = min(math.ceil(total / per_partition), most)
+    wanted = math.ceil(sum(map(planned_bytes, inputs)) / per_partition)
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if wanted > current:
         spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
