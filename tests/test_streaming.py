@@ -60,8 +60,9 @@ def test_stream_equals_batch_and_restart_adds_only_new(spark, tmp_path):
     for name, spec in EVENT_TYPES.items():
         stored = bronze(spark, tmp_path, name)
         records = spark.read.schema(TOPIC_SCHEMA).parquet(f"{topics}/{name}")
-        batch = to_bronze(records, spec).drop("ingested_at").select(stored.drop("ingested_at").columns)
-        streamed = stored.drop("ingested_at")
+        assert stored.filter("arrival_date = to_date(ingested_at)").count() == 20
+        streamed = stored.drop("ingested_at", "arrival_date")
+        batch = to_bronze(records, spec).select(streamed.columns)
         assert streamed.count() == 20
         assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
         assert stored.filter("ingested_at is null").count() == 0

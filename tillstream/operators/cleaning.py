@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tillstream.functions.text import standard_text
@@ -48,9 +48,17 @@ def absolute_page_time(df: DataFrame) -> DataFrame:
 
 
 def _clean(
-    bronze: DataFrame, spec: EventSpec, strict: bool, detail: bool, order: Sequence[str]
+    bronze: DataFrame,
+    spec: EventSpec,
+    strict: bool,
+    detail: bool,
+    order: Sequence[str],
+    seen: Observation | None,
 ) -> tuple[DataFrame, DataFrame]:
     valid, rejected = split_valid(bronze, spec, strict, detail)
+    if seen is not None:
+        # Above the filter, so the rules still reach the file scan.
+        valid = valid.observe(seen, F.count(F.lit(1)).alias("valid_rows"))
     silver = standardise(dedup_latest(valid.drop("_raw"), order=order), spec.text_rules)
     return silver.withColumn("event_ts", event_time("timestamp")), rejected
 
@@ -61,9 +69,10 @@ def clean_orders(
     detail: bool = False,
     high_value: float = HIGH_VALUE_FROM,
     order: Sequence[str] = RECORD_ORDER,
+    seen: Observation | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Silver orders and the quarantined rest."""
-    silver, rejected = _clean(bronze, ORDERS, strict, detail, order)
+    silver, rejected = _clean(bronze, ORDERS, strict, detail, order, seen)
     return stamp(enrich_orders(silver, high_value), "silver_processed_at"), rejected
 
 
@@ -72,9 +81,10 @@ def clean_clicks(
     strict: bool = False,
     detail: bool = False,
     order: Sequence[str] = RECORD_ORDER,
+    seen: Observation | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Silver clicks and the quarantined rest."""
-    silver, rejected = _clean(bronze, CLICKS, strict, detail, order)
+    silver, rejected = _clean(bronze, CLICKS, strict, detail, order, seen)
     return stamp(absolute_page_time(silver), "silver_processed_at"), rejected
 
 
@@ -83,9 +93,10 @@ def clean_inventory(
     strict: bool = False,
     detail: bool = False,
     order: Sequence[str] = RECORD_ORDER,
+    seen: Observation | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Silver inventory updates and the quarantined rest."""
-    silver, rejected = _clean(bronze, INVENTORY, strict, detail, order)
+    silver, rejected = _clean(bronze, INVENTORY, strict, detail, order, seen)
     return stamp(silver, "silver_processed_at"), rejected
 
 

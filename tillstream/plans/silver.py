@@ -1,48 +1,139 @@
-"""Bronze tables -> silver and quarantine tables."""
+"""Bronze tables -> silver and quarantine tables.
+
+A run reads the arrival dates that are new and rewrites the silver partitions that
+gain or lose rows. A rebuild reads all of bronze, in pieces by event id if it is large.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import time
+from collections.abc import Iterable, Sequence
+from functools import reduce
+from operator import and_, or_
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tillstream import session
+from tillstream.functions.money import no_decimal_form
 from tillstream.operators.cleaning import CLEANERS
-from tillstream.schemas import EVENT_TYPES
+from tillstream.operators.dedup import RECORD_ORDER
+from tillstream.schemas import ARRIVAL_DATE, EVENT_DATE, EVENT_TYPES
 from tillstream.sources.tables import (
     DEFAULT_FORMAT,
     layer_path,
     quarantine_path,
     read_layer,
+    read_table,
 )
 
 
-def write_silver(silver: DataFrame, event_type: str, path: str, fmt: str = DEFAULT_FORMAT) -> None:
-    """Replace a silver table.
+def write_silver(
+    silver: DataFrame,
+    event_type: str,
+    path: str,
+    fmt: str = DEFAULT_FORMAT,
+    mode: str = "overwrite",
+    only_partitions: bool = False,
+) -> None:
+    """Replace a silver table, add to it, or replace the partitions that have rows.
 
     The rows come out of the duplicate removal hash-partitioned by event id and
     are written from there: another shuffle by partition column would put the
     commonest status into few tasks.
     """
-    partition = EVENT_TYPES[event_type].silver_partition
-    _replace(silver, path, fmt, partition)
+    _write(silver, path, fmt, mode, EVENT_TYPES[event_type].silver_partitions, only_partitions)
 
 
 def write_quarantine(
-    rejected: DataFrame, event_type: str, path: str, fmt: str = DEFAULT_FORMAT
+    rejected: DataFrame, path: str, fmt: str = DEFAULT_FORMAT, only_partitions: bool = False
 ) -> None:
-    """Replace a quarantine table: each run reads all of bronze, so reruns add nothing."""
-    _replace(rejected, path, fmt)
+    """Replace a quarantine table, or the arrival dates that have rows: reruns add nothing."""
+    _write(rejected, path, fmt, "overwrite", [ARRIVAL_DATE], only_partitions)
 
 
-def _replace(df: DataFrame, path: str, fmt: str, *partition: str) -> None:
-    writer = df.write.format(fmt).mode("overwrite")
-    if fmt == "delta":
+def _write(
+    df: DataFrame, path: str, fmt: str, mode: str, partition: Sequence[str], only_partitions: bool
+) -> None:
+    writer = df.write.format(fmt).mode(mode)
+    if only_partitions:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+    elif fmt == "delta":
         writer = writer.option("overwriteSchema", "true")
     writer.partitionBy(*partition).save(path)
 
 
+# ── What earlier runs have done ──────────────────────────────────────────────
+def _runs_path(base: str, event_type: str) -> str:
+    return layer_path(base, "silver/_runs", event_type)
+
+
+def last_run(spark: SparkSession, base: str, event_type: str) -> Row | None:
+    """The last run's ``phase`` (begun, done) and the arrival date it read up to."""
+    try:
+        runs = spark.read.schema("run long, phase string, upto string").json(
+            _runs_path(base, event_type)
+        )
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return runs.orderBy(F.desc("run"), F.desc("phase")).first()
+
+
+def _note(spark: SparkSession, base: str, event_type: str, run: int, phase: str, upto: str | None) -> None:
+    line = spark.range(1).select(
+        F.lit(run).alias("run"), F.lit(phase).alias("phase"), F.lit(upto).cast("string").alias("upto")
+    )
+    line.coalesce(1).write.mode("append").json(_runs_path(base, event_type))
+
+
+# ── Runs ─────────────────────────────────────────────────────────────────────
+def _measures(event_type: str) -> list[Column]:
+    unreadable = F.col("event_ts").isNull() & F.col("timestamp").isNotNull()
+    measures = [
+        F.count(F.lit(1)).alias("silver_rows"),
+        F.count_if(unreadable).alias("unreadable_timestamps"),
+    ]
+    if event_type == "orders":
+        odd = no_decimal_form("total_amount") | no_decimal_form("discount_amount")
+        measures.append(F.count_if(odd).alias("unreadable_amounts"))
+    return measures
+
+
+def _same(row: Row) -> Column:
+    return reduce(and_, (F.col(c).eqNullSafe(F.lit(v)) for c, v in row.asDict().items()))
+
+
+def _changes(
+    stored: DataFrame, fresh: DataFrame, order: Sequence[str], partition: Sequence[str]
+) -> DataFrame:
+    """Narrow rows of fresh copies that win and of stored copies that lose.
+
+    Of equal copies the stored one wins, so reading a date again changes nothing.
+    """
+    columns = ["event_id", *order, *partition]
+    old = stored.select(*columns).join(fresh.select("event_id"), "event_id", "left_semi")
+    both = old.withColumn("_fresh", F.lit(False)).unionByName(
+        fresh.select(*columns).withColumn("_fresh", F.lit(True))
+    )
+    latest = Window.partitionBy("event_id").orderBy(*[F.desc(c) for c in order], "_fresh")
+    wins = F.row_number().over(latest) == 1
+    return both.withColumn("_wins", wins).filter(F.col("_wins") == F.col("_fresh"))
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _folder(row: Row) -> str:
+    none = "__HIVE_DEFAULT_PARTITION__"
+    return "/".join(f"{c}={none if v is None else v}" for c, v in row.asDict().items())
+
+
 def process_silver(
     spark: SparkSession,
     base: str,
@@ -50,30 +141,117 @@ def process_silver(
     fmt: str = DEFAULT_FORMAT,
     strict: bool = False,
     detail: bool = False,
+    order: Sequence[str] = RECORD_ORDER,
+    rebuild: bool = False,
+    pieces: int = 1,
 ) -> dict[str, int]:
-    """Clean one event type; returns row counts taken while the tables are written."""
+    """Bring one event type's silver and quarantine tables up to date; returns row counts.
+
+    Reads the arrival dates from the last one on that a run has read, which may have
+    grown since; rows without an arrival date are read every time. Their latest copies
+    are compared with the stored copies of the same ids, whenever those arrived, and
+    only silver partitions that gain or lose a row are written again.
+
+    A rebuild replaces both tables from all of bronze, in ``pieces`` by event id, each
+    with a shuffle of its share. It is also done on the first run, where the last run
+    broke off while it replaced partitions, and for formats other than files. After a
+    change of ``strict`` or ``order`` ask for one.
+
+    The counts are of the rows read: bronze = valid + quarantine, or the run fails.
+    """
+    spec = EVENT_TYPES[event_type]
+    silver_path = layer_path(base, "silver", event_type)
+    before = last_run(spark, base, event_type)
+    whole = rebuild or before is None or before.phase != "done" or fmt == "delta"
     bronze = read_layer(spark, base, "bronze", event_type, fmt)
-    session.size_shuffles(spark, bronze.drop("_raw"))
-    silver, rejected = CLEANERS[event_type](bronze, strict=strict, detail=detail)
+    if not whole and before.upto is not None:
+        since = F.lit(before.upto).cast("date")
+        bronze = bronze.filter(F.col(ARRIVAL_DATE).isNull() | (F.col(ARRIVAL_DATE) >= since))
+    span = bronze.agg(F.count("*").alias("rows"), F.max(ARRIVAL_DATE).cast("string").alias("upto")).first()
+    upto = span.upto or (before and before.upto)
+    counts: dict[str, int] = {"bronze_rows": span.rows}
+    run = time.time_ns() // 1000
+    options = {"strict": strict, "detail": detail, "order": order}
+    clean = CLEANERS[event_type]
 
-    written, set_aside = Observation("silver"), Observation("quarantine")
-    unreadable = F.col("event_ts").isNull() & F.col("timestamp").isNotNull()
-    measures = [
-        F.count(F.lit(1)).alias("silver_rows"),
-        F.count_if(unreadable).alias("unreadable_timestamps"),
-    ]
-    if event_type == "orders":
-        measures.append(F.count_if(F.isnan("total_amount")).alias("nan_amounts"))
-    write_silver(
-        silver.observe(written, *measures), event_type, layer_path(base, "silver", event_type), fmt
-    )
-    write_quarantine(
-        rejected.observe(set_aside, F.count(F.lit(1)).alias("quarantine_rows")),
-        event_type,
-        quarantine_path(base, event_type),
-        fmt,
-    )
-    return {**written.get, **set_aside.get}
+    def cleaned(rows: DataFrame) -> tuple[DataFrame, list[Observation]]:
+        seen, made = Observation(), Observation()
+        silver, _ = clean(rows.drop(ARRIVAL_DATE), seen=seen, **options)
+        silver = silver.withColumn(EVENT_DATE, F.to_date("event_ts"))
+        return silver.observe(made, *_measures(event_type)), [seen, made]
+
+    def add(observations: Iterable[Observation]) -> None:
+        for found in observations:
+            for name, value in found.get.items():
+                counts[name] = counts.get(name, 0) + value
+
+    if whole:
+        session.size_shuffles(spark, bronze.drop("_raw"), per_partition=128 * session.MIB * pieces)
+        _note(spark, base, event_type, run, "begun", upto)
+        for piece in range(pieces):
+            own = F.pmod(F.xxhash64("event_id"), F.lit(pieces)) == piece
+            silver, observations = cleaned(bronze.filter(own) if pieces > 1 else bronze)
+            write_silver(silver, event_type, silver_path, fmt, "append" if piece else "overwrite")
+            add(observations)
+    else:
+        session.size_shuffles(spark, bronze.drop("_raw"))
+        staging = layer_path(base, "silver/_staging", event_type)
+        silver, observations = cleaned(bronze)
+        silver.write.format(fmt).mode("overwrite").save(staging)
+        add(observations)
+        fresh = read_table(spark, staging, fmt, silver.schema)
+        counts["silver_rows"] = _merge(spark, base, event_type, fmt, fresh, order, run, upto)
+
+    set_aside = Observation()
+    _, rejected = clean(bronze, **options)
+    rejected = rejected.observe(set_aside, F.count(F.lit(1)).alias("quarantine_rows"))
+    write_quarantine(rejected, quarantine_path(base, event_type), fmt, only_partitions=not whole)
+    add([set_aside])
+    counts["duplicate_rows"] = counts["valid_rows"] - counts["silver_rows"]
+    if counts["valid_rows"] + counts["quarantine_rows"] != counts["bronze_rows"]:
+        raise RuntimeError(f"{event_type}: rows were lost on the way to silver: {counts}")
+    _note(spark, base, event_type, run, "done", upto)
+    return counts
+
+
+def _merge(
+    spark: SparkSession,
+    base: str,
+    event_type: str,
+    fmt: str,
+    fresh: DataFrame,
+    order: Sequence[str],
+    run: int,
+    upto: str | None,
+) -> int:
+    """Put the winners of ``fresh`` into the silver table; returns how many there are."""
+    partition = EVENT_TYPES[event_type].silver_partitions
+    path = layer_path(base, "silver", event_type)
+    stored = read_table(spark, path, fmt, fresh.schema)
+    present = [c for c in order if c in fresh.columns]
+    changes_path = layer_path(base, "silver/_staging", f"{event_type}_changes")
+    _changes(stored, fresh, present, partition).write.mode("overwrite").format(fmt).save(changes_path)
+    changes = read_table(spark, changes_path, fmt)
+    # One row per partition that changes: a short list, by date and status.
+    touched = changes.select(*partition).distinct().collect()
+    winners = changes.filter("_fresh").select("event_id")
+    if not touched:
+        return 0
+    staying = stored.filter(reduce(or_, map(_same, touched)))
+    losers = changes.filter("not _fresh").select("event_id", *present)
+    same = [staying["event_id"] == losers["event_id"]]
+    same += [staying[c].eqNullSafe(losers[c]) for c in present]
+    staying = staying.join(losers, same, "left_anti")
+    rows = staying.unionByName(fresh.join(winners, "event_id", "left_semi"))
+    filled = {tuple(r) for r in rows.select(*partition).distinct().collect()}
+    taken = winners.count()
+    # From here to "done" the table may be between two states.
+    _note(spark, base, event_type, run, "begun", upto)
+    write_silver(rows, event_type, path, fmt, only_partitions=True)
+    for row in touched:
+        if tuple(row) not in filled:
+            _delete(spark, f"{path}/{_folder(row)}")
+    return taken
 
 
 def run_silver(
@@ -81,6 +259,6 @@ def run_silver(
     base: str,
     fmt: str = DEFAULT_FORMAT,
     event_types: Iterable[str] = tuple(EVENT_TYPES),
-    **options: bool,
+    **options: object,
 ) -> dict[str, dict[str, int]]:
     return {name: process_silver(spark, base, name, fmt, **options) for name in event_types}

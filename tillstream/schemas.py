@@ -44,6 +44,25 @@ class EventSpec:
         """Event fields plus ingestion columns, for reads that must not sample files."""
         return T.StructType(self.schema.fields + INGESTION_FIELDS)
 
+    @property
+    def bronze_table_schema(self) -> T.StructType:
+        """The stored table: bronze rows by the day they arrived."""
+        return self.bronze_schema.add(ARRIVAL_DATE, "date")
+
+    @property
+    def quarantine_schema(self) -> T.StructType:
+        rules = T.StructField("failed_rules", T.ArrayType(T.StringType()))
+        fields = [*self.bronze_schema.fields, T.StructField("quarantine_reason", T.StringType()), rules]
+        return T.StructType(fields).add(ARRIVAL_DATE, "date")
+
+    @property
+    def silver_partitions(self) -> tuple[str, str]:
+        return self.silver_partition, EVENT_DATE
+
+
+# Partitions: the day a record arrived finds what is new, the day of the event what
+# a query needs.
+ARRIVAL_DATE, EVENT_DATE = "arrival_date", "event_date"
 
 # Columns added on the way into bronze. `_raw` keeps the record as it arrived.
 INGESTION_FIELDS = [

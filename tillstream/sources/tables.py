@@ -42,5 +42,12 @@ def read_layer(
     added read as NULL there, and no footers are opened to find the schema.
     """
     if schema is None and layer == "bronze":
-        schema = EVENT_TYPES[name].bronze_schema
+        schema = EVENT_TYPES[name].bronze_table_schema
     return read_table(spark, layer_path(base, layer, name), fmt, schema)
+
+
+def read_quarantine(
+    spark: SparkSession, base: str, name: str, fmt: str = DEFAULT_FORMAT
+) -> DataFrame:
+    """The rejected rows of an event type; ``failed_rules`` is NULL unless asked for."""
+    return read_table(spark, quarantine_path(base, name), fmt, EVENT_TYPES[name].quarantine_schema)

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tillstream.operators.ingest import to_bronze
-from tillstream.schemas import EVENT_TYPES
-from tillstream.sources.tables import DEFAULT_FORMAT, layer_path
+from tillstream.schemas import ARRIVAL_DATE, EVENT_TYPES
+from tillstream.sources.tables import DEFAULT_FORMAT, layer_path, read_layer
 from tillstream.sources.topics import read_topic
 
 TRIGGER = {"processingTime": "10 seconds"}
@@ -21,7 +22,7 @@ def write_bronze(
     checkpoint: str,
     trigger: Mapping | None = None,
     fmt: str = DEFAULT_FORMAT,
-    partition_by: Iterable[str] = ("source_topic",),
+    partition_by: Iterable[str] = (ARRIVAL_DATE,),
 ) -> StreamingQuery:
     """Append to a bronze table, exactly once per source record.
 
@@ -60,7 +61,7 @@ def start_bronze(
         records = read_topic(spark, topic, source_fmt, path, **(source_options or {}))
         started.append(
             write_bronze(
-                to_bronze(records, spec),
+                to_bronze(records, spec).withColumn(ARRIVAL_DATE, F.to_date("ingested_at")),
                 layer_path(base, "bronze", name),
                 f"{checkpoints.rstrip('/')}/bronze/{name}",
                 trigger,
@@ -70,6 +71,26 @@ def start_bronze(
     return started
 
 
+def compact_bronze(
+    spark: SparkSession,
+    base: str,
+    event_type: str,
+    date: str,
+    files: int,
+    fmt: str = DEFAULT_FORMAT,
+) -> str:
+    """Copy one closed arrival date into ``files`` larger files; returns the copy's folder.
+
+    The stream's own file log names what belongs to its table, so files there must stay;
+    the copy, ``<base>/bronze_compact/<type>/arrival_date=<date>``, serves rebuilds.
+    """
+    rows = read_layer(spark, base, "bronze", event_type, fmt)
+    day = rows.filter(F.col(ARRIVAL_DATE) == F.lit(date).cast("date")).drop(ARRIVAL_DATE)
+    path = f"{layer_path(base, 'bronze_compact', event_type)}/{ARRIVAL_DATE}={date}"
+    day.repartition(files).write.format(fmt).mode("overwrite").save(path)
+    return path
+
+
 def await_all(spark: SparkSession, queries: Iterable[StreamingQuery]) -> None:
     """Wait for all queries; when one fails, stop the others and raise its error."""
     running = list(queries)
