@@ -241,8 +241,9 @@ def write_archives(
 def read_archives(manifest: DataFrame) -> DataFrame:
     """The records of the archives a manifest lists, as ``RECORDS``.
 
-    Files are dealt out over tasks and read one at a time. Response payloads are
-    decompressed whole and checked against their digests.
+    Each task that wrote files has a part of the manifest, so as many tasks read, one
+    file at a time. Response payloads are decompressed whole and checked against their
+    digests.
     """
 
     def parsed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -263,8 +264,7 @@ def read_archives(manifest: DataFrame) -> DataFrame:
                         rows, size = [], 0
                 yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    paths = manifest.select("path").repartition("path")
-    return paths.mapInArrow(parsed, RECORDS)
+    return manifest.select("path").mapInArrow(parsed, RECORDS)
 
 
 def archive_pages(
