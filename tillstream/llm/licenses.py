@@ -18,7 +18,7 @@ CONTAINED = 0.8
 # Chance that the bands miss a window that holds enough of a notice.
 MISS = 1e-6
 # Notices are a short table that every task holds; more words than this are refused.
-MOST_NOTICE_WORDS = 200_000
+MOST_NOTICE_WORDS = 20_000
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -160,26 +160,23 @@ def scan_licenses(
         return spark.createDataFrame([], result)
     known = [r[0] for r in table.select(F.explode("shingles")).distinct().collect()]
 
-    lowered = lower_ascii(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
-    holds = F.lit(False)
-    for word in anchor_words(notices):
-        holds = holds | F.contains("_text", F.lit(word))
+    text = F.col("_text")
+    anchors = "|".join(anchor_words(notices))
     hashed = (
-        docs.select(
-            F.col(f"`{id_col}`").alias("_id"),
-            F.monotonically_increasing_id().alias("_row"),
-            lowered.alias("_text"),
-        )
-        .filter(holds)
-        .select("_id", "_row", F.regexp_extract_all("_text", F.lit(WORD), F.lit(0)).alias("_words"))
-        .select("_id", "_row", _hashes("_words").alias("_hashes"))
+        docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text"))
+        .filter(text.rlike(f"(?i)(?:{anchors})"))
+        .select("_id", F.regexp_extract_all(lower_ascii(text), F.lit(WORD), F.lit(0)).alias("_words"))
+        .select("_id", _hashes("_words").alias("_hashes"))
     )
     places = F.filter(
         F.transform("_hashes", lambda h, i: F.when(h.isin(known), i)), lambda i: i.isNotNull()
     )
-    touched = hashed.select("_id", "_row", "_hashes", places.alias("_places")).filter(
-        F.size("_places") > 0
-    )
+    # Row numbers are fixed by the scan's splits, so a recomputed task gives the same.
+    # No filter moves below a step that numbers rows: words and hashes above are made
+    # once per text, not again for each filter on them.
+    touched = hashed.select(
+        "_id", F.monotonically_increasing_id().alias("_row"), "_hashes", places.alias("_places")
+    ).filter(F.size("_places") > 0)
 
     def windows_of(scale: Scale) -> Column:
         """Numbers of the windows that hold any of the places."""
