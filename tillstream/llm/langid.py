@@ -205,6 +205,15 @@ def _train(
     return final, float(grid[int(np.argmax(likely))])
 
 
+def _mean(table: np.ndarray, grams: np.ndarray) -> np.ndarray:
+    """Mean of the table's rows over the n-grams of a text."""
+    if len(grams) > BUCKETS:
+        sums = np.bincount(grams, minlength=BUCKETS).astype(np.float32) @ table
+    else:
+        sums = np.ones(len(grams), dtype=np.float32) @ table[grams]
+    return sums.astype(np.float64) / len(grams)
+
+
 def is_held_out(doc_id: Column) -> Column:
     """Whether crc32 of the id as text leaves 2 by 4; a null id counts as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 4 == 2
@@ -261,22 +270,13 @@ def identify_languages(
             best = np.full(batch.num_rows, len(languages), dtype=np.int32)
             score = np.zeros(batch.num_rows)
             for first, bounds, chars, grams in _documents(batch.column(0)) if languages else ():
-                count = len(bounds) - 1
-                sums, grams_in = np.zeros((count, len(languages))), np.zeros(count)
                 letters = np.zeros(len(chars) + 1, dtype=np.int64)
                 np.cumsum(chars != 32, out=letters[1:])
-                for order, own in zip(ORDERS, grams, strict=True):
-                    low = np.minimum(bounds[:-1], len(own))
-                    high = np.clip(bounds[1:] - order + 1, low, len(own))
-                    totals = np.zeros((len(own) + 1, len(languages)))
-                    np.cumsum(table[own], axis=0, out=totals[1:])
-                    sums += totals[high] - totals[low]
-                    grams_in += high - low
-                share = _softmax(sums / np.maximum(grams_in, 1)[:, None])
-                has_letter = letters[bounds[1:]] > letters[bounds[:-1]]
-                at = np.arange(first, first + count)[has_letter]
-                best[at] = share.argmax(axis=1)[has_letter]
-                score[at] = share.max(axis=1)[has_letter]
+                for row, (low, high) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
+                    if letters[high] > letters[low]:
+                        share = _softmax(_mean(table, _own_grams(grams, low, high)))
+                        best[first + row] = share.argmax()
+                        score[first + row] = share.max()
             yield pa.RecordBatch.from_arrays(
                 [names.take(pa.array(best)), pa.array(score), *batch.columns],
                 names=["lang_pred", "score", *batch.schema.names],
