@@ -13,7 +13,7 @@ from tillstream.operators.ingest import to_bronze
 from tillstream.schemas import EVENT_TYPES, ORDERS, TOPIC_SCHEMA
 from tillstream.sources.tables import read_layer
 from tillstream.sources.topics import read_topic
-from tillstream.streaming.bronze import await_all, start_bronze
+from tillstream.streaming.bronze import await_all, compact_bronze, start_bronze
 
 NOW = {"availableNow": True}
 SENT = datetime(2026, 1, 2, 3, 4, 6)
@@ -138,3 +138,18 @@ def test_hourly_revenue_on_a_stream(spark, tmp_path):
     query.awaitTermination()
     row = spark.table("hourly").first()
     assert (row.revenue, row.order_count, row.unique_customers) == (600.0, 12, 4)
+
+
+def test_closed_dates_are_compacted(spark, tmp_path):
+    topics = str(tmp_path / "topics")
+    for part in range(4):
+        publish(spark, topics, "orders", [event("orders", event_id=f"E{part}")], first=part)
+    ingest(spark, tmp_path, source_options={"maxFilesPerTrigger": "1"}, event_types=["orders"])
+    stored = bronze(spark, tmp_path, "orders")
+    day = str(stored.first().arrival_date)
+    folder = compact_bronze(spark, str(tmp_path / "tables"), "orders", day, files=1)
+    small = spark.read.schema(ORDERS.bronze_schema).parquet(folder)
+    columns = ORDERS.bronze_schema.names
+    assert len(small.inputFiles()) == 1 < len(stored.inputFiles())
+    assert small.select(columns).exceptAll(stored.select(columns)).count() == 0
+    assert small.count() == stored.count() == 4

@@ -94,37 +94,84 @@ def _counted(rows: DataFrame, **measures: Column) -> DataFrame:
     return rows.select(*[measure.alias(name) for name, measure in measures.items()])
 
 
-def conversion_funnel(
-    orders: DataFrame, clicks: DataFrame, computed_at: datetime | None = None
-) -> DataFrame:
-    """Clicks, cart adds, completed orders and the rates between them, in one row.
-
-    Abandonment is not clamped: it is negative when more orders complete than
-    carts were seen.
-    """
+def order_click_totals(orders: DataFrame, clicks: DataFrame) -> DataFrame:
+    """One row, from one pass over both tables: what funnel and summary are made of."""
     one, none = F.lit(1), F.lit(None).cast("int")
+    sold = _counted(
+        completed(orders), amount=money("total_amount"), click=none, cart=none, sale=one
+    )
     clicked = _counted(
-        clicks, click=one, cart=F.when(F.col("added_to_cart"), one), sale=none
+        clicks,
+        amount=F.lit(None).cast(MONEY_TYPE),
+        click=one,
+        cart=F.when(F.col("added_to_cart"), one),
+        sale=none,
     )
-    sold = _counted(completed(orders), click=none, cart=none, sale=one)
-    totals = clicked.unionByName(sold).agg(
+    return sold.unionByName(clicked).agg(
+        F.sum("amount").alias("revenue"),
+        F.count("amount").alias("amounts"),
         F.count("click").alias("total_clicks"),
         F.count("cart").alias("added_to_cart"),
         F.count("sale").alias("completed_orders"),
     )
+
+
+def funnel_of(totals: DataFrame, computed_at: datetime | None = None) -> DataFrame:
+    """The funnel from `order_click_totals`.
+
+    Abandonment is not clamped: it is negative when more orders complete than
+    carts were seen.
+    """
     clicks_n, carts_n, sales_n = (
         F.col(c) for c in ("total_clicks", "added_to_cart", "completed_orders")
     )
-    rates = totals.withColumns(
-        {
-            "conversion_rate_pct": percent(sales_n, clicks_n),
-            "cart_abandonment_pct": percent(carts_n - sales_n, carts_n),
-            "add_to_cart_rate_pct": percent(carts_n, clicks_n),
-        }
+    rates = totals.select(
+        clicks_n,
+        carts_n,
+        sales_n,
+        percent(sales_n, clicks_n).alias("conversion_rate_pct"),
+        percent(carts_n - sales_n, carts_n).alias("cart_abandonment_pct"),
+        percent(carts_n, clicks_n).alias("add_to_cart_rate_pct"),
     )
     return _tagged(rates, "conversion", computed_at)
 
 
+def summary_of(
+    totals: DataFrame, as_of: datetime | None = None, computed_at: datetime | None = None
+) -> DataFrame:
+    """The day's summary from `order_click_totals`."""
+    day = processing_time(as_of)
+    # The mean is over the amounts that were added up, as in the other KPIs.
+    mean = F.round(F.col("revenue") / F.col("amounts"), 2).cast("double")
+    revenue = F.round("revenue", 2).cast("double")
+    kpi = totals.select(
+        F.concat(F.lit("summary_"), F.date_format(day, "yyyyMMdd")).alias("id"),
+        F.coalesce(revenue, F.lit(0.0)).alias("total_revenue"),
+        F.col("completed_orders").alias("total_orders"),
+        F.when(F.col("amounts") > 0, mean).otherwise(F.lit(0.0)).alias("avg_order_value"),
+        "total_clicks",
+        F.date_format(day, "yyyy-MM-dd").alias("computed_date"),
+    )
+    return _tagged(kpi, "summary", computed_at)
+
+
+def conversion_funnel(
+    orders: DataFrame, clicks: DataFrame, computed_at: datetime | None = None
+) -> DataFrame:
+    """Clicks, cart adds, completed orders and the rates between them, in one row."""
+    return funnel_of(order_click_totals(orders, clicks), computed_at)
+
+
+def summary(
+    orders: DataFrame,
+    clicks: DataFrame,
+    as_of: datetime | None = None,
+    computed_at: datetime | None = None,
+) -> DataFrame:
+    """Revenue, orders, mean order and clicks over everything, in one row per day."""
+    return summary_of(order_click_totals(orders, clicks), as_of, computed_at)
+
+
 def inventory_status(inventory: DataFrame, computed_at: datetime | None = None) -> DataFrame:
     """Highest stock, highest threshold and whether an alert was ever on, per shelf."""
     kpi = inventory.groupBy("product_id", "product_name", "warehouse_id").agg(
@@ -161,35 +208,3 @@ def inventory_latest(inventory: DataFrame, computed_at: datetime | None = None)
         F.max_by("low_stock_alert", "_moment").alias("low_stock_alert"),
     )
     return _tagged(latest, "inventory", computed_at)
-
-
-def summary(
-    orders: DataFrame,
-    clicks: DataFrame,
-    as_of: datetime | None = None,
-    computed_at: datetime | None = None,
-) -> DataFrame:
-    """Revenue, orders, mean order and clicks over everything, in one row per day."""
-    one, none = F.lit(1), F.lit(None).cast("int")
-    sold = _counted(completed(orders), amount=money("total_amount"), sale=one, click=none)
-    no_amount = F.lit(None).cast(MONEY_TYPE)
-    clicked = _counted(clicks, amount=no_amount, sale=none, click=one)
-    totals = sold.unionByName(clicked).agg(
-        F.sum("amount").alias("revenue"),
-        F.count("amount").alias("amounts"),
-        F.count("sale").alias("total_orders"),
-        F.count("click").alias("total_clicks"),
-    )
-    day = processing_time(as_of)
-    # The mean is over the amounts that were added up, as in the other KPIs.
-    mean = F.round(F.col("revenue") / F.col("amounts"), 2).cast("double")
-    revenue = F.round("revenue", 2).cast("double")
-    kpi = totals.select(
-        F.concat(F.lit("summary_"), F.date_format(day, "yyyyMMdd")).alias("id"),
-        F.coalesce(revenue, F.lit(0.0)).alias("total_revenue"),
-        "total_orders",
-        F.when(F.col("amounts") > 0, mean).otherwise(F.lit(0.0)).alias("avg_order_value"),
-        "total_clicks",
-        F.date_format(day, "yyyy-MM-dd").alias("computed_date"),
-    )
-    return _tagged(kpi, "summary", computed_at)

@@ -142,19 +142,28 @@ def run_gold(
     """Compute all KPIs, replace the gold tables and bring the stored KPIs up to date.
 
     Each KPI is computed once: the stored table is made from the gold table just
-    written, and the leading products from the table of all products.
+    written. Orders are read three times, clicks once, stock once.
     """
     silver = [read_layer(spark, base, "silver", n, fmt) for n in ("orders", "clicks", "inventory")]
     # Shuffles carry groups, not rows, once tasks have aggregated their share.
     session.size_shuffles(spark, *silver, per_partition=512 * session.MIB)
-    for kpi_type, kpi in build_kpis(*silver, as_of=as_of, latest_stock=latest_stock).items():
-        if kpi_type == "top_products":
-            sold = read_table(spark, layer_path(base, "gold", "products"), fmt)
-            leaders = K.rank_products(sold, K.TOP_PRODUCTS)
-            kpi = leaders.withColumn("kpi_type", F.lit(kpi_type)).select(*kpi.columns)
-        path = layer_path(base, "gold", kpi_type)
-        write_gold(kpi, path, fmt)
-        gold = read_table(spark, path, fmt)
+    kpis = build_kpis(*silver, as_of=as_of, latest_stock=latest_stock)
+
+    def written(name: str, rows: DataFrame) -> DataFrame:
+        path = layer_path(base, "gold", name)
+        write_gold(rows, path, fmt)
+        return read_table(spark, path, fmt)
+
+    # Funnel and summary come from one row of totals, the leaders from all products.
+    totals = written("_totals", K.order_click_totals(*silver[:2]))
+    kpis["conversion"] = K.funnel_of(totals, as_of)
+    kpis["summary"] = K.summary_of(totals, as_of, as_of)
+    for kpi_type, kpi in kpis.items():
+        gold = written(kpi_type, kpi)
+        if kpi_type == "products":
+            leaders = K.rank_products(gold, K.TOP_PRODUCTS)
+            leaders = leaders.withColumn("kpi_type", F.lit("top_products"))
+            kpis["top_products"] = leaders.select(*kpis["top_products"].columns)
         save_kpi(spark, base, kpi_type, gold, fmt)
         if export:
             write_json(gold, f"{export.rstrip('/')}/{kpi_type}")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Iterable, Mapping
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -96,14 +98,17 @@ def await_all(spark: SparkSession, queries: Iterable[StreamingQuery]) -> None:
     running = list(queries)
     try:
         while running:
-            spark.streams.awaitAnyTermination()
-            # Forget ended queries first: one that ends after this line makes the
-            # next wait return, one that ended before is seen below.
+            # Forget what has ended before looking: a query that ends after this line
+            # makes the wait below return at once.
             spark.streams.resetTerminated()
             ended = [q for q in running if not q.isActive]
             running = [q for q in running if q not in ended]
             for query in ended:
                 query.awaitTermination()  # raises the query's own error
+            if running and not ended:
+                # The error of a query of ours is raised above, of another's is not ours.
+                with contextlib.suppress(StreamingQueryException):
+                    spark.streams.awaitAnyTermination()
     finally:
         for query in running:
             query.stop()
