@@ -56,10 +56,12 @@ def test_hash_equals_sparks(spark):
 
 
 def test_long_texts_are_hashed_in_parts(monkeypatch):
-    text = " ".join(cases.words(random.Random(3), 1000)).encode()
-    whole = S.simhash(text)
-    monkeypatch.setattr(S, "SHINGLES_AT_ONCE", 7)
-    assert S.simhash(text) == whole
+    rng = random.Random(3)
+    texts = [" ".join(cases.words(rng, n)) for n in (1, 2, 3, 4, 50, 1000)]
+    texts += ["  \n a\t\tb  ", "x" * 300 + " y " + "z" * 300 + "\x0b q"]
+    for size in (1, 7, 50, 1 << 20):
+        monkeypatch.setattr(S, "PIECE_BYTES", size)
+        assert [S.simhash(t.encode()) for t in texts] == [plain_print(t) for t in texts]
 
 
 @pytest.mark.parametrize("tile", [(4096, 16384), (8, 16)])

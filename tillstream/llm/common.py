@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -28,11 +29,14 @@ def lower_ascii(text: Column) -> Column:
 def shared_folder(spark: SparkSession) -> str:
     """The checkpoint folder the session names, which all executors share.
 
-    A folder of our own is set only where the session names none, as in tests.
+    A folder of our own is set only where the session names none and runs in one
+    process, as in tests; a cluster must name one.
     """
     context = spark.sparkContext
     folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not folder:
+        if not re.match(r"local($|\[)", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="tillstream-")
         context.setCheckpointDir(folder)
     return folder

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import re
+from collections.abc import Iterable, Iterator, Sequence
 from itertools import product, repeat
 
 import numpy as np
@@ -20,33 +21,56 @@ SEED = 42
 QUARTERS, QUARTER_BITS = 4, 16
 # Fingerprints of a tile, down and across.
 TILE_ROWS, TILE_COLUMNS = 4096, 16384
-# Shingles of one text hashed at a time.
-SHINGLES_AT_ONCE = 1 << 16
+# Bytes of one text split into words at a time.
+PIECE_BYTES = 1 << 20
 
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
 
 
+_BLANK = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def _words(text: bytes) -> Iterator[list[bytes]]:
+    """The words of a text, A-Z lower-cased, in pieces that end at a blank.
+
+    ``bytes.lower`` and ``bytes.split`` know ASCII only.
+    """
+    low = 0
+    while low < len(text):
+        blank = _BLANK.search(text, low + PIECE_BYTES)
+        high = blank.start() if blank else len(text)
+        yield text[low:high].lower().split()
+        low = high
+
+
 def simhash(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
     """64 bits, each the majority of that bit over the hashes of all shingles.
 
-    Words are what stands between blanks, A-Z lower-cased (``bytes.lower`` and
-    ``bytes.split`` know ASCII only). Fewer words than a shingle make one shingle; no
-    words make zero.
+    Words are what stands between blanks. Fewer words than a shingle make one shingle;
+    no words make zero. A long text is worked on in pieces, so memory does not grow with it.
     """
-    words = text.lower().split()
-    if not words:
-        return 0
-    count = max(len(words) - shingle + 1, 1)
-    ones = np.zeros((8, 8), dtype=np.int64)
-    for first in range(0, count, SHINGLES_AT_ONCE):
-        part = words[first : first + SHINGLES_AT_ONCE + shingle - 1]
-        runs = zip(*[part[k:] for k in range(shingle)]) if count > 1 else [part]
+    ones, count = np.zeros((8, 8), dtype=np.int64), 0
+
+    def add(runs: Iterable[Sequence[bytes]]) -> int:
         hashes = np.fromiter(
             map(xxhash.xxh64_intdigest, map(b" ".join, runs), repeat(seed)), dtype=np.uint64
         )
         octets = hashes.view(np.uint8).reshape(-1, 8)
         for k in range(8):
             ones[k] += np.bincount(octets[:, k], minlength=256) @ _BITS
+        return len(hashes)
+
+    held: list[bytes] = []
+    for words in _words(text):
+        held += words
+        if len(held) >= shingle:
+            count += add(zip(*[held[k:] for k in range(shingle)]))
+            # The words that begin shingles of the next piece.
+            held = held[len(held) - shingle + 1 :]
+    if count == 0:
+        if not held:
+            return 0
+        count = add([held])
     return int.from_bytes(np.packbits(2 * ones > count, axis=1).tobytes(), "little")
 
 
