@@ -80,8 +80,6 @@ def test_links_connect_what_pairs_connect(spark, monkeypatch, tile):
     prints = sorted(prints)
     signed = np.array(prints, dtype=np.uint64).view(np.int64).tolist()
     links = S.near_links(spark.createDataFrame([(x,) for x in signed], "fingerprint long"))
-    pairs = [(r.a % (1 << 64), r.b % (1 << 64)) for r in links.collect()]
-    assert all((a ^ b).bit_count() <= 2 for a, b in pairs)
     roots = {r.node: r.root for r in S.components(links).collect()}
     groups = {}
     for p, s, c in zip(prints, signed, plain_components(signed, prints), strict=True):
@@ -90,10 +88,42 @@ def test_links_connect_what_pairs_connect(spark, monkeypatch, tile):
     assert len(groups) == len({next(iter(v)) for v in groups.values()})
 
 
-def test_dense_group_gives_few_links(spark):
-    near = [(0x0F0F << 20) ^ (1 << a) ^ (1 << b) for a in range(64) for b in range(a)]
-    links = S._links_of_tile(np.array(near, np.uint64), np.array(near, np.uint64), 2)
-    assert len(links[0]) < 2 * len(near)
+def test_dense_group_gives_few_pairs():
+    near = np.array([(0x0F0F << 20) ^ (1 << a) ^ (1 << b) for a in range(64) for b in range(a)], np.uint64)
+    pairs = S._stars_of_tile(near, near, 2)
+    assert len(pairs[0]) < 2 * len(near)
+    assert set(pairs[1].tolist()) == {near.view(np.int64).min()}
+
+
+def test_stars_of_a_tile_connect_what_its_links_do():
+    rng = random.Random(6)
+    for size in (0, 1, 2, 40):
+        rows, columns = (
+            np.array([rng.getrandbits(6) | rng.getrandbits(4) << 60 for _ in range(n)], np.uint64)
+            for n in (size, size + 1)
+        )
+        both = sorted({*rows.tolist(), *columns.tolist()})
+        parent = {x: x for x in both}
+
+        def top(x, parent=parent):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        for r in rows.tolist():
+            for c in columns.tolist():
+                if (r ^ c).bit_count() <= 2:
+                    parent[top(r)] = top(c)
+        wanted = {}
+        for x in both:
+            wanted.setdefault(top(x), set()).add(x)
+        parent = {x: x for x in both}
+        for a, b in zip(*S._stars_of_tile(rows, columns, 2), strict=True):
+            parent[top(int(a) % (1 << 64), parent)] = top(int(b) % (1 << 64), parent)
+        got = {}
+        for x in both:
+            got.setdefault(top(x, parent), set()).add(x)
+        assert sorted(map(sorted, got.values())) == sorted(map(sorted, wanted.values()))
 
 
 def test_one_of_each_component_stays(spark):

@@ -62,7 +62,7 @@ def simhash(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
 
     held: list[bytes] = []
     for words in _words(text):
-        held += words
+        held = held + words if held else words
         if len(held) >= shingle:
             count += add(zip(*[held[k:] for k in range(shingle)]))
             # The words that begin shingles of the next piece.
@@ -103,14 +103,12 @@ def fingerprints(
     ).mapInArrow(hashed, f"_id {kind}, _text_hash bigint, fingerprint bigint")
 
 
-def _cell(fingerprint: Column, moves: tuple[int, ...] = (0,) * QUARTERS) -> Column:
+def _cell(fingerprint: Column) -> Column:
     """The population counts of a fingerprint's quarters as one number, base 32."""
-    cell = F.lit(0)
-    for k, move in enumerate(moves):
-        quarter = F.shiftrightunsigned(fingerprint, k * QUARTER_BITS).bitwiseAND(
-            F.lit((1 << QUARTER_BITS) - 1)
-        )
-        cell = cell * 32 + (F.bit_count(quarter) + move)
+    cell, quarter = F.lit(0), F.lit((1 << QUARTER_BITS) - 1)
+    for k in range(QUARTERS):
+        bits = F.shiftrightunsigned(fingerprint, k * QUARTER_BITS).bitwiseAND(quarter)
+        cell = cell * 32 + F.bit_count(bits)
     return cell
 
 
@@ -121,30 +119,42 @@ def _moves(radius: int) -> list[int]:
     return sorted(sum(x * 32 ** (QUARTERS - 1 - k) for k, x in enumerate(s)) for s in near)
 
 
-def _links_of_tile(rows: np.ndarray, columns: np.ndarray, radius: int) -> tuple[list, list]:
-    """A spanning forest of the links between two sets of fingerprints.
+def _stars_of_tile(
+    rows: np.ndarray, columns: np.ndarray, radius: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """What the links between two sets of fingerprints connect, as stars.
 
-    Sets are compared whole, row block by row block. Of the links, only those that join
-    two trees are kept: fewer than there are fingerprints, however dense the tile.
+    The sets are compared whole, row block by row block. Each linked fingerprint is
+    paired with the least of all it is connected with in this tile: fewer pairs than
+    there are fingerprints, however dense the tile, and no long chains.
     """
-    one, two = [], []
     tree = np.arange(len(columns))
+    linked = np.zeros(len(columns), dtype=bool)
+    linked_rows: list[int] = []
+    through: list[int] = []
     step = max(1, (1 << 21) // max(len(columns), 1))
     for low in range(0, len(rows), step):
-        near = np.bitwise_count(rows[low : low + step, None] ^ columns[None, :]) <= radius
-        near &= rows[low : low + step, None] != columns[None, :]
+        block = rows[low : low + step, None]
+        near = (np.bitwise_count(block ^ columns[None, :]) <= radius) & (block != columns[None, :])
         for k in np.flatnonzero(near.any(axis=1)):
-            linked = np.flatnonzero(near[k])
-            trees, at = np.unique(tree[linked], return_index=True)
-            one += [rows[low + k]] * len(trees)
-            two += columns[linked[at]].tolist()
+            found = np.flatnonzero(near[k])
+            trees = np.unique(tree[found])
             if len(trees) > 1:
                 tree[np.isin(tree, trees)] = trees[0]
-    return one, two
+            linked[found] = True
+            linked_rows.append(low + k)
+            through.append(found[0])
+    members = np.concatenate([rows[linked_rows], columns[linked]]).view(np.int64)
+    trees = np.concatenate([tree[through], tree[linked]]).astype(np.int64)
+    order = np.lexsort((members, trees))
+    members, trees = members[order], trees[order]
+    heads = np.flatnonzero(np.append(True, trees[1:] != trees[:-1])[: len(trees)])
+    least = np.repeat(members[heads], np.diff(np.append(heads, len(members))))
+    return members[members != least], least[members != least]
 
 
 def near_links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """Links (``a``, ``b``) whose trees connect all fingerprints within ``radius`` bits.
+    """Pairs (``a``, ``b``) that connect what links within ``radius`` bits connect.
 
     ``prints`` holds distinct fingerprints. Each belongs to the cell of its four quarter
     population counts. Two that differ in few bits lie in the same or near cells, so
@@ -206,17 +216,13 @@ def near_links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
 
     def compared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            one, two = [], []
             for own, others in zip(batch.column(0), batch.column(1), strict=True):
-                found = _links_of_tile(
+                ends = _stars_of_tile(
                     own.values.to_numpy(zero_copy_only=False).view(np.uint64),
                     others.values.to_numpy(zero_copy_only=False).view(np.uint64),
                     radius,
                 )
-                one += found[0]
-                two += found[1]
-            ends = [pa.array(np.array(x, dtype=np.uint64).view(np.int64)) for x in (one, two)]
-            yield pa.RecordBatch.from_arrays(ends, names=["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in ends], names=["a", "b"])
 
     return tiles.mapInArrow(compared, "a bigint, b bigint")
 
@@ -234,6 +240,8 @@ def components(links: DataFrame) -> DataFrame:
     )
     nearest = both.groupBy("node").agg(F.min("to").alias("to"))
     roots = cut(nearest.select("node", F.least("node", "to").alias("root")))
+    total = F.sum(F.col("root").cast("decimal(38,0)"))
+    before = roots.agg(total).first()[0]
     while True:
         of_neighbours = (
             both.join(roots.withColumnRenamed("node", "to"), "to")
@@ -243,17 +251,16 @@ def components(links: DataFrame) -> DataFrame:
             .agg(F.min("root").alias("root"))
         )
         above = roots.select(F.col("node").alias("root"), F.col("root").alias("_above"))
-        nearer = cut(
+        roots = cut(
             of_neighbours.join(above, "root", "left").select(
                 "node", F.least("root", F.coalesce("_above", "root")).alias("root")
             )
         )
-        before = roots.agg(F.sum(F.col("root").cast("decimal(38,0)"))).first()[0]
-        after = nearer.agg(F.sum(F.col("root").cast("decimal(38,0)"))).first()[0]
-        roots = nearer
         # Roots only ever fall, so an unchanged sum means none changed.
+        after = roots.agg(total).first()[0]
         if before == after:
             return roots
+        before = after
 
 
 def near_duplicates(
