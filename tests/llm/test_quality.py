@@ -85,6 +85,26 @@ def test_learned_rules_spare_good_documents(spark):
     assert {r["_id"] for r in found if not r.kept} == set(range(0, 3000, 10))
 
 
+def test_few_hundred_labels_prove_a_cutoff_beside_untestable_strata(spark):
+    """The rules together reject at most the risk; small strata take no share."""
+    clean, junk = (100, 500, 0, 9, 0, 0), (100, 500, 9, 9, 0, 0)
+    names = "_stratum string, n_words long, word_chars long, n_symbols long, n_lines long, n_dup_lines long, n_repeat_words long"
+    good = spark.createDataFrame([("mid", *clean)] * 300 + [(f"s{k}", *clean) for k in range(90)], names)
+    bad = spark.createDataFrame([("mid", *junk)] * 5, names)
+    got = {r["_stratum"]: r for r in Q.choose_cutoffs(good, bad=bad).collect()}
+    assert got["mid"].symbols == 0.02
+    assert all(r.symbols is None for s, r in got.items() if s != "mid")
+
+
+def test_rules_together_keep_the_bound(spark):
+    """Each rule alone would pass; both together reject too many."""
+    rules = (Q.Rule("symbols", "n_symbols / n_words", (0.1,)), Q.Rule("dup_lines", "n_dup_lines / n_lines", (0.1,)))
+    rows = [("x", 100, 50 * (k < 70), 9, 9 * (70 <= k < 140)) for k in range(6000)]
+    good = spark.createDataFrame(rows, "_stratum string, n_words long, n_symbols long, n_lines long, n_dup_lines long")
+    (got,) = Q.choose_cutoffs(good, rules, risk=0.02).collect()
+    assert [got.symbols, got.dup_lines].count(None) == 1
+
+
 def test_empty_table(spark):
     labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
     assert Q.judge_quality(cases.frame(spark, []), labels).count() == 0

@@ -7,7 +7,6 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -155,59 +154,134 @@ def _fails(rule: Rule, cutoff: Column) -> Column:
     return value < cutoff if rule.below else value > cutoff
 
 
+def _path(harm: np.ndarray, caught: np.ndarray, steps: list[int]) -> list[tuple[int, int]]:
+    """(rule, how many of its cutoffs are taken, mildest first), in the order to test.
+
+    Next comes the rule that has a cutoff ahead with the least harm for what it catches.
+    """
+    taken, path = [0] * len(steps), []
+
+    def cost(rule: int) -> float:
+        low, ahead = taken[rule], slice(taken[rule] + 1, steps[rule] + 1)
+        new_harm = harm[rule, ahead] - harm[rule, low]
+        return ((1 + new_harm) / (1 + caught[rule, ahead] - caught[rule, low])).min()
+
+    while open_rules := [r for r in range(len(steps)) if taken[r] < steps[r]]:
+        rule = min(open_rules, key=lambda r: (cost(r), r))
+        taken[rule] += 1
+        path.append((rule, taken[rule]))
+    return path
+
+
+def _proven(levels: np.ndarray, counts: np.ndarray, path: list[tuple[int, int]], risk: float, level: float) -> list[int]:
+    """Cutoffs taken per rule, up to the first step of ``path`` that cannot be proven.
+
+    ``levels`` has a row per kind of document with the cutoffs it fails per rule, in
+    steps from the end of the rule's cutoffs: it falls at the step of that number.
+    """
+    rules = levels.shape[1]
+    step_of = np.full((rules, levels.max(initial=0) + len(path) + 2), len(path))
+    for step, (rule, number) in enumerate(path):
+        step_of[rule, number] = step
+    falls = step_of[np.arange(rules), levels].min(axis=1)
+    rejected = np.cumsum(np.bincount(falls, weights=counts, minlength=len(path) + 1)[: len(path)])
+    taken = [0] * rules
+    for (rule, number), found in zip(path, rejected, strict=True):
+        if binomial_at_most(int(found), int(counts.sum()), risk) > level:
+            break
+        taken[rule] = number
+    return taken
+
+
 def choose_cutoffs(
     good: DataFrame,
     rules: tuple[Rule, ...] = RULES,
     risk: float = RISK,
     confidence_left: float = CONFIDENCE_LEFT,
+    bad: DataFrame | None = None,
 ) -> DataFrame:
     """Per stratum and rule, the strictest cutoff proven to reject few good documents.
 
-    ``good`` holds the features of documents labelled good. Each stratum, rule and
-    cutoff is a test of "this rejects more than ``risk`` / rules of the stratum's good
-    documents", by the exact binomial probability of rejecting as few as were rejected.
-    All tests share ``confidence_left`` equally, so with probability 1 -
-    ``confidence_left`` no chosen cutoff breaks its bound. Where no cutoff passes, as
-    with few labels, the cutoff is null and the rule rejects nothing.
-
-    Counts are aggregated by stratum over all rows; strata are tested where they are.
+    ``good`` holds the features of documents labelled good, ``bad`` of those labelled
+    otherwise. In each stratum the cutoffs are taken one by one, mildest first, and each
+    step is a test of "the rules taken so far reject, together, more than ``risk`` of the
+    stratum's good documents", by the exact binomial probability of rejecting as few as
+    were rejected. The first step that is not proven ends the stratum. Each step rejects
+    all that the one before did, and their order is reckoned from the documents labelled
+    bad and the good ones of *other* strata only, so steps need no correction among
+    themselves. Strata share ``confidence_left``; those whose labels are too few to prove
+    anything, were none rejected, are not tested and take no share. So with probability
+    1 - ``confidence_left`` no stratum breaks its bound. A cutoff not reached is null and
+    the rule rejects nothing.
+
+    Counts are aggregated over all rows by stratum and cutoffs failed; strata are tested
+    where they are.
     """
-    names = {(r.name, k): f"{r.name}_{k}" for r in rules for k in range(len(r.cutoffs))}
-    counts = cut(
-        good.groupBy("_stratum").agg(
-            F.count("*").alias("n"),
-            *[
-                F.count_if(_fails(r, F.lit(c))).alias(names[r.name, k])
-                for r in rules
-                for k, c in enumerate(r.cutoffs)
-            ],
+    levels = [f"_level{k}" for k in range(len(rules))]
+    steps = [len(r.cutoffs) for r in rules]
+
+    def kinds(rows: DataFrame, is_good: int) -> DataFrame:
+        # Of n cutoffs a document that fails f falls at step n - f + 1; n + 1 is never.
+        fallen = [
+            (len(r.cutoffs) + 1 - sum(F.coalesce(_fails(r, F.lit(c)), F.lit(False)).cast("int") for c in r.cutoffs)).alias(v)
+            for r, v in zip(rules, levels, strict=True)
+        ]
+        return rows.select("_stratum", *fallen, F.lit(is_good).alias("_good"))
+
+    rows = kinds(good, 1) if bad is None else kinds(good, 1).unionByName(kinds(bad, 0))
+    cells = cut(
+        rows.groupBy("_stratum", *levels).agg(
+            F.sum("_good").alias("_good"), F.count_if(F.col("_good") == 0).alias("_bad")
         )
     )
-    tests = max(counts.count(), 1) * len(names)
-    level, rate = confidence_left / tests, risk / len(rules)
-
-    def chosen(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            found = frame[["_stratum"]].copy()
-            for rule in rules:
-                found[rule.name] = [
-                    next(
-                        (
-                            c
-                            for k, c in enumerate(rule.cutoffs)
-                            if binomial_at_most(int(row[names[rule.name, k]]), int(row["n"]), rate) <= level
-                        ),
-                        None,
-                    )
-                    for _, row in frame.iterrows()
-                ]
-                found[rule.name] = found[rule.name].astype("float64")
-            yield found
+    places = [(r, k) for r in range(len(rules)) for k in range(1, steps[r] + 1)]
+    total = cells.agg(
+        *[
+            F.coalesce(F.sum(F.when(F.col(levels[r]) <= k, F.col(c))), F.lit(0)).alias(f"{c}{r}_{k}")
+            for r, k in places
+            for c in ("_good", "_bad")
+        ]
+    ).first()
+    harm, caught = np.zeros((2, len(rules), max(steps, default=0) + 1))
+    for r, k in places:
+        harm[r, k], caught[r, k] = total[f"_good{r}_{k}"], total[f"_bad{r}_{k}"]
+
+    # The fewest strata, as a power of two, that suffice for all that can prove something
+    # when so many share the level; those found then share it.
+    def can_prove(level: float) -> Column:
+        return F.col("_n") * math.log1p(-risk) <= math.log(level)
+
+    sizes = cells.groupBy("_stratum").agg(F.sum("_good").alias("_n"))
+    able = sizes.agg(*[F.count_if(can_prove(confidence_left / 2**k)).alias(f"n{k}") for k in range(48)]).first()
+    shares = next(k for k in range(48) if able[f"n{k}"] <= 2**k)
+    least = confidence_left / 2**shares
+    level = confidence_left / max(able[f"n{shares}"], 1)
+
+    def chosen(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: list[list[float | None]] = []
+            for row in batch.column(1).to_pylist():
+                own = np.array([c[:-1] for c in row], dtype=np.int64).reshape(-1, len(rules))
+                counts = np.array([c[-1] for c in row], dtype=np.int64)
+                taken = [0] * len(rules)
+                if counts.sum() * math.log1p(-risk) <= math.log(least):
+                    elsewhere = harm.copy()
+                    for r, k in places:
+                        elsewhere[r, k] -= counts[own[:, r] <= k].sum()
+                    taken = _proven(own, counts, _path(elsewhere, caught, steps), risk, level)
+                found.append([r.cutoffs[-n] if n else None for r, n in zip(rules, taken, strict=True)])
+            columns = [pa.array([f[r] for f in found], pa.float64()) for r in range(len(rules))]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), *columns], names=["_stratum", *[r.name for r in rules]]
+            )
 
     kind = good.schema["_stratum"].dataType.simpleString()
     schema = f"_stratum {kind}, " + ", ".join(f"{r.name} double" for r in rules)
-    table = counts.mapInPandas(chosen, schema)
-    return table.select("_stratum", *[F.nanvl(F.col(r.name), F.lit(None)).alias(r.name) for r in rules])
+    return (
+        cells.groupBy("_stratum")
+        .agg(F.collect_list(F.array(*[F.col(v).cast("long") for v in levels], "_good")).alias("_cells"))
+        .mapInArrow(chosen, schema)
+    )
 
 
 def judge_quality(
@@ -237,16 +311,17 @@ def judge_quality(
         100 * F.col("n_repeat_words") > MOST_REPEATED * n_words
     )
     judged = features.withColumn("base_failed", base_failed)
-    good = (
+    labelled = (
         labels.select(F.col(f"`{label_id_col}`").alias("_id"), F.col(f"`{label_col}`").alias("_label"))
         .filter("_id is not null and _label is not null")
         .groupBy("_id")
         .agg(F.min("_label").alias("_label"))
-        .filter("_label = 1")
-        .select("_id")
     )
+    known = judged.filter("not base_failed").join(labelled, "_id")
     cutoffs = cut(
-        choose_cutoffs(judged.filter("not base_failed").join(good, "_id"), rules, risk, confidence_left)
+        choose_cutoffs(
+            known.filter("_label = 1"), rules, risk, confidence_left, known.filter("_label <> 1")
+        )
     )
     joined = judged.join(cutoffs, null_safe(judged, cutoffs, "_stratum"), "left")
     failed = F.array_compact(
