@@ -2,6 +2,8 @@ import random
 
 import pytest
 
+from tillstream.llm.queries import op9_url_filter
+from tillstream.llm.url_examples import LABELLED
 from tillstream.llm.urls import RULES, judge_urls
 
 URLS = {
@@ -79,3 +81,25 @@ def test_one_verdict_or_none_to_learn_from(spark):
     assert {r.verdict for r in judge_urls(pages(spark, only)).collect()} == {"block"}
     assert {r.verdict for r in judge_urls(pages(spark, only[1:])).collect()} == {"allow"}
     assert judge_urls(pages(spark, [])).count() == 0
+
+
+def test_query_judges_hosts_and_not_suffixes(spark, tmp_path):
+    """Rules block .com/de/ and allow .org/fr/; other pages of these suffixes are judged by host."""
+    clean = ["tulips", "www.bakery", "blog.rivers", "m.choir-songs"]
+    spam = ["free-casino", "www.adult-chat", "blog.bets-now", "m.spam-ring"]
+    urls = [f"https://{h}.example.{s}/en/{k}7" for s in ("com", "org") for k, h in enumerate(clean + spam)]
+    urls += [f"https://{h}.example.com/de/{k}" for k in range(30) for h in clean]
+    urls += [f"https://{h}.example.org/fr/{k}" for k in range(30) for h in clean + spam]
+    pages(spark, urls).write.parquet(str(tmp_path / "pages.parquet"))
+    got = {r.page_id: r.verdict for r in op9_url_filter(spark, str(tmp_path)).collect()}
+    assert [got[k] for k in range(16)] == (["allow"] * 4 + ["block"] * 4) * 2
+    assert {got[k] for k in range(16, 136)} == {"block"}
+    assert {got[k] for k in range(136, len(urls))} == {"allow"}
+
+
+def test_labelled_urls_are_balanced_under_each_suffix():
+    counts = {}
+    for url, verdict in LABELLED:
+        suffix = url.split("//")[1].split("/")[0].split("?")[0].split(".")[-1]
+        counts.setdefault(suffix, []).append(verdict)
+    assert all(v.count("allow") == v.count("block") for v in counts.values())

@@ -19,6 +19,7 @@ from tillstream.llm import (
     urls,
     warc,
 )
+from tillstream.llm.url_examples import LABELLED
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -126,7 +127,9 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule and verdict for the URL of every page."""
-    return urls.judge_urls(_table(spark, sf_dir, "pages")).withColumnRenamed("_id", "page_id")
+    labelled = spark.createDataFrame(LABELLED, "url string, verdict string")
+    found = urls.judge_urls(_table(spark, sf_dir, "pages"), labelled)
+    return found.withColumnRenamed("_id", "page_id")
 
 
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

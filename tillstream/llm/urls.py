@@ -34,9 +34,15 @@ _LEXICAL = (
     "entropy",
     "parameters",
     "hyphens",
+    "spam_words",
     "suffix_pages",
     "suffix_hosts",
 )
+# Short words count between dots and hyphens only, long ones anywhere in the host.
+_SPAM_WORDS = (
+    r"(?:^|(?<=[.-]))(?:ads?|adult|bets?|betting|cams?|loans?|lotto|meds|nude|pills?|sex|slots?|spam|warez|xxx)(?=[.-]|$)"
+    r"|casino|gambl|jackpot|lottery|payday|poker|porn|viagra|spam(?=[a-z])"
+)
 
 
 def _between(url: Column, pattern: str) -> Column:
@@ -88,14 +94,14 @@ def _entropy(text: Column) -> Column:
 
 
 def lexical_features(parts: DataFrame) -> DataFrame:
-    """Columns of ``_LEXICAL`` for rows with ``url``, ``host`` and ``path``.
+    """Columns of ``_LEXICAL`` but the suffix statistics, and ``_suffix``, the last host label.
 
-    Suffix statistics (pages and hosts below the last host label) count all rows.
+    Rows have ``url``, ``host`` and ``path``.
     """
     url, host, path = F.coalesce("url", F.lit("")), F.col("host"), F.col("path")
     chars = F.greatest(F.char_length(url), F.lit(1))
     query = F.regexp_extract(url, r"\?([^#]*)", 1)
-    lexical = parts.withColumns(
+    return parts.withColumns(
         {
             "_suffix": F.element_at(F.split("host", r"\."), -1),
             "url_chars": F.char_length(url),
@@ -107,16 +113,20 @@ def lexical_features(parts: DataFrame) -> DataFrame:
             "entropy": _entropy(F.lower(url)),
             "parameters": F.when(query == "", 0).otherwise(1 + F.regexp_count(query, F.lit("&"))),
             "hyphens": F.regexp_count(host, F.lit("-")),
+            "spam_words": F.regexp_count(host, F.lit(_SPAM_WORDS)),
         }
     )
+
+
+def suffix_statistics(lexical: DataFrame) -> DataFrame:
+    """Pages and hosts below each last host label, counted over all rows."""
     # Hosts first, then suffixes: a suffix of very many pages is summed in parts.
     hosts = lexical.groupBy("_suffix", "host").agg(F.count("*").alias("_pages"))
-    suffixes = (
+    return (
         hosts.groupBy(F.struct("_suffix").alias("_key"))
         .agg(F.log2(F.sum("_pages") + 1).alias("suffix_pages"), F.log2(F.count("*") + 1).alias("suffix_hosts"))
         .select(F.col("_key._suffix").alias("_suffix"), "suffix_pages", "suffix_hosts")
     )
-    return lexical.join(suffixes, "_suffix")
 
 
 def judge_urls(
@@ -130,10 +140,11 @@ def judge_urls(
     """Host, path, rule and verdict of each page.
 
     The longest rule that fits decides. Where none does, gradient-boosted trees on
-    lexical features do: lengths, depth, digit ratio, entropy, parameters, hyphens and
-    suffix statistics. They are trained from labelled URLs: ``labelled`` with ``url``
-    and ``verdict``, or else the pages that a rule decides; ``most_labelled`` of them at
-    most, taken by a hash of the URL, so that a rerun takes the same.
+    lexical features do: lengths, depth, digit ratio, entropy, parameters, hyphens, spam
+    words of the host and suffix statistics. They are trained from labelled URLs:
+    ``labelled`` with ``url`` and ``verdict``, which need not be among the pages, or else
+    the pages that a rule decides; ``most_labelled`` of them at most, taken by a hash of
+    the URL, so that a rerun takes the same.
 
     Returns a row per row of ``pages``: ``_id``, ``host``, ``path``, ``rule`` (like
     ``net/``, else null) and ``verdict``. A null URL or one without ``://`` has empty
@@ -142,16 +153,24 @@ def judge_urls(
     empty table.
     """
     rows = pages.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{url_col}`").cast("string").alias("url"))
-    parts = rows.withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
+    places = {"host": host_of(F.col("url")), "path": path_of(F.col("url"))}
+    parts = rows.withColumns(places)
     rule, decided = longest_rule(F.col("host"), F.col("path"), rules)
     parts = parts.withColumns({"rule": rule, "_decided": decided})
-    features = lexical_features(parts)
+    lexical = lexical_features(parts)
+    suffixes = suffix_statistics(lexical)
+    features = lexical.join(suffixes, "_suffix")
     if labelled is None:
         known = features.filter("_decided is not null").select(*_LEXICAL, "url", "_decided")
     else:
         named = labelled.select(F.col("url"), F.col("verdict").alias("_decided"))
         by_url = named.filter("url is not null and _decided is not null").dropDuplicates(["url"])
-        known = features.drop("_decided").dropDuplicates(["url"]).join(by_url, "url").select(*_LEXICAL, "url", "_decided")
+        known = (
+            lexical_features(by_url.withColumns(places))
+            .join(suffixes, "_suffix", "left")
+            .fillna(0.0, ["suffix_pages", "suffix_hosts"])
+            .select(*_LEXICAL, "url", "_decided")
+        )
     sample = cut(
         known.dropDuplicates(["url"])
         .withColumn("label", (F.col("_decided") == BLOCK).cast("double"))
