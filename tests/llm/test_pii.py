@@ -65,6 +65,28 @@ def test_model_adds_what_patterns_miss(model, text, wanted):
     assert spans(model, text) == wanted
 
 
+LONG = "christopher.montgomery-lancaster (at) physics.uni-heidelberg (dot) example (dot) org"
+
+
+@pytest.mark.parametrize("address", [LONG, "anna.baker at example dot org"])
+def test_addresses_without_signs_are_whole(model, address):
+    assert spans(model, f"please mail {address} today") == [("email", address)]
+
+
+def test_chains_hold_whole_tokens(model):
+    text = "internationalisation " * 9 + "x" * 90 + " 12 " + "y" * 90 + " word" * 30
+    ((low, high),) = pii.chains_of(text)
+    assert text[low:high].strip().startswith("x" * 90) and text[low:high].strip().endswith("y" * 90)
+
+
+def test_chains_equal_the_whole_text(model, monkeypatch):
+    """No span is cut where a chain ends."""
+    texts = [f"{'plain words go here ' * n}mail {LONG} or call (614) 555-2368 at noon{' and more words' * n}" for n in (0, 1, 5, 40)]
+    near = pii.model_spans(texts, model)
+    monkeypatch.setattr(pii, "REACH", 100_000)
+    assert near == pii.model_spans(texts, model)
+
+
 def test_viterbi_finds_the_best_path(model):
     """Against all paths of short chains, decoded together."""
     rng = np.random.default_rng(0)

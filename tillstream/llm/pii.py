@@ -92,10 +92,12 @@ def base_spans(text: str) -> list[Span]:
 # ── Conditional random field ─────────────────────────────────────────────────
 _TOKEN = re.compile(r"[0-9]+|[^\W\d_]+|\S")
 _MARK = re.compile(r"\[(email|ip|card|phone)\|((?:[^][]|\[[^]]*\])*)\]")
-# A digit or an @ or a bracketed "at" may begin personal data; tokens this many
-# characters around one form a chain. All others are plain words, outside any span.
-_ANCHOR = re.compile(r"[0-9@]|[\[(](?i:at)[\])]")
-REACH = 24
+# Personal data holds a digit, an @ or the word "at" (see _CHECKS). Tokens this many
+# characters around one, and around "dot", are decoded first, as a chain. A chain with a
+# span near its end is decoded again with twice the reach, so no span ends with a chain.
+_ANCHOR = re.compile(r"[0-9]+|@|\b(?i:at|dot)\b")
+REACH = 32
+MARGIN = 6  # tokens outside any span at a chain's ends, unless the text ends there
 OUTSIDE = 0
 LABELS = 1 + 2 * len(KINDS)  # outside, then first and later token of each kind
 
@@ -290,20 +292,42 @@ def train(examples: Iterable[str] = EXAMPLES, rounds: int = 200, penalty: float
     return ChainModel(index, weights, steps + _STEPS)
 
 
-def chains_of(text: str) -> list[list[tuple[int, int]]]:
-    """Tokens around anything that may begin personal data, as chains."""
-    found: list[list[tuple[int, int]]] = []
-    low = high = -1
-    for anchor in _ANCHOR.finditer(text):
-        if low >= 0 and anchor.start() - REACH <= high:
-            high = anchor.end() + REACH
-            continue
-        if low >= 0:
-            found.append([m.span() for m in _TOKEN.finditer(text, low, min(high, len(text)))])
-        low, high = max(0, anchor.start() - REACH), anchor.end() + REACH
-    if low >= 0:
-        found.append([m.span() for m in _TOKEN.finditer(text, low, min(high, len(text)))])
-    return found
+def _same_token(one: str, two: str) -> bool:
+    if "0" <= one <= "9" or "0" <= two <= "9":
+        return "0" <= one <= "9" and "0" <= two <= "9"
+    return all(c.isalnum() and not c.isdecimal() for c in (one, two))
+
+
+def _whole(text: str, low: int, high: int) -> tuple[int, int]:
+    """The stretch with the tokens at its ends made whole."""
+    low, high = max(low, 0), min(high, len(text))
+    while 0 < low < len(text) and _same_token(text[low - 1], text[low]):
+        low -= 1
+    while 0 < high < len(text) and _same_token(text[high - 1], text[high]):
+        high += 1
+    return low, high
+
+
+def _merged(text: str, stretches: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Stretches in order of start, those that meet as one, ending at token borders."""
+    found: list[list[int]] = []
+    for low, high in stretches:
+        if found and low <= found[-1][1]:
+            found[-1][1] = max(found[-1][1], high)
+        else:
+            found.append([low, high])
+    whole: list[tuple[int, int]] = []
+    for low, high in (_whole(text, *f) for f in found):
+        if whole and low <= whole[-1][1]:
+            before = whole.pop()
+            low, high = before[0], max(before[1], high)
+        whole.append((low, high))
+    return whole
+
+
+def chains_of(text: str) -> list[tuple[int, int]]:
+    """Stretches around all that personal data must hold; each is a chain of tokens."""
+    return _merged(text, ((m.start() - REACH, m.end() + REACH) for m in _ANCHOR.finditer(text)))
 
 
 # What a span found by the model must hold to count.
@@ -319,28 +343,57 @@ def _has_ends(text: str) -> bool:
     return text[0].isalnum() and text[-1].isalnum() and len(text) >= 5
 
 
+def _label_spans(tokens: list[tuple[int, int]], path: np.ndarray) -> list[Span]:
+    found, t = [], 0
+    while t < len(path):
+        if path[t] == OUTSIDE or path[t] % 2 == 0:
+            t += 1
+            continue
+        end = t + 1
+        while end < len(path) and path[end] == path[t] + 1:
+            end += 1
+        found.append(((int(path[t]) - 1) // 2, tokens[t][0], tokens[end - 1][1]))
+        t = end
+    return found
+
+
+def _ends_open(text: str, stretch: tuple[int, int], path: np.ndarray) -> bool:
+    """Whether more text might continue a span at either end."""
+    low, high = stretch
+    return (low > 0 and bool(path[:MARGIN].any())) or (
+        high < len(text) and bool(path[-MARGIN:].any())
+    )
+
+
 def model_spans(texts: list[str], model: ChainModel) -> list[list[Span]]:
     """Spans the model finds in each text, before any comparison with the patterns."""
-    owners, chains = [], []
-    for k, text in enumerate(texts):
-        for chain in chains_of(text):
-            owners.append(k)
-            chains.append(chain)
-    scored = [model.scores(token_features(texts[k], c)) for k, c in zip(owners, chains, strict=True)]
     found: list[list[Span]] = [[] for _ in texts]
-    for owner, chain, path in zip(owners, chains, model.decode(scored), strict=True):
-        t = 0
-        while t < len(path):
-            if path[t] == OUTSIDE or path[t] % 2 == 0:
-                t += 1
-                continue
-            end = t + 1
-            while end < len(path) and path[end] == path[t] + 1:
-                end += 1
-            kind, span = (int(path[t]) - 1) // 2, (chain[t][0], chain[end - 1][1])
-            if _CHECKS[kind](texts[owner][slice(*span)]):
-                found[owner].append((kind, *span))
-            t = end
+    work = [(k, stretch) for k, text in enumerate(texts) for stretch in chains_of(text)]
+    done: dict[int, dict[tuple[int, int], list[Span]]] = {}
+    while work:
+        tokens = [[m.span() for m in _TOKEN.finditer(texts[k], *stretch)] for k, stretch in work]
+        scored = [model.scores(token_features(texts[k], t)) for (k, _), t in zip(work, tokens, strict=True)]
+        grown: dict[int, list[tuple[int, int]]] = {}
+        for (k, stretch), own, path in zip(work, tokens, model.decode(scored), strict=True):
+            if _ends_open(texts[k], stretch, path):
+                more = stretch[1] - stretch[0]
+                grown.setdefault(k, []).append((stretch[0] - more, stretch[1] + more))
+            else:
+                done.setdefault(k, {})[stretch] = _label_spans(own, path)
+        work = []
+        for k, stretches in grown.items():
+            # A chain that a grown one reaches becomes part of it.
+            all_of = _merged(texts[k], sorted([*stretches, *done.get(k, {})]))
+            kept = done.get(k, {})
+            work += [(k, stretch) for stretch in all_of if stretch not in kept]
+            done[k] = {stretch: kept[stretch] for stretch in all_of if stretch in kept}
+    for k, chains in done.items():
+        found[k] = [
+            span
+            for spans in chains.values()
+            for span in spans
+            if _CHECKS[span[0]](texts[k][span[1] : span[2]])
+        ]
     return found
 
 
@@ -370,8 +423,8 @@ def find_pii(
     ``base`` holds what the patterns find; ``added`` what a conditional random field
     over word shapes finds besides, where it touches no base span. The model is trained
     from ``examples``, a small table in the code, and decoded by Viterbi in batches.
-    Its chains are the tokens around digits, @ and bracketed "at"; the rest of a text
-    is outside any span. Spans are in code points, end exclusive, in order of start,
+    Its chains are the tokens around digits, @, "at" and "dot", and grow until no span is
+    near their ends; what holds none of these can be no personal data. Spans are in code points, end exclusive, in order of start,
     then kind. Null or empty texts have none; an empty table gives an empty table.
     Rows are independent, so repeated rows give repeated results.
     """

@@ -24,6 +24,16 @@ EXAMPLES = (
     "send to [email|maria [at] example.org] today",
     "mail [email|peter (at) example (dot) com] soon",
     "contact [email|jo.smith [at] mail [dot] example [dot] net] now",
+    "write to [email|anna.smith at example dot org] today",
+    "ask [email|kim at mail dot example dot net] , please",
+    "[email|j.miller-jones (at) chem.uni-bonn (dot) example (dot) org] is mine",
+    "reach [email|maximilian.berger-schmidt (at) physics.uni-ulm (dot) example (dot) org] now",
+    "you can mail [email|lee.wong at example dot com] any time",
+    "we met at noon in the old town",
+    "she looked at the dot on the map",
+    "he was at home and they sat at the table",
+    "look at me , at him and at that dot",
+    "he was good at chess ; she at dot painting",
     "write [email|sales@localhost] here",
     "E-Mail: [email|max@intranet] bitte",
     "from [ip|10.20.30.40] the request came",
