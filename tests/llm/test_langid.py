@@ -84,6 +84,19 @@ def test_documents_without_language_go(spark):
     assert sorted(r.doc_id for r in kept.collect()) == list(range(150))
 
 
+def test_unsure_documents_stay(spark):
+    """Many like languages: scores are low, yet only texts without a letter go."""
+    rows = [(k, f"the and {'abcdefgh'[k % 8]}", f"l{k % 40}", "s") for k in range(400)]
+    docs = cases.frame(spark, [*rows, (900, "12 34", "l1", "s")])
+    assert identify_languages(docs).filter("score < 0.3 and score > 0").count() > 0
+    assert sorted(r.doc_id for r in keep_identified(docs).collect()) == list(range(400))
+
+
+def test_all_stay_where_nothing_can_be_learned(spark):
+    rows = [(k, "the and", None, "s") for k in range(5)] + [(9, "1 2", None, "s"), (10, None, None, "s")]
+    assert sorted(r.doc_id for r in keep_identified(cases.frame(spark, rows)).collect()) == list(range(5))
+
+
 def test_nothing_to_learn_from(spark):
     rows = [(k, "the and", None, "s") for k in range(5)]
     got = identify_languages(cases.frame(spark, rows)).collect()

@@ -236,8 +236,9 @@ def identify_languages(
     evenly by language, for the ``most_languages`` most frequent languages.
 
     Returns a row per row of ``docs``: ``_id``, ``_text_hash``, ``held_out``,
-    ``lang_pred`` and ``score`` (probability, 0 to 1). A null text or one without a letter
-    is ``und`` with score 0, as is all where there is nothing to learn from. Texts are
+    ``lang_pred``, ``score`` (probability, 0 to 1) and ``has_letter``. A null text or one
+    without a letter is ``und`` with score 0, as is all where there is nothing to learn
+    from. Texts are
     used whole; language and id are no input of a prediction. All columns of ``docs``
     come along as the struct ``_row``.
     """
@@ -269,17 +270,19 @@ def identify_languages(
         for batch in batches:
             best = np.full(batch.num_rows, len(languages), dtype=np.int32)
             score = np.zeros(batch.num_rows)
-            for first, bounds, chars, grams in _documents(batch.column(0)) if languages else ():
+            lettered = np.zeros(batch.num_rows, dtype=bool)
+            for first, bounds, chars, grams in _documents(batch.column(0)):
                 letters = np.zeros(len(chars) + 1, dtype=np.int64)
                 np.cumsum(chars != 32, out=letters[1:])
                 for row, (low, high) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
-                    if letters[high] > letters[low]:
+                    lettered[first + row] = letters[high] > letters[low]
+                    if languages and lettered[first + row]:
                         share = _softmax(_mean(table, _own_grams(grams, low, high)))
                         best[first + row] = share.argmax()
                         score[first + row] = share.max()
             yield pa.RecordBatch.from_arrays(
-                [names.take(pa.array(best)), pa.array(score), *batch.columns],
-                names=["lang_pred", "score", *batch.schema.names],
+                [names.take(pa.array(best)), pa.array(score), pa.array(lettered), *batch.columns],
+                names=["lang_pred", "score", "has_letter", *batch.schema.names],
             )
 
     carried = {f.name: f.dataType for f in rows.schema.fields if f.name not in ("text", "lang")}
@@ -287,6 +290,7 @@ def identify_languages(
         [
             T.StructField("lang_pred", T.StringType()),
             T.StructField("score", T.DoubleType()),
+            T.StructField("has_letter", T.BooleanType()),
             T.StructField("text", T.StringType()),
             *[T.StructField(name, kind) for name, kind in carried.items()],
         ]
@@ -306,15 +310,12 @@ def identify_languages(
             "held_out",
             "lang_pred",
             "score",
+            "has_letter",
             row.alias("_row"),
         )
     )
 
 
-def keep_identified(
-    docs: DataFrame, min_score: float = 0.3, text_col: str = "text", **columns: str
-) -> DataFrame:
-    """The documents whose language is known: not ``und``, nor scored below ``min_score``."""
-    found = identify_languages(docs, text_col=text_col, **columns)
-    known = (F.col("lang_pred") != NO_LANGUAGE) & (F.col("score") >= min_score)
-    return found.filter(known).select("_row.*")
+def keep_identified(docs: DataFrame, text_col: str = "text", **columns: str) -> DataFrame:
+    """The documents whose text has a letter, however sure the language; others are ``und``."""
+    return identify_languages(docs, text_col=text_col, **columns).filter("has_letter").select("_row.*")
