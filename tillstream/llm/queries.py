@@ -12,6 +12,7 @@ from tillstream.llm import (
     langid,
     licenses,
     lines,
+    merkle,
     mixture,
     pii,
     quality,
@@ -140,6 +141,17 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in the manifest, and what lost line ends do to its proof."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    fields = [F.col(c) for c in docs.columns]
+    tampered = merkle.digest_of(*fields[:-1], F.replace("text", F.lit("\n"), F.lit("")))
+    chosen = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    claimed = F.when(chosen, tampered).otherwise(merkle.digest_of(*fields))
+    proven = merkle.prove(merkle.build_manifest(docs, claimed=claimed))
+    return proven.withColumnRenamed("_id", "doc_id")
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_decontaminate": op2_decontaminate,
@@ -151,6 +163,7 @@ QUERIES: dict[str, Query] = {
     "op8_quality": op8_quality,
     "op9_url_filter": op9_url_filter,
     "op10_license_scan": op10_license_scan,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 
 def _license_sql() -> str:
