@@ -14,6 +14,7 @@ from tillstream.llm import (
     lines,
     merkle,
     mixture,
+    phrases,
     pii,
     quality,
     simhash,
@@ -152,6 +153,12 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return proven.withColumnRenamed("_id", "doc_id")
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The leading phrases of every language."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return phrases.collocations(docs)
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_decontaminate": op2_decontaminate,
@@ -164,8 +171,10 @@ QUERIES: dict[str, Query] = {
     "op9_url_filter": op9_url_filter,
     "op10_license_scan": op10_license_scan,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_collocations": op12_collocations,
 }
 
+
 def _license_sql() -> str:
     """Containment of every notice in every window of its scale, without bands."""
     rows = []
@@ -204,6 +213,48 @@ def _license_sql() -> str:
 
 
 SQL: dict[str, str] = {
+    "op12_collocations": r"""
+        with pieces as (
+            select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(translate(
+                coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[.,;:!?\x0A-\x0D]')) as piece
+            from documents
+        ), words as (
+            select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces
+        ), sizes as (select lang, cast(sum(len(w)) as bigint) as n from words group by lang),
+        grams as (
+            select lang, k, array_to_string(w[i:i + k - 1], ' ') as phrase
+            from (select lang, w, k, unnest(range(1, len(w) - k + 2)) as i
+                from words, (select unnest([1, 2, 3, 4]) as k) where len(w) >= k)
+        ), f as (
+            select lang, k, phrase, count(*) as a from grams group by all having count(*) >= 30
+        ), cuts as (
+            select lang, k, phrase, a, string_split(phrase, ' ') as w, unnest(range(1, k)) as cut
+            from f where k > 1
+        ), parts as (
+            select c.lang, c.phrase, c.a, cut, x.a as l, y.a as r,
+                cast(cast(2000000 as hugeint) * c.a // (x.a + y.a) as bigint) as score
+            from cuts c
+            join f x on x.lang = c.lang and x.phrase = array_to_string(w[:cut], ' ')
+            join f y on y.lang = c.lang and y.phrase = array_to_string(w[cut + 1:], ' ')
+        ), scored as (
+            select lang, phrase, a, l, r, score from parts
+            qualify row_number() over (partition by lang, phrase order by score, cut) = 1
+        ), inner_parts as (
+            select lang, a, k, w, size, unnest(range(1, k - size + 2)) as i
+            from (select *, string_split(phrase, ' ') as w, unnest(range(2, k)) as size from f)
+        ), covers as (
+            select lang, array_to_string(w[i:i + size - 1], ' ') as phrase, max(a) as longer
+            from inner_parts group by all
+        ), kept as (
+            select s.* from scored s left join covers c on s.lang = c.lang and s.phrase = c.phrase
+            where longer is null or 100 * longer < 80 * a
+        ), ranked as (
+            select *, row_number() over (
+                partition by lang order by score desc, a desc, phrase) as rank from kept
+        )
+        select lang, rank, phrase, a, l, r, n, score from ranked join sizes using (lang)
+        where rank <= 2000""",
     "op10_license_scan": _license_sql(),
     "op2_decontaminate": r"""
         with d as (
