@@ -27,7 +27,7 @@ def comparable(value):
 def test_one_query_per_operator_is_registered():
     registered = registry.queries()
     assert set(Q.QUERIES) | {"pipeline"} <= set(registered)
-    assert sorted(int(n[2:].split("_")[0]) for n in Q.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in Q.QUERIES) == list(range(1, 14))
     assert set(Q.SQL) <= set(Q.QUERIES)
 
 
