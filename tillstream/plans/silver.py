@@ -6,10 +6,9 @@ gain or lose rows. A rebuild reads all of bronze, in pieces by event id if it is
 
 from __future__ import annotations
 
+import re
 import time
 from collections.abc import Iterable, Sequence
-from functools import reduce
-from operator import and_, or_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
@@ -20,6 +19,7 @@ from tillstream import session
 from tillstream.functions.money import no_decimal_form
 from tillstream.operators.cleaning import CLEANERS
 from tillstream.operators.dedup import RECORD_ORDER
+from tillstream.operators.lookup import in_partitions, likely_in, partition_key
 from tillstream.schemas import ARRIVAL_DATE, EVENT_DATE, EVENT_TYPES
 from tillstream.sources.tables import (
     DEFAULT_FORMAT,
@@ -103,19 +103,22 @@ def _measures(event_type: str) -> list[Column]:
     return measures
 
 
-def _same(row: Row) -> Column:
-    return reduce(and_, (F.col(c).eqNullSafe(F.lit(v)) for c, v in row.asDict().items()))
-
-
 def _changes(
-    stored: DataFrame, fresh: DataFrame, order: Sequence[str], partition: Sequence[str]
+    stored: DataFrame,
+    fresh: DataFrame,
+    count: int,
+    order: Sequence[str],
+    partition: Sequence[str],
 ) -> DataFrame:
     """Narrow rows of fresh copies that win and of stored copies that lose.
 
-    Of equal copies the stored one wins, so reading a date again changes nothing.
+    Of equal copies the stored one wins, so reading a date again changes nothing. Of the
+    stored ids only those are shuffled that a filter of the fresh ones lets pass.
     """
     columns = ["event_id", *order, *partition]
-    old = stored.select(*columns).join(fresh.select("event_id"), "event_id", "left_semi")
+    ids = fresh.select("event_id")
+    old = likely_in(stored.select(*columns), ids, "event_id", count)
+    old = old.join(ids, "event_id", "left_semi")
     both = old.withColumn("_fresh", F.lit(False)).unionByName(
         fresh.select(*columns).withColumn("_fresh", F.lit(True))
     )
@@ -124,14 +127,15 @@ def _changes(
     return both.withColumn("_wins", wins).filter(F.col("_wins") == F.col("_fresh"))
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+def _folder(row: Row, columns: Sequence[str]) -> str:
+    """Where a partitioned table keeps a partition."""
+    none = "__HIVE_DEFAULT_PARTITION__"
+    return "/".join(f"{c}={none if row[c] is None else _escaped(str(row[c]))}" for c in columns)
 
 
-def _folder(row: Row) -> str:
-    none = "__HIVE_DEFAULT_PARTITION__"
-    return "/".join(f"{c}={none if v is None else v}" for c, v in row.asDict().items())
+def _escaped(value: str) -> str:
+    """Fixed rule of partition folders: these characters, and control characters, as %XX."""
+    return re.sub(r"[\x00-\x1f\x7f\"#%'*/:=?\\{\[\]^]", lambda c: f"%{ord(c.group()):02X}", value)
 
 
 def process_silver(
@@ -200,7 +204,8 @@ def process_silver(
         silver.write.format(fmt).mode("overwrite").save(staging)
         add(observations)
         fresh = read_table(spark, staging, fmt, silver.schema)
-        counts["silver_rows"] = _merge(spark, base, event_type, fmt, fresh, order, run, upto)
+        count = counts["silver_rows"]
+        counts["silver_rows"] = _merge(spark, base, event_type, fmt, fresh, count, order, run, upto)
 
     set_aside = Observation()
     _, rejected = clean(bronze, **options)
@@ -220,40 +225,63 @@ def _merge(
     event_type: str,
     fmt: str,
     fresh: DataFrame,
+    count: int,
     order: Sequence[str],
     run: int,
     upto: str | None,
 ) -> int:
-    """Put the winners of ``fresh`` into the silver table; returns how many there are."""
+    """Put the winners of ``fresh`` into the silver table; returns how many there are.
+
+    The partitions that change are a table that the stored one is joined with: Spark
+    reads no others, and their number has no bound.
+    """
     partition = EVENT_TYPES[event_type].silver_partitions
     path = layer_path(base, "silver", event_type)
     stored = read_table(spark, path, fmt, fresh.schema)
     present = [c for c in order if c in fresh.columns]
-    changes_path = layer_path(base, "silver/_staging", f"{event_type}_changes")
-    _changes(stored, fresh, present, partition).write.mode("overwrite").format(fmt).save(changes_path)
-    changes = read_table(spark, changes_path, fmt)
-    # One row per partition that changes: a short list, by date and status.
-    touched = changes.select(*partition).distinct().collect()
-    winners = changes.filter("_fresh").select("event_id")
-    if not touched:
+
+    def staged(rows: DataFrame, name: str) -> DataFrame:
+        own = layer_path(base, "silver/_staging", f"{event_type}_{name}")
+        rows.write.mode("overwrite").format(fmt).save(own)
+        return read_table(spark, own, fmt, rows.schema)
+
+    changes = staged(_changes(stored, fresh, count, present, partition), "changes")
+    touched = staged(
+        changes.groupBy(*partition)
+        .agg(F.count_if("_fresh").alias("_in"), F.count_if(~F.col("_fresh")).alias("_out"))
+        .coalesce(1),
+        "touched",
+    )
+    taken = touched.agg(F.sum("_in")).first()[0]
+    if taken is None:
         return 0
-    staying = stored.filter(reduce(or_, map(_same, touched)))
-    losers = changes.filter("not _fresh").select("event_id", *present)
-    same = [staying["event_id"] == losers["event_id"]]
-    same += [staying[c].eqNullSafe(losers[c]) for c in present]
-    staying = staying.join(losers, same, "left_anti")
-    rows = staying.unionByName(fresh.join(winners, "event_id", "left_semi"))
-    filled = {tuple(r) for r in rows.select(*partition).distinct().collect()}
-    taken = winners.count()
+    before = in_partitions(stored, touched, partition)
+    rows = _after(before, fresh, changes, present)
+    # Partitions whose last row goes: an event has one row, so counts tell.
+    held = before.groupBy(*partition).agg(F.count("*").alias("_rows"))
+    held = held.withColumn("_partition", partition_key(partition))
+    sizes = touched.select(partition_key(partition).alias("_partition"), "_in", "_out")
+    gone = held.join(sizes, "_partition").filter(F.col("_rows") + F.col("_in") == F.col("_out"))
+    emptied = gone.select(*partition).collect()
     # From here to "done" the table may be between two states.
     _note(spark, base, event_type, run, "begun", upto)
     write_silver(rows, event_type, path, fmt, only_partitions=True)
-    for row in touched:
-        if tuple(row) not in filled:
-            _delete(spark, f"{path}/{_folder(row)}")
+    nothing = spark.createDataFrame([], fresh.drop(*partition).schema)
+    for row in emptied:
+        nothing.write.mode("overwrite").format(fmt).save(f"{path}/{_folder(row, partition)}")
     return taken
 
 
+def _after(before: DataFrame, fresh: DataFrame, changes: DataFrame, order: Sequence[str]) -> DataFrame:
+    """The rows of the partitions that change, after the change."""
+    losers = changes.filter("not _fresh").select("event_id", *order)
+    same = [before["event_id"] == losers["event_id"]]
+    same += [before[c].eqNullSafe(losers[c]) for c in order]
+    winners = changes.filter("_fresh").select("event_id")
+    staying = before.join(losers, same, "left_anti")
+    return staying.unionByName(fresh.join(winners, "event_id", "left_semi"))
+
+
 def run_silver(
     spark: SparkSession,
     base: str,
