@@ -204,3 +204,23 @@ def test_plans_have_no_python_and_no_full_sort(spark):
         assert "rangepartitioning" not in plan
         assert "NestedLoop" not in plan and "Cartesian" not in plan
     assert "TakeOrderedAndProject" in plan_of(K.top_products(rows))
+
+
+def test_latest_stock_with_any_time_offset_and_partition(spark):
+    rows = bronze(
+        spark,
+        "inventory",
+        {"product_id": "A", "timestamp": "9999-12-31T00:00:00Z", "stock_level": 1},
+        {"product_id": "A", "timestamp": "2286-11-21T00:00:00Z", "stock_level": 2},
+        {"product_id": "B", "kafka_offset": 10**17, "stock_level": 3},
+        {"product_id": "B", "kafka_offset": 10**17 - 1, "kafka_partition": 2**31 - 1, "stock_level": 4},
+        {"product_id": "C", "timestamp": None, "kafka_offset": 9, "stock_level": 5},
+        {"product_id": "C", "timestamp": "0001-01-01T00:00:00Z", "kafka_offset": 1, "stock_level": 6},
+        {"product_id": "D", "kafka_partition": 10**6, "stock_level": 7},
+        {"product_id": "D", "kafka_partition": 10**6 + 1, "stock_level": 8},
+    )
+    silver = clean_inventory(rows)[0]
+    found = K.inventory_latest(silver)
+    assert "SortAggregate" not in found._jdf.queryExecution().toString()
+    stock = {r.product_id: r.current_stock for r in found.collect()}
+    assert stock == {"A": 1, "B": 3, "C": 6, "D": 8}

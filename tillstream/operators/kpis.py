@@ -30,18 +30,26 @@ def _tagged(kpi: DataFrame, kpi_type: str, at: datetime | None) -> DataFrame:
 
 
 def hourly_revenue(
-    orders: DataFrame, computed_at: datetime | None = None, estimate_customers: bool = False
+    orders: DataFrame,
+    computed_at: datetime | None = None,
+    estimate_customers: bool = False,
+    late: str | None = None,
 ) -> DataFrame:
     """Revenue, orders, mean order, discounts and distinct customers per hour and region.
 
     Customers are counted exactly, which a stream cannot do: there
     ``estimate_customers`` must be set, for an approximate count under the same name.
+    ``late`` is the watermark of a stream; an hour is forgotten once it has passed it.
     """
     distinct = F.approx_count_distinct if estimate_customers else F.count_distinct
     hour = F.date_trunc("hour", F.col("event_ts")).alias("hour_bucket")
+    rows = completed(orders)
+    if late is not None:
+        # Spark forgets windows that the watermark has passed, but not what is made of them.
+        rows = rows.withWatermark("event_ts", late)
+        hour = F.window("event_ts", "1 hour").alias("hour_bucket")
     kpi = (
-        completed(orders)
-        .groupBy(hour, "region")
+        rows.groupBy(hour, "region")
         .agg(
             money_sum("total_amount").alias("revenue"),
             F.count("order_id").alias("order_count"),
@@ -50,6 +58,8 @@ def hourly_revenue(
             distinct("customer_id").alias("unique_customers"),
         )
     )
+    if late is not None:
+        kpi = kpi.withColumn("hour_bucket", F.col("hour_bucket.start"))
     return _tagged(kpi, "hourly_revenue", computed_at)
 
 
@@ -185,26 +195,25 @@ def inventory_status(inventory: DataFrame, computed_at: datetime | None = None)
 def inventory_latest(inventory: DataFrame, computed_at: datetime | None = None) -> DataFrame:
     """The same columns as `inventory_status`, taken from each shelf's last update.
 
-    An offset of 1e16 or a partition number of 1e6 and more fails the job.
+    The last is the one with the greatest time, then offset, then partition; an update
+    without a time comes before all others. Any time, offset and partition will do.
     """
-    # One number per moment: with a sort key of fixed width the rows are aggregated by
-    # hash. It holds 16 digits of microseconds, 16 of the offset, 6 of the partition.
-    digits = "decimal(38,0)"
-    moment = (
-        F.coalesce(F.unix_micros("event_ts"), F.lit(-(10**16) + 1)).cast("decimal(16,0)")
-        * F.lit("1" + "0" * 22).cast("decimal(23,0)")
-    ).cast(digits) + (
-        F.coalesce(F.col("kafka_offset"), F.lit(0)).cast("decimal(16,0)")
-        * F.lit(10**6).cast("decimal(7,0)")
-        + F.coalesce(F.col("kafka_partition"), F.lit(0)).cast("decimal(6,0)")
-    ).cast(digits)
     keys = ["product_id", "product_name", "warehouse_id"]
-    timed = inventory.select(
-        *keys, "stock_level", "reorder_threshold", "low_stock_alert", moment.alias("_moment")
+    wanted = ["stock_level", "reorder_threshold", "low_stock_alert"]
+    # First the last place in each moment, then the last moment of each shelf: sort keys of
+    # fixed width, so rows are aggregated by hash both times.
+    offset, partition = (
+        F.coalesce(F.col(c), F.lit(0)).cast("decimal(19,0)")
+        for c in ("kafka_offset", "kafka_partition")
     )
-    latest = timed.groupBy(*keys).agg(
-        F.max_by("stock_level", "_moment").alias("current_stock"),
-        F.max_by("reorder_threshold", "_moment").alias("reorder_threshold"),
-        F.max_by("low_stock_alert", "_moment").alias("low_stock_alert"),
-    )
-    return _tagged(latest, "inventory", computed_at)
+    place = offset * F.lit(2**31).cast("decimal(11,0)") + partition
+    earliest = F.lit(-(2**63)).cast("bigint")
+    moment = F.coalesce(F.unix_micros("event_ts"), earliest)
+    placed = inventory.select(*keys, *wanted, moment.alias("_moment"), place.alias("_place"))
+
+    def latest(rows: DataFrame, by: list[str], order: str) -> DataFrame:
+        return rows.groupBy(*by).agg(*[F.max_by(c, order).alias(c) for c in wanted])
+
+    last = latest(latest(placed, [*keys, "_moment"], "_place"), keys, "_moment")
+    last = last.withColumnRenamed("stock_level", "current_stock")
+    return _tagged(last, "inventory", computed_at)
