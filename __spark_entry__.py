@@ -17,7 +17,7 @@ from types import ModuleType
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import Column, DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
 
@@ -26,6 +26,7 @@ from testbed import oracles  # noqa: E402
 from tillstream import session  # noqa: E402
 from tillstream.operators import amounts, documents, ingest, serving, validation  # noqa: E402
 from tillstream.operators import kpis as K  # noqa: E402
+from tillstream.operators import counters, quantiles, sketches  # noqa: E402
 from tillstream.operators import request_log as R  # noqa: E402
 from tillstream.operators.cleaning import CLEANERS  # noqa: E402
 from tillstream.schemas import EVENT_TYPES, ORDERS  # noqa: E402
@@ -251,6 +252,61 @@ def latency_quantiles(**options: str) -> Query:
     return query
 
 
+def exact_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quantiles.exact_quantiles(E.request_log(spark, sf_dir), window="1 hour")
+    return found.withColumns({p: F.round(p, 6) for p in ("p50", "p95", "p99")})
+
+
+def sketched_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the quantiles of merged sketches are as near as stated, per window."""
+    log = E.request_log(spark, sf_dir)
+    steps = sketches.latency_sketches(log, "10 minutes")
+    found = sketches.sketched_quantiles(steps, window="1 day", slide="6 hours")
+    days = log.select(R.windowed("ts", "1 day", "6 hours"), "duration_sec").select(
+        F.col("window.start").alias("window_start"), "duration_sec"
+    )
+    ranks = days.join(found, "window_start").groupBy("window_start", "window_end", "requests")
+    names = {f"p{round(100 * q)}": q for q in R.QUANTILES}
+    ranks = ranks.agg(
+        *[(F.count_if(F.col("duration_sec") < F.col(p)) / F.count("*")).alias(f"{p}_under") for p in names],
+        *[(F.count_if(F.col("duration_sec") <= F.col(p)) / F.count("*")).alias(f"{p}_upto") for p in names],
+    )
+    near = [
+        (F.col(f"{p}_under") <= q + sketches.RANK_ERROR) & (F.col(f"{p}_upto") >= q - sketches.RANK_ERROR)
+        for p, q in names.items()
+    ]
+    return ranks.select(
+        "window_start", "window_end", "requests", reduce(Column.__and__, near).alias("within_bound")
+    )
+
+
+def customers_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct customers per day and region: the count, and whether merged sketches are near it."""
+    orders = _silver(spark, sf_dir, "orders")
+    day = F.to_date("hour_bucket")
+    merged = sketches.distinct_customers(
+        sketches.customer_sketches(orders), by={"day": day, "region": F.col("region")}
+    ).withColumnRenamed("customers", "_estimate")
+    counted = K.completed(orders).groupBy(F.to_date("event_ts").alias("day"), "region").agg(
+        F.count_distinct("customer_id").alias("customers")
+    )
+    error = F.abs(F.col("_estimate") - F.col("customers"))
+    return counted.join(merged, ["day", "region"]).select(
+        "day",
+        "region",
+        "customers",
+        (error <= sketches.CUSTOMER_ERROR * F.col("customers")).alias("within_bound"),
+    )
+
+
+def _counter(**options: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        found = counters.increase(E.scraped_counters(spark, sf_dir), ["endpoint"], **options)
+        return found.withColumns({c: F.round(c, 6) for c in ("increase", "per_second")})
+
+    return query
+
+
 _QUERIES: dict[str, Query] = {
     **{f"bronze_{n}": _through_topic(n) for n in EVENT_TYPES},
     **{f"silver_{n}": _cleaned(n) for n in EVENT_TYPES},
@@ -298,6 +354,11 @@ _QUERIES: dict[str, Query] = {
     "latency_quantiles": latency_quantiles(),
     "latency_quantiles_sliding": latency_quantiles(slide="1 minute"),
     "status_breakdown": _log(R.status_breakdown),
+    "exact_latency": exact_latency,
+    "sketched_latency": sketched_latency,
+    "customers_by_day": customers_by_day,
+    "counter_increase": _counter(window="6 hours", block="1 hour"),
+    "counter_increase_sliding": _counter(window="12 hours", slide="3 hours", block="1 day"),
 }
 
 

@@ -215,3 +215,11 @@ def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         duration_sec="value",
         operation="if(event_type = 'error', 'query', null)",
     )
+
+
+def scraped_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One sample of a counter per events row; it restarts, and some scrapes are missing."""
+    samples = table(spark, sf_dir, "events").filter("event_id % 1000 not between 300 and 400")
+    return _select(
+        samples, ts="cast(ts as timestamp)", endpoint="event_type", value="cast(event_id % 997 as double)"
+    )

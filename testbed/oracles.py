@@ -156,6 +156,11 @@ _CTES = {
     "log": """
     select ts, event_type endpoint, case when event_type = 'error' then 500 else 200 end status,
       value duration_sec from events""",
+    "scraped": """
+    select *, case when value >= last then value - last when last is not null then value end growth
+    from (select *, lag(value) over (partition by endpoint order by ts) last from (
+      select ts, event_type endpoint, cast(event_id % 997 as double) value from events
+      where event_id % 1000 not between 300 and 400))""",
 }
 
 # The columns a bronze, silver or quarantine row is compared on, with one type each.
@@ -246,6 +251,48 @@ _ERROR_RATE_SLIDING = (
     f"from {_SLID} group by 1, 2"
 )
 
+
+def _spans(hours: int, slide: int | None = None) -> str:
+    """Rows of ``log`` or ``scraped`` in each window of so many hours they are part of."""
+    step = slide or hours
+    start = f"time_bucket(interval '{step} hours', ts) - to_hours(cast(k * {step} as integer))"
+    return (
+        f"(select *, window_start + interval '{hours} hours' window_end from "
+        f"(select *, {start} window_start from {{}}, range({hours // step}) r(k)))"
+    )
+
+
+_EXACT_LATENCY = (
+    "select window_start, window_end, "
+    + ", ".join(f"round(quantile_cont(duration_sec, {q}), 6) p{round(100 * q)}" for q in (0.5, 0.95, 0.99))
+    + f" from {_spans(1).format('log')} group by 1, 2"
+)
+
+
+def _increase(hours: int, slide: int | None = None) -> str:
+    """Growth between the first and last sample of a window, carried on to its edges."""
+    def seconds(a: str, b: str) -> str:
+        return f"(epoch_us({b}) - epoch_us({a}))"
+
+    return f"""
+      select * from (with held as (
+        select endpoint, window_start, window_end, count(*) n, min(ts) a, max(ts) b,
+          arg_min(value, ts) v, sum(growth) - arg_min(coalesce(growth, 0), ts) g
+        from {_spans(hours, slide).format("scraped")} group by all having count(*) > 1
+      ), edges as (
+        select *, {seconds("a", "b")} span, {seconds("a", "b")} / (n - 1) mean,
+          {seconds("window_start", "a")} back, {seconds("b", "window_end")} ahead from held
+      ), halved as (
+        select *, case when back >= mean * 1.1 then mean * 0.5 else back end back1,
+          case when ahead >= mean * 1.1 then mean * 0.5 else ahead end ahead1 from edges
+      ), grown as (
+        select *, g * (span + case when g > 0 and v >= 0 then least(back1, span * v / g) else back1 end
+          + ahead1) / span as inc from halved where span > 0
+      )
+      select window_start, window_end, endpoint, round(inc, 6) increase,
+        round(inc / {hours * 3600}, 6) per_second from grown)"""
+
+
 _PRICED = """
     select *, subtotal - discount_amount total_amount from (
       select *, cast(round(subtotal * cast(l_discount as decimal(9,4)), 2) as decimal(18,2)) discount_amount from (
@@ -403,6 +450,14 @@ def statements(buckets: tuple, as_of: str) -> dict[str, str]:
         "where status = 500 group by 1, 2",
         "request_rate_1m": f"select {_windowed(1)}, endpoint, count(*) / 60.0 per_second "
         "from log group by 1, 2, 3",
+        "exact_latency": _EXACT_LATENCY,
+        "sketched_latency": "select window_start, window_end, count(duration_sec) requests, "
+        f"true within_bound from {_spans(24, 6).format('log')} group by 1, 2",
+        "customers_by_day": "select cast(event_ts as date) \"day\", region, "
+        "count(distinct customer_id) customers, true within_bound from clean_orders "
+        "where status = 'completed' group by 1, 2",
+        "counter_increase": _increase(6),
+        "counter_increase_sliding": _increase(12, 3),
         "latency_histogram": _histogram(buckets),
         "latency_quantiles": _quantiles(buckets),
         "status_breakdown": f"select {_windowed(30)}, status, count(*) requests from log "

@@ -34,6 +34,15 @@ def _seconds(length: str) -> int | None:
     return int(number) * size if size and number.isdigit() else None
 
 
+def windowed(column: str, window: str, slide: str | None = None) -> Column:
+    """The window, or overlapping windows, a moment is in."""
+    return F.window(column, window, slide or window).alias("window")
+
+
+def quantile_name(q: float) -> str:
+    return f"p{100 * q:g}".replace(".", "_")
+
+
 def _per_window(
     log: DataFrame,
     window: str,
@@ -183,6 +192,6 @@ def latency_quantiles(
     names = list(counts)
     counted = _per_window(log, window, (), slide, late, counts)
     labelled: Mapping[str, Column] = {
-        f"p{100 * q:g}".replace(".", "_"): _quantile_from(names, buckets, q) for q in qs
+        quantile_name(q): _quantile_from(names, buckets, q) for q in qs
     }
     return _flat(counted.select("window", *[c.alias(name) for name, c in labelled.items()]))
