@@ -26,7 +26,7 @@ from testbed import oracles  # noqa: E402
 from tillstream import session  # noqa: E402
 from tillstream.operators import amounts, documents, ingest, serving, validation  # noqa: E402
 from tillstream.operators import kpis as K  # noqa: E402
-from tillstream.operators import counters, quantiles, sketches  # noqa: E402
+from tillstream.operators import counters, drift, quantiles, sketches  # noqa: E402
 from tillstream.operators import request_log as R  # noqa: E402
 from tillstream.operators.cleaning import CLEANERS  # noqa: E402
 from tillstream.schemas import EVENT_TYPES, ORDERS  # noqa: E402
@@ -147,6 +147,21 @@ def _values_checked(name: str) -> Query:
     return query
 
 
+def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields of order records that the contract does not name or cannot read."""
+    bronze = ingest.to_bronze(E.drifted_records(spark, sf_dir), ORDERS)
+    return drift.drift_report(bronze, ORDERS)
+
+
+def drifted_coupons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A field the contract does not name, read back from the raw records."""
+    bronze = ingest.to_bronze(E.drifted_records(spark, sf_dir), ORDERS)
+    found = drift.with_raw_field(drift.with_raw_field(bronze, "coupon", "string"), "product.brand", "string")
+    return found.filter(F.col("coupon").isNotNull()).groupBy("coupon", "product_brand").agg(
+        F.count("*").alias("orders")
+    )
+
+
 def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records per key, with units read back from the encoded value."""
     records = E.topic_records(_bronze(spark, sf_dir, "orders"), ORDERS)
@@ -314,6 +329,8 @@ _QUERIES: dict[str, Query] = {
     "quarantine_orders_rules": quarantine_orders_rules,
     "layer_counts": layer_counts,
     "order_records": order_records,
+    "schema_drift": schema_drift,
+    "drifted_coupons": drifted_coupons,
     "hourly_revenue": _kpi(K.hourly_revenue, "orders"),
     "top_products": _kpi(K.top_products, "orders"),
     "conversion_funnel": _kpi(K.conversion_funnel, "orders", "clicks"),

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstream.operators.ingest import to_records
-from tillstream.schemas import EventSpec
+from tillstream.schemas import ORDERS, EventSpec
 
 # Bounds that suit the range of `events.value`, which stands in for a duration.
 BUCKETS = (1, 5, 10, 25, 50, 100, 250)
@@ -223,3 +223,26 @@ def scraped_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _select(
         samples, ts="cast(ts as timestamp)", endpoint="event_type", value="cast(event_id % 997 as double)"
     )
+
+
+def drifted_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order records with fields that the contract does not name, and a quantity in words."""
+    events = bronze_orders(spark, sf_dir)
+    drifted = events.selectExpr(
+        "* except (quantity, product)",
+        "if(kafka_offset % 10 = 3, 'two', cast(quantity as string)) as quantity",
+        "struct(product.*, if(kafka_offset % 4 = 1, 'own', null) as brand) as product",
+        "if(kafka_offset % 5 = 2, concat('C', kafka_offset % 7), null) as coupon",
+        "if(kafka_offset % 3 = 0, kafka_offset % 2 = 0, null) as gift",
+    )
+    record = ["kafka_offset", "kafka_partition", "kafka_timestamp"]
+    fields = [*ORDERS.schema.names, "coupon", "gift"]
+    records = to_records(drifted.select(*fields, *record), ORDERS.key_columns, keep=record)
+    return records.select(
+        "key",
+        "value",
+        F.lit(ORDERS.topic()).alias("topic"),
+        F.col("kafka_partition").alias("partition"),
+        F.col("kafka_offset").alias("offset"),
+        F.col("kafka_timestamp").alias("timestamp"),
+    )

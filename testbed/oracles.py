@@ -262,6 +262,12 @@ def _spans(hours: int, slide: int | None = None) -> str:
     )
 
 
+_OFFSETS = """
+  select (l_partkey * 10000 + l_suppkey) * 100 + cast(l_quantity as bigint) k
+  from lineitem join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey
+    join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey
+    join part on l_partkey = p_partkey"""
+
 _EXACT_LATENCY = (
     "select window_start, window_end, "
     + ", ".join(f"round(quantile_cont(duration_sec, {q}), 6) p{round(100 * q)}" for q in (0.5, 0.95, 0.99))
@@ -450,6 +456,15 @@ def statements(buckets: tuple, as_of: str) -> dict[str, str]:
         "where status = 500 group by 1, 2",
         "request_rate_1m": f"select {_windowed(1)}, endpoint, count(*) / 60.0 per_second "
         "from log group by 1, 2, 3",
+        "schema_drift": f"""
+            with o as ({_OFFSETS})
+            select 'coupon' path, 'STRING' "type", 'undeclared' finding, count(*) "rows" from o where k % 5 = 2
+            union all select 'gift', 'BOOLEAN', 'undeclared', count(*) from o where k % 3 = 0
+            union all select 'product.brand', 'STRING', 'undeclared', count(*) from o where k % 4 = 1
+            union all select 'quantity', 'STRING', 'unreadable', count(*) from o where k % 10 = 3""",
+        "drifted_coupons": f"""
+            select concat('C', k % 7) coupon, case when k % 4 = 1 then 'own' end product_brand,
+              count(*) orders from ({_OFFSETS}) where k % 5 = 2 group by 1, 2""",
         "exact_latency": _EXACT_LATENCY,
         "sketched_latency": "select window_start, window_end, count(duration_sec) requests, "
         f"true within_bound from {_spans(24, 6).format('log')} group by 1, 2",

@@ -14,6 +14,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 from tillstream import session  # noqa: E402
 from tillstream.operators.dedup import ARRIVAL_ORDER, RECORD_ORDER  # noqa: E402
 from tillstream.plans.gold import expire_kpis, run_gold  # noqa: E402
+from tillstream.plans.refresh import refresh_gold  # noqa: E402
 from tillstream.plans.silver import run_silver  # noqa: E402
 from tillstream.sources.tables import DEFAULT_FORMAT  # noqa: E402
 from tillstream.streaming.bronze import await_all, start_bronze  # noqa: E402
@@ -74,6 +75,9 @@ def arguments() -> argparse.ArgumentParser:
     )
     gold = parser.add_argument_group("gold")
     gold.add_argument("--latest-stock", action="store_true", help="last stock, not highest")
+    gold.add_argument(
+        "--changed", action="store_true", help="read only the event dates that silver runs changed"
+    )
     gold.add_argument("--export", help="folder for a JSON copy of the KPIs")
     gold.add_argument("--keep", type=int, help="delete all but so many versions of the KPIs")
     return parser
@@ -123,6 +127,12 @@ def main(argv: Sequence[str] | None = None) -> None:
         )
         for name, counts in reports.items():
             log.info("silver %s: %s", name, counts)
+    elif args.changed:
+        if args.latest_stock or args.export:
+            parser.error("--changed makes the highest stock and no export")
+        refresh_gold(spark, args.base, args.format)
+        if args.keep:
+            expire_kpis(spark, args.base, args.keep)
     else:
         run_gold(
             spark, args.base, args.format, latest_stock=args.latest_stock, export=args.export

@@ -25,7 +25,8 @@ def completed(orders: DataFrame) -> DataFrame:
     return orders.filter(F.col("status") == "completed")
 
 
-def _tagged(kpi: DataFrame, kpi_type: str, at: datetime | None) -> DataFrame:
+def tagged(kpi: DataFrame, kpi_type: str, at: datetime | None = None) -> DataFrame:
+    """A KPI with the name it is stored under and the time it was computed."""
     return stamp(kpi.withColumn("kpi_type", F.lit(kpi_type)), "computed_at", at)
 
 
@@ -60,7 +61,7 @@ def hourly_revenue(
     )
     if late is not None:
         kpi = kpi.withColumn("hour_bucket", F.col("hour_bucket.start"))
-    return _tagged(kpi, "hourly_revenue", computed_at)
+    return tagged(kpi, "hourly_revenue", computed_at)
 
 
 def _product_sales(orders: DataFrame) -> DataFrame:
@@ -82,7 +83,7 @@ def _product_sales(orders: DataFrame) -> DataFrame:
 
 def product_revenue(orders: DataFrame, computed_at: datetime | None = None) -> DataFrame:
     """Revenue, units and orders of every product."""
-    return _tagged(_product_sales(orders), "products", computed_at)
+    return tagged(_product_sales(orders), "products", computed_at)
 
 
 def rank_products(products: DataFrame, n: int) -> DataFrame:
@@ -97,7 +98,7 @@ def top_products(
     orders: DataFrame, n: int = TOP_PRODUCTS, computed_at: datetime | None = None
 ) -> DataFrame:
     """The ``n`` leading products."""
-    return _tagged(rank_products(_product_sales(orders), n), "top_products", computed_at)
+    return tagged(rank_products(_product_sales(orders), n), "top_products", computed_at)
 
 
 def _counted(rows: DataFrame, **measures: Column) -> DataFrame:
@@ -143,7 +144,7 @@ def funnel_of(totals: DataFrame, computed_at: datetime | None = None) -> DataFra
         percent(carts_n - sales_n, carts_n).alias("cart_abandonment_pct"),
         percent(carts_n, clicks_n).alias("add_to_cart_rate_pct"),
     )
-    return _tagged(rates, "conversion", computed_at)
+    return tagged(rates, "conversion", computed_at)
 
 
 def summary_of(
@@ -162,7 +163,7 @@ def summary_of(
         "total_clicks",
         F.date_format(day, "yyyy-MM-dd").alias("computed_date"),
     )
-    return _tagged(kpi, "summary", computed_at)
+    return tagged(kpi, "summary", computed_at)
 
 
 def conversion_funnel(
@@ -189,7 +190,7 @@ def inventory_status(inventory: DataFrame, computed_at: datetime | None = None)
         F.max("reorder_threshold").alias("reorder_threshold"),
         F.max("low_stock_alert").alias("low_stock_alert"),
     )
-    return _tagged(kpi, "inventory", computed_at)
+    return tagged(kpi, "inventory", computed_at)
 
 
 def inventory_latest(inventory: DataFrame, computed_at: datetime | None = None) -> DataFrame:
@@ -216,4 +217,4 @@ def inventory_latest(inventory: DataFrame, computed_at: datetime | None = None)
 
     last = latest(latest(placed, [*keys, "_moment"], "_place"), keys, "_moment")
     last = last.withColumnRenamed("stock_level", "current_stock")
-    return _tagged(last, "inventory", computed_at)
+    return tagged(last, "inventory", computed_at)

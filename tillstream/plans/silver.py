@@ -20,6 +20,7 @@ from tillstream.functions.money import no_decimal_form
 from tillstream.operators.cleaning import CLEANERS
 from tillstream.operators.dedup import RECORD_ORDER
 from tillstream.operators.lookup import in_partitions, likely_in, partition_key
+from tillstream.plans.changes import note_changes
 from tillstream.schemas import ARRIVAL_DATE, EVENT_DATE, EVENT_TYPES
 from tillstream.sources.tables import (
     DEFAULT_FORMAT,
@@ -197,6 +198,8 @@ def process_silver(
             silver, observations = cleaned(bronze.filter(own) if pieces > 1 else bronze)
             write_silver(silver, event_type, silver_path, fmt, "append" if piece else "overwrite")
             add(observations)
+        every = spark.range(1).select(F.lit(None).cast("date").alias(EVENT_DATE))
+        note_changes(every, base, event_type, run, whole=True)
     else:
         session.size_shuffles(spark, bronze.drop("_raw"))
         staging = layer_path(base, "silver/_staging", event_type)
@@ -265,6 +268,7 @@ def _merge(
     emptied = gone.select(*partition).collect()
     # From here to "done" the table may be between two states.
     _note(spark, base, event_type, run, "begun", upto)
+    note_changes(touched.select(EVENT_DATE).distinct(), base, event_type, run)
     write_silver(rows, event_type, path, fmt, only_partitions=True)
     nothing = spark.createDataFrame([], fresh.drop(*partition).schema)
     for row in emptied:
