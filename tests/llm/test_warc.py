@@ -122,3 +122,27 @@ def test_damage_is_noticed():
 
 def test_empty_table(spark, tmp_path):
     assert warc.archive_pages(pages(spark, []), str(tmp_path / "w")).count() == 0
+
+
+def headers(record):
+    lines = record.partition(b"\r\n\r\n")[0].split(b"\r\n")[1:]
+    return dict(line.decode().split(": ", 1) for line in lines)
+
+
+def test_every_revisit_names_its_response(spark, tmp_path):
+    rows = [(k, f"u{k}", "same page " * 20 if k % 2 else f"page {k} " * 20) for k in range(20)]
+    made = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    warc.write_archives(warc.mark_revisits(made), str(tmp_path)).count()
+    found = [
+        headers(record)
+        for file in tmp_path.glob("*.warc.zst")
+        for record in warc.archive_records(file.read_bytes())
+    ]
+    by_id = {h["WARC-Record-ID"]: h for h in found}
+    revisits = [h for h in found if h["WARC-Type"] == "revisit"]
+    assert len(by_id) == 20 and len(revisits) == 9
+    for revisit in revisits:
+        response = by_id[revisit["WARC-Refers-To"]]
+        assert response["WARC-Type"] == "response" and response["X-Page-ID"] == "1"
+        assert response["WARC-Payload-Digest"] == revisit["WARC-Payload-Digest"]
+    assert all(h["Content-Type"] == "text/html" for h in found if h["WARC-Type"] == "response")

@@ -30,7 +30,7 @@ DICTIONARY_FRAME = 0x184D2A5D
 VERSION = b"WARC/1.1"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORD_DATE = "1970-01-01T00:00:00Z"
-_PAGE = "urn:page:"
+CONTENT_TYPE = "text/html"
 
 MANIFEST = "path string, records bigint, payload_bytes bigint, file_bytes bigint"
 RECORDS = (
@@ -82,17 +82,24 @@ def _line(name: str, value: str) -> bytes:
     return f"{name}: {value}".replace("\r", "%0D").replace("\n", "%0A").encode() + b"\r\n"
 
 
+def record_id(page_id: str | None, digest: str) -> str:
+    """Follows from page and payload, so a revisit can name its response before it is written."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id}|{digest}')}>"
+
+
 def record_bytes(
     page_id: str | None, url: str | None, payload: bytes, digest: str, first: str | None
 ) -> bytes:
-    """One record, uncompressed: version, headers, block and the two empty lines."""
+    """One record, uncompressed: version, headers, block and the two empty lines.
+
+    Rows that are equal make records with equal ids.
+    """
     revisit = first is not None
     block = b"" if revisit else payload
-    name = uuid.uuid5(uuid.NAMESPACE_URL, f"{page_id}|{digest}")
     head = [
         VERSION + b"\r\n",
         _line("WARC-Type", "revisit" if revisit else "response"),
-        _line("WARC-Record-ID", f"<urn:uuid:{name}>"),
+        _line("WARC-Record-ID", record_id(page_id, digest)),
         _line("WARC-Date", RECORD_DATE),
         _line("WARC-Payload-Digest", f"sha256:{digest}"),
         _line("X-Payload-Length", str(len(payload))),
@@ -103,7 +110,11 @@ def record_bytes(
         head.append(_line("WARC-Target-URI", url))
     if revisit:
         head.append(_line("WARC-Profile", REVISIT_PROFILE))
-        head.append(_line("WARC-Refers-To", f"<{_PAGE}{first}>"))
+        # The response's record has the same digest; its page is named for our own reading.
+        head.append(_line("WARC-Refers-To", record_id(first, digest)))
+        head.append(_line("X-Refers-To-Page-ID", first))
+    else:
+        head.append(_line("Content-Type", CONTENT_TYPE))
     head.append(_line("Content-Length", str(len(block))))
     return b"".join(head) + b"\r\n" + block + b"\r\n\r\n"
 
@@ -120,11 +131,10 @@ def parse_record(record: bytes) -> dict[str, object]:
     kind = fields["WARC-Type"]
     if kind == "response" and hashlib.sha256(payload).hexdigest() != digest:
         raise ValueError(f"payload of {fields['WARC-Record-ID']} differs from its digest")
-    refers_to = fields.get("WARC-Refers-To")
     return {
         "page_id": fields.get("X-Page-ID"),
         "record_type": kind,
-        "refers_to": refers_to and refers_to[1:-1].removeprefix(_PAGE),
+        "refers_to": fields.get("X-Refers-To-Page-ID"),
         "payload_digest": digest,
         "payload_bytes": int(fields["X-Payload-Length"]),
         "url": fields.get("WARC-Target-URI"),
