@@ -108,3 +108,13 @@ def test_rules_together_keep_the_bound(spark):
 def test_empty_table(spark):
     labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
     assert Q.judge_quality(cases.frame(spark, []), labels).count() == 0
+
+
+def test_copies_of_a_row_are_one_trial(spark):
+    """One good document, however often it is there, proves no cutoff."""
+    rng = random.Random(4)
+    clean, junk = (" ".join(cases.words(rng, 30, 10_000)) for _ in range(2))
+    rows = [(1, clean, "en", "s")] * 300 + [(2, junk.replace(" ", " ### "), "en", "s"), (3, junk.replace(" ", "# "), "en", "s")]
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (3, 0, 0)], "doc_id long, quality int, toxic int")
+    found = Q.judge_quality(cases.frame(spark, rows), labels).collect()
+    assert len(found) == 302 and all(r.kept for r in found)

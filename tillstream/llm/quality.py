@@ -317,7 +317,9 @@ def judge_quality(
         .groupBy("_id")
         .agg(F.min("_label").alias("_label"))
     )
+    # Copies of a row are one document, and one trial of the tests.
     known = judged.filter("not base_failed").join(labelled, "_id")
+    known = known.dropDuplicates(["_id", "_text_hash"])
     cutoffs = cut(
         choose_cutoffs(
             known.filter("_label = 1"), rules, risk, confidence_left, known.filter("_label <> 1")
