@@ -108,3 +108,16 @@ def test_one_language(spark):
     rows = [r for r in texts(100) if r[2] == "fr"]
     got = identify_languages(cases.frame(spark, rows)).collect()
     assert {(r.lang_pred, r.score) for r in got} == {("fr", 1.0)}
+
+
+def test_every_language_is_learned(spark):
+    """More languages than the sample has room for at its usual size."""
+    rng = random.Random(5)
+    rows = []
+    for k in range(230):
+        own = [chr(0x4E00 + 40 * k + n) for n in range(40)]
+        rows += [(20 * k + n, "".join(rng.choices(own, k=60)), f"l{k:03d}", "s") for n in range(12)]
+    got = identify_languages(cases.frame(spark, rows), most_docs=460, docs_per_language=6).collect()
+    lang = {r[0]: r[2] for r in rows}
+    assert {r.lang_pred for r in got} == set(lang.values())
+    assert sum(r.lang_pred == lang[r["_id"]] for r in got) / len(got) > 0.95
