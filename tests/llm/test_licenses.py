@@ -6,7 +6,7 @@ import pytest
 from tillstream.llm import licenses as L
 
 
-def plain(rows, notices):
+def plain(rows, notices, contained=0.8):
     """Containment of every notice in every window of its scale."""
     by_scale, found = L.scales(notices), []
     for doc_id, text, *_ in rows:
@@ -20,7 +20,7 @@ def plain(rows, notices):
             for start in range(0, max(len(own) - L.SHINGLE, 0) + 1, scale.stride):
                 held = L._shingles(own[start : start + scale.window])
                 share = len(held & wanted) / len(wanted)
-                if share >= 0.8:
+                if share >= contained:
                     best.append((share, start))
             if best:
                 found.append((doc_id, name, max(best)[0], min(s for _, s in best)))
@@ -86,3 +86,11 @@ def test_own_notices_short_ones_and_none(spark):
 
 def test_empty_table(spark):
     assert L.scan_licenses(cases.frame(spark, [])).count() == 0
+
+
+def test_a_lower_containment_loses_no_holder(spark, rows):
+    """Half a notice is enough for the search before the exact check as well."""
+    wanted = {(r[0], r[1]) for r in plain(rows, L.NOTICES, 0.3)}
+    assert len(wanted) > len({(r[0], r[1]) for r in plain(rows, L.NOTICES)}) + 5
+    found = L.scan_licenses(cases.frame(spark, rows), contained=0.3).collect()
+    assert {(r["_id"], r.license) for r in found} == wanted

@@ -46,7 +46,9 @@ def scale_words(words: int) -> int:
     return max(8, 1 << (words - 1).bit_length())
 
 
-def scales(notices: Mapping[str, str], miss: float = MISS) -> dict[int, Scale]:
+def scales(
+    notices: Mapping[str, str], miss: float = MISS, contained: float = CONTAINED
+) -> dict[int, Scale]:
     """Windows and bands for each length of notice.
 
     Windows overlap so that a run of ``words`` words lies in one. A window that holds
@@ -62,7 +64,7 @@ def scales(notices: Mapping[str, str], miss: float = MISS) -> dict[int, Scale]:
         size = scale_words(len(words))
         stride = size // 4
         own = len(_shingles(words))
-        needed = math.ceil(CONTAINED * own)
+        needed = math.ceil(contained * own)
         alike = needed / (size + stride - SHINGLE + 1 + own - needed)
         bands = math.ceil(math.log(miss) / math.log1p(-alike)) if alike < 1 else 1
         known = found.get(size)
@@ -70,7 +72,7 @@ def scales(notices: Mapping[str, str], miss: float = MISS) -> dict[int, Scale]:
     return found
 
 
-def anchor_words(notices: Mapping[str, str]) -> list[str]:
+def anchor_words(notices: Mapping[str, str], contained: float = CONTAINED) -> list[str]:
     """Words one of which every text with enough of any notice must hold.
 
     Per notice, words are added until fewer shingles lack one than the notice needs.
@@ -79,7 +81,7 @@ def anchor_words(notices: Mapping[str, str]) -> list[str]:
     found: set[str] = set()
     for text in notices.values():
         rest = _shingles(notice_words(text))
-        needed = math.ceil(CONTAINED * len(rest))
+        needed = math.ceil(contained * len(rest))
         while rest and len(rest) >= needed:
             words = sorted({w for s in rest for w in s})
             best = max(words, key=lambda w: (min(len(w), 7), sum(w in s for s in rest), w))
@@ -151,7 +153,7 @@ def scan_licenses(
     total = sum(len(notice_words(t)) for t in notices.values())
     if total > MOST_NOTICE_WORDS:
         raise ValueError(f"{total} words of notices; {MOST_NOTICE_WORDS} can be held at most")
-    by_scale = scales(notices, miss)
+    by_scale = scales(notices, miss, contained)
     # Bounded by MOST_NOTICE_WORDS, so it may be held by every task.
     table = cut(_notice_table(spark, notices)) if by_scale else None
     kind = docs.schema[id_col].dataType.simpleString()
@@ -161,7 +163,7 @@ def scan_licenses(
     known = [r[0] for r in table.select(F.explode("shingles")).distinct().collect()]
 
     text = F.col("_text")
-    anchors = "|".join(anchor_words(notices))
+    anchors = "|".join(anchor_words(notices, contained))
     hashed = (
         docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text"))
         .filter(text.rlike(f"(?i)(?:{anchors})"))
