@@ -1,9 +1,15 @@
+import math
 import random
+import re
+import zlib
+from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
+from tillstream.llm import urls as U
 from tillstream.llm.queries import op9_url_filter
-from tillstream.llm.url_examples import LABELLED
+from tillstream.llm.url_examples import BAD_OF_100, LABELLED
 from tillstream.llm.urls import RULES, judge_urls
 
 URLS = {
@@ -83,23 +89,104 @@ def test_one_verdict_or_none_to_learn_from(spark):
     assert judge_urls(pages(spark, [])).count() == 0
 
 
-def test_query_judges_hosts_and_not_suffixes(spark, tmp_path):
-    """Rules block .com/de/ and allow .org/fr/; other pages of these suffixes are judged by host."""
-    clean = ["tulips", "www.bakery", "blog.rivers", "m.choir-songs"]
-    spam = ["free-casino", "www.adult-chat", "blog.bets-now", "m.spam-ring"]
-    urls = [f"https://{h}.example.{s}/en/{k}7" for s in ("com", "org") for k, h in enumerate(clean + spam)]
-    urls += [f"https://{h}.example.com/de/{k}" for k in range(30) for h in clean]
-    urls += [f"https://{h}.example.org/fr/{k}" for k in range(30) for h in clean + spam]
+def suffix_of(url):
+    return re.split(r"[/?#]", url.split("//")[1])[0].split(".")[-1]
+
+
+def held(url):
+    return zlib.crc32(url.encode()) % 4 == 0
+
+
+@pytest.fixture(scope="module")
+def verdicts(spark):
+    """The table's own URLs, judged without rules by trees that have not seen every fourth."""
+    train = U.table_of(spark, [r for r in LABELLED if not held(r[0])])
+    got = judge_urls(pages(spark, [u for u, _ in LABELLED]), train, rules=()).collect()
+    return {r["_id"]: r.verdict for r in got}
+
+
+def test_held_out_part_of_the_table(verdicts):
+    right = {}
+    for k, (url, verdict) in enumerate(LABELLED):
+        if held(url):
+            right.setdefault(suffix_of(url), []).append(verdicts[k] == verdict)
+    assert len(right) == len(BAD_OF_100)
+    assert all(sum(r) / len(r) > 0.7 for r in right.values())
+    every = [x for r in right.values() for x in r]
+    assert sum(every) / len(every) > 0.9
+
+
+def test_both_verdicts_under_each_suffix(verdicts):
+    seen = {}
+    for k, (url, _) in enumerate(LABELLED):
+        seen.setdefault(suffix_of(url), set()).add(verdicts[k])
+    assert all(v == {"allow", "block"} for v in seen.values())
+
+
+def test_no_feature_decides_alone(spark):
+    lexical = lexical_parts(spark, [u for u, _ in LABELLED])
+    sample, _, _ = U.labelled_sample(U.table_of(spark, LABELLED), U.suffix_shares(lexical))
+    weight = dict(zip(U._LEXICAL, U.fit_trees(sample).featureImportances.toArray(), strict=True))
+    assert max(weight.values()) < 0.6
+    assert weight["suffix_bad"] > 0.05
+    assert sum(v > 0.02 for v in weight.values()) >= 6
+
+
+def test_words_of_a_host_do_not_decide(spark, tmp_path):
+    hosts = ["www.cam.ac.uk", "ads.google.com", "loans.library.org", "www.pills.org.uk"]
+    hosts += ["www.essexpoker-history.museum"]
+    urls = [f"https://{h}{tail}" for h in hosts for tail in ("", "/", "/en/12", "/about")]
     pages(spark, urls).write.parquet(str(tmp_path / "pages.parquet"))
-    got = {r.page_id: r.verdict for r in op9_url_filter(spark, str(tmp_path)).collect()}
-    assert [got[k] for k in range(16)] == (["allow"] * 4 + ["block"] * 4) * 2
-    assert {got[k] for k in range(16, 136)} == {"block"}
-    assert {got[k] for k in range(136, len(urls))} == {"allow"}
-
-
-def test_labelled_urls_are_balanced_under_each_suffix():
-    counts = {}
-    for url, verdict in LABELLED:
-        suffix = url.split("//")[1].split("/")[0].split("?")[0].split(".")[-1]
-        counts.setdefault(suffix, []).append(verdict)
-    assert all(v.count("allow") == v.count("block") for v in counts.values())
+    found = op9_url_filter(spark, str(tmp_path)).collect()
+    assert len(found) == len(urls) and {r.verdict for r in found} == {"allow"}
+
+
+def lexical_parts(spark, urls):
+    rows = pages(spark, urls).select("page_id", "url")
+    url = F.col("url")
+    return U.lexical_features(rows.withColumns({"host": U.host_of(url), "path": U.path_of(url)}))
+
+
+def plain_features(url):
+    url = url or ""
+    match = re.match(r"(?s)(.*?)://([^/?#]*)([^?#]*)", url)
+    host, path = (match[2], match[3]) if match else ("", "")
+    host = "".join(c.lower() if c.isascii() else c for c in host)
+    signs = "abcdefghijklmnopqrstuvwxyz0123456789-._~/"
+    counts = Counter(c if c in signs else "other" for c in url.lower())
+    entropy = -sum(n / len(url) * math.log2(n / len(url)) for n in counts.values())
+    query = url.partition("?")[2].partition("#")[0]
+    return (
+        len(url),
+        len(host),
+        len(path),
+        len(host.split(".")),
+        len(re.findall("/[^/]", path)),
+        sum(c in "0123456789" for c in url) / max(len(url), 1),
+        entropy,
+        len(query.split("&")) if query else 0,
+    )
+
+
+def test_features_equal_plain_version(spark):
+    urls = [*URLS, *[u for u, _ in LABELLED[::7]], "https://a.b/" + "x1/" * 50_000, "h://x?&&a#?b&c"]
+    for r in lexical_parts(spark, urls).collect():
+        got = [float(r[name]) for name in U._LEXICAL[:8]]
+        assert got == pytest.approx([float(x) for x in plain_features(r.url)]), r.url
+
+
+def test_suffix_statistics_equal_plain_version(spark):
+    urls = [u for u, _ in LABELLED]
+    lexical = lexical_parts(spark, [*urls, None, "https://only.one"])
+    shares = {r["_suffix"]: r.suffix_share for r in U.suffix_shares(lexical).collect()}
+    counts = Counter(map(suffix_of, urls)) + Counter(["", "one"])
+    assert shares == pytest.approx({s: n / (len(urls) + 2) for s, n in counts.items()})
+    _, bad, overall = U.labelled_sample(U.table_of(spark, LABELLED), U.suffix_shares(lexical))
+    blocked, seen = Counter(), Counter()
+    for url, verdict in dict(LABELLED).items():
+        seen[suffix_of(url)] += 1
+        blocked[suffix_of(url)] += verdict == "block"
+    assert overall == pytest.approx(blocked.total() / seen.total())
+    assert {r["_suffix"]: r.suffix_bad for r in bad.collect()} == pytest.approx(
+        {s: (blocked[s] + 20 * overall) / (n + 20) for s, n in seen.items()}
+    )

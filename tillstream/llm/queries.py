@@ -130,8 +130,7 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule and verdict for the URL of every page."""
-    labelled = spark.createDataFrame(LABELLED, "url string, verdict string")
-    found = urls.judge_urls(_table(spark, sf_dir, "pages"), labelled)
+    found = urls.judge_urls(_table(spark, sf_dir, "pages"), urls.table_of(spark, LABELLED))
     return found.withColumnRenamed("_id", "page_id")
 
 

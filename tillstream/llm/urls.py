@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstream.llm.common import cut, lower_ascii
@@ -22,7 +22,7 @@ RULES = (
 )
 # The trees are fitted on so many labelled URLs at most.
 MOST_LABELLED = 4000
-TREES, DEPTH, SEED = 10, 3, 42
+TREES, DEPTH, SEED = 20, 4, 42
 
 _LEXICAL = (
     "url_chars",
@@ -33,16 +33,11 @@ _LEXICAL = (
     "digit_ratio",
     "entropy",
     "parameters",
-    "hyphens",
-    "spam_words",
-    "suffix_pages",
-    "suffix_hosts",
-)
-# Short words count between dots and hyphens only, long ones anywhere in the host.
-_SPAM_WORDS = (
-    r"(?:^|(?<=[.-]))(?:ads?|adult|bets?|betting|cams?|loans?|lotto|meds|nude|pills?|sex|slots?|spam|warez|xxx)(?=[.-]|$)"
-    r"|casino|gambl|jackpot|lottery|payday|poker|porn|viagra|spam(?=[a-z])"
+    "suffix_share",
+    "suffix_bad",
 )
+# The share of bad URLs under a suffix counts as if so many more had the share of all.
+PRIOR = 20
 
 
 def _between(url: Column, pattern: str) -> Column:
@@ -112,21 +107,77 @@ def lexical_features(parts: DataFrame) -> DataFrame:
             "digit_ratio": F.regexp_count(url, F.lit("[0-9]")) / chars,
             "entropy": _entropy(F.lower(url)),
             "parameters": F.when(query == "", 0).otherwise(1 + F.regexp_count(query, F.lit("&"))),
-            "hyphens": F.regexp_count(host, F.lit("-")),
-            "spam_words": F.regexp_count(host, F.lit(_SPAM_WORDS)),
         }
     )
 
 
-def suffix_statistics(lexical: DataFrame) -> DataFrame:
-    """Pages and hosts below each last host label, counted over all rows."""
-    # Hosts first, then suffixes: a suffix of very many pages is summed in parts.
-    hosts = lexical.groupBy("_suffix", "host").agg(F.count("*").alias("_pages"))
-    return (
-        hosts.groupBy(F.struct("_suffix").alias("_key"))
-        .agg(F.log2(F.sum("_pages") + 1).alias("suffix_pages"), F.log2(F.count("*") + 1).alias("suffix_hosts"))
-        .select(F.col("_key._suffix").alias("_suffix"), "suffix_pages", "suffix_hosts")
+def suffix_shares(lexical: DataFrame) -> DataFrame:
+    """Share of all rows below each last host label: ``_suffix``, ``suffix_share``."""
+    counts = cut(lexical.groupBy("_suffix").agg(F.count("*").alias("_pages")))
+    pages = counts.agg(F.sum("_pages")).first()[0] or 1
+    return counts.select("_suffix", (F.col("_pages") / pages).alias("suffix_share"))
+
+
+def suffix_badness(labels: DataFrame, prior: int = PRIOR) -> tuple[DataFrame, float]:
+    """Share of bad ones among labelled URLs below each last host label, and of all.
+
+    ``labels`` has ``_suffix`` and ``label`` and is a bounded sample; a suffix with few
+    labels is drawn towards the share of all, which also holds for unseen ones.
+    """
+    overall = labels.agg(F.avg("label")).first()[0]
+    overall = 0.5 if overall is None else overall
+    by_suffix = labels.groupBy("_suffix").agg(
+        ((F.sum("label") + prior * overall) / (F.count("*") + prior)).alias("suffix_bad")
     )
+    return by_suffix, overall
+
+
+def fit_trees(sample: DataFrame) -> GBTClassificationModel:
+    """Boosted trees on the columns ``_LEXICAL`` and ``label`` of a bounded sample."""
+    assembler = VectorAssembler(inputCols=list(_LEXICAL), outputCol="_features")
+    trees = GBTClassifier(
+        featuresCol="_features", labelCol="label", maxIter=TREES, maxDepth=DEPTH, seed=SEED
+    )
+    return trees.fit(assembler.transform(sample).select("_features", "label"))
+
+
+def table_of(spark: SparkSession, labelled: Sequence[tuple[str, str]]) -> DataFrame:
+    """``url`` and ``verdict`` of a short list, from one literal."""
+    lines = F.lit("\n".join(f"{verdict} {url}" for url, verdict in labelled))
+    split = spark.range(1).select(F.explode(F.split(lines, "\n")).alias("_line"))
+    return split.select(
+        F.substring_index("_line", " ", 1).alias("verdict"),
+        F.regexp_extract("_line", "^[^ ]* (.*)$", 1).alias("url"),
+    )
+
+
+def labelled_sample(
+    named: DataFrame, shares: DataFrame, most_labelled: int = MOST_LABELLED
+) -> tuple[DataFrame, DataFrame, float]:
+    """Features and ``label`` of labelled URLs, and what :func:`suffix_badness` says of them.
+
+    ``named`` has ``url`` and ``verdict``; each URL counts once, with its least verdict,
+    and ``most_labelled`` are taken at most, by a hash of the URL.
+    """
+    by_url = (
+        named.filter("url is not null and verdict is not null")
+        .groupBy("url")
+        .agg(F.min("verdict").alias("verdict"))
+        .orderBy(F.xxhash64("url"), "url")
+        .limit(most_labelled)
+        .select("url", (F.col("verdict") == BLOCK).cast("double").alias("label"))
+        .withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
+    )
+    labels = cut(lexical_features(by_url))
+    bad, overall = suffix_badness(labels)
+    sample = cut(
+        labels.join(shares, "_suffix", "left")
+        .join(bad, "_suffix")
+        .fillna(0.0, ["suffix_share"])
+        .select(*_LEXICAL, "label", "url")
+        .orderBy(F.xxhash64("url"), "url")
+    )
+    return sample, bad, overall
 
 
 def judge_urls(
@@ -140,17 +191,17 @@ def judge_urls(
     """Host, path, rule and verdict of each page.
 
     The longest rule that fits decides. Where none does, gradient-boosted trees on
-    lexical features do: lengths, depth, digit ratio, entropy, parameters, hyphens, spam
-    words of the host and suffix statistics. They are trained from labelled URLs:
-    ``labelled`` with ``url`` and ``verdict``, which need not be among the pages, or else
-    the pages that a rule decides; ``most_labelled`` of them at most, taken by a hash of
-    the URL, so that a rerun takes the same.
+    lexical features do: lengths, depth, digit ratio, entropy, parameters, and of the
+    suffix (last host label) its share of the pages and of bad labelled URLs. They are
+    trained from labelled URLs: ``labelled`` with ``url`` and ``verdict``, which need not
+    be among the pages, or else the pages that a rule decides; ``most_labelled`` of them
+    at most, taken by a hash of the URL, so that a rerun takes the same.
 
     Returns a row per row of ``pages``: ``_id``, ``host``, ``path``, ``rule`` (like
     ``net/``, else null) and ``verdict``. A null URL or one without ``://`` has empty
     host and path and fits no rule. Where the labelled URLs all have one verdict, the
-    others get it; without any labelled URL they are allowed. An empty table gives an
-    empty table.
+    others get it; without any labelled URL they are allowed. A very long URL is counted
+    whole, once per sign of the entropy. An empty table gives an empty table.
     """
     rows = pages.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{url_col}`").cast("string").alias("url"))
     places = {"host": host_of(F.col("url")), "path": path_of(F.col("url"))}
@@ -158,36 +209,22 @@ def judge_urls(
     rule, decided = longest_rule(F.col("host"), F.col("path"), rules)
     parts = parts.withColumns({"rule": rule, "_decided": decided})
     lexical = lexical_features(parts)
-    suffixes = suffix_statistics(lexical)
-    features = lexical.join(suffixes, "_suffix")
+    shares = suffix_shares(lexical)
     if labelled is None:
-        known = features.filter("_decided is not null").select(*_LEXICAL, "url", "_decided")
+        named = parts.filter("_decided is not null").select("url", F.col("_decided").alias("verdict"))
     else:
-        named = labelled.select(F.col("url"), F.col("verdict").alias("_decided"))
-        by_url = named.filter("url is not null and _decided is not null").dropDuplicates(["url"])
-        known = (
-            lexical_features(by_url.withColumns(places))
-            .join(suffixes, "_suffix", "left")
-            .fillna(0.0, ["suffix_pages", "suffix_hosts"])
-            .select(*_LEXICAL, "url", "_decided")
-        )
-    sample = cut(
-        known.dropDuplicates(["url"])
-        .withColumn("label", (F.col("_decided") == BLOCK).cast("double"))
-        .select(*_LEXICAL, "label", F.xxhash64("url").alias("_place"), "url")
-        .orderBy("_place", "url")
-        .limit(most_labelled)
-    )
+        named = labelled.select("url", "verdict")
+    sample, bad, overall = labelled_sample(named, shares, most_labelled)
     kinds = sorted(r["label"] for r in sample.select("label").distinct().collect())
-    assembler = VectorAssembler(inputCols=list(_LEXICAL), outputCol="_features")
     if len(kinds) == 2:
-        trees = GBTClassifier(
-            featuresCol="_features", labelCol="label", maxIter=TREES, maxDepth=DEPTH, seed=SEED
-        ).fit(assembler.transform(sample).select("_features", "label"))
-        scored = trees.transform(assembler.transform(features))
+        # At most one row per labelled URL, so it may be held by every task.
+        suffixes = shares.join(F.broadcast(bad), "_suffix", "left").fillna(overall, ["suffix_bad"])
+        assembler = VectorAssembler(inputCols=list(_LEXICAL), outputCol="_features")
+        features = lexical.join(suffixes, "_suffix")
+        scored = fit_trees(sample).transform(assembler.transform(features))
         blocked = vector_to_array(F.col("probability"))[1] > 0.5
     else:
-        scored, blocked = features, F.lit(kinds == [1.0])
+        scored, blocked = lexical, F.lit(kinds == [1.0])
     learned = F.when(blocked, F.lit(BLOCK)).otherwise(F.lit(ALLOW))
     return scored.select(
         "_id", "host", "path", "rule", F.coalesce("_decided", learned).alias("verdict")
