@@ -56,7 +56,6 @@ def test_words_taken_meet_targets(spark):
         assert r.source_size >= r.size
     assert target == pytest.approx(plain_targets(sizes))
     for source in sizes:
-        # Rows that are repeated are taken together.
         assert abs(taken[source] - target[source]) <= largest[source]
 
 
@@ -108,6 +107,51 @@ def test_mixture_repeats_documents(spark):
     assert {r.copy for r in got.collect()} <= {1, 2, 3}
 
 
+def repeated():
+    """A third of all rows is one row, and there are copies of a few others."""
+    rows = [(7, "one row many times over, " * 13, "en", "a")] * 300
+    rows += [(100 + k, "some words of its own " * (k % 9), "en", "a") for k in range(300)]
+    rows += [(900 + k // 7, "seven times each", "en", None) for k in range(300)]
+    return rows
+
+
+def test_repeated_rows_meet_targets(spark):
+    rows = repeated()
+    docs = cases.frame(spark, rows)
+    found = mix_sources(docs).collect()
+    assert Counter((r["_id"], r["_source"]) for r in found) == Counter((r[0], r[3]) for r in rows)
+    for source in ("a", None):
+        own = [r for r in found if r["_source"] == source]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= max(r.size for r in own)
+        assert all(r.taken <= 3 * r.size for r in own)
+    copies = [r.copies for r in found if r["_id"] == 7]
+    assert len(copies) == 300 and max(copies) - min(copies) == 1
+    wanted = Counter()
+    for r in found:
+        wanted[r["_id"]] += r.copies
+    for parts in (1, 5):
+        got = Counter(r.doc_id for r in take_mixture(docs.repartition(parts)).collect())
+        assert got == +wanted
+
+
+def test_rows_beyond_a_chunk(spark):
+    docs = spark.range(25_003).selectExpr("1L as doc_id", "'two words' as text", "'en' as lang", "'a' as source")
+    found = mix_sources(docs)
+    assert found.count() == 25_003
+    assert found.agg(F.sum("taken")).first()[0] == 2 * 25_003
+
+
+def test_the_root_is_drawn(spark):
+    """The one open document of a source with a fraction below a half is taken at times."""
+    docs = cases.frame(spark, [(1, "one two three four", "en", "a"), (2, "one two three", "en", "b")])
+    seen = Counter()
+    for seed in range(9):
+        found = {r["_id"]: r for r in mix_sources(docs, seed=seed).collect()}
+        assert found[1].target == pytest.approx(5.0) and found[1].copies in (1, 2)
+        seen[found[1].copies] += 1
+    assert seen[1] > seen[2] > 0
+
+
 def test_empty_and_wordless_tables(spark):
     assert mix_sources(cases.frame(spark, [])).count() == 0
     rows = [(1, None, None, None), (2, "", None, "a"), (3, " \n", None, "a")]

@@ -13,6 +13,8 @@ WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
 # Documents whose fractions one task pairs at a time; the tree's fan-in.
 BLOCK = 256
+# Equal rows that are given out at a time.
+CHUNK = 10_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -151,56 +153,62 @@ def _round(open_rows: DataFrame, groups: list[str], seed: int, level: int) -> Da
     )
 
 
-def mix_sources(
+def _mixed_units(
     docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    source_col: str = "source",
-    weights: tuple[int, ...] = WEIGHTS,
-    most: int = MOST_COPIES,
-    seed: int = 42,
+    id_col: str,
+    text_col: str,
+    source_col: str,
+    weights: tuple[int, ...],
+    most: int,
+    seed: int,
 ) -> DataFrame:
-    """How often a mixture by source weight takes each document.
-
-    Sources in code point order, null last, weigh ``weights`` in turn and share the size
-    of all documents, in words between blanks; a target stops at ``most`` times its
-    source's size. A document's expected copies are its source's target by its source's
-    size. The whole part is taken for certain. Fractions are paired: expected words move
-    at random between two documents until one is whole, in blocks of bounded size, and
-    what stays open goes up a tree of blocks. The one left at its root is rounded, so the
-    words taken of a source differ from its target by half a document at most. Chances
-    come from hashes, so a rerun takes the same.
+    """How often each unit is taken: ``_rows`` rows equal in source, id and text.
 
-    Returns a row per row of ``docs``: ``_id``, ``_source``, ``_text_hash`` (64-bit hash
-    of the text), ``size``, ``source_size``, ``target``, ``copies`` and ``taken``. Rows
-    with the same id, source and text are taken together, equally often. A null or empty
-    text has size 0 and is never taken; a null source is a source; a null id is an id.
-    A table without words has targets of 0. An empty table gives an empty table.
+    Each row is taken ``_whole`` times, and ``_extra`` of the unit's rows once more.
     """
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     # Texts are read once; all that follows works on this narrow table.
-    rows = cut(
+    units = cut(
         docs.select(
             F.col(f"`{id_col}`").alias("_id"),
             F.col(f"`{source_col}`").alias("_source"),
             F.xxhash64(text).alias("_text_hash"),
             F.regexp_count(text, F.lit(WORD)).cast("bigint").alias("_size"),
         )
+        .groupBy("_source", "_id", "_text_hash", "_size")
+        .agg(F.count("*").alias("_rows"))
     )
-    units = rows.groupBy("_source", "_id", "_text_hash", "_size").agg(F.count("*").alias("_rows"))
-    sizes = rows.groupBy("_source").agg(F.sum("_size").alias("source_size"))
+    sizes = units.groupBy("_source").agg(F.sum(F.col("_size") * F.col("_rows")).alias("source_size"))
     rate = F.when(
         F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(most)))
     ).otherwise(0.0)
     targets = cut(
         source_targets(sizes, weights, most)
         .withColumn("_whole", F.floor(rate))
-        .withColumn("_share", rate - F.floor(rate))
+        .withColumn("_part", rate - F.floor(rate))
+    )
+    # Of n equal rows n * part are expected to be taken once more; the whole part of that
+    # is certain, and its fraction is the unit's share in the pairing.
+    expected = F.when(F.col("_size") > 0, F.col("_rows") * F.col("_part")).otherwise(0.0)
+    units = cut(
+        units.join(targets, null_safe(units, targets, "_source")).select(
+            units["_source"],
+            "_id",
+            "_text_hash",
+            "_size",
+            "_rows",
+            "source_size",
+            "target",
+            F.when(F.col("_size") > 0, F.col("_whole")).otherwise(0).alias("_whole"),
+            F.floor(expected).alias("_certain"),
+            (expected - F.floor(expected)).alias("_share"),
+        )
     )
 
-    # Open documents are blocked by source and size, as many blocks as they fill.
+    # Open units are blocked by source and size, as many blocks as they fill.
     banded = (
-        units.filter(F.col("_size") > 0)
+        units.filter(F.col("_share") > 0)
+        .select("_source", "_id", "_text_hash", "_size", "_share")
         .withColumn("_band", F.floor(F.log2(F.col("_size").cast("double")) * 4).cast("int"))
     )
     counts = cut(
@@ -208,12 +216,8 @@ def mix_sources(
         .agg(F.ceil(F.count("*") / BLOCK).alias("_blocks"))
         .select(F.col("_key._source").alias("_source"), F.col("_key._band").alias("_band"), "_blocks")
     )
-    fractions = targets.filter(F.col("_share") > 0).select("_source", "_share")
     level_rows = banded.join(counts, null_safe(banded, counts, "_source", "_band")).select(
-        banded["_source"], "_id", "_text_hash", "_size", banded["_band"], "_blocks"
-    )
-    level_rows = level_rows.join(fractions, null_safe(level_rows, fractions, "_source")).select(
-        level_rows["_source"], "_id", "_text_hash", "_size", "_band", "_blocks", "_share"
+        banded["_source"], "_id", "_text_hash", "_size", "_share", banded["_band"], "_blocks"
     )
     spread = F.pmod(F.xxhash64(F.lit(seed), "_id", "_text_hash"), F.col("_blocks"))
     level_rows = level_rows.withColumn("_block", spread)
@@ -229,7 +233,7 @@ def mix_sources(
         decided.append(done.filter("not _open").drop("_open"))
         level += 1
         if most_left == 1:
-            wins = (F.col("_share") >= 0.5).cast("double")
+            wins = (_chance(seed, level) < F.col("_share")).cast("double")
             decided.append(still.withColumn("_share", wins))
             break
         most_left = -(-most_left // BLOCK)
@@ -237,19 +241,61 @@ def mix_sources(
         level_rows = still.withColumn("_block", spread)
         groups = ["_source", "_block"]
 
+    if not decided:
+        return cut(units.withColumn("_extra", F.col("_certain")))
     keys = ["_source", "_id", "_text_hash"]
-    if decided:
-        union = reduce(DataFrame.unionByName, decided)
-        won = union.filter(F.col("_share") == 1).select(*keys, F.lit(1).alias("_extra"))
-        sized = rows.join(won, null_safe(rows, won, *keys), "left").select(
-            *[rows[k] for k in keys], "_size", F.coalesce("_extra", F.lit(0)).alias("_extra")
+    union = reduce(DataFrame.unionByName, decided)
+    won = union.filter(F.col("_share") == 1).select(*keys, F.lit(1).alias("_won"))
+    extra = F.col("_certain") + F.coalesce("_won", F.lit(0))
+    return cut(
+        units.join(won, null_safe(units, won, *keys), "left").select(
+            *[units[c] for c in units.columns], extra.alias("_extra")
         )
-    else:
-        sized = rows.withColumn("_extra", F.lit(0))
-    copies = F.when(F.col("_size") > 0, F.col("_whole") + F.col("_extra")).otherwise(0)
-    return sized.join(targets, null_safe(sized, targets, "_source")).select(
+    )
+
+
+def mix_sources(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    weights: tuple[int, ...] = WEIGHTS,
+    most: int = MOST_COPIES,
+    seed: int = 42,
+) -> DataFrame:
+    """How often a mixture by source weight takes each document.
+
+    Sources in code point order, null last, weigh ``weights`` in turn and share the size
+    of all documents, in words between blanks; a target stops at ``most`` times its
+    source's size. A document's expected copies are its source's target by its source's
+    size. The whole part is taken for certain. Fractions are paired: expected words move
+    at random between two documents until one is whole, in blocks of bounded size, and
+    what stays open goes up a tree of blocks. The one left at its root is drawn by its
+    fraction, so every expectation is kept and the words taken of a source differ from
+    its target by less than a document. Chances come from hashes, so a rerun takes the same.
+
+    Returns a row per row of ``docs``: ``_id``, ``_source``, ``_text_hash`` (64-bit hash
+    of the text), ``size``, ``source_size``, ``target``, ``copies`` and ``taken``. Of rows
+    with the same id, source and text some may be taken once more than others, so that
+    together they come as near to what is expected of them as one document does. A null
+    or empty text has size 0 and is never taken; a null source is a source; a null id is
+    an id. A very long text is one document: a source of few such ones misses its target
+    by less than its longest. A table without words has targets of 0. An empty table
+    gives an empty table.
+    """
+    units = _mixed_units(docs, id_col, text_col, source_col, weights, most, seed)
+    # A unit's rows are made from its count, a chunk at a time, and chunks are dealt out.
+    one = units.filter("_rows = 1").withColumn("_nth", F.lit(0).cast("bigint"))
+    chunks = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_rows") - 1) / CHUNK))
+    dealt = units.filter("_rows > 1").withColumn("_chunk", F.explode(chunks))
+    dealt = dealt.repartition("_source", "_id", "_text_hash", "_chunk")
+    first = F.col("_chunk") * CHUNK
+    nth = F.explode(F.sequence(first, F.least(first + CHUNK, F.col("_rows")) - 1))
+    rows = one.unionByName(dealt.withColumn("_nth", nth).drop("_chunk"))
+    copies = F.col("_whole") + (F.col("_nth") < F.col("_extra")).cast("bigint")
+    return rows.select(
         "_id",
-        sized["_source"].alias("_source"),
+        "_source",
         "_text_hash",
         F.col("_size").alias("size"),
         "source_size",
@@ -264,25 +310,62 @@ def take_mixture(
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
-    **options: int,
+    weights: tuple[int, ...] = WEIGHTS,
+    most: int = MOST_COPIES,
+    seed: int = 42,
 ) -> DataFrame:
-    """The mixture itself: each document as often as it is taken.
+    """The mixture itself: each document as often as :func:`mix_sources` takes it.
 
     All columns of ``docs`` come back, with ``copy`` (from 1), ``size``, ``source_size``
-    and ``target`` behind them; columns of those names are replaced.
+    and ``target`` behind them; columns of those names are replaced. Of rows with the same
+    id, source and text, those that come first in their part of the input are taken more.
     """
     added = ("copy", "size", "source_size", "target")
-    decided = mix_sources(docs, id_col, text_col, source_col, **options).filter("copies > 0")
-    # Equal rows are taken equally often.
-    decided = decided.dropDuplicates(["_id", "_source", "_text_hash"])
+    keys = ["_id", "_source", "_text_hash"]
+    units = _mixed_units(docs, id_col, text_col, source_col, weights, most, seed)
     packed = docs.select(
         F.col(f"`{id_col}`").alias("_id"),
         F.col(f"`{source_col}`").alias("_source"),
         F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("_text_hash"),
         F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in added]).alias("_row"),
     )
-    taken = packed.join(decided, null_safe(packed, decided, "_id", "_source", "_text_hash"))
-    copies = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
-    return taken.select(
-        "_row", copies.alias("copy"), "size", "source_size", "target"
-    ).select("_row.*", *added)
+
+    def joined(left: DataFrame, right: DataFrame) -> DataFrame:
+        return left.join(right, null_safe(left, right, *keys)).select(
+            *[left[k] for k in keys],
+            *[c for c in left.columns if c not in keys],
+            *[c for c in right.columns if c not in keys],
+        )
+
+    uneven = (F.col("_extra") > 0) & (F.col("_extra") < F.col("_rows"))
+    more = (F.col("_extra") == F.col("_rows")).cast("bigint")
+    taken = joined(packed, units.filter(~uneven)).withColumn("_copies", F.col("_whole") + more)
+    some = units.filter(uneven)
+    if not some.isEmpty():
+        # Rows are numbered in the parts they are read in; a part's rows of a unit get
+        # what is left of the unit's extra copies behind the parts before it. A rerun
+        # reads the same parts.
+        placed = cut(
+            joined(packed.withColumn("_part", F.spark_partition_id()), some).withColumn(
+                "_at", F.monotonically_increasing_id()
+            )
+        )
+        per_part = placed.groupBy(*keys, "_part").agg(F.count("*").alias("_n"))
+        before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+        starts = per_part.select(
+            *keys, "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")
+        )
+        own = Window.partitionBy(*keys, "_part").orderBy("_at")
+        numbered = placed.withColumn("_nth", F.row_number().over(own) - 1)
+        numbered = numbered.join(starts, null_safe(numbered, starts, *keys, "_part")).select(
+            *[numbered[c] for c in numbered.columns], "_before"
+        )
+        gets = (F.col("_before") + F.col("_nth") < F.col("_extra")).cast("bigint")
+        uneven_taken = numbered.withColumn("_copies", F.col("_whole") + gets)
+        taken = taken.unionByName(uneven_taken.select(*taken.columns))
+    copies = F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))
+    return (
+        taken.filter("_copies > 0")
+        .select("_row", copies.alias("copy"), F.col("_size").alias("size"), "source_size", "target")
+        .select("_row.*", *added)
+    )
