@@ -6,11 +6,12 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstream.llm.common import (
     WordHasher,
+    cut,
     gram_hashes,
     mix,
     null_safe,
@@ -30,21 +31,22 @@ _LOWERED[ord("A") : ord("Z") + 1] += 32
 _IN_WORD = np.zeros(256, dtype=bool)
 _IN_WORD[ord("0") : ord("9") + 1] = _IN_WORD[ord("a") : ord("z") + 1] = _IN_WORD[128:] = True
 
-_WINDOWS = "array<struct<start:int,length:int,print:bigint,hash:bigint>>"
+_PRINTS = "array<struct<start:int,length:int,print:bigint,left:array<bigint>,right:array<bigint>>>"
 
 
-def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
-    """Least of each ``width`` neighbours, by doubling."""
-    done, least = 1, values
+def _last_least(values: np.ndarray, width: int) -> np.ndarray:
+    """Place of the least of each ``width`` neighbours, the last of equal ones, by doubling."""
+    done, places = 1, np.arange(len(values))
     while done < width:
         step = min(done, width - done)
-        least = np.minimum(least[: len(least) - step], least[step:])
+        one, two = places[: len(places) - step], places[step:]
+        places = np.where(values[two] <= values[one], two, one)
         done += step
-    return least
+    return places
 
 
-class _Windows:
-    """Hashed windows of texts, each with the fingerprint that winnowing keeps of it."""
+class _Winnower:
+    """Fingerprints of texts: of each window the least gram hash, with the words around it."""
 
     def __init__(self, window: int, gram: int) -> None:
         self.window, self.gram = window, gram
@@ -55,18 +57,45 @@ class _Windows:
         starts, ends, first_words = word_spans(_IN_WORD[data], offsets)
         return self.hasher(data, starts, ends), first_words
 
-    def long(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Of each whole window: the least of its gram hashes, and its own hash."""
+    def select(self, words: np.ndarray, first_words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places that any window within one text keeps, each once, and their gram hashes.
+
+        A window's place depends on its own words only, so equal windows keep the same one.
+        """
         if len(words) < self.window:
-            return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint64)
-        prints = _sliding_min(gram_hashes(words, self.gram), self.window - self.gram + 1)
-        return prints, gram_hashes(words, self.window)
+            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        hashes = gram_hashes(words, self.gram)
+        places = _last_least(hashes, self.window - self.gram + 1)
+        starts = np.arange(len(places))
+        ends = first_words[np.searchsorted(first_words, starts, side="right")]
+        places = np.unique(places[ends - starts >= self.window])
+        return places, hashes[places]
 
     @staticmethod
-    def short(words: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-        """An item shorter than a window is one window; its hash is its fingerprint."""
-        hashes = gram_hashes(words, length)
-        return mix(hashes + np.uint64(length)), hashes
+    def short(words: np.ndarray, length: int) -> np.ndarray:
+        """An item shorter than a window is one fingerprint, which names its length."""
+        return mix(gram_hashes(words, length) + np.uint64(length))
+
+    def around(
+        self, words: np.ndarray, first_words: np.ndarray, places: np.ndarray, length: int
+    ) -> tuple[pa.Array, pa.Array]:
+        """Hashes of the words before each place, nearest first, and from it on.
+
+        They reach as far as a window around the place can, within its text.
+        """
+        row = np.searchsorted(first_words, places, side="right") - 1
+        before = self.window - self.gram if length == self.window else 0
+        sides = (
+            (np.minimum(before, places - first_words[row]), places - 1, -1),
+            (np.minimum(length, first_words[row + 1] - places), places, 1),
+        )
+        lists = []
+        for counts, first, step in sides:
+            ends = np.concatenate([[0], np.cumsum(counts)])
+            within = np.arange(ends[-1]) - np.repeat(ends[:-1], counts)
+            own = words[np.repeat(first, counts) + step * within]
+            lists.append(pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), _signed(own)))
+        return lists[0], lists[1]
 
 
 def _signed(values: np.ndarray) -> pa.Array:
@@ -78,7 +107,7 @@ def _filter_places(prints: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarra
     return (prints & mask).astype(np.int64), ((prints >> np.uint64(32)) & mask).astype(np.int64)
 
 
-def benchmark_windows(
+def benchmark_prints(
     benchmark: DataFrame,
     id_col: str = "item_id",
     text_col: str = "text",
@@ -86,49 +115,52 @@ def benchmark_windows(
     gram: int = GRAM,
     bits: int = FILTER_BITS,
 ) -> DataFrame:
-    """Every window of every item: ``item``, ``length``, ``print``, ``hash``, filter places."""
+    """Fingerprints of every item: ``item``, ``length`` of the window, ``print``, the words
+    ``left`` and ``right`` of its place, and its places in the filter."""
 
     def hashed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = _Windows(window, gram)
+        of = _Winnower(window, gram)
         for batch in batches:
             for first, _, data, offsets in utf8_pieces(batch.column(1)):
                 words, first_words = of.words(data, offsets)
-                for row, (low, high) in enumerate(
-                    zip(first_words[:-1], first_words[1:], strict=True)
-                ):
-                    length = min(int(high - low), window)
-                    if length == 0:
-                        continue
-                    own = words[low:high]
-                    prints, hashes = of.long(own) if length == window else of.short(own, length)
+                found = [(window, *of.select(words, first_words))]
+                counts = np.diff(first_words)
+                for length in np.unique(counts[(counts > 0) & (counts < window)]).tolist():
+                    places = first_words[:-1][counts == length]
+                    found.append((length, places, of.short(words, length)[places]))
+                for length, places, prints in found:
+                    row = np.searchsorted(first_words, places, side="right") - 1
+                    left, right = of.around(words, first_words, places, length)
                     one, two = _filter_places(prints, bits)
-                    item = batch.column(0).slice(first + row, 1)
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.concat_arrays([item] * len(hashes)),
-                            pa.array(np.full(len(hashes), length, dtype=np.int32)),
+                            batch.column(0).take(pa.array(first + row)),
+                            pa.array(np.full(len(places), length, dtype=np.int32)),
                             _signed(prints),
-                            _signed(hashes),
+                            left,
+                            right,
                             pa.array(one),
                             pa.array(two),
                         ],
-                        names=["item", "length", "print", "hash", "one", "two"],
+                        names=["item", "length", "print", "left", "right", "one", "two"],
                     )
 
     items = benchmark.select(
         F.col(f"`{id_col}`").cast("string").alias("item"), F.col(f"`{text_col}`").alias("text")
     )
     return items.mapInArrow(
-        hashed, "item string, length int, print bigint, hash bigint, one bigint, two bigint"
+        hashed,
+        "item string, length int, print bigint, left array<bigint>, right array<bigint>, "
+        "one bigint, two bigint",
     )
 
 
-def _packed_filter(windows: DataFrame, bits: int) -> tuple[np.ndarray, list[int]]:
-    """The bit filter over all fingerprints, and the lengths of short windows.
+def _packed_filter(prints: DataFrame, bits: int) -> tuple[np.ndarray, list[int]]:
+    """The bit filter over all fingerprints, and the lengths of windows.
 
     Spark gathers the bits by 64; at most bits / 64 rows come to the driver.
     """
-    places = windows.select(F.explode(F.array("one", "two")).alias("place"))
+    places = prints.select(F.explode(F.array("one", "two")).alias("place"))
     bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("place") % 64).cast("int"))
     rows = (
         places.groupBy(F.shiftright("place", 6).alias("at")).agg(F.bit_or(bit).alias("bits")).toPandas()
@@ -136,14 +168,14 @@ def _packed_filter(windows: DataFrame, bits: int) -> tuple[np.ndarray, list[int]
     packed = np.zeros(bits // 64, dtype=np.uint64)
     if len(rows):
         packed[rows["at"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64).view(np.uint64)
-    lengths = windows.agg(F.collect_set("length")).first()[0] or []
+    lengths = prints.agg(F.collect_set("length")).first()[0] or []
     return packed, sorted(lengths)
 
 
-def _document_windows(
+def _document_prints(
     packed: np.ndarray, lengths: list[int], window: int, gram: int, bits: int
 ) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Per document: its words, and the windows whose fingerprint passes the filter."""
+    """Per document: its words, and the fingerprints that pass the filter."""
 
     def passes(prints: np.ndarray) -> np.ndarray:
         found = np.ones(len(prints), dtype=bool)
@@ -152,50 +184,63 @@ def _document_windows(
         return found
 
     def hashed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = _Windows(window, gram)
+        of = _Winnower(window, gram)
         for batch in batches:
             for first, last, data, offsets in utf8_pieces(batch.column(0)):
                 words, first_words = of.words(data, offsets)
-                found = []
+                starts, sizes, prints, lefts, rights = [], [], [], [], []
                 for length in lengths:
                     if length == window:
-                        prints, hashes = of.long(words)
+                        at, own = of.select(words, first_words)
                     else:
-                        prints, hashes = of.short(words, length)
-                    at = np.flatnonzero(passes(prints))
-                    text = np.searchsorted(first_words, at, side="right")
-                    at = at[first_words[text] - at >= length]  # windows within one text
-                    found.append((at, np.full(len(at), length, np.int32), prints[at], hashes[at]))
-                if found:
-                    at, size, prints, hashes = (np.concatenate(x) for x in zip(*found, strict=True))
-                else:
-                    at, size = np.zeros(0, np.int64), np.zeros(0, np.int32)
-                    prints = hashes = np.zeros(0, np.uint64)
+                        own = of.short(words, length)
+                        at = np.arange(len(own))
+                        text = np.searchsorted(first_words, at, side="right")
+                        at = at[first_words[text] - at >= length]
+                        own = own[at]
+                    passed = passes(own)
+                    at, own = at[passed], own[passed]
+                    left, right = of.around(words, first_words, at, length)
+                    starts.append(at)
+                    sizes.append(np.full(len(at), length, np.int32))
+                    prints.append(own)
+                    lefts.append(left)
+                    rights.append(right)
+                at = np.concatenate([np.zeros(0, np.int64), *starts])
                 order = np.argsort(at, kind="stable")
-                at, size, prints, hashes = at[order], size[order], prints[order], hashes[order]
+                at = at[order]
                 row = np.searchsorted(first_words, at, side="right") - 1
                 ends = np.searchsorted(row, np.arange(last - first + 1))
-                windows = pa.StructArray.from_arrays(
+                none = pa.array([], pa.list_(pa.int64()))
+                found = pa.StructArray.from_arrays(
                     [
                         pa.array((at - first_words[row]).astype(np.int32)),
-                        pa.array(size),
-                        _signed(prints),
-                        _signed(hashes),
+                        pa.array(np.concatenate([np.zeros(0, np.int32), *sizes])[order]),
+                        _signed(np.concatenate([np.zeros(0, np.uint64), *prints])[order]),
+                        pa.concat_arrays([none, *lefts]).take(pa.array(order)),
+                        pa.concat_arrays([none, *rights]).take(pa.array(order)),
                     ],
-                    names=["start", "length", "print", "hash"],
+                    names=["start", "length", "print", "left", "right"],
                 )
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.diff(first_words).astype(np.int64)),
-                        pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), windows),
+                        pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), found),
                         *[c.slice(first, last - first) for c in batch.columns[1:]],
                     ],
-                    names=["n_words", "windows", *batch.schema.names[1:]],
+                    names=["n_words", "prints", *batch.schema.names[1:]],
                 )
 
     return hashed
 
 
+def _in_common(one: str, two: str) -> Column:
+    """How many words two lists begin with alike; null where one is null."""
+    alike = F.zip_with(one, two, lambda x, y: x.eqNullSafe(y))
+    differs = F.array_position(alike, False)
+    return F.when(differs == 0, F.size(alike)).when(differs > 0, (differs - 1).cast("int"))
+
+
 def find_contamination(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -212,29 +257,41 @@ def find_contamination(
 
     Words are runs of digits, a-z (A-Z lower-cased) and non-ASCII characters. A window
     is ``window`` consecutive words of an item, or the whole of a shorter one. Winnowing
-    keeps of each window the least hash of its ``gram``-word grams, the same wherever
-    the window stands, so every shared span of ``window`` words has a fingerprint in
-    common. Documents and benchmark join on the fingerprint and the hash of the window
-    around it; hits extend over all words of such windows. The documents' side is first
-    held against a bit filter of fixed size made from all benchmark fingerprints, so
-    only windows that may match are shuffled, and texts never are.
+    selects in each window the place of the least hash of its ``gram``-word grams, the
+    same wherever the window stands, so every shared span of ``window`` words has a
+    selected place in common. Selected places of documents and benchmark join on the
+    gram's hash alone; from there the match is extended word by word to both sides, as
+    far as a window around the place reaches, and counts if it is as long as a window.
+    The spans so found cover all words of shared windows and no others. The documents'
+    side is first held against a bit filter of fixed size made from all benchmark
+    fingerprints, so only places that may match are shuffled, and texts never are.
 
     Returns a row per row of ``docs``: ``_id``, ``_text_hash``, ``n_words``, ``n_hit``,
     ``n_items``, ``items`` (ids as sorted strings) and ``contaminated`` (``hits_in`` *
     n_hit >= n_words and n_hit > 0). Null or empty text has no words and is clean.
     Items without words have no windows, repeated items count once, a null item id is
-    left out of ``items``. Empty tables give no rows, or clean ones.
+    left out of ``items``. Empty tables give no rows, or clean ones. A very long text is
+    hashed as a whole: its task holds some dozens of bytes for each of its words.
     """
-    of_items = benchmark_windows(benchmark, item_id_col, item_text_col, window, gram, bits)
-    packed, lengths = _packed_filter(of_items, bits)
-    # Grouped as a struct: the join deals both sides out, so a window that very many
-    # documents hold can be split.
-    items = (
-        of_items.groupBy(F.struct("print", "hash", "length").alias("_key"))
+    # Items are gathered once per fingerprint and words around it; what goes on to the
+    # documents is the name of that set of items, not the set.
+    key = ["print", "length", "left", "right", "one", "two"]
+    places = cut(
+        benchmark_prints(benchmark, item_id_col, item_text_col, window, gram, bits)
+        .groupBy(F.struct(*key).alias("_key"))
         .agg(F.array_sort(F.collect_set("item")).alias("_items"))
-        .select("_key.print", "_key.hash", "_key.length", "_items")
+        .select("_key.*", "_items", F.md5(F.to_json("_items")).alias("_set"))
+    )
+    packed, lengths = _packed_filter(places, bits)
+    sets = places.groupBy("_set").agg(F.first("_items").alias("_items"))
+    of_items = places.select(
+        "print",
+        F.col("length").alias("_length"),
+        F.col("left").alias("_left"),
+        F.col("right").alias("_right"),
+        "_set",
     )
-    schema = f"n_words bigint, windows {_WINDOWS}, _row bigint, _text_hash bigint"
+    schema = f"n_words bigint, prints {_PRINTS}, _row bigint, _text_hash bigint"
     ids = docs.schema[id_col].dataType.simpleString()
     hashed = (
         docs.select(
@@ -244,30 +301,43 @@ def find_contamination(
             F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("_text_hash"),
             F.col(f"`{id_col}`").alias("_id"),
         )
-        .mapInArrow(_document_windows(packed, lengths, window, gram, bits), f"{schema}, _id {ids}")
-        .select("_row", "_id", "_text_hash", "n_words", F.explode_outer("windows").alias("_w"))
+        .mapInArrow(_document_prints(packed, lengths, window, gram, bits), f"{schema}, _id {ids}")
+        .select("_row", "_id", "_text_hash", "n_words", F.explode_outer("prints").alias("_p"))
+        # Documents without fingerprints keep one row that matches none, dealt by number.
         .select(
-            "_row",
-            "_id",
-            "_text_hash",
-            "n_words",
-            F.col("_w.start").alias("_start"),
-            # Documents without windows keep one row that matches none, dealt by number.
-            F.coalesce("_w.length", F.lit(0)).alias("length"),
-            F.coalesce("_w.print", "_row").alias("print"),
-            F.coalesce("_w.hash", "_row").alias("hash"),
+            "_row", "_id", "_text_hash", "n_words", "_p.*", F.coalesce("_p.print", "_row").alias("_print")
+        )
+        .drop("print")
+        .withColumnRenamed("_print", "print")
+    )
+    extended = (
+        hashed.join(of_items, "print", "left")
+        .withColumn("_before", _in_common("left", "_left"))
+        .withColumn("_behind", _in_common("right", "_right"))
+    )
+    shared = (F.col("length") == F.col("_length")) & (
+        F.col("_before") + F.col("_behind") >= F.col("length")
+    )
+    match = F.struct(
+        (F.col("start") - F.col("_before")).alias("_start"),
+        (F.col("_before") + F.col("_behind")).alias("length"),
+    )
+    of_document = ["_id", "_text_hash", "n_words"]
+    per_set = (
+        extended.groupBy("_row")
+        .agg(
+            *[F.first(c).alias(c) for c in of_document],
+            F.array_sort(F.collect_set(F.when(shared, match))).alias("_matches"),
+            F.collect_set(F.when(shared, F.col("_set"))).alias("_sets"),
         )
+        .withColumn("_set", F.explode_outer("_sets"))
+        .join(sets, "_set", "left")
     )
-    found = hashed.join(items, ["print", "hash", "length"], "left")
-    match = F.when(F.col("_items").isNotNull(), F.struct("_start", "length"))
-    per_document = found.groupBy("_row").agg(
-        F.first("_id").alias("_id"),
-        F.first("_text_hash").alias("_text_hash"),
-        F.first("n_words").alias("n_words"),
-        F.array_sort(F.collect_set(match)).alias("_matches"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set("_items")))).alias("items"),
+    per_document = per_set.groupBy("_row").agg(
+        *[F.first(c).alias(c) for c in [*of_document, "_matches"]],
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("_items")))).alias("items"),
     )
-    # Windows in order of start: each adds the words behind the furthest end so far.
+    # Matches in order of start: each adds the words behind the furthest end so far.
     nothing = F.struct(F.lit(0).alias("hit"), F.lit(0).alias("end"))
     covered = F.aggregate(
         "_matches",
