@@ -1,4 +1,5 @@
 import re
+import tracemalloc
 
 import cases
 import numpy as np
@@ -87,6 +88,48 @@ def test_chains_equal_the_whole_text(model, monkeypatch):
     assert near == pii.model_spans(texts, model)
 
 
+def whole_text_spans(text, model):
+    """One chain over all of a text."""
+    tokens = [m.span() for m in pii._TOKEN.finditer(text)]
+    if not tokens:
+        return []
+    (path,) = model.decode([model.scores(pii.token_features(text, tokens))])
+    return [s for s in pii._label_spans(tokens, path) if pii._CHECKS[s[0]](text[s[1] : s[2]])]
+
+
+def test_chains_equal_whole_texts_of_the_given_table(spark, model):
+    texts = [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    found = pii.model_spans(texts, model)
+    assert sum(map(len, found)) > 20
+    assert [sorted(f) for f in found] == [sorted(whole_text_spans(t, model)) for t in texts]
+
+
+def numbers(count):
+    rng = np.random.default_rng(1)
+    parts = [str(n) for n in rng.integers(0, 10**6, count)]
+    for k in range(40, count, 97):
+        parts[k] = ("call (614) 555-2368 at noon", "a.b (at) c (dot) org", "4111 1111 1111 1111")[k % 3]
+    return ", ".join(parts)
+
+
+def test_pieces_equal_the_whole_chain(model, monkeypatch):
+    texts = [numbers(3000), "7 " * 4000, "1-" * 3000, f"x {numbers(700)} {'9' * 5000} {numbers(300)}"]
+    whole = [sorted(whole_text_spans(t, model)) for t in texts]
+    assert len(whole[0]) > 20
+    for piece in (600, 4000):
+        monkeypatch.setattr(pii, "PIECE", piece)
+        assert [sorted(f) for f in pii.model_spans(texts, model)] == whole
+
+
+def test_memory_of_a_long_text_of_numbers(model):
+    text = numbers(40_000)
+    tracemalloc.start()
+    pii.model_spans([text], model)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(text) > 300_000 and peak < 40_000_000
+
+
 def test_viterbi_finds_the_best_path(model):
     """Against all paths of short chains, decoded together."""
     rng = np.random.default_rng(0)

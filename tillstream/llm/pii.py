@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -98,6 +99,11 @@ _MARK = re.compile(r"\[(email|ip|card|phone)\|((?:[^][]|\[[^]]*\])*)\]")
 _ANCHOR = re.compile(r"[0-9]+|@|\b(?i:at|dot)\b")
 REACH = 32
 MARGIN = 6  # tokens outside any span at a chain's ends, unless the text ends there
+# Characters that are decoded at a time: so many of short chains together, and of a long
+# chain a piece, which ends where no span is. Features see so many beyond a piece's ends.
+PIECE = 1 << 15
+AROUND = 512
+MOST_PADDED = 1 << 16  # tokens of chains that are decoded together, padding included
 OUTSIDE = 0
 LABELS = 1 + 2 * len(KINDS)  # outside, then first and later token of each kind
 
@@ -171,8 +177,7 @@ class ChainModel:
         """Viterbi over many chains at once, those of similar length together."""
         order = sorted(range(len(chains)), key=lambda k: len(chains[k]))
         best: list[np.ndarray] = [np.zeros(0, int)] * len(chains)
-        for low in range(0, len(order), 512):
-            group = order[low : low + 512]
+        for group in _alike(order, [len(c) for c in chains]):
             longest = len(chains[group[-1]])
             count = len(group)
             lengths = np.array([len(chains[k]) for k in group])
@@ -198,6 +203,17 @@ class ChainModel:
         return best
 
 
+def _alike(order: list[int], lengths: list[int]) -> Iterator[list[int]]:
+    """Chains in order of length, as many at a time as ``MOST_PADDED`` has room for."""
+    low = 0
+    while low < len(order):
+        high = low + 1
+        while high < len(order) and lengths[order[high]] * (high + 1 - low) <= MOST_PADDED:
+            high += 1
+        yield order[low:high]
+        low = high
+
+
 def _possible() -> tuple[np.ndarray, np.ndarray]:
     """Later tokens of a kind follow tokens of that kind only."""
     start = np.zeros(LABELS)
@@ -365,21 +381,92 @@ def _ends_open(text: str, stretch: tuple[int, int], path: np.ndarray) -> bool:
     )
 
 
+def _long_chain(text: str, stretch: tuple[int, int], model: ChainModel) -> tuple[list[Span], bool]:
+    """Spans of a long chain, decoded piece by piece, and whether its ends are open.
+
+    A piece ends within tokens that its best path leaves outside any span; the next one
+    begins there with that label, as the best path of both together would.
+    """
+    low, high = stretch
+    found, begin, size, is_open = [], low, PIECE, False
+    while begin < high:
+        end = _whole(text, begin, min(begin + size, high))[1]
+        seen = _whole(text, max(begin - AROUND, low), min(end + AROUND, high))
+        tokens = [m.span() for m in _TOKEN.finditer(text, *seen)]
+        first = bisect_left(tokens, (begin, 0))
+        last = bisect_left(tokens, (end, 0))
+        if first == last:
+            begin = end
+            continue
+        scores = model.scores(token_features(text, tokens))[first:last]
+        tokens = tokens[first:last]
+        if begin > low:
+            scores[0, np.arange(LABELS) != OUTSIDE] = -1e9
+        (path,) = model.decode([scores])
+        stop = len(path)
+        if end < high:
+            stop = _quiet(path)
+            if stop is None:
+                size *= 2
+                continue
+        if begin == low and low > 0:
+            is_open = bool(path[:MARGIN].any())
+        if end >= high and high < len(text):
+            is_open = is_open or bool(path[-MARGIN:].any())
+        found += _label_spans(tokens, path[:stop])
+        begin, size = tokens[stop][0] if stop < len(path) else high, PIECE
+    return found, is_open
+
+
+def _quiet(path: np.ndarray) -> int | None:
+    """The middle of the last long enough run of tokens outside, in the second half."""
+    width, half = 2 * MARGIN, len(path) // 2
+    inside = np.concatenate([[0], np.cumsum(path != OUTSIDE)])
+    runs = np.flatnonzero(inside[width:] == inside[:-width])
+    runs = runs[runs >= half]
+    return int(runs[-1]) + MARGIN if len(runs) else None
+
+
+def _decoded(
+    texts: list[str], work: list[tuple[int, tuple[int, int]]], model: ChainModel
+) -> Iterator[tuple[int, tuple[int, int], list[Span], bool]]:
+    """Each chain with its spans and whether its ends are open; short ones together."""
+    group: list[tuple[int, tuple[int, int]]] = []
+
+    def together() -> Iterator[tuple[int, tuple[int, int], list[Span], bool]]:
+        tokens = [[m.span() for m in _TOKEN.finditer(texts[k], *stretch)] for k, stretch in group]
+        scored = [model.scores(token_features(texts[k], t)) for (k, _), t in zip(group, tokens, strict=True)]
+        for (k, stretch), own, path in zip(group, tokens, model.decode(scored), strict=True):
+            yield k, stretch, _label_spans(own, path), _ends_open(texts[k], stretch, path)
+
+    held = 0
+    for k, stretch in work:
+        chars = stretch[1] - stretch[0]
+        if chars > PIECE:
+            yield k, stretch, *_long_chain(texts[k], stretch, model)
+            continue
+        if held + chars > PIECE:
+            yield from together()
+            group, held = [], 0
+        group.append((k, stretch))
+        held += chars
+    if group:
+        yield from together()
+
+
 def model_spans(texts: list[str], model: ChainModel) -> list[list[Span]]:
     """Spans the model finds in each text, before any comparison with the patterns."""
     found: list[list[Span]] = [[] for _ in texts]
     work = [(k, stretch) for k, text in enumerate(texts) for stretch in chains_of(text)]
     done: dict[int, dict[tuple[int, int], list[Span]]] = {}
     while work:
-        tokens = [[m.span() for m in _TOKEN.finditer(texts[k], *stretch)] for k, stretch in work]
-        scored = [model.scores(token_features(texts[k], t)) for (k, _), t in zip(work, tokens, strict=True)]
         grown: dict[int, list[tuple[int, int]]] = {}
-        for (k, stretch), own, path in zip(work, tokens, model.decode(scored), strict=True):
-            if _ends_open(texts[k], stretch, path):
+        for k, stretch, spans, is_open in _decoded(texts, work, model):
+            if is_open:
                 more = stretch[1] - stretch[0]
                 grown.setdefault(k, []).append((stretch[0] - more, stretch[1] + more))
             else:
-                done.setdefault(k, {})[stretch] = _label_spans(own, path)
+                done.setdefault(k, {})[stretch] = spans
         work = []
         for k, stretches in grown.items():
             # A chain that a grown one reaches becomes part of it.
@@ -424,8 +511,10 @@ def find_pii(
     over word shapes finds besides, where it touches no base span. The model is trained
     from ``examples``, a small table in the code, and decoded by Viterbi in batches.
     Its chains are the tokens around digits, @, "at" and "dot", and grow until no span is
-    near their ends; what holds none of these can be no personal data. Spans are in code points, end exclusive, in order of start,
-    then kind. Null or empty texts have none; an empty table gives an empty table.
+    near their ends; what holds none of these can be no personal data. A very long chain
+    is decoded in pieces that end where no span is, so memory stays at some times the
+    text's own size. Spans are in code points, end exclusive, in order of start, then
+    kind. Null or empty texts have none; an empty table gives an empty table.
     Rows are independent, so repeated rows give repeated results.
     """
     model = train(examples)
