@@ -76,7 +76,8 @@ def test_mixing_stage(stages):
         assert r.size == size[r.doc_id] and 1 <= r.copy <= 3
         taken[r.source] += r.size
     target = test_mixture.plain_targets(sources)
-    assert all(abs(taken[s] - target[s]) <= largest[s] / 2 + 1e-6 for s in sources)
+    # The last open document is drawn by its fraction: off by less than a document.
+    assert all(abs(taken[s] - target[s]) <= largest[s] + 1e-6 for s in sources)
 
 
 def test_run_applies_all_stages(spark, stages):
