@@ -1,4 +1,4 @@
-"""Command line: ``spark-submit tillstream/__main__.py bronze|silver|gold --base <path>``."""
+"""Command line: ``spark-submit tillstream/__main__.py bronze|compact|silver|gold --base <path>``."""
 
 from __future__ import annotations
 
@@ -13,9 +13,11 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from tillstream import session  # noqa: E402
 from tillstream.operators.dedup import ARRIVAL_ORDER, RECORD_ORDER  # noqa: E402
+from tillstream.plans.compact import FILE_BYTES, SETTLED_DAYS, compact_bronze  # noqa: E402
 from tillstream.plans.gold import expire_kpis, run_gold  # noqa: E402
 from tillstream.plans.refresh import refresh_gold  # noqa: E402
 from tillstream.plans.silver import run_silver  # noqa: E402
+from tillstream.schemas import EVENT_TYPES  # noqa: E402
 from tillstream.sources.tables import DEFAULT_FORMAT  # noqa: E402
 from tillstream.streaming.bronze import await_all, start_bronze  # noqa: E402
 
@@ -38,7 +40,7 @@ def _trigger(text: str) -> dict[str, object]:
 
 def arguments() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="tillstream")
-    parser.add_argument("job", choices=["bronze", "silver", "gold"])
+    parser.add_argument("job", choices=["bronze", "compact", "silver", "gold"])
     parser.add_argument("--base", required=True, help="folder of the layer tables")
     parser.add_argument("--format", default=DEFAULT_FORMAT, help="table format (parquet, delta)")
     bronze = parser.add_argument_group("bronze")
@@ -62,6 +64,16 @@ def arguments() -> argparse.ArgumentParser:
     )
     bronze.add_argument("--source-format", default="kafka", help="kafka, or a file format")
     bronze.add_argument("--source-base", help="folder of topics kept as files")
+    compact = parser.add_argument_group("compact")
+    compact.add_argument(
+        "--settled-days",
+        type=int,
+        default=SETTLED_DAYS,
+        help="whole days between a date that is copied and today",
+    )
+    compact.add_argument(
+        "--file-mb", type=int, default=FILE_BYTES // session.MIB, help="size of the copies' files"
+    )
     silver = parser.add_argument_group("silver")
     silver.add_argument("--strict", action="store_true", help="refuse blanks and NaN too")
     silver.add_argument("--detail", action="store_true", help="name the rules a row breaks")
@@ -89,6 +101,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     args = parser.parse_args(argv)
     if args.job == "bronze" and args.source_format == "kafka" and not args.broker:
         parser.error("bronze needs --broker")
+    if args.job == "compact" and args.format != DEFAULT_FORMAT:
+        parser.error(f"only {DEFAULT_FORMAT} tables are copied; other formats compact themselves")
     spark = session.build(f"tillstream-{args.job}")
     if args.job == "bronze":
         checkpoints = args.checkpoints or spark.conf.get("spark.checkpoint.dir", None)
@@ -113,6 +127,11 @@ def main(argv: Sequence[str] | None = None) -> None:
             trigger=args.trigger,
         )
         await_all(spark, queries)
+    elif args.job == "compact":
+        for name in EVENT_TYPES:
+            size = args.file_mb * session.MIB
+            copied = compact_bronze(spark, args.base, name, args.settled_days, size)
+            log.info("compact %s: %s", name, {str(day): rows for day, rows in copied.items()})
     elif args.job == "silver":
         order = ARRIVAL_ORDER if args.order == "arrival" else RECORD_ORDER
         reports = run_silver(

@@ -21,6 +21,7 @@ from tillstream.operators.cleaning import CLEANERS
 from tillstream.operators.dedup import RECORD_ORDER
 from tillstream.operators.lookup import in_partitions, likely_in, partition_key
 from tillstream.plans.changes import note_changes
+from tillstream.plans.compact import all_bronze
 from tillstream.schemas import ARRIVAL_DATE, EVENT_DATE, EVENT_TYPES
 from tillstream.sources.tables import (
     DEFAULT_FORMAT,
@@ -168,27 +169,40 @@ def process_silver(
     silver_path = layer_path(base, "silver", event_type)
     before = last_run(spark, base, event_type)
     whole = rebuild or before is None or before.phase != "done" or fmt == "delta"
-    bronze = read_layer(spark, base, "bronze", event_type, fmt)
-    if not whole and before.upto is not None:
-        since = F.lit(before.upto).cast("date")
-        bronze = bronze.filter(F.col(ARRIVAL_DATE).isNull() | (F.col(ARRIVAL_DATE) >= since))
-    span = bronze.agg(F.count("*").alias("rows"), F.max(ARRIVAL_DATE).cast("string").alias("upto")).first()
-    upto = span.upto or (before and before.upto)
-    counts: dict[str, int] = {"bronze_rows": span.rows}
+    upto = before and before.upto
+    if whole:
+        bronze = all_bronze(spark, base, event_type, fmt)
+    else:
+        bronze = read_layer(spark, base, "bronze", event_type, fmt)
+        if upto is not None:
+            since = F.lit(upto).cast("date")
+            bronze = bronze.filter(F.col(ARRIVAL_DATE).isNull() | (F.col(ARRIVAL_DATE) >= since))
+    counts: dict[str, int] = {}
     run = time.time_ns() // 1000
     options = {"strict": strict, "detail": detail, "order": order}
     clean = CLEANERS[event_type]
 
     def cleaned(rows: DataFrame) -> tuple[DataFrame, list[Observation]]:
-        seen, made = Observation(), Observation()
+        # Read rows are counted below the rules: nearly all rows pass them, so no file
+        # would be skipped by them here, unlike in the quarantine's own pass.
+        read, seen, made = Observation(), Observation(), Observation()
+        rows = rows.drop("_raw").observe(
+            read,
+            F.count(F.lit(1)).alias("bronze_rows"),
+            F.max(ARRIVAL_DATE).cast("string").alias("upto"),
+        )
         silver, _ = clean(rows.drop(ARRIVAL_DATE), seen=seen, **options)
         silver = silver.withColumn(EVENT_DATE, F.to_date("event_ts"))
-        return silver.observe(made, *_measures(event_type)), [seen, made]
+        return silver.observe(made, *_measures(event_type)), [read, seen, made]
 
     def add(observations: Iterable[Observation]) -> None:
+        nonlocal upto
         for found in observations:
             for name, value in found.get.items():
-                counts[name] = counts.get(name, 0) + value
+                if name != "upto":
+                    counts[name] = counts.get(name, 0) + value
+                elif value is not None:
+                    upto = max(upto or value, value)
 
     if whole:
         session.size_shuffles(spark, bronze.drop("_raw"), per_partition=128 * session.MIB * pieces)
