@@ -8,22 +8,47 @@ from tillstream.llm import licenses as L
 
 def plain(rows, notices, contained=0.8):
     """Containment of every notice in every window of its scale."""
+    found = {}
+    for row, doc_id, name, start, _, share, _, _ in matches(rows, notices, contained):
+        best, first = found.get((row, doc_id, name), (0, start))
+        found[row, doc_id, name] = max(best, share), min(first, start)
+    return [(doc_id, name, *got) for (_, doc_id, name), got in found.items()]
+
+
+def named(rows, notices):
+    """As above, of the matches whose shingles no overlapping one has all of."""
+    every, kept = matches(rows, notices), {}
+    for m in every:
+        better = any(
+            o[0] == m[0] and o[2] != m[2] and o[6] <= m[7] and m[6] <= o[7]
+            and o[4] >= m[4]
+            and ((len(o[4]), o[5]) > (len(m[4]), m[5]) or (o[4:6] == m[4:6] and o[2] < m[2]))
+            for o in every
+        )
+        if not better:
+            best, first = kept.get(m[:3], (0, m[3]))
+            kept[m[:3]] = max(best, m[5]), min(first, m[3])
+    return [(doc_id, name, *got) for (_, doc_id, name), got in kept.items()]
+
+
+def matches(rows, notices, contained=0.8):
+    """(row, id, notice, window's start, its shingles, their share, first word, last word)"""
     by_scale, found = L.scales(notices), []
-    for doc_id, text, *_ in rows:
+    for row, (doc_id, text, *_) in enumerate(rows):
         own = L.notice_words(text or "")
+        shingles = [tuple(own[k : k + L.SHINGLE]) for k in range(len(own) - L.SHINGLE + 1)]
         for name, notice in notices.items():
             wanted = L._shingles(L.notice_words(notice))
             if not wanted:
                 continue
             scale = by_scale[L.scale_words(len(L.notice_words(notice)))]
-            best = []
             for start in range(0, max(len(own) - L.SHINGLE, 0) + 1, scale.stride):
-                held = L._shingles(own[start : start + scale.window])
-                share = len(held & wanted) / len(wanted)
+                inside = range(start, min(start + scale.window - L.SHINGLE + 1, len(shingles)))
+                at = [k for k in inside if shingles[k] in wanted]
+                shared = {shingles[k] for k in at}
+                share = len(shared) / len(wanted)
                 if share >= contained:
-                    best.append((share, start))
-            if best:
-                found.append((doc_id, name, max(best)[0], min(s for _, s in best)))
+                    found.append((row, doc_id, name, start, shared, share, at[0], at[-1] + L.SHINGLE - 1))
     return found
 
 
@@ -46,11 +71,34 @@ def rows():
 def test_equals_plain_version(spark, rows):
     wanted = plain(rows, L.NOTICES)
     assert len(wanted) > 2 * len(L.NOTICES)
-    found = L.scan_licenses(cases.frame(spark, rows)).collect()
+    found = L.scan_licenses(cases.frame(spark, rows), overlapping=True).collect()
     got = [(r["_id"], r.license, r.containment, r.first_word) for r in found]
     assert cases.order(got) == cases.order(wanted)
 
 
+def test_related_notices_go_by_their_own_name(spark):
+    """Each notice is named as itself only, alone and next to its relatives."""
+    rng = random.Random(2)
+    made = [(k, notice, "en", "s") for k, notice in enumerate(L.NOTICES.values())]
+    names = list(L.NOTICES)
+    for k in range(20):
+        parts = [L.NOTICES[name] for name in rng.sample(names, 3)]
+        gap = " ".join(cases.words(rng, 40))
+        made.append((100 + k, f" {gap} ".join(parts), "en", "s"))
+    changed = L.NOTICES["GPL-2.0-header"].replace("any later", "each later")
+    made += [(200, changed, "en", "s"), (201, " ".join([*L.NOTICES.values()] * 3), "en", "s")]
+    made.append((202, "Use the GNU General Public License, version 2. " * 50, "en", "s"))
+    docs = cases.frame(spark, made)
+    got = [(r["_id"], r.license, r.containment, r.first_word) for r in L.scan_licenses(docs).collect()]
+    for k, name in enumerate(names):
+        assert [(g[1], g[2]) for g in got if g[0] == k] == [(name, 1.0)]
+    assert [g[1] for g in got if g[0] == 200] == ["GPL-2.0-header"]
+    # What is wholly part of another notice goes by the other's name next to it.
+    parts = {"MIT-grant", "BSD-conditions", "BSD-2-Clause-conditions", "Apache-2.0-line"}
+    assert {g[1] for g in got if g[0] == 201} >= set(names) - parts
+    assert cases.order(got) == cases.order(named(made, L.NOTICES))
+
+
 def test_every_holder_has_an_anchor_word():
     anchors = set(L.anchor_words(L.NOTICES))
     for notice in L.NOTICES.values():
@@ -92,5 +140,5 @@ def test_a_lower_containment_loses_no_holder(spark, rows):
     """Half a notice is enough for the search before the exact check as well."""
     wanted = {(r[0], r[1]) for r in plain(rows, L.NOTICES, 0.3)}
     assert len(wanted) > len({(r[0], r[1]) for r in plain(rows, L.NOTICES)}) + 5
-    found = L.scan_licenses(cases.frame(spark, rows), contained=0.3).collect()
+    found = L.scan_licenses(cases.frame(spark, rows), contained=0.3, overlapping=True).collect()
     assert {(r["_id"], r.license) for r in found} == wanted

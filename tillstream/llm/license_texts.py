@@ -42,4 +42,106 @@ NOTICES = {
         "must retain the above copyright notice, this list of conditions and the following "
         "disclaimer."
     ),
+    "MIT-full": (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
+        'software and associated documentation files (the "Software"), to deal in the Software '
+        "without restriction, including without limitation the rights to use, copy, modify, "
+        "merge, publish, distribute, sublicense, and/or sell copies of the Software, and to "
+        "permit persons to whom the Software is furnished to do so, subject to the following "
+        "conditions: The above copyright notice and this permission notice shall be included in "
+        'all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", '
+        "WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE "
+        "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN "
+        "NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR "
+        "OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT "
+        "OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+    ),
+    "ISC-grant": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
+        "without fee is hereby granted, provided that the above copyright notice and this "
+        "permission notice appear in all copies."
+    ),
+    "BSD-2-Clause-conditions": (
+        "Redistribution and use in source and binary forms, with or without modification, are "
+        "permitted provided that the following conditions are met: Redistributions of source code "
+        "must retain the above copyright notice, this list of conditions and the following "
+        "disclaimer. Redistributions in binary form must reproduce the above copyright notice, "
+        "this list of conditions and the following disclaimer in the documentation and/or other "
+        "materials provided with the distribution."
+    ),
+    "BSD-3-Clause-conditions": (
+        "Redistribution and use in source and binary forms, with or without modification, are "
+        "permitted provided that the following conditions are met: Redistributions of source code "
+        "must retain the above copyright notice, this list of conditions and the following "
+        "disclaimer. Redistributions in binary form must reproduce the above copyright notice, "
+        "this list of conditions and the following disclaimer in the documentation and/or other "
+        "materials provided with the distribution. Neither the name of the copyright holder nor "
+        "the names of its contributors may be used to endorse or promote products derived from "
+        "this software without specific prior written permission."
+    ),
+    "GPL-2.0-header": (
+        "This program is free software; you can redistribute it and/or modify it under the terms "
+        "of the GNU General Public License as published by the Free Software Foundation; either "
+        "version 2 of the License, or (at your option) any later version. This program is "
+        "distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even "
+        "the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU "
+        "General Public License for more details."
+    ),
+    "LGPL-2.1-header": (
+        "This library is free software; you can redistribute it and/or modify it under the terms "
+        "of the GNU Lesser General Public License as published by the Free Software Foundation; "
+        "either version 2.1 of the License, or (at your option) any later version. This library "
+        "is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without "
+        "even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See "
+        "the GNU Lesser General Public License for more details."
+    ),
+    "LGPL-3.0-header": (
+        "This program is free software: you can redistribute it and/or modify it under the terms "
+        "of the GNU Lesser General Public License as published by the Free Software Foundation, "
+        "either version 3 of the License, or (at your option) any later version. This program is "
+        "distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even "
+        "the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU "
+        "Lesser General Public License for more details."
+    ),
+    "AGPL-3.0-header": (
+        "This program is free software: you can redistribute it and/or modify it under the terms "
+        "of the GNU Affero General Public License as published by the Free Software Foundation, "
+        "either version 3 of the License, or (at your option) any later version. This program is "
+        "distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even "
+        "the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU "
+        "Affero General Public License for more details."
+    ),
+    "GPL-2.0-line": "This work is licensed under the GNU General Public License, version 2.",
+    "LGPL-2.1-line": "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+    "LGPL-3.0-line": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "AGPL-3.0-line": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "CC-BY-4.0-short": "Licensed under CC BY 4.0.",
+    "CC-BY-SA-4.0-short": "Licensed under CC BY-SA 4.0.",
+    "CC-BY-SA-4.0-line": (
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International "
+        "License."
+    ),
+    "CC-BY-NC-4.0-long": (
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 "
+        "International License."
+    ),
+    "CC0-1.0-line": (
+        "To the extent possible under law, the author has waived all copyright and related or "
+        "neighboring rights to this work."
+    ),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free "
+        "to copy, modify, publish, use, compile, sell, or distribute this software, either in "
+        "source code form or as a compiled binary, for any purpose, commercial or "
+        "non-commercial, and by any means."
+    ),
+    "Zlib-grant": (
+        "Permission is granted to anyone to use this software for any purpose, including "
+        "commercial applications, and to alter it and redistribute it freely, subject to the "
+        "following restrictions"
+    ),
+    "EPL-2.0-header": (
+        "This program and the accompanying materials are made available under the terms of the "
+        "Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"
+    ),
 }

@@ -19,6 +19,8 @@ CONTAINED = 0.8
 MISS = 1e-6
 # Notices are a short table that every task holds; more words than this are refused.
 MOST_NOTICE_WORDS = 20_000
+# Matches are compared within stretches of so many words, so none meets a whole text's.
+STRETCH = 64
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -133,6 +135,7 @@ def scan_licenses(
     notices: Mapping[str, str] = NOTICES,
     contained: float = CONTAINED,
     miss: float = MISS,
+    overlapping: bool = False,
 ) -> DataFrame:
     """License notices in each text, by name.
 
@@ -144,10 +147,16 @@ def scan_licenses(
     that all holders must have, and windows without any shingle of a notice, cannot
     hold one and are left out before.
 
+    Licenses share much of their wording. A match is left out if another notice's match that
+    overlaps it has every shingle it has, and more (as many: the higher containment, then
+    the first name, is kept), unless ``overlapping``. A match spans its first to its last
+    shingle in the window. So a text names each notice as itself, also next to its relatives.
+
     Returns a row per text and notice found: ``_id``, ``_row`` (its row), ``license``,
     ``containment`` (the most in any window) and ``first_word`` (start of the first such
     window). Notices of fewer than five words have no shingle and are never found. Null
-    or short texts hold none; empty tables give an empty one.
+    or short texts hold none; empty tables give an empty one. Equal rows are rows of their
+    own. A very long text costs an array of its words and one of their hashes.
     """
     spark = docs.sparkSession
     total = sum(len(notice_words(t)) for t in notices.values())
@@ -210,7 +219,7 @@ def scan_licenses(
             "_row",
             F.col("_w.scale").alias("scale"),
             F.col("_w.start").alias("start"),
-            F.array_distinct(F.slice("_hashes", F.col("_w.start") + 1, size)).alias("held"),
+            F.slice("_hashes", F.col("_w.start") + 1, size).alias("held"),
         )
     )
 
@@ -229,6 +238,8 @@ def scan_licenses(
         .select("_row", "scale", "start", "license")
         .distinct()
     )
+    shared = F.array_intersect("held", "shingles")
+    known_at = F.transform("held", lambda h, i: F.when(F.array_contains("shingles", h), i))
     verified = (
         windows.join(candidates, ["_row", "scale", "start"])
         .join(F.broadcast(table), ["license", "scale"])
@@ -236,12 +247,40 @@ def scan_licenses(
             "_id",
             "_row",
             "license",
-            "start",
-            (F.size(F.array_intersect("held", "shingles")) / F.size("shingles")).alias("containment"),
+            F.col("start").cast("bigint").alias("start"),
+            shared.alias("shared"),
+            (F.size(shared) / F.size("shingles")).alias("containment"),
+            (F.col("start") + F.array_min(known_at)).alias("first"),
+            (F.col("start") + F.array_max(known_at) + SHINGLE - 1).alias("last"),
         )
         .filter(F.col("containment") >= contained)
     )
+    if not overlapping:
+        verified = _named(cut(verified))
     return verified.groupBy("_id", "_row", "license").agg(
-        F.max("containment").alias("containment"),
-        F.min("start").cast("bigint").alias("first_word"),
+        F.max("containment").alias("containment"), F.min("start").alias("first_word")
+    )
+
+
+def _named(found: DataFrame) -> DataFrame:
+    """The matches whose shingles are not all another overlapping notice's as well.
+
+    Matches meet within stretches of a text. A stretch lies in few windows of each scale,
+    so its number of matches is bounded by the notices, whatever the text's length.
+    """
+    stretches = F.sequence(F.floor(F.col("first") / STRETCH), F.floor(F.col("last") / STRETCH))
+    spans = found.withColumn("stretch", F.explode(stretches))
+    own, other = spans.alias("own"), spans.alias("other")
+    rank = [F.struct(F.size(f"{s}.shared"), F.col(f"{s}.containment")) for s in ("own", "other")]
+    first_name = F.col("other.license") < F.col("own.license")
+    explained = (
+        (F.col("own._row") == F.col("other._row"))
+        & (F.col("own.stretch") == F.col("other.stretch"))
+        & (F.col("own.license") != F.col("other.license"))
+        & (F.col("other.first") <= F.col("own.last"))
+        & (F.col("own.first") <= F.col("other.last"))
+        & ((rank[1] > rank[0]) | ((rank[1] == rank[0]) & first_name))
+        & (F.size(F.array_except("own.shared", "other.shared")) == 0)
     )
+    keys = ["_row", "license", "start"]
+    return found.join(own.join(other, explained, "left_semi").select(*keys), keys, "left_anti")

@@ -198,15 +198,17 @@ QUERIES: dict[str, Query] = {
 
 
 def _license_sql() -> str:
-    """Containment of every notice in every window of its scale, without bands."""
+    """Containment of every notice in every window of its scale, without bands or stretches."""
     rows = []
     for name, text in licenses.NOTICES.items():
-        scale = licenses.scales(licenses.NOTICES)[licenses.scale_words(len(licenses.notice_words(text)))]
         words = ", ".join(f"'{w}'" for w in licenses.notice_words(text))
-        rows.append(f"('{name}', {scale.stride}, {scale.window}, [{words}])")
+        rows.append(f"('{name}', [{words}])")
     return r"""
-        with n(license, stride, span, w) as (values %s),
-        ns as (
+        with given(license, w) as (values %s),
+        n as (
+            select license, w, size / 4 as stride, size + size / 4 as span
+            from (select *, greatest(8, power(2, ceil(log2(len(w))))) as size from given)
+        ), ns as (
             select distinct license, stride, span, array_to_string(w[i:i + 4], ' ') as s
             from (select *, unnest(range(1, len(w) - 3)) as i from n)
         ), nt as (select license, stride, span, count(*) as size from ns group by all),
@@ -221,16 +223,25 @@ def _license_sql() -> str:
         ), hits as (
             select doc_id, license, stride, span, p, s from ds join ns using (s)
         ), held as (
-            select doc_id, license, stride * k as start, s
+            select doc_id, license, stride * k as start, s, p
             from (select *, unnest(range(
                 cast(greatest(0, ceil((p - (span - 5)) / stride)) as bigint),
                 cast(floor(p / stride) as bigint) + 1)) as k from hits)
         ), counted as (
-            select doc_id, license, start, count(distinct s) as found from held group by all
+            select doc_id, license, start, list(distinct s) as have, min(p) as lo, max(p) + 4 as hi
+            from held group by all
+        ), matches as (
+            select doc_id, license, start, have, len(have) as found,
+                len(have) / size as containment, lo, hi
+            from counted join nt using (license) where len(have) / size >= 0.8
         )
-        select doc_id, license, max(found / size) as containment,
+        select doc_id, license, max(containment) as containment,
             cast(min(start) as bigint) as first_word
-        from counted join nt using (license) where found / size >= 0.8
+        from matches m where not exists (
+            select 1 from matches o
+            where o.doc_id = m.doc_id and o.license <> m.license and o.lo <= m.hi and m.lo <= o.hi
+                and list_has_all(o.have, m.have) and (o.found > m.found or o.found = m.found and (o.containment > m.containment
+                    or o.containment = m.containment and o.license < m.license)))
         group by doc_id, license""" % ", ".join(rows)
 
 
