@@ -142,3 +142,18 @@ def test_hours_are_corrected_by_late_orders_and_replays_change_nothing(spark, tm
     again = load_kpis(spark, base, kpi_types=["hourly_revenue"])["hourly_revenue"]
     assert hours(again) == hours(batch)
     assert live.last_batch(spark, base, "hourly_revenue", "other") == -1
+
+
+def test_old_versions_of_a_stream_go(spark, tmp_path):
+    """A batch a minute must not leave a table a minute."""
+    base = str(tmp_path)
+    silver, _ = clean_orders(bronze(spark, "orders", {"event_id": "A", "total_amount": 7.0}))
+    rows = K.hourly_revenue(silver, estimate_customers=True)
+    sink = live.kpi_sink(base, "hourly_revenue", "s", keep=2)
+    for batch in range(4):
+        sink(rows, batch)
+    assert len(list((tmp_path / "kpis/hourly_revenue").glob("v[0-9]*"))) == 2
+    found = load_kpis(spark, base, kpi_types=["hourly_revenue"])["hourly_revenue"]
+    assert [r.revenue for r in found.collect()] == [7.0]
+    live.kpi_sink(base, "hourly_revenue", "s", keep=None)(rows, 4)
+    assert len(list((tmp_path / "kpis/hourly_revenue").glob("v[0-9]*"))) == 3

@@ -32,6 +32,8 @@ def build(app_name: str, master: str | None = None, **options: str) -> SparkSess
 
     Writers of a partitioned table keep a file open per partition value, so rows
     need no sort by that value first (beyond eight values Spark sorts after all).
+
+    Checkpoints are deleted once nothing refers to them.
     """
     builder = (
         SparkSession.builder.appName(app_name)
@@ -42,6 +44,7 @@ def build(app_name: str, master: str | None = None, **options: str) -> SparkSess
         .config("spark.sql.codegen.cache.maxEntries", "2000")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if master:
         builder = builder.master(master)

@@ -19,12 +19,14 @@ from tillstream.operators.cleaning import standardise
 from tillstream.operators.dedup import RECORD_ORDER
 from tillstream.operators.kpis import hourly_revenue
 from tillstream.operators.validation import valid_rows
-from tillstream.plans.gold import save_kpi
+from tillstream.plans.gold import expire_kpis, save_kpi
 from tillstream.schemas import EVENT_DATE, EventSpec
 from tillstream.sources.tables import DEFAULT_FORMAT, layer_path
 
 LATE = "1 hour"
 COPIES = "copies"
+# Each batch makes a version of its KPI; reads may use one of so many.
+VERSIONS = 10
 
 
 def latest_copies(
@@ -112,10 +114,16 @@ def last_batch(spark: SparkSession, base: str, kpi_type: str, stream: str) -> in
 
 
 def kpi_sink(
-    base: str, kpi_type: str, stream: str, fmt: str = DEFAULT_FORMAT
+    base: str,
+    kpi_type: str,
+    stream: str,
+    fmt: str = DEFAULT_FORMAT,
+    keep: int | None = VERSIONS,
 ) -> Callable[[DataFrame, int], None]:
     """Upsert each batch of whole KPI rows, once per batch number.
 
+    All but the ``keep`` newest versions of the KPI are deleted (none where it is None).
+
     A batch that is replayed is passed over. One that broke off before its number was
     noted is upserted again: its rows are totals, so that changes nothing.
     """
@@ -127,6 +135,8 @@ def kpi_sink(
         save_kpi(spark, base, kpi_type, rows, fmt)
         line = spark.range(1).select(F.lit(stream).alias("stream"), F.lit(batch).alias("batch"))
         line.coalesce(1).write.mode("append").json(_applied_path(base, kpi_type))
+        if keep is not None:
+            expire_kpis(spark, base, keep, [kpi_type])
 
     return upsert
 
@@ -139,6 +149,7 @@ def start_hourly_revenue(
     trigger: Mapping | None = None,
     fmt: str = DEFAULT_FORMAT,
     stream: str = "hourly_revenue",
+    keep: int | None = VERSIONS,
 ) -> StreamingQuery:
     """Keep the stored hours up to date from a stream of silver orders.
 
@@ -149,7 +160,7 @@ def start_hourly_revenue(
     return (
         hours.writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(kpi_sink(base, "hourly_revenue", stream, fmt))
+        .foreachBatch(kpi_sink(base, "hourly_revenue", stream, fmt, keep))
         .trigger(**(trigger or {"processingTime": "1 minute"}))
         .start()
     )
