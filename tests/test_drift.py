@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 from test_lookup import rows_read
 
-from tillstream.operators import drift, serving
+from testbed.events import drifted_records
+from tillstream.operators import drift, ingest, serving
 from tillstream.plans.gold import load_kpis, save_kpi
 from tillstream.schemas import ORDERS
 
@@ -42,6 +43,39 @@ def test_new_fields_are_reported_and_read_back(spark):
     assert drift.drift_report(rows.limit(0), ORDERS).count() == 0
 
 
+def optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_report_makes_reads_and_parses_each_record_once(spark):
+    rows = ingest.to_bronze(drifted_records(spark, "/root/testdata/sf0.001"), ORDERS)
+    plan = optimized(drift.drift_report(rows, ORDERS))
+    assert plan.count("StructsToJsonEvaluator") == plan.count("parseJson(") == 1
+    assert plan.count("Relation [l_orderkey#") == 1
+
+
+def test_values_are_judged_by_what_they_can_be_read_as(spark):
+    values = ["1", "0.5", "3000000000", '"1.5"', '"x"', "true", "[1]", "{}", "null"]
+    rows = bronze(spark, *[f'{{"quantity": {v}, "subtotal": {v}, "event_id": {v}}}' for v in values])
+    found = {(r.path, r.type): r.rows for r in drift.drift_report(rows, ORDERS).collect()}
+    assert found == {
+        ("quantity", "BIGINT"): 1,
+        ("quantity", "STRING"): 2,
+        ("quantity", "ARRAY<BIGINT>"): 1,
+        ("quantity", "OBJECT<>"): 1,
+        ("subtotal", "STRING"): 1,
+        ("subtotal", "ARRAY<BIGINT>"): 1,
+        ("subtotal", "OBJECT<>"): 1,
+    }
+    nested = bronze(spark, '{"product.id": 1, "product": {"unit_price": "?", "id": 2, "quantity": 1}}')
+    found = {(r.path, r.type, r.finding) for r in drift.drift_report(nested, ORDERS).collect()}
+    assert found == {
+        ("product.id", "BIGINT", "undeclared"),
+        ("product.unit_price", "STRING", "unreadable"),
+        ("product.quantity", "BIGINT", "undeclared"),
+    }
+
+
 def test_one_stored_row_is_read_by_its_id(spark, tmp_path, monkeypatch):
     from tillstream.plans import gold
 

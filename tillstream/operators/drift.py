@@ -14,32 +14,47 @@ UNDECLARED, UNREADABLE = "undeclared", "unreadable"
 
 
 def _parsed(bronze: DataFrame) -> DataFrame:
-    """Raw records as VARIANT: any JSON, with its own types."""
-    return bronze.filter(F.col("_raw").isNotNull()).select(F.try_parse_json("_raw").alias("_record"))
+    """Raw records as VARIANT: any JSON, with its own types; null where there is none.
+
+    A filter of ``_raw`` would be carried down to where it is made, and make it twice.
+    """
+    return bronze.select(F.try_parse_json("_raw").alias("_record"))
 
 
-def _fields(records: DataFrame, prefix: str) -> DataFrame:
-    """One row per field of each record's object that has a value: ``path``, ``value``."""
+def _fields(records: DataFrame) -> DataFrame:
+    """One row per field of each record's objects that has a value: ``level``, ``key``, ``value``."""
     spark = records.sparkSession
     fields = spark.sql(
-        "select key, value from {records}, lateral variant_explode(_record)", records=records
+        "select level, key, value from {records}, lateral variant_explode(object)", records=records
     )
-    named = fields.filter(F.col("key").isNotNull() & ~F.is_variant_null("value"))
-    return named.select(F.concat(F.lit(prefix), "key").alias("path"), "value")
+    return fields.filter(F.col("key").isNotNull() & ~F.is_variant_null("value"))
 
 
-def _declared(schema: T.StructType, prefix: str) -> dict[str, str]:
-    return {prefix + f.name: f.dataType.simpleString() for f in schema.fields}
+def _unreadable(kind: str) -> Column:
+    """Whether ``value``, which comes from JSON, has no form of this kind.
 
-
-def _finding(declared: dict[str, str]) -> Column:
-    """What is wrong with a field, null for nothing."""
-    path, value = F.col("path"), F.col("value")
-    unreadable = F.lit(False)
-    for name, kind in declared.items():
-        if not kind.startswith("struct"):
-            unreadable = unreadable | ((path == name) & F.try_variant_get(value, "$", kind).isNull())
-    unknown = ~path.isin(*declared)
+    Text can be made of any value, and a double of any number. Only the others are
+    converted to find out, which costs far more than a look at the type.
+    """
+    if kind == "string":
+        return F.lit(False)
+    fails = F.try_variant_get("value", "$", kind).isNull()
+    if kind != "double":
+        return fails
+    found = F.substring_index(F.schema_of_variant("value"), "(", 1)
+    return ~found.isin("BIGINT", "DECIMAL", "DOUBLE") & fails
+
+
+def _finding(schema: T.StructType) -> Column:
+    """What is wrong with a field of an object, null for nothing."""
+    key = F.col("key")
+    by_kind: dict[str, list[str]] = {}
+    for field in schema.fields:
+        if not isinstance(field.dataType, T.StructType):
+            by_kind.setdefault(field.dataType.simpleString(), []).append(field.name)
+    each = [key.isin(*names) & _unreadable(kind) for kind, names in by_kind.items()]
+    unreadable = reduce(Column.__or__, each, F.lit(False))
+    unknown = ~key.isin(*schema.names)
     return F.when(unknown, F.lit(UNDECLARED)).when(unreadable, F.lit(UNREADABLE))
 
 
@@ -48,21 +63,21 @@ def drift_report(bronze: DataFrame, spec: EventSpec) -> DataFrame:
 
     One row per ``path``, JSON ``type`` and ``finding``, with the number of ``rows``. Nested
     objects of the contract are looked into. Null values count as missing. Records that
-    are not JSON objects have no fields. Tasks count their fields before any shuffle.
+    are not JSON objects have no fields. Each record is parsed once, for all its objects,
+    and tasks count their fields before any shuffle.
     """
-    records = _parsed(bronze)
-    levels = [(records, spec.schema, "")]
+    levels, objects = {"": spec.schema}, {"": F.col("_record")}
     for field in spec.schema.fields:
         if isinstance(field.dataType, T.StructType):
-            inner = F.try_variant_get("_record", f"$.{field.name}", "variant")
-            levels.append((records.select(inner.alias("_record")), field.dataType, f"{field.name}."))
-    found = []
-    for rows, schema, prefix in levels:
-        fields = _fields(rows, prefix).withColumn("finding", _finding(_declared(schema, prefix)))
-        kind = F.schema_of_variant("value").alias("type")
-        found.append(fields.filter(F.col("finding").isNotNull()).select("path", kind, "finding"))
-    every = reduce(DataFrame.unionByName, found)
-    return every.groupBy("path", "type", "finding").agg(F.count("*").alias("rows"))
+            levels[f"{field.name}."] = field.dataType
+            objects[f"{field.name}."] = F.try_variant_get("_record", f"$.{field.name}", "variant")
+    each = [F.struct(F.lit(p).alias("level"), o.alias("object")) for p, o in objects.items()]
+    fields = _fields(_parsed(bronze).select(F.inline(F.array(*each))))
+    level = F.col("level")
+    finding = F.coalesce(*[F.when(level == p, _finding(schema)) for p, schema in levels.items()])
+    found = fields.withColumn("finding", finding).filter(F.col("finding").isNotNull())
+    path, kind = F.concat("level", "key").alias("path"), F.schema_of_variant("value").alias("type")
+    return found.groupBy(path, kind, "finding").agg(F.count("*").alias("rows"))
 
 
 def record_schema(bronze: DataFrame) -> DataFrame:
