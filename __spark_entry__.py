@@ -156,7 +156,8 @@ def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
 def drifted_coupons(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A field the contract does not name, read back from the raw records."""
     bronze = ingest.to_bronze(E.drifted_records(spark, sf_dir), ORDERS)
-    found = drift.with_raw_field(drift.with_raw_field(bronze, "coupon", "string"), "product.brand", "string")
+    fields = {"coupon": ("coupon", "string"), "product_brand": ("product.brand", "string")}
+    found = drift.with_raw_fields(bronze, fields)
     return found.filter(F.col("coupon").isNotNull()).groupBy("coupon", "product_brand").agg(
         F.count("*").alias("orders")
     )

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_lookup import rows_read
 
+import __spark_entry__ as registry
 from testbed.events import drifted_records
 from tillstream.operators import drift, ingest, serving
 from tillstream.plans.gold import load_kpis, save_kpi
@@ -76,6 +77,16 @@ def test_values_are_judged_by_what_they_can_be_read_as(spark):
     }
 
 
+def test_a_filter_of_raw_fields_parses_no_record_again(spark):
+    rows = ingest.to_bronze(drifted_records(spark, "/root/testdata/sf0.001"), ORDERS)
+    fields = {"coupon": ("coupon", "string"), "brand": ("product.brand", "string")}
+    found = drift.with_raw_fields(rows, fields).filter("coupon is not null").groupBy("coupon", "brand").count()
+    plan = optimized(found)
+    assert plan.count("StructsToJsonEvaluator") == plan.count("parseJson(") == 1
+    query = optimized(registry.queries()["drifted_coupons"](spark, "/root/testdata/sf0.001"))
+    assert query.count("StructsToJsonEvaluator") == query.count("parseJson(") == 1
+
+
 def test_one_stored_row_is_read_by_its_id(spark, tmp_path, monkeypatch):
     from tillstream.plans import gold
 

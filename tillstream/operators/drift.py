@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -85,10 +86,26 @@ def record_schema(bronze: DataFrame) -> DataFrame:
     return _parsed(bronze).agg(F.schema_of_variant_agg("_record").alias("schema"))
 
 
+def with_raw_fields(bronze: DataFrame, fields: Mapping[str, tuple[str, str]]) -> DataFrame:
+    """Add fields of the raw records as columns: by name, the path and the type of each.
+
+    A value is null where it is missing or of another type. The record is parsed once
+    for all fields. They come out of a generator, below which no filter of them is
+    carried, as it would parse the record a second time.
+    """
+    values = [
+        F.try_variant_get("_record", f"$.{path}", kind).alias(f"_{i}")
+        for i, (path, kind) in enumerate(fields.values())
+    ]
+    parsed = bronze.withColumn("_record", F.try_parse_json("_raw"))
+    read = parsed.withColumn("_read", F.explode(F.array(F.struct(*values))))
+    named = {name: F.col(f"_read._{i}") for i, name in enumerate(fields)}
+    return read.withColumns(named).drop("_record", "_read")
+
+
 def with_raw_field(bronze: DataFrame, path: str, kind: str, into: str | None = None) -> DataFrame:
     """Add a field of the raw records as a column; null where it is missing or of another type.
 
     ``path`` is as in the report, e.g. ``coupon`` or ``product.brand``.
     """
-    value = F.try_variant_get(F.try_parse_json("_raw"), f"$.{path}", kind)
-    return bronze.withColumn(into or path.replace(".", "_"), value)
+    return with_raw_fields(bronze, {into or path.replace(".", "_"): (path, kind)})
